@@ -93,3 +93,134 @@ def register(key: str, body: str) -> None:
 register("clean_records", f"SELECT {RECORD_COLS}, event_id FROM clean")
 register("window_aggregates", _window_agg("wv"))
 register("window_aggregates_clean", _window_agg("clean"))
+
+_TT = lambda c: TT.format(c=c)
+
+register("parse_messages", f"""
+SELECT city AS msg_key, {RECORD_COLS}, {_TT('event_time')} AS event_time, event_id FROM wv""")
+
+register("encode_messages", """
+SELECT city AS key, 'weather-data' AS topic, event_id,
+       CASE WHEN visibility IS NULL THEN 16 ELSE 17 END AS n_keys,
+       city AS json_city, temperature AS json_temperature, visibility AS json_visibility
+FROM wv""")
+
+register("normalize_payload", """
+SELECT city, country, timestamp, temperature, feels_like, temp_min, temp_max, humidity, pressure,
+       wind_speed,
+       CASE WHEN event_id % 5 = 0 THEN 0 ELSE wind_deg END AS wind_deg,
+       CASE WHEN event_id % 5 = 0 THEN 0.0 ELSE wind_gust END AS wind_gust,
+       clouds, coalesce(visibility, 10000) AS visibility,
+       weather_id, weather_main, weather_description, event_id
+FROM wv""")
+
+_RULES = [("temperature", "temperature BETWEEN -60 AND 60"), ("humidity", "humidity BETWEEN 0 AND 100"),
+          ("pressure", "pressure BETWEEN 870 AND 1085"), ("wind_speed", "wind_speed >= 0"),
+          ("visibility", "visibility >= 0")]
+_KEPT = " AND ".join(f"coalesce({p}, false)" for _, p in _RULES)
+register("quality_report", f"""
+SELECT count(*) AS n_rows,
+       CAST(sum(CASE WHEN {_KEPT} THEN 1 ELSE 0 END) AS BIGINT) AS n_kept,
+       {", ".join(f"CAST(sum(CASE WHEN coalesce({p}, false) THEN 0 ELSE 1 END) AS BIGINT) AS n_bad_{n}" for n, p in _RULES)},
+       CAST(0 AS BIGINT) AS n_malformed,
+       CAST(sum(CASE WHEN event_time IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_null_time
+FROM wv""")
+
+_BATCH = "CAST(strftime(event_time, '%Y%m%d') AS BIGINT)"
+register("records_scan", f"""
+SELECT {RECORD_COLS}, event_id, {_TT('event_time')} AS event_time, {_BATCH} AS batch_id FROM clean""")
+
+register("history_last_n", f"""
+SELECT {RECORD_COLS}, event_id, {_BATCH} AS batch_id FROM clean
+ORDER BY batch_id DESC, event_time DESC LIMIT 2000""")
+
+register("agg_scan", _window_agg("wv"))
+
+_LATEST = ["country", "timestamp", "temperature", "feels_like", "temp_min", "temp_max", "humidity",
+           "pressure", "wind_speed", "wind_deg", "wind_gust", "clouds", "visibility", "weather_id",
+           "weather_main", "weather_description"]
+LAT = ("lat AS (SELECT city, "
+       + ", ".join(f"arg_max({c}, event_time) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in _LATEST)
+       + ", max(event_time) AS event_time FROM clean "
+         "WHERE city IS NOT NULL AND event_time IS NOT NULL GROUP BY city)")
+
+
+def register_lat(key: str, body: str) -> None:
+    ORACLE[key] = "WITH " + WV.strip() + ",\n" + LAT + "\n" + body.strip()
+
+
+register_lat("latest_by_city", f"SELECT city, {', '.join(_LATEST)}, {_TT('event_time')} AS event_time FROM lat")
+
+
+def _values(mapping: dict[str, str]) -> str:
+    return ", ".join("('{}', '{}')".format(k, v) for k, v in mapping.items())
+
+
+def _lookups():
+    from obsflow.functions import lookups as L
+    return L
+
+
+_L = _lookups()
+register_lat("current_conditions", f"""
+, flags(k, v) AS (VALUES {_values(_L.CITY_FLAGS)}),
+icons(k, v) AS (VALUES {_values(_L.WEATHER_ICONS)}),
+cc AS (
+  SELECT lat.*, coalesce(flags.v, '{_L.DEFAULT_FLAG}') AS flag, coalesce(icons.v, '{_L.DEFAULT_ICON}') AS icon
+  FROM lat LEFT JOIN flags ON lat.city = flags.k LEFT JOIN icons ON lat.weather_main = icons.k)
+SELECT city, flag, flag || ' ' || city AS label,
+       CAST(round(CAST(temperature AS DECIMAL(18,2)), 1) AS VARCHAR) || '°C' AS temperature_text,
+       coalesce(upper(weather_description[1]) || lower(weather_description[2:]), '') AS description,
+       icon,
+       icon || '  💧' || coalesce(CAST(humidity AS VARCHAR), '?') || '%  🌬️'
+            || coalesce(CAST(wind_speed AS VARCHAR), '?') || ' m/s' AS caption
+FROM cc""")
+
+register("temperature_series", f"""
+SELECT {_TT('event_time')} AS event_time, city, temperature, event_id FROM clean WHERE event_time IS NOT NULL""")
+
+register_lat("dual_series", f"""
+, c5 AS (SELECT city FROM (SELECT DISTINCT city FROM clean WHERE city IS NOT NULL AND event_time IS NOT NULL)
+         ORDER BY city LIMIT 5),
+picked AS (SELECT * FROM clean WHERE event_time IS NOT NULL AND city IN (SELECT city FROM c5)),
+long AS (
+  SELECT event_time, city, event_id, 'humidity' AS metric, CAST(humidity AS DOUBLE) AS value FROM picked
+  UNION ALL
+  SELECT event_time, city, event_id, 'pressure' AS metric, CAST(pressure AS DOUBLE) AS value FROM picked)
+SELECT {_TT('event_time')} AS event_time, city, event_id, metric, value,
+       CASE WHEN metric = 'humidity' THEN 'Humidity (%)' ELSE 'Pressure (hPa)' END AS axis,
+       city || ' ' || metric AS series
+FROM long""")
+
+register_lat("wind_ranking", "SELECT city, wind_speed FROM lat")
+
+register_lat("city_metric_matrix", " UNION ALL ".join(
+    f"SELECT city, '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM lat"
+    for m in ["temperature", "humidity", "pressure", "wind_speed", "clouds"]))
+
+ORACLE["window_series_city"] = ("WITH " + WV.strip() + ",\nwa AS (" + _window_agg("wv") + ")\n"
+                                "SELECT window_start, city, avg_temp, max_temp, min_temp FROM wa WHERE city = 'Paris'")
+ORACLE["agg_table_tail"] = ("WITH " + WV.strip() + ",\nwa AS (" + _window_agg("wv") + ")\n"
+                            "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER "
+                            "(PARTITION BY city ORDER BY window_start DESC) AS rn FROM wa) WHERE rn <= 20")
+
+register("distinct_cities", "SELECT DISTINCT city FROM wv WHERE event_time IS NOT NULL AND city IS NOT NULL")
+
+register("lookup_default", f"""
+, flags(k, v) AS (VALUES {_values(_L.CITY_FLAGS)}),
+icons(k, v) AS (VALUES {_values(_L.WEATHER_ICONS)})
+SELECT wv.event_id, wv.city, coalesce(flags.v, '{_L.DEFAULT_FLAG}') AS flag, wv.weather_main,
+       coalesce(icons.v, '{_L.DEFAULT_ICON}') AS icon
+FROM wv LEFT JOIN flags ON wv.city = flags.k LEFT JOIN icons ON wv.weather_main = icons.k""")
+
+register("threshold_label", """
+SELECT event_id, temperature,
+       CASE WHEN temperature IS NULL THEN NULL WHEN temperature >= 0 THEN 'normal' ELSE 'inverse' END AS label
+FROM wv""")
+
+register("poll_completeness", """
+SELECT strftime(time_bucket(INTERVAL 1 HOUR, event_time), '%Y-%m-%d %H:%M:%S') AS cycle_start,
+       count(DISTINCT city) AS n_cities, count(*) AS n_records,
+       count(DISTINCT city) / 10 AS completeness,
+       (epoch_us(max(event_time)) - epoch_us(min(event_time))) / 1e6 AS elapsed_sec
+FROM wv WHERE event_time IS NOT NULL GROUP BY 1""")

@@ -35,3 +35,161 @@ def q_window_aggregates(spark, sf_dir):
 @query
 def q_window_aggregates_clean(spark, sf_dir):
     return windows.window_aggregates(weather_view(spark, sf_dir), clean_first=True)
+
+
+# ---- ingest ------------------------------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from obsflow.functions import lookups  # noqa: E402
+from obsflow.functions.text import threshold_label, time_text  # noqa: E402
+from obsflow.operators import serve  # noqa: E402
+from obsflow.session import work_dir  # noqa: E402
+from obsflow.sources import history, messages  # noqa: E402
+
+
+def _messages(spark, sf_dir):
+    wv = weather_view(spark, sf_dir)
+    return messages.encode_messages(wv, offset_col="event_id", num_partitions=4)
+
+
+@query
+def q_parse_messages(spark, sf_dir):
+    parsed = messages.parse_messages(_messages(spark, sf_dir), keep=["key", "offset"])
+    return parsed.select(F.col("key").cast("string").alias("msg_key"), *RECORD_FIELDS,
+                         time_text("event_time").alias("event_time"), F.col("offset").alias("event_id"))
+
+
+@query
+def q_encode_messages(spark, sf_dir):
+    m = _messages(spark, sf_dir)
+    v = F.col("value").cast("string")
+    return m.select(
+        F.col("key").cast("string").alias("key"), "topic", F.col("offset").alias("event_id"),
+        F.size(F.json_object_keys(v)).alias("n_keys"),
+        F.get_json_object(v, "$.city").alias("json_city"),
+        F.get_json_object(v, "$.temperature").cast("double").alias("json_temperature"),
+        F.get_json_object(v, "$.visibility").cast("int").alias("json_visibility"))
+
+
+@query
+def q_normalize_payload(spark, sf_dir):
+    wv = weather_view(spark, sf_dir)
+    raw = messages.encode_payloads(wv, passthrough=["event_id"], absent_wind_when=F.col("event_id") % 5 == 0)
+    return messages.normalize_payload(raw).select(*RECORD_FIELDS, "event_id")
+
+
+@query
+def q_quality_report(spark, sf_dir):
+    parsed = messages.parse_messages(_messages(spark, sf_dir), with_corrupt=True)
+    return quality.quality_report(parsed, malformed_col="is_malformed")
+
+
+# ---- history tables ----------------------------------------------------------
+def _day_batch(df):
+    return df.withColumn("batch_id", F.date_format("event_time", "yyyyMMdd").cast("bigint"))
+
+
+def _clean_history(spark, sf_dir):
+    """Cleaned records written as a history table, one batch per day of data."""
+    path = work_dir(spark, "records")
+    clean = quality.clean_records(weather_view(spark, sf_dir))
+    history.write_batches(_day_batch(clean), path)
+    return path
+
+
+@query
+def q_records_scan(spark, sf_dir):
+    df = history.records_scan(spark, _clean_history(spark, sf_dir))
+    return df.select(*RECORD_FIELDS, "event_id", time_text("event_time").alias("event_time"),
+                     F.col("batch_id").cast("bigint").alias("batch_id"))
+
+
+@query
+def q_history_last_n(spark, sf_dir):
+    hist = history.read_history(spark, _clean_history(spark, sf_dir))
+    hist = hist.withColumn("batch_id", F.col("batch_id").cast("bigint"))
+    return history.history_last_n(hist, 2000).select(*RECORD_FIELDS, "event_id", "batch_id")
+
+
+@query
+def q_agg_scan(spark, sf_dir):
+    path = work_dir(spark, "aggregations")
+    history.write_window_rows(windows.window_aggregates(weather_view(spark, sf_dir)), path)
+    return history.agg_scan(spark, path)
+
+
+# ---- served tables -------------------------------------------------------------
+def _clean(spark, sf_dir):
+    return quality.clean_records(weather_view(spark, sf_dir))
+
+
+def _latest(spark, sf_dir):
+    return serve.latest_by_city(_clean(spark, sf_dir))
+
+
+@query
+def q_latest_by_city(spark, sf_dir):
+    lat = _latest(spark, sf_dir)
+    return lat.select("city", *serve.LATEST_FIELDS, time_text("event_time").alias("event_time"))
+
+
+@query
+def q_current_conditions(spark, sf_dir):
+    return serve.current_conditions(_latest(spark, sf_dir))
+
+
+@query
+def q_temperature_series(spark, sf_dir):
+    return serve.temperature_series(_clean(spark, sf_dir))
+
+
+@query
+def q_dual_series(spark, sf_dir):
+    return serve.dual_series(_clean(spark, sf_dir))
+
+
+@query
+def q_wind_ranking(spark, sf_dir):
+    return serve.wind_ranking(_latest(spark, sf_dir))
+
+
+@query
+def q_city_metric_matrix(spark, sf_dir):
+    return serve.city_metric_matrix(_latest(spark, sf_dir))
+
+
+@query
+def q_window_series_city(spark, sf_dir):
+    return serve.window_series_city(windows.window_aggregates(weather_view(spark, sf_dir)), "Paris")
+
+
+@query
+def q_agg_table_tail(spark, sf_dir):
+    return serve.agg_table_tail(windows.window_aggregates(weather_view(spark, sf_dir)), 20)
+
+
+@query
+def q_distinct_cities(spark, sf_dir):
+    return serve.distinct_cities(weather_view(spark, sf_dir))
+
+
+@query
+def q_lookup_default(spark, sf_dir):
+    wv = weather_view(spark, sf_dir).select("event_id", "city", "weather_main")
+    flags = lookups.dimension(spark, lookups.CITY_FLAGS, "city", "flag")
+    icons = lookups.dimension(spark, lookups.WEATHER_ICONS, "weather_main", "icon")
+    out = lookups.lookup_with_default(wv, flags, "city", "flag", lookups.DEFAULT_FLAG)
+    out = lookups.lookup_with_default(out, icons, "weather_main", "icon", lookups.DEFAULT_ICON)
+    return out.select("event_id", "city", "flag", "weather_main", "icon")
+
+
+@query
+def q_threshold_label(spark, sf_dir):
+    wv = weather_view(spark, sf_dir)
+    return wv.select("event_id", "temperature", threshold_label("temperature", 0.0).alias("label"))
+
+
+@query
+def q_poll_completeness(spark, sf_dir):
+    return windows.poll_completeness(weather_view(spark, sf_dir), cycle="1 hour",
+                                     expected=len(lookups.CITIES))

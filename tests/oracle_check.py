@@ -28,21 +28,32 @@ def _norm(v):
     if hasattr(v, "item"):
         v = v.item()
     if isinstance(v, float):
-        return repr(round(v, 9))
+        return repr(v)
     if isinstance(v, (bytes, bytearray)):
         return v.hex()
     return str(v)
 
 
-def digest(df: pd.DataFrame) -> tuple[int, list[str], str]:
-    cols = sorted(df.columns)
-    rows = sorted("|".join(_norm(v) for v in r) for r in df[cols].itertuples(index=False, name=None))
-    return len(rows), cols, hashlib.sha256("\n".join(rows).encode()).hexdigest()[:16]
+def digest(cols: list[str], rows: list[tuple]) -> tuple[int, list[str], str]:
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    text = sorted("|".join(_norm(r[i]) for i in order) for r in rows)
+    return len(text), [cols[i] for i in order], hashlib.sha256("\n".join(text).encode()).hexdigest()[:16]
+
+
+def spark_rows(df):
+    return list(df.columns), [tuple(r) for r in df.collect()]
+
+
+def duck_rows(con, sql):
+    cur = con.execute(sql)
+    return [d[0] for d in cur.description], cur.fetchall()
 
 
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     keys = sys.argv[2:]
+    from pyspark.sql import SparkSession
+    SparkSession.builder.config("spark.ui.showConsoleProgress", "false")
     spark = get_spark("local[8]", shuffle_partitions=8)
     spark.sparkContext.setLogLevel("ERROR")
     con = duckdb.connect()
@@ -55,28 +66,30 @@ def main():
     for k in keys or list(qs):
         t0 = time.time()
         try:
-            sdf = qs[k](spark, sf_dir).toPandas()
+            scols, srows = spark_rows(qs[k](spark, sf_dir))
         except Exception as exc:  # noqa: BLE001
             print(f"{k:28s} SPARK ERROR {type(exc).__name__}: {str(exc)[:300]}")
             bad += 1
             continue
         ts = time.time() - t0
         if k not in oracle:
-            print(f"{k:28s} rows-only  spark={len(sdf)}  {ts:.1f}s")
+            print(f"{k:28s} rows-only  spark={len(srows)}  {ts:.1f}s")
             continue
         try:
-            odf = con.execute(oracle[k]).df()
+            ocols, orows = duck_rows(con, oracle[k])
         except Exception as exc:  # noqa: BLE001
             print(f"{k:28s} ORACLE ERROR {str(exc)[:300]}")
             bad += 1
             continue
-        a, b = digest(sdf), digest(odf)
+        a, b = digest(scols, srows), digest(ocols, orows)
         ok = a == b
         bad += not ok
         print(f"{k:28s} {'OK ' if ok else 'MISMATCH'} spark={a[0]} oracle={b[0]} {ts:.1f}s"
               + ("" if ok else f"\n    cols {a[1]} vs {b[1]}"))
         if not ok and a[1] == b[1]:
-            m = sdf.astype(str).merge(odf.astype(str), how="outer", indicator=True)
+            sdf = pd.DataFrame([[_norm(v) for v in r] for r in srows], columns=scols)
+            odf = pd.DataFrame([[_norm(v) for v in r] for r in orows], columns=ocols)[scols]
+            m = sdf.merge(odf, how="outer", indicator=True)
             print(m[m["_merge"] != "both"].head(6).to_string()[:2000])
     print("FAILED" if bad else "ALL OK", bad)
 
