@@ -17,19 +17,25 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def exact_avg(c, digits: int, in_scale: int = 2) -> Column:
-    """``round(avg(c), digits)`` computed on exact decimals of scale ``in_scale``.
+def decimal_mean(c, digits: int, in_scale: int = 2) -> Column:
+    """``round(sum(c) / count(c), digits)`` with an exact decimal sum.
 
-    Inputs are read at ``in_scale`` decimal places (the sensors' resolution);
-    the sum is exact, the mean is rounded half-up once.
+    The quotient is carried to 12 places before the one half-up rounding, so
+    the result is the correctly rounded mean for groups below ~10^6 rows and
+    never depends on how rows were partitioned.
     """
     dec = _c(c).cast(f"decimal(18,{in_scale})")
-    return F.round(F.avg(dec), digits).cast("double")
+    return F.round(F.try_divide(F.sum(dec), F.count(dec)), digits).cast("double")
+
+
+def exact_avg(c, digits: int, in_scale: int = 2) -> Column:
+    """``round(avg(c), digits)`` on exact decimals of the inputs' resolution."""
+    return decimal_mean(c, digits, in_scale)
 
 
 def exact_mean(c, in_scale: int = 2) -> Column:
-    """Exact mean to ``in_scale + 4`` decimals, as double."""
-    return F.avg(_c(c).cast(f"decimal(18,{in_scale})")).cast("double")
+    """Mean to 6 decimals on exact decimals, as double."""
+    return decimal_mean(c, 6, in_scale)
 
 
 def decimal_max(c, digits: int = 2) -> Column:
@@ -54,7 +60,7 @@ def round_half_up(c, digits: int) -> Column:
 def spark_interpolate(lo: float, hi: float, pos: float) -> float:
     """Linear interpolation between order statistics, as Spark's ``percentile``."""
     lower, higher = math.floor(pos), math.ceil(pos)
-    if lower == higher:
+    if lower == higher or lo == hi:
         return lo
     return (higher - pos) * lo + (pos - lower) * hi
 

@@ -1,0 +1,23 @@
+"""Joins against a derived small side, broadcast only behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def join_small(df: DataFrame, small: DataFrame, on, how: str = "inner",
+               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Join ``df`` with a side that is small in practice (one row per city, ...).
+
+    The small side is counted first; it is broadcast only when it has at most
+    ``max_rows`` rows. Beyond that the join is a shuffle join, and adaptive
+    execution splits a hot key's partition (skew join) instead of sending a
+    third of the rows to one task.
+    """
+    n = small.count()
+    if n <= max_rows:
+        return df.join(F.broadcast(small), on, how)
+    return df.join(small, on, how)

@@ -61,7 +61,13 @@ def with_wv(body: str) -> str:
 
 
 def _avg(c: str, d: int) -> str:
-    return f"round((sum(CAST({c} AS DECIMAL(18,2)))::DOUBLE / count({c}))::DECIMAL(18,8), {d})::DOUBLE"
+    return mean_sql(f"CAST({c} AS DECIMAL(18,2))", d)
+
+
+def mean_sql(dec_expr: str, d: int, count_expr: str | None = None) -> str:
+    """Mean of an exact decimal expression, snapped to 12 places, rounded half away from zero."""
+    n = count_expr or f"count({dec_expr})"
+    return f"round((sum({dec_expr})::DOUBLE / {n})::DECIMAL(38,12), {d})::DOUBLE"
 
 
 def _window_agg(src: str, extra_where: str = "") -> str:
@@ -224,3 +230,52 @@ SELECT strftime(time_bucket(INTERVAL 1 HOUR, event_time), '%Y-%m-%d %H:%M:%S') A
        count(DISTINCT city) / 10 AS completeness,
        (epoch_us(max(event_time)) - epoch_us(min(event_time))) / 1e6 AS elapsed_sec
 FROM wv WHERE event_time IS NOT NULL GROUP BY 1""")
+
+_FEATS = ["temperature", "humidity", "pressure", "wind_speed", "clouds"]
+_MED = "med AS (SELECT " + ", ".join(f"round(median(CAST({f} AS DOUBLE)), 6) AS m_{f}" for f in _FEATS) + " FROM clean)"
+_STATS = " UNION ALL ".join(
+    f"""SELECT '{f}' AS feature, (SELECT count({f}) FROM clean) AS n, (SELECT m_{f} FROM med) AS median,
+       {mean_sql("CAST(x AS DECIMAL(18,2))", 6)} AS mean, round(stddev_pop(x), 6) AS std_pop
+FROM (SELECT coalesce(CAST({f} AS DOUBLE), (SELECT m_{f} FROM med)) AS x FROM clean)""" for f in _FEATS)
+register("feature_stats", f", {_MED}\n{_STATS}")
+
+register("standardize", f""", {_MED},
+st AS ({_STATS})
+SELECT event_id, """ + ", ".join(
+    f"""(coalesce(CAST({f} AS DOUBLE), (SELECT median FROM st WHERE feature = '{f}'))
+        - (SELECT mean FROM st WHERE feature = '{f}'))
+       / (SELECT CASE WHEN std_pop = 0 OR std_pop IS NULL THEN 1.0 ELSE std_pop END FROM st WHERE feature = '{f}')
+       AS z_{f}""" for f in _FEATS) + " FROM clean")
+
+register("feature_deviation", f", {_MED}\n" + " UNION ALL ".join(
+    f"""SELECT '{f}' AS feature,
+       {mean_sql(f"abs(CAST({f} AS DECIMAL(18,2)) - CAST(m_{f} AS DECIMAL(18,3)))", 6)} AS mad
+FROM clean, med""" for f in _FEATS))
+
+_MEDC = ("medc AS (SELECT city, " + ", ".join(f"round(median(CAST({f} AS DOUBLE)), 6) AS m_{f}" for f in _FEATS)
+         + " FROM clean GROUP BY city)")
+register("feature_deviation_by_city", f", {_MEDC}\n" + " UNION ALL ".join(
+    f"""SELECT c.city, '{f}' AS feature,
+       {mean_sql(f"abs(CAST(c.{f} AS DECIMAL(18,2)) - CAST(m.m_{f} AS DECIMAL(18,3)))", 6)} AS mad
+FROM clean c JOIN medc m ON c.city = m.city GROUP BY c.city""" for f in _FEATS))
+
+register("histogram_by_city", """
+, mm AS (SELECT min(temperature) AS lo, max(temperature) AS hi FROM clean),
+h AS (SELECT city, CAST(least(floor((temperature - lo) / ((hi - lo) / 20)) + 1, 20) AS INT) AS bin
+      FROM clean, mm WHERE temperature IS NOT NULL)
+SELECT city, bin, CAST(lo + (bin - 1) * ((hi - lo) / 20) AS DOUBLE) AS bin_start, count(*) AS n
+FROM h, mm GROUP BY city, bin, lo, hi""")
+
+_PFLAG = """pf AS (
+  SELECT event_id, city, temperature,
+         CAST(CASE WHEN temperature < t THEN -1 ELSE 1 END AS INT) AS anomaly_label,
+         coalesce(temperature < t, false) AS is_anomaly
+  FROM wv, (SELECT quantile_cont(temperature, 0.05) AS t FROM wv))"""
+register("percentile_flag", f", {_PFLAG}\nSELECT * FROM pf")
+register("anomaly_rate_fixed", f""", {_PFLAG},
+agg AS (SELECT count(*) AS n_total, CAST(sum(CASE WHEN is_anomaly THEN 1 ELSE 0 END) AS BIGINT) AS n_anomalies FROM pf)
+SELECT n_total, n_anomalies,
+       coalesce(CAST(n_anomalies AS DOUBLE) * 100.0 / CAST(n_total AS DOUBLE), 0.0) AS anomaly_rate,
+       CAST(round(CAST(coalesce(CAST(n_anomalies AS DOUBLE) * 100.0 / CAST(n_total AS DOUBLE), 0.0) AS DECIMAL(18,6)), 1)
+            AS VARCHAR) || '%' AS rate_text
+FROM agg""")

@@ -193,3 +193,50 @@ def q_threshold_label(spark, sf_dir):
 def q_poll_completeness(spark, sf_dir):
     return windows.poll_completeness(weather_view(spark, sf_dir), cycle="1 hour",
                                      expected=len(lookups.CITIES))
+
+
+# ---- features and score statistics ------------------------------------------
+from obsflow.operators import features, scoring  # noqa: E402
+
+
+@query
+def q_feature_stats(spark, sf_dir):
+    return features.feature_stats(_clean(spark, sf_dir))
+
+
+@query
+def q_standardize(spark, sf_dir):
+    clean = _clean(spark, sf_dir)
+    stats = features.stats_dict(features.feature_stats(clean))
+    return features.standardize(clean.select("event_id", *features.FEATURES), stats) \
+        .select("event_id", *[f"z_{f}" for f in features.FEATURES])
+
+
+@query
+def q_feature_deviation(spark, sf_dir):
+    return features.feature_deviation(_clean(spark, sf_dir))
+
+
+@query
+def q_feature_deviation_by_city(spark, sf_dir):
+    return features.feature_deviation(_clean(spark, sf_dir), by="city")
+
+
+@query
+def q_histogram_by_city(spark, sf_dir):
+    return scoring.histogram_by(_clean(spark, sf_dir), "temperature", "city")
+
+
+def _pflag(spark, sf_dir):
+    wv = weather_view(spark, sf_dir).select("event_id", "city", "temperature")
+    return scoring.percentile_flag(wv, "temperature")
+
+
+@query
+def q_percentile_flag(spark, sf_dir):
+    return _pflag(spark, sf_dir)
+
+
+@query
+def q_anomaly_rate_fixed(spark, sf_dir):
+    return scoring.anomaly_rate(_pflag(spark, sf_dir))
