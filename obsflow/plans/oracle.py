@@ -279,3 +279,34 @@ SELECT n_total, n_anomalies,
        CAST(round(CAST(coalesce(CAST(n_anomalies AS DOUBLE) * 100.0 / CAST(n_total AS DOUBLE), 0.0) AS DECIMAL(18,6)), 1)
             AS VARCHAR) || '%' AS rate_text
 FROM agg""")
+
+
+def _c_sql(n: int) -> str:
+    return f"(2.0 * (ln({n} - 1.0) + 0.5772156649015329) - 2.0 * ({n} - 1.0) / {n})"
+
+
+def _tree_sql(nodes, feats) -> str:
+    by_id = {r[1]: r for r in nodes}
+
+    def walk(nid):
+        _, _, f, thr, le, ri, depth, n = by_id[nid]
+        if f < 0:
+            return f"({depth} + {_c_sql(n) if n > 2 else ('1.0' if n == 2 else '0.0')})"
+        return f"(CASE WHEN {feats[f]} <= {thr!r} THEN {walk(le)} ELSE {walk(ri)} END)"
+    return walk(0)
+
+
+def _fixed_forest_sql() -> str:
+    from obsflow.plans.queries import FIXED_FOREST
+    feats = ["temperature", "humidity", "pressure", "wind_speed", "clouds"]
+    hs = [_tree_sql(t, feats) for t in FIXED_FOREST]
+    total = hs[0]
+    for h in hs[1:]:
+        total = f"({total} + {h})"
+    return f"""
+SELECT event_id,
+       round(-pow(2.0, -({total} / {len(hs)}.0) / {_c_sql(256)}) * 10000.0) / 10000.0 AS anomaly_score
+FROM wv"""
+
+
+register("forest_score_fixed", _fixed_forest_sql())

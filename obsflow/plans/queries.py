@@ -240,3 +240,105 @@ def q_percentile_flag(spark, sf_dir):
 @query
 def q_anomaly_rate_fixed(spark, sf_dir):
     return scoring.anomaly_rate(_pflag(spark, sf_dir))
+
+
+# ---- isolation forest and anomaly tables -------------------------------------
+from obsflow.operators import anomalies as anom  # noqa: E402
+from obsflow.operators import forest as iforest  # noqa: E402
+from obsflow.sources import model_store  # noqa: E402
+
+
+def _model(spark, sf_dir):
+    clean = _clean(spark, sf_dir)
+    return clean, anom.fit_model(clean)
+
+
+@query
+def q_forest_fit(spark, sf_dir):
+    _, m = _model(spark, sf_dir)
+    return spark.createDataFrame(m.forest.extra["nodes"], iforest.FOREST_NODE_SCHEMA)
+
+
+@query
+def q_forest_score(spark, sf_dir):
+    clean, m = _model(spark, sf_dir)
+    return anom.apply_model(clean, m).select("event_id", "city", "anomaly_score", "anomaly_label")
+
+
+@query
+def q_forest_roundtrip(spark, sf_dir):
+    clean, m = _model(spark, sf_dir)
+    root = work_dir(spark, "model")
+    model_store.save_model(spark, m, root, version=1)
+    loaded = model_store.load_model(spark, root)
+    # scores with the loaded model, rows joined with the fitted model's scores must agree
+    a = anom.apply_model(clean, m).select("event_id", F.col("anomaly_score").alias("s_fit"))
+    b = anom.apply_model(clean, loaded).select("event_id", F.col("anomaly_score").alias("s_loaded"))
+    return a.join(b, "event_id").where(F.col("s_fit") == F.col("s_loaded"))
+
+
+def _scored(spark, sf_dir):
+    clean, m = _model(spark, sf_dir)
+    return anom.apply_model(clean, m)
+
+
+@query
+def q_detect_anomalies(spark, sf_dir):
+    return _scored(spark, sf_dir).where(F.col("is_anomaly"))
+
+
+def _anomaly_tables(spark, sf_dir):
+    """Records and anomalies written as history tables (one batch per day)."""
+    scored = _scored(spark, sf_dir)
+    rec_path, an_path = work_dir(spark, "records"), work_dir(spark, "anomalies")
+    history.write_batches(_day_batch(scored.drop("anomaly_label", "anomaly_score", "is_anomaly")), rec_path)
+    history.write_batches(_day_batch(scored.where(F.col("is_anomaly"))), an_path)
+    return history.read_history(spark, rec_path), history.read_history(spark, an_path)
+
+
+@query
+def q_recent_anomalies(spark, sf_dir):
+    _, an = _anomaly_tables(spark, sf_dir)
+    return anom.recent_anomalies(an, 20)
+
+
+@query
+def q_anomaly_rate(spark, sf_dir):
+    rec, an = _anomaly_tables(spark, sf_dir)
+    return scoring.anomaly_rate(an, total=rec)
+
+
+@query
+def q_score_summary(spark, sf_dir):
+    return anom.score_summary(_scored(spark, sf_dir))
+
+
+@query
+def q_anomaly_details(spark, sf_dir):
+    return anom.anomaly_details(_scored(spark, sf_dir).where(F.col("is_anomaly")))
+
+
+@query
+def q_anomaly_histogram(spark, sf_dir):
+    flagged = _scored(spark, sf_dir).where(F.col("is_anomaly"))
+    return scoring.histogram_by(flagged, "anomaly_score", "city")
+
+
+# A literal three-tree forest over the raw features (psi = 256), scored by the
+# same executor code as a fitted one; the oracle unrolls it into CASE expressions.
+FIXED_FOREST = [
+    [(0, 0, 0, 10.0, 1, 4, 0, 256), (0, 1, 1, 50.0, 2, 3, 1, 100), (0, 2, -1, None, -1, -1, 2, 60),
+     (0, 3, -1, None, -1, -1, 2, 40), (0, 4, -1, None, -1, -1, 1, 156)],
+    [(1, 0, 2, 1000.0, 1, 2, 0, 256), (1, 1, -1, None, -1, -1, 1, 200), (1, 2, 3, 20.0, 3, 4, 1, 56),
+     (1, 3, -1, None, -1, -1, 2, 50), (1, 4, -1, None, -1, -1, 2, 6)],
+    [(2, 0, 4, 80.0, 1, 2, 0, 256), (2, 1, -1, None, -1, -1, 1, 210), (2, 2, -1, None, -1, -1, 1, 46)],
+]
+
+
+@query
+def q_forest_score_fixed(spark, sf_dir):
+    nodes = iforest.literal_nodes(spark, FIXED_FOREST).collect()
+    forest = iforest.Forest.from_nodes(nodes, features.FEATURES, 256)
+    wv = weather_view(spark, sf_dir).select("event_id", *features.FEATURES)
+    return iforest.score(wv, forest).select(
+        "event_id", iforest.round4(F.col("anomaly_score_raw")).alias("anomaly_score"))
