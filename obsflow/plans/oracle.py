@@ -310,3 +310,10 @@ FROM wv"""
 
 
 register("forest_score_fixed", _fixed_forest_sql())
+
+_CLOSED = ("WHERE event_time IS NOT NULL AND time_bucket(INTERVAL 5 MINUTE, event_time) + INTERVAL 5 MINUTE "
+           "<= (SELECT max(event_time) - INTERVAL 10 MINUTE FROM wv)")
+register("stream_window_sink", _window_agg("wv", "AND time_bucket(INTERVAL 5 MINUTE, event_time) + INTERVAL 5 MINUTE "
+                                                 "<= (SELECT max(event_time) - INTERVAL 10 MINUTE FROM wv)"))
+ORACLE["stream_restart"] = ORACLE["stream_window_sink"]
+register("stream_clean_sink", f"SELECT {RECORD_COLS}, event_id FROM clean")

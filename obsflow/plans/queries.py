@@ -342,3 +342,70 @@ def q_forest_score_fixed(spark, sf_dir):
     wv = weather_view(spark, sf_dir).select("event_id", *features.FEATURES)
     return iforest.score(wv, forest).select(
         "event_id", iforest.round4(F.col("anomaly_score_raw")).alias("anomaly_score"))
+
+
+# ---- streaming -----------------------------------------------------------------
+from obsflow.streaming import jobs  # noqa: E402
+
+
+def _time_chunks(spark, sf_dir, n_chunks):
+    """Kafka-shaped messages split into ``n_chunks`` consecutive time ranges."""
+    wv = weather_view(spark, sf_dir)
+    r = wv.agg(F.unix_micros(F.min("event_time")).alias("a"), F.unix_micros(F.max("event_time")).alias("b")).first()
+    a, b = r["a"], r["b"]
+    step = (b - a) // n_chunks + 1
+    msgs = messages.encode_messages(wv, offset_col="event_id", num_partitions=4)
+    k = F.floor((F.unix_micros("timestamp") - F.lit(a)) / F.lit(step))
+    return [msgs.where(k == i) for i in range(n_chunks)]
+
+
+def _stream_windows(spark, sf_dir, order, name):
+    """Feed message chunks in ``order``, one availableNow run per chunk, to one checkpoint."""
+    base = work_dir(spark, name)
+    chunks = _time_chunks(spark, sf_dir, max(order) + 1)
+    for i in order:
+        chunks[i].write.mode("append").parquet(f"{base}/in")
+        obs = jobs.observation_stream(spark, fmt="parquet", path=f"{base}/in")
+        jobs.run_available_now(jobs.start_window_sink(obs, f"{base}/out", f"{base}/ck", trigger="available_now"))
+    return history.agg_scan(spark, f"{base}/out")
+
+
+@query
+def q_stream_window_sink(spark, sf_dir):
+    return _stream_windows(spark, sf_dir, [0], "stream-window")
+
+
+@query
+def q_stream_restart(spark, sf_dir):
+    return _stream_windows(spark, sf_dir, [0, 1], "stream-restart")
+
+
+@query
+def q_stream_late_data(spark, sf_dir):
+    return _stream_windows(spark, sf_dir, [2, 0, 4, 1, 3], "stream-late")
+
+
+def _stream_records(spark, sf_dir, name, *, detect, n_chunks=1, **sink_args):
+    base = work_dir(spark, name)
+    sink = jobs.RecordSink(f"{base}/tables", detect=detect, **sink_args)
+    for chunk in _time_chunks(spark, sf_dir, n_chunks):
+        chunk.write.mode("append").parquet(f"{base}/in")
+        obs = jobs.observation_stream(spark, fmt="parquet", path=f"{base}/in")
+        jobs.run_available_now(jobs.start_record_sink(obs, sink, f"{base}/ck", trigger="available_now"))
+    return sink
+
+
+@query
+def q_stream_clean_sink(spark, sf_dir):
+    sink = _stream_records(spark, sf_dir, "stream-clean", detect=False)
+    rec = history.read_history(spark, sink.records_path)
+    return rec.select(*RECORD_FIELDS, F.col("offset").alias("event_id"))
+
+
+@query
+def q_stream_anomalies(spark, sf_dir):
+    sink = _stream_records(spark, sf_dir, "stream-anomalies", detect=True, n_chunks=5,
+                           mode="score_then_retrain", retrain_every=2)
+    an = history.read_history(spark, sink.anomalies_path)
+    return an.select(*RECORD_FIELDS, F.col("offset").alias("event_id"), "anomaly_score", "anomaly_label",
+                     F.col("batch_id").cast("bigint").alias("batch_id"))

@@ -20,7 +20,7 @@ ARRIVAL_ORDER = ["batch_id", "event_time", "city", "row_hash"]
 
 def with_row_hash(df: DataFrame) -> DataFrame:
     cols = [F.col(c) for c in RECORD_FIELDS if c in df.columns]
-    return df.withColumn("row_hash", F.xxhash64(*cols))
+    return df.withColumn("row_hash", F.xxhash64(*cols)) if cols else df
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:
