@@ -25,9 +25,11 @@ SESSION_CONF = {
 
 
 def get_spark(master: str | None = None, app: str = "obsflow",
-              shuffle_partitions: int | None = None) -> SparkSession:
+              shuffle_partitions: int | None = None, extra_conf: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the library's settings applied."""
     builder = SparkSession.builder.appName(app)
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
     if master:
         builder = builder.master(master)
     for k, v in SESSION_CONF.items():

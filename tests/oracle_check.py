@@ -52,9 +52,8 @@ def duck_rows(con, sql):
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     keys = sys.argv[2:]
-    from pyspark.sql import SparkSession
-    SparkSession.builder.config("spark.ui.showConsoleProgress", "false")
-    spark = get_spark("local[8]", shuffle_partitions=8)
+    spark = get_spark("local[8]", shuffle_partitions=8,
+                      extra_conf={"spark.ui.showConsoleProgress": "false", "spark.ui.enabled": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con = duckdb.connect()
     for t in TABLES:
