@@ -131,12 +131,18 @@ def encode_payloads(records: DataFrame, *, passthrough: list[str] | None = None,
                           F.to_json(payload).alias("payload"))
 
 
+_PAYLOAD_PARSE = StructType(PAYLOAD_SCHEMA.fields + [StructField(CORRUPT_COL, StringType(), True)])
+
+
 def _normalized(raw: DataFrame, payload_col: str, polled_at_col: str | None) -> DataFrame:
-    p = F.from_json(F.col(payload_col), PAYLOAD_SCHEMA, {"mode": "PERMISSIVE"})
+    p = F.from_json(F.col(payload_col), _PAYLOAD_PARSE,
+                    {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL})
     base = raw.withColumn("__p", p)
     w0 = F.get(F.col("__p.weather"), 0)
     polled = F.col(polled_at_col) if polled_at_col else F.current_timestamp()
-    reason = (F.when(F.col("__p").isNull(), F.lit("unparseable"))
+    empty = F.col("__p").isNull() | (F.col(f"__p.{CORRUPT_COL}").isNotNull() & F.col("__p.main").isNull()
+                                     & F.col("__p.wind").isNull() & F.col("__p.weather").isNull())
+    reason = (F.when(empty, F.lit("unparseable"))
               .when(F.col("__p.main").isNull(), F.lit("missing main"))
               .when(F.col("__p.wind").isNull(), F.lit("missing wind"))
               .when(F.col("__p.clouds").isNull(), F.lit("missing clouds"))
