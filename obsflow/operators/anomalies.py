@@ -60,21 +60,25 @@ def fit_model(df: DataFrame, *, features: list[str] = feat.FEATURES, n_trees: in
         return None
     stats = feat.stats_dict(feat.feature_stats(df, feats))
     feats = usable_features(stats)
-    n = min(s["n"] for s in stats.values()) if stats else 0
     n_rows = df.count()
     if not feats or n_rows < MIN_SAMPLES:
         return None
     keys = [c for c in (key_cols or KEY_COLS) if c in df.columns]
     z = feat.standardize(df, stats, prefix="__z_", features=feats)
     zcols = [_z(f) for f in feats]
-    nodes, psi = iforest.fit_nodes(z, zcols, keys, n_trees=n_trees, max_samples=max_samples, seed=seed)
+    nodes, psi = iforest.fit_nodes(z, zcols, keys, n_trees=n_trees, max_samples=max_samples, seed=seed,
+                                   n_rows=n_rows)
     node_rows = nodes.collect()  # bounded: trees * (2 psi - 1) rows
     nodes.unpersist()
     forest = iforest.Forest.from_nodes(node_rows, zcols, psi)
     forest.extra["nodes"] = [tuple(r) for r in node_rows]
-    scored = iforest.score(z.select(*zcols), forest)
-    thr = exact_quantile(scored, "anomaly_score_raw", contamination)
-    del n
+    # training scores are read by several small jobs: keep them for the threshold only
+    scored = iforest.score(z.select(*zcols), forest).select("anomaly_score_raw") \
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        thr = exact_quantile(scored, "anomaly_score_raw", contamination)
+    finally:
+        scored.unpersist()
     return Model(feats, {f: stats[f] for f in feats}, forest, thr, n_rows, version)
 
 

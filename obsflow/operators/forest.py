@@ -93,7 +93,11 @@ class Forest:
         return Forest(features, psi, feat, thr, le, ri, h, depth, len(pdf))
 
     def path_lengths(self, X: np.ndarray) -> np.ndarray:
-        """Sum over trees of h(x), accumulated tree by tree."""
+        """Sum over trees of h(x), accumulated tree by tree (a plain left-to-right sum).
+
+        One tree at a time over the whole batch: 1-D gathers stay in cache and
+        beat walking all trees at once on an (n, trees) array.
+        """
         n = X.shape[0]
         total = np.zeros(n)
         rows = np.arange(n)
@@ -105,8 +109,7 @@ class Forest:
                 if not inner.any():
                     break
                 x = X[rows, np.where(inner, f, 0)]
-                go_left = x <= self.threshold[t, node]
-                nxt = np.where(go_left, self.left[t, node], self.right[t, node])
+                nxt = np.where(x <= self.threshold[t, node], self.left[t, node], self.right[t, node])
                 node = np.where(inner, nxt, node)
             total = total + self.leaf_h[t, node]
         return total
@@ -127,14 +130,14 @@ def _unit(*cols) -> F.Column:
 
 def tree_samples(df: DataFrame, features: list[str], key_cols: list[str], *, n_trees: int = N_TREES,
                  max_samples: int = MAX_SAMPLES, seed: int = SEED, pool_rows: int = POOL_ROWS,
-                 rate_boost: float = 1.0) -> tuple[DataFrame, int, int, DataFrame]:
+                 rate_boost: float = 1.0, n_rows: int | None = None) -> tuple[DataFrame, int, int, DataFrame]:
     """(row, tree) pairs for tree building, the pool size, psi and the cached pool.
 
     The caller unpersists the returned pool.
     """
     h0 = F.xxhash64(*[F.col(c) for c in key_cols], *[F.col(f) for f in features])
     base = df.select(h0.alias("__h"), *[F.col(f).cast("double").alias(f) for f in features])
-    n = base.count()
+    n = base.count() if n_rows is None else n_rows
     frac = 1.0 if n <= pool_rows else pool_rows / n
     pool = base if frac >= 1.0 else base.where(_unit(F.col("__h"), F.lit(seed), F.lit(-1)) < F.lit(frac))
     pool = pool.persist()
@@ -193,12 +196,12 @@ def _builder(features: list[str], psi: int, seed: int):
 
 def fit_nodes(df: DataFrame, features: list[str], key_cols: list[str], *, n_trees: int = N_TREES,
               max_samples: int = MAX_SAMPLES, seed: int = SEED,
-              pool_rows: int = POOL_ROWS) -> tuple[DataFrame, int]:
+              pool_rows: int = POOL_ROWS, n_rows: int | None = None) -> tuple[DataFrame, int]:
     """Fit a forest; returns (nodes DataFrame, psi). Only node rows are materialised."""
     boost = 1.0
     for _ in range(6):
         pairs, m, psi, pool = tree_samples(df, features, key_cols, n_trees=n_trees, max_samples=max_samples,
-                                           seed=seed, pool_rows=pool_rows, rate_boost=boost)
+                                           seed=seed, pool_rows=pool_rows, rate_boost=boost, n_rows=n_rows)
         if psi == 0:
             pool.unpersist()
             return df.sparkSession.createDataFrame([], FOREST_NODE_SCHEMA), 0
