@@ -1,0 +1,66 @@
+import json
+
+from pyspark.sql import functions as F
+
+from obsflow.operators import anomalies as anom
+from obsflow.operators import forest as iforest
+from obsflow.operators.quality import clean_records
+from obsflow.session import work_dir
+from obsflow.sources import history, messages
+from obsflow.sources.tables import weather_view
+from obsflow.streaming import jobs
+from tests.conftest import SF001
+
+
+def test_two_queries_one_source(spark):
+    base = work_dir(spark, "test-consumer")
+    msgs = messages.encode_messages(weather_view(spark, SF001), offset_col="event_id")
+    msgs.write.parquet(f"{base}/in")
+    qs = jobs.start_consumer(spark, f"{base}/out", fmt="parquet", path=f"{base}/in", trigger="available_now",
+                             sink_options={"detect": False})
+    for q in qs:
+        jobs.run_available_now(q)
+    jobs.await_any(spark, qs, timeout=1)
+    wins = history.agg_scan(spark, f"{base}/out/aggregations")
+    recs = history.read_history(spark, f"{base}/out/records")
+    assert wins.count() > 0
+    assert recs.count() == clean_records(weather_view(spark, SF001)).count()
+    # the window query reports input rows through observe()
+    metrics = [p for p in qs[0].recentProgress if p["observedMetrics"]]
+    assert sum(p["observedMetrics"]["input_quality"]["rows"] for p in metrics) == 1000
+
+
+def test_records_scan_json_array(spark, tmp_path):
+    rows = [{"city": "Paris", "timestamp": "2024-01-01T10:00:00+00:00", "temperature": 1.5},
+            {"city": "Rome", "timestamp": "2024-01-01T09:00:00.5+00:00", "temperature": 2.5},
+            {"city": "Oslo", "timestamp": "garbage", "temperature": 3.5}]
+    p = tmp_path / "weather_records.json"
+    p.write_text(json.dumps(rows))
+    out = history.records_scan(spark, str(p), fmt="json").collect()
+    assert [r["city"] for r in out] == ["Rome", "Paris", "Oslo"]   # bad time sorts last
+    assert out[2]["event_time"] is None
+
+
+def test_pool_sampling_path(spark):
+    clean = clean_records(weather_view(spark, "/root/testdata/sf0.01"))
+    z = clean.select("city", "timestamp", *[F.col(f).cast("double").alias(f) for f in
+                                              ["temperature", "humidity", "pressure", "wind_speed", "clouds"]])
+    feats = ["temperature", "humidity", "pressure", "wind_speed", "clouds"]
+    a, psi = iforest.fit_nodes(z, feats, ["city", "timestamp"], n_trees=30, pool_rows=2000)
+    b, _ = iforest.fit_nodes(z.repartition(5), feats, ["city", "timestamp"], n_trees=30, pool_rows=2000)
+    ra, rb = sorted(tuple(r) for r in a.collect()), sorted(tuple(r) for r in b.collect())
+    assert psi == 256 and ra == rb
+    roots = [r for r in ra if r[1] == 0]
+    assert len(roots) == 30 and all(r[7] == 256 for r in roots)
+
+
+def test_refit_batch_mode_sink(spark):
+    base = work_dir(spark, "test-refit")
+    sink = jobs.RecordSink(base, mode="refit_batch", fit_args={"n_trees": 10})
+    batch = messages.parse_messages(messages.encode_messages(weather_view(spark, SF001), offset_col="event_id"),
+                                    keep=["offset"], with_corrupt=True)
+    sink(batch, 0)
+    an = history.read_history(spark, sink.anomalies_path)
+    n = clean_records(weather_view(spark, SF001)).count()
+    assert 0 < an.count() <= -(-(n - 1) * 5 // 100)
+    assert anom.MIN_SAMPLES == 5
