@@ -58,9 +58,12 @@ def fit_model(df: DataFrame, *, features: list[str] = feat.FEATURES, n_trees: in
     feats = feat.available(df, features)
     if not feats:
         return None
-    stats = feat.stats_dict(feat.feature_stats(df, feats))
+    med = feat.medians_and_rows(df, feats)          # pass 1: medians + row count
+    n_rows = med["__rows"]
+    if n_rows < MIN_SAMPLES:
+        return None
+    stats = feat.stats_dict(feat.feature_stats(df, feats, med=med))   # pass 2
     feats = usable_features(stats)
-    n_rows = df.count()
     if not feats or n_rows < MIN_SAMPLES:
         return None
     keys = [c for c in (key_cols or KEY_COLS) if c in df.columns]
@@ -146,3 +149,17 @@ def recent_anomalies(anomalies: DataFrame, n: int = 20, time_col: str = "event_t
 
 def persist_scored(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def capped_anomaly_rate(records_hist: DataFrame, anomalies_hist: DataFrame, *,
+                        cap_records: int | None = None, cap_anomalies: int | None = None) -> DataFrame:
+    """Anomaly rate over history tables, optionally over the newest N rows of each.
+
+    With ``cap_records=2000, cap_anomalies=500`` this reproduces a dashboard
+    that reads two capped files (its rate drifts towards 500 / 2000 once the
+    record cap is reached); without caps both counts cover the same rows.
+    """
+    from obsflow.sources.history import history_last_n
+    rec = history_last_n(records_hist, cap_records) if cap_records else records_hist
+    an = history_last_n(anomalies_hist, cap_anomalies) if cap_anomalies else anomalies_hist
+    return anomaly_rate(an, total=rec)

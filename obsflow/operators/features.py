@@ -41,14 +41,21 @@ def _long(row_df: DataFrame, features, fields: dict[str, str], by=None) -> DataF
     return row_df.select(*(by or []), F.explode(F.array(*items)).alias("__s")).select(*(by or []), "__s.*")
 
 
-def feature_stats(df: DataFrame, features=FEATURES) -> DataFrame:
+def medians_and_rows(df: DataFrame, features=FEATURES):
+    """One pass: the medians row plus the total row count (``__rows``)."""
+    aggs = [F.round(F.median(F.col(f).cast("double")), 6).alias(f"med_{f}") for f in features]
+    return df.agg(*aggs, F.count(F.lit(1)).alias("__rows")).first()
+
+
+def feature_stats(df: DataFrame, features=FEATURES, med=None) -> DataFrame:
     """feature, n (non-NULL), median, mean and std_pop of the median-imputed column.
 
     Two passes: medians, then mean/std of ``coalesce(x, median)``. A constant
-    feature has std_pop 0 (scaling then divides by 1).
+    feature has std_pop 0 (scaling then divides by 1). ``med`` may carry the
+    medians row of ``medians_and_rows`` when the caller already has it.
     """
     features = available(df, features)
-    med = medians(df, features).first()
+    med = med if med is not None else medians(df, features).first()
     imputed = {f: F.coalesce(F.col(f).cast("double"), F.lit(med[f"med_{f}"])) for f in features}
     aggs = []
     for f in features:

@@ -31,11 +31,15 @@ DEFAULT_VISIBILITY = 10000
 
 def kafka_source(spark: SparkSession, *, bootstrap: str | None = None, topic: str = TOPIC,
                  fmt: str = "kafka", path: str | None = None, starting_offsets: str = "latest",
+                 min_partitions: int | None = None, max_offsets_per_trigger: int | None = None,
                  options: dict | None = None) -> DataFrame:
     """Streaming source of Kafka-shaped rows (``key, value, topic, partition, offset, timestamp``).
 
     ``fmt="kafka"`` subscribes to ``topic`` (requires the connector jar);
     any file format reads Kafka-shaped rows from ``path`` with a fixed schema.
+    Messages are keyed by city, so a hot city fills one topic partition:
+    ``min_partitions`` lets Spark split such a partition's offset range over
+    several tasks, ``max_offsets_per_trigger`` bounds a micro-batch.
     """
     reader = spark.readStream.format(fmt)
     if fmt == "kafka":
@@ -43,6 +47,10 @@ def kafka_source(spark: SparkSession, *, bootstrap: str | None = None, topic: st
                   .option("subscribe", topic)
                   .option("startingOffsets", starting_offsets)
                   .option("failOnDataLoss", "false"))
+        if min_partitions:
+            reader = reader.option("minPartitions", str(min_partitions))
+        if max_offsets_per_trigger:
+            reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
     else:
         reader = reader.schema(MESSAGE_SCHEMA)
     for k, v in (options or {}).items():

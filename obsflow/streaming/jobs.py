@@ -68,8 +68,9 @@ class RecordSink:
     """``foreachBatch`` body: quality row, cleaned records, anomalies, model upkeep.
 
     ``mode="score_then_retrain"``: score with the newest committed model (the
-    first batch fits one), refit on the last ``train_rows`` rows of history
-    every ``retrain_every`` batches, committed as version = batch id.
+    first batch fits one), refit on the last ``train_rows`` rows of the last
+    ``lookback_batches`` batches every ``retrain_every`` batches, committed as
+    version = batch id.
     ``mode="refit_batch"``: fit on each batch and score it with that fit.
     ``detect=False`` skips the model entirely. A model failure is logged and
     does not fail the batch.
@@ -77,13 +78,15 @@ class RecordSink:
 
     def __init__(self, root: str, *, rules=DEFAULT_RULES, detect: bool = True,
                  mode: str = "score_then_retrain", retrain_every: int = 2,
-                 train_rows: int = HISTORY_ROWS, fit_args: dict | None = None):
+                 train_rows: int = HISTORY_ROWS, lookback_batches: int = 100,
+                 fit_args: dict | None = None):
         self.root = root.rstrip("/")
         self.rules = rules
         self.detect = detect
         self.mode = mode
         self.retrain_every = max(1, retrain_every)
         self.train_rows = train_rows
+        self.lookback_batches = lookback_batches
         self.fit_args = fit_args or {}
 
     @property
@@ -131,7 +134,10 @@ class RecordSink:
                 scored = anom.apply_model(clean, model)
             history.write_batch(scored.where(F.col("is_anomaly")), self.anomalies_path, batch_id)
             if self.mode != "refit_batch" and batch_id > 0 and batch_id % self.retrain_every == 0:
-                recent = history.history_last_n(history.read_history(spark, self.records_path), self.train_rows)
+                # partition pruning keeps the retrain read to the newest batches, not all history
+                hist = history.read_history(spark, self.records_path) \
+                    .where(F.col("batch_id") > F.lit(batch_id - self.lookback_batches))
+                recent = history.history_last_n(hist, self.train_rows)
                 fresh = anom.fit_model(recent.drop("batch_id", "row_hash"), version=batch_id, **self.fit_args)
                 if fresh is not None:
                     model_store.save_model(spark, fresh, self.model_path, batch_id)

@@ -68,3 +68,17 @@ def test_record_sink_replay_keeps_counts(spark):
     assert history.read_history(spark, sink.records_path).count() == clean_records(batch).count()
     q = spark.read.parquet(sink.quality_path).collect()
     assert len(q) == 1 and q[0]["n_rows"] == 50
+
+
+def test_capped_anomaly_rate(spark):
+    from obsflow.operators.anomalies import capped_anomaly_rate
+    rec_path, an_path = work_dir(spark, "test-cap-rec"), work_dir(spark, "test-cap-an")
+    for b in range(3):
+        history.write_batch(_batch(spark, b, 900), rec_path, b)
+        history.write_batch(_batch(spark, b, 200), an_path, b)
+    rec, an = history.read_history(spark, rec_path), history.read_history(spark, an_path)
+    capped = capped_anomaly_rate(rec, an, cap_records=2000, cap_anomalies=500).first()
+    assert (capped["n_total"], capped["n_anomalies"], capped["anomaly_rate"], capped["rate_text"]) == \
+        (2000, 500, 25.0, "25.0%")
+    whole = capped_anomaly_rate(rec, an).first()
+    assert (whole["n_total"], whole["n_anomalies"]) == (2700, 600)
