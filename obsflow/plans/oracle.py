@@ -103,12 +103,13 @@ register("window_aggregates_clean", _window_agg("clean"))
 _TT = lambda c: TT.format(c=c)
 
 register("parse_messages", f"""
-SELECT city AS msg_key, {RECORD_COLS}, {_TT('event_time')} AS event_time, event_id FROM wv""")
+SELECT city AS msg_key, {RECORD_COLS.replace('visibility', 'CAST(visibility AS DOUBLE) AS visibility')},
+       {_TT('event_time')} AS event_time, event_id FROM wv""")
 
 register("encode_messages", """
 SELECT city AS key, 'weather-data' AS topic, event_id,
        CASE WHEN visibility IS NULL THEN 16 ELSE 17 END AS n_keys,
-       city AS json_city, temperature AS json_temperature, visibility AS json_visibility
+       city AS json_city, temperature AS json_temperature, CAST(visibility AS DOUBLE) AS json_visibility
 FROM wv""")
 
 register("normalize_payload", """

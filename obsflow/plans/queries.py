@@ -55,7 +55,9 @@ def _messages(spark, sf_dir):
 @query
 def q_parse_messages(spark, sf_dir):
     parsed = messages.parse_messages(_messages(spark, sf_dir), keep=["key", "offset"])
-    return parsed.select(F.col("key").cast("string").alias("msg_key"), *RECORD_FIELDS,
+    # visibility is the one nullable integer: reported as double so any client reads it alike
+    fields = [F.col(c).cast("double").alias(c) if c == "visibility" else F.col(c) for c in RECORD_FIELDS]
+    return parsed.select(F.col("key").cast("string").alias("msg_key"), *fields,
                          time_text("event_time").alias("event_time"), F.col("offset").alias("event_id"))
 
 
@@ -68,7 +70,7 @@ def q_encode_messages(spark, sf_dir):
         F.size(F.json_object_keys(v)).alias("n_keys"),
         F.get_json_object(v, "$.city").alias("json_city"),
         F.get_json_object(v, "$.temperature").cast("double").alias("json_temperature"),
-        F.get_json_object(v, "$.visibility").cast("int").alias("json_visibility"))
+        F.get_json_object(v, "$.visibility").cast("int").cast("double").alias("json_visibility"))
 
 
 @query
