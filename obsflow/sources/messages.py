@@ -96,6 +96,17 @@ def kafka_sink(messages: DataFrame, *, bootstrap: str, topic: str = TOPIC, check
 _PARSE_SCHEMA = StructType(RECORD_SCHEMA.fields + [StructField(CORRUPT_COL, StringType(), True)])
 
 
+def parse_once(df: DataFrame, parsed, name: str) -> DataFrame:
+    """Add ``parsed`` (an expensive expression such as ``from_json``) as column ``name``,
+    evaluated exactly once per row.
+
+    A one-element generator is a barrier for predicate pushdown: later filters on
+    the parsed fields stay above it instead of being rewritten into one more
+    ``from_json`` per referenced field, and they run inside whole-stage codegen.
+    """
+    return df.select("*", F.inline(F.array(F.struct(parsed.alias(name)))))
+
+
 def parse_messages(messages: DataFrame, *, keep: list[str] | None = None,
                    with_corrupt: bool = False) -> DataFrame:
     """Kafka rows -> typed records with ``event_time``.
@@ -106,8 +117,8 @@ def parse_messages(messages: DataFrame, *, keep: list[str] | None = None,
     """
     d = F.from_json(F.col("value").cast("string"), _PARSE_SCHEMA,
                     {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL})
-    extra = [F.col(c) for c in (keep or [])]
-    out = messages.select(*extra, d.alias("__d")).select(*[F.col(c) for c in (keep or [])], "__d.*")
+    base = messages.select(*[F.col(c) for c in (keep or [])], "value")
+    out = parse_once(base, d, "__d").select(*[F.col(c) for c in (keep or [])], "__d.*")
     out = out.withColumn("event_time", F.try_to_timestamp(F.col("timestamp")))
     if with_corrupt:
         return out.withColumn("is_malformed", F.col(CORRUPT_COL).isNotNull()).drop(CORRUPT_COL)
@@ -145,7 +156,7 @@ _PAYLOAD_PARSE = StructType(PAYLOAD_SCHEMA.fields + [StructField(CORRUPT_COL, St
 def _normalized(raw: DataFrame, payload_col: str, polled_at_col: str | None) -> DataFrame:
     p = F.from_json(F.col(payload_col), _PAYLOAD_PARSE,
                     {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL})
-    base = raw.withColumn("__p", p)
+    base = parse_once(raw, p, "__p")
     w0 = F.get(F.col("__p.weather"), 0)
     polled = F.col(polled_at_col) if polled_at_col else F.current_timestamp()
     empty = F.col("__p").isNull() | (F.col(f"__p.{CORRUPT_COL}").isNotNull() & F.col("__p.main").isNull()

@@ -79,3 +79,15 @@ def test_payload_defaults_and_quarantine(spark):
     assert good[0]["weather_main"] == "Clear" and good[0]["timestamp"] == "2024-01-01T10:00:00.000000+00:00"
     bad = {r["id"]: r["reject_reason"] for r in messages.quarantined_payloads(raw).collect()}
     assert bad == {3: "missing weather", 4: "missing main", 5: "unparseable"}
+
+
+def test_parse_runs_once_under_filters(spark):
+    from obsflow.operators.quality import clean_records
+    from obsflow.operators.windows import window_aggregates
+    from obsflow.plans.explain import plan_text
+    from obsflow.sources.tables import weather_view
+    from tests.conftest import SF001
+    msgs = messages.encode_messages(weather_view(spark, SF001))
+    for df in (clean_records(messages.parse_messages(msgs)), window_aggregates(messages.parse_messages(msgs)),
+               messages.normalize_payload(messages.encode_payloads(weather_view(spark, SF001)))):
+        assert plan_text(df, "simple").count("from_json(") == 1
