@@ -55,11 +55,6 @@ RECORD_COLS = ("city, country, timestamp, temperature, feels_like, temp_min, tem
 TT = "strftime({c}, '%Y-%m-%d %H:%M:%S.%f')"  # time_text
 
 
-def with_wv(body: str) -> str:
-    return "WITH " + WV.strip() + ",\n" + body.strip() if body.lstrip().upper().startswith("Q_") \
-        else "WITH " + WV.strip() + "\n" + body.strip()
-
-
 def _avg(c: str, d: int) -> str:
     return mean_sql(f"CAST({c} AS DECIMAL(18,2))", d)
 

@@ -9,10 +9,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from obsflow.operators import quality, windows
+from obsflow.functions import lookups
+from obsflow.functions.text import threshold_label, time_text
+from obsflow.operators import anomalies as anom
+from obsflow.operators import features, quality, scoring, serve, windows
+from obsflow.operators import forest as iforest
 from obsflow.schemas import RECORD_FIELDS
+from obsflow.session import work_dir
+from obsflow.sources import history, messages, model_store
 from obsflow.sources.tables import weather_view
+from obsflow.streaming import jobs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -38,13 +46,7 @@ def q_window_aggregates_clean(spark, sf_dir):
 
 
 # ---- ingest ------------------------------------------------------------------
-from pyspark.sql import functions as F  # noqa: E402
 
-from obsflow.functions import lookups  # noqa: E402
-from obsflow.functions.text import threshold_label, time_text  # noqa: E402
-from obsflow.operators import serve  # noqa: E402
-from obsflow.session import work_dir  # noqa: E402
-from obsflow.sources import history, messages  # noqa: E402
 
 
 def _messages(spark, sf_dir):
@@ -198,7 +200,6 @@ def q_poll_completeness(spark, sf_dir):
 
 
 # ---- features and score statistics ------------------------------------------
-from obsflow.operators import features, scoring  # noqa: E402
 
 
 @query
@@ -245,9 +246,6 @@ def q_anomaly_rate_fixed(spark, sf_dir):
 
 
 # ---- isolation forest and anomaly tables -------------------------------------
-from obsflow.operators import anomalies as anom  # noqa: E402
-from obsflow.operators import forest as iforest  # noqa: E402
-from obsflow.sources import model_store  # noqa: E402
 
 
 def _model(spark, sf_dir):
@@ -347,7 +345,6 @@ def q_forest_score_fixed(spark, sf_dir):
 
 
 # ---- streaming -----------------------------------------------------------------
-from obsflow.streaming import jobs  # noqa: E402
 
 
 def _time_chunks(spark, sf_dir, n_chunks):
