@@ -82,3 +82,14 @@ def test_capped_anomaly_rate(spark):
         (2000, 500, 25.0, "25.0%")
     whole = capped_anomaly_rate(rec, an).first()
     assert (whole["n_total"], whole["n_anomalies"]) == (2700, 600)
+
+
+def test_last_n_reads_only_newest_batches(spark):
+    from obsflow.plans.explain import plan_text
+    path = work_dir(spark, "test-prune")
+    for b in range(3):
+        history.write_batch(_batch(spark, b, 900), path, b)
+    last = history.history_last_n(history.read_history(spark, path), 900)
+    assert "PartitionFilters: [isnotnull(batch_id" in plan_text(last) and "(batch_id#" in plan_text(last)
+    assert {r["batch_id"] for r in last.select("batch_id").distinct().collect()} == {2}
+    assert last.count() == 900
