@@ -90,28 +90,60 @@ class Forest:
         ri[ti, ni] = pdf["right"].to_numpy()
         h[ti, ni] = pdf["depth"].to_numpy() + c_factor(pdf["n_rows"].to_numpy())
         depth = int(pdf["depth"].max()) if len(pdf) else 0
-        return Forest(features, psi, feat, thr, le, ri, h, depth, len(pdf))
+        forest = Forest(features, psi, feat, thr, le, ri, h, depth, len(pdf))
+        forest._compile()  # on the driver, before the forest is broadcast
+        return forest
+
+    def _compile(self) -> None:
+        """Lay every tree out as a complete binary tree of depth ``max_depth``.
+
+        Slot s has children 2s+1 / 2s+2, so a step is ``s = 2s + 1 + go_right``
+        with no child lookup. A leaf above the bottom fills all bottom slots of
+        its subtree with its path length, so every row walks exactly
+        ``max_depth`` steps and the walk has no branches.
+        """
+        D = self.max_depth
+        size = 2 ** (D + 1) - 1
+        T = self.feature.shape[0]
+        ff = np.zeros((T, size), dtype=np.int64)
+        tt = np.zeros((T, size))
+        hh = np.zeros((T, size))
+        for t in range(T):
+            stack = [(0, 0, 0)]  # node id, slot, depth
+            while stack:
+                o, slot, depth = stack.pop()
+                f = self.feature[t, o]
+                if f >= 0:
+                    ff[t, slot], tt[t, slot] = f, self.threshold[t, o]
+                    stack.append((self.left[t, o], 2 * slot + 1, depth + 1))
+                    stack.append((self.right[t, o], 2 * slot + 2, depth + 1))
+                else:
+                    lo = hi = slot
+                    for _ in range(D - depth):
+                        lo, hi = 2 * lo + 1, 2 * hi + 2
+                    hh[t, lo:hi + 1] = self.leaf_h[t, o]
+        self.extra["layout"] = (ff, tt, hh)
 
     def path_lengths(self, X: np.ndarray) -> np.ndarray:
         """Sum over trees of h(x), accumulated tree by tree (a plain left-to-right sum).
 
-        One tree at a time over the whole batch: 1-D gathers stay in cache and
-        beat walking all trees at once on an (n, trees) array.
+        One tree at a time over the whole batch (1-D gathers stay in cache);
+        ``x <= threshold`` goes left, so NaN goes right.
         """
-        n = X.shape[0]
+        if "layout" not in self.extra:
+            self._compile()
+        ff, tt, hh = self.extra["layout"]
+        n, d = X.shape
+        flat = np.ascontiguousarray(X, dtype=float).ravel()
+        base = np.arange(n, dtype=np.int64) * d
         total = np.zeros(n)
-        rows = np.arange(n)
-        for t in range(self.feature.shape[0]):
+        for t in range(ff.shape[0]):
+            f_t, thr_t, h_t = ff[t], tt[t], hh[t]
             node = np.zeros(n, dtype=np.int64)
-            for _ in range(self.max_depth + 1):
-                f = self.feature[t, node]
-                inner = f >= 0
-                if not inner.any():
-                    break
-                x = X[rows, np.where(inner, f, 0)]
-                nxt = np.where(x <= self.threshold[t, node], self.left[t, node], self.right[t, node])
-                node = np.where(inner, nxt, node)
-            total = total + self.leaf_h[t, node]
+            for _ in range(self.max_depth):
+                x = flat[base + f_t[node]]
+                node = 2 * node + 2 - (x <= thr_t[node])
+            total += h_t[node]
         return total
 
     def score(self, X: np.ndarray) -> np.ndarray:
