@@ -39,15 +39,16 @@ def dimension(spark: SparkSession, mapping: dict[str, str], key: str, value: str
 
 
 def lookup_with_default(df: DataFrame, dim: DataFrame, on: str, value: str,
-                        default: str, out: str | None = None) -> DataFrame:
-    """Left-join a small dimension and fill misses with ``default``.
+                        default: str, out: str | None = None, max_rows: int = 1_000_000) -> DataFrame:
+    """Left-join a lookup dimension and fill misses with ``default``.
 
-    ``dim`` must be a fixed lookup table (bounded size); it is broadcast so the
-    large side is neither shuffled nor reordered.
+    A dimension of at most ``max_rows`` rows (checked) is broadcast, so the
+    large side is neither shuffled nor reordered; a larger one is shuffle-joined.
     """
     out = out or value
     d = dim.select(F.col(on).alias("__lk"), F.col(value).alias("__lv"))
-    joined = df.join(F.broadcast(d), df[on] == F.col("__lk"), "left")
+    small = d.count() <= max_rows
+    joined = df.join(F.broadcast(d) if small else d, df[on] == F.col("__lk"), "left")
     return joined.withColumn(out, F.coalesce(F.col("__lv"), F.lit(default))).drop("__lk", "__lv")
 
 

@@ -7,7 +7,6 @@ through ``try_*`` functions instead), adaptive execution for batch jobs.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -70,9 +69,10 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint root for one job's tables."""
+    """A fresh folder name under the shared checkpoint root for one job's tables.
+
+    Nothing is created here: Spark's writers and stream checkpoints create it
+    on the shared file system.
+    """
     root = checkpoint_root(spark).rstrip("/")
-    path = f"{root}/obsflow/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
-    return path
+    return f"{root}/obsflow/{name}-{uuid.uuid4().hex[:12]}"
