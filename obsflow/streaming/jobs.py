@@ -188,3 +188,19 @@ def run_available_now(query: StreamingQuery) -> StreamingQuery:
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
     return query
+
+
+def start_anomaly_sink(obs: DataFrame, model: "anom.Model", out_path: str, checkpoint: str, *,
+                       trigger=TRIGGER, fmt: str = "parquet", rules=DEFAULT_RULES,
+                       flagged_only: bool = True) -> StreamingQuery:
+    """Score a stream with a fixed (committed) model: stateless, no ``foreachBatch``.
+
+    The forest travels as a broadcast and each micro-batch is scored by
+    ``mapInPandas`` on the executors; the threshold is the model's own.
+    """
+    scored = anom.apply_model(clean_records(obs, rules), model)
+    if flagged_only:
+        scored = scored.where(F.col("is_anomaly"))
+    w = (scored.writeStream.outputMode("append").format(fmt)
+         .option("path", out_path).option("checkpointLocation", checkpoint))
+    return _with_trigger(w, trigger).start()

@@ -64,3 +64,27 @@ def test_refit_batch_mode_sink(spark):
     n = clean_records(weather_view(spark, SF001)).count()
     assert 0 < an.count() <= -(-(n - 1) * 5 // 100)
     assert anom.MIN_SAMPLES == 5
+
+
+def test_stateless_anomaly_stream(spark):
+    base = work_dir(spark, "test-anomaly-stream")
+    wv = weather_view(spark, SF001)
+    model = anom.fit_model(clean_records(wv), n_trees=10)
+    messages.encode_messages(wv, offset_col="event_id").write.parquet(f"{base}/in")
+    obs = jobs.observation_stream(spark, fmt="parquet", path=f"{base}/in", keep=("offset",))
+    jobs.run_available_now(jobs.start_anomaly_sink(obs, model, f"{base}/out", f"{base}/ck",
+                                                   trigger="available_now"))
+    streamed = spark.read.parquet(f"{base}/out")
+    batch = anom.apply_model(clean_records(wv), model).where("is_anomaly")
+    assert streamed.count() == batch.count() > 0
+    assert set(r["offset"] for r in streamed.select("offset").collect()) == \
+        set(r["event_id"] for r in batch.select("event_id").collect())
+
+
+def test_sql_views(spark):
+    from obsflow.plans.views import register_views
+    names = register_views(spark, weather_view(spark, SF001), prefix="t_")
+    assert "t_latest_by_city" in names
+    n = spark.sql("SELECT count(*) AS n FROM t_clean_records WHERE city = 'Paris'").first()["n"]
+    assert n == clean_records(weather_view(spark, SF001)).where("city = 'Paris'").count()
+    assert spark.sql("SELECT count(*) FROM t_latest_by_city").first()[0] == 10
