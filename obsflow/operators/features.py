@@ -24,13 +24,20 @@ def available(df: DataFrame, features=FEATURES) -> list[str]:
     return [f for f in features if f in df.columns]
 
 
+def _at_resolution(f: str):
+    """A feature read at the sensors' 0.01 resolution: the median's value->count
+    buffer then holds at most (range / 0.01) entries per group, however many
+    rows a hot city has."""
+    return F.col(f).cast("decimal(18,2)").cast("double")
+
+
 def medians(df: DataFrame, features=FEATURES, by: list[str] | None = None) -> DataFrame:
     """One row (or one row per group) with ``med_<feature>`` columns.
 
-    Rounded to 6 places: exact for measurements of up to 5 decimals (a median is
-    a value or the midpoint of two) and free of last-bit interpolation noise.
+    Rounded to 6 places: exact for values at 0.01 resolution (a median is a
+    value or the midpoint of two) and free of last-bit interpolation noise.
     """
-    aggs = [F.round(F.median(F.col(f).cast("double")), 6).alias(f"med_{f}") for f in features]
+    aggs = [F.round(F.median(_at_resolution(f)), 6).alias(f"med_{f}") for f in features]
     return (df.groupBy(*by) if by else df).agg(*aggs)
 
 
@@ -43,7 +50,7 @@ def _long(row_df: DataFrame, features, fields: dict[str, str], by=None) -> DataF
 
 def medians_and_rows(df: DataFrame, features=FEATURES):
     """One pass: the medians row plus the total row count (``__rows``)."""
-    aggs = [F.round(F.median(F.col(f).cast("double")), 6).alias(f"med_{f}") for f in features]
+    aggs = [F.round(F.median(_at_resolution(f)), 6).alias(f"med_{f}") for f in features]
     return df.agg(*aggs, F.count(F.lit(1)).alias("__rows")).first()
 
 
