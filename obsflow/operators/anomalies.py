@@ -126,7 +126,7 @@ def score_summary(scored: DataFrame) -> DataFrame:
     return scored.agg(
         F.min(F.when(flagged, F.col("anomaly_score"))).alias("min_flagged_score"),
         F.max(F.when(flagged, F.col("anomaly_score"))).alias("max_flagged_score"),
-        F.sum(F.when(flagged, 1).otherwise(0)).cast("bigint").alias("n_flagged"),
+        F.coalesce(F.sum(F.when(flagged, 1).otherwise(0)), F.lit(0)).cast("bigint").alias("n_flagged"),
         F.count(F.lit(1)).alias("n_total"),
     ).withColumn("flagged_share", F.coalesce(F.try_divide(F.col("n_flagged").cast("double"),
                                                           F.col("n_total").cast("double")), F.lit(0.0)))

@@ -55,13 +55,15 @@ def quality_report(df: DataFrame, rules=DEFAULT_RULES, *, by: list[str] | None =
     """
     passes = _passes(rules)
     kept = reduce(lambda a, b: a & b, [c for _, c in passes])
-    aggs = [F.count(F.lit(1)).alias("n_rows"),
-            F.sum(F.when(kept, 1).otherwise(0)).cast("bigint").alias("n_kept")]
-    aggs += [F.sum(F.when(c, 0).otherwise(1)).cast("bigint").alias(f"n_bad_{n}") for n, c in passes]
+
+    def n_where(cond):  # 0, not NULL, on empty input
+        return F.coalesce(F.sum(F.when(cond, 1).otherwise(0)), F.lit(0)).cast("bigint")
+
+    aggs = [F.count(F.lit(1)).alias("n_rows"), n_where(kept).alias("n_kept")]
+    aggs += [n_where(~c).alias(f"n_bad_{n}") for n, c in passes]
     if malformed_col:
-        aggs.append(F.sum(F.when(F.col(malformed_col), 1).otherwise(0)).cast("bigint").alias("n_malformed"))
+        aggs.append(n_where(F.coalesce(F.col(malformed_col), F.lit(False))).alias("n_malformed"))
     if time_col:
-        aggs.append(F.sum(F.when(F.col(time_col).isNull(), 1).otherwise(0)).cast("bigint")
-                    .alias("n_null_time"))
+        aggs.append(n_where(F.col(time_col).isNull()).alias("n_null_time"))
     g = df.groupBy(*by) if by else df
     return g.agg(*aggs)

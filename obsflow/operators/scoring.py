@@ -44,7 +44,8 @@ def anomaly_rate(flags: DataFrame, total: DataFrame | None = None, flag_col: str
     """
     if total is None:
         agg = flags.agg(F.count(F.lit(1)).alias("n_total"),
-                        F.sum(F.when(F.col(flag_col), 1).otherwise(0)).cast("bigint").alias("n_anomalies"))
+                        F.coalesce(F.sum(F.when(F.col(flag_col), 1).otherwise(0)), F.lit(0))
+                        .cast("bigint").alias("n_anomalies"))
     else:
         n_total = total.agg(F.count(F.lit(1)).alias("n_total"))
         n_anom = flags.agg(F.count(F.lit(1)).alias("n_anomalies"))

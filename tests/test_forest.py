@@ -120,3 +120,12 @@ def test_exact_quantile_narrowing_matches_numpy(spark):
         got = exact_quantile(df, "v", q, exact_distinct_limit=10, buckets=16, final_rows=50)
         assert got == pytest.approx(float(np.percentile(vals, 100 * q)), rel=0, abs=1e-12)
         assert got == exact_quantile(df, "v", q)
+
+
+def test_summaries_on_empty_input(spark, clean, model):
+    from obsflow.operators import scoring
+    empty = anom.apply_model(clean.limit(0), model)
+    s = anom.score_summary(empty).first()
+    assert (s["n_flagged"], s["n_total"], s["flagged_share"], s["min_flagged_score"]) == (0, 0, 0.0, None)
+    r = scoring.anomaly_rate(empty).first()
+    assert (r["n_total"], r["n_anomalies"], r["anomaly_rate"], r["rate_text"]) == (0, 0, 0.0, "0.0%")
