@@ -17,34 +17,78 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def decimal_mean(c, digits: int, in_scale: int = 2) -> Column:
-    """``round(sum(c) / count(c), digits)`` with an exact decimal sum.
+LIMIT_UNITS = 9e15  # per-value bound; bigint sums stay exact up to ~10^3 such values per group
+
+
+def representable(c, scale: int) -> Column:
+    """True for finite values whose 10^-scale units fit comfortably in a bigint."""
+    x = _c(c).cast("double")
+    return ~F.isnan(x) & (F.abs(x) * F.lit(float(10 ** scale)) < F.lit(LIMIT_UNITS))
+
+
+def scaled_int(c, scale: int) -> Column:
+    """The value in integer units of 10^-scale: x * 10^scale rounded half away from zero.
+
+    Plain double math on each row (stays in generated code, no BigDecimal per
+    row); equal to a cast to DECIMAL(18, scale) of the product. NULL for NaN,
+    infinities and values too large to count in units.
+    """
+    p = _c(c).cast("double") * F.lit(float(10 ** scale))
+    units = (F.signum(p) * F.floor(F.abs(p) + F.lit(0.5))).cast("bigint")
+    return F.when(representable(c, scale), units)
+
 
-    The quotient is carried to 12 places before the one half-up rounding, so
-    the result is the correctly rounded mean for groups below ~10^6 rows and
-    never depends on how rows were partitioned.
+def at_resolution(c, scale: int = 2) -> Column:
+    """The value rounded to ``scale`` decimals, as double (NULL when not representable)."""
+    return scaled_int(c, scale) / F.lit(float(10 ** scale))
+
+
+def mean_of_scaled(scaled: Column, digits: int, scale: int) -> Column:
+    """Mean of integer units of 10^-scale, rounded half up to ``digits`` decimals.
+
+    The sum is an exact bigint (partial per partition, order independent); the
+    quotient is formed once per group with 18 places before the one rounding,
+    so the result is the correctly rounded mean for any realistic group size.
     """
-    dec = _c(c).cast(f"decimal(18,{in_scale})")
-    return F.round(F.try_divide(F.sum(dec), F.count(dec)), digits).cast("double")
+    q = F.try_divide(F.sum(scaled).cast("decimal(20,0)"), F.count(scaled).cast("decimal(20,0)"))
+    return (F.round(q, digits - scale) / F.lit(10 ** scale)).cast("double")
+
+
+def exact_or_double(exact: Column, double_result: Column, bad: Column) -> Column:
+    """``exact`` unless the group holds a value it cannot represent (NaN, +-inf, huge);
+    then the plain double aggregate, which carries NaN / infinity as Spark's own does."""
+    return F.when(F.max(F.when(bad, 1).otherwise(0)) == 1, double_result).otherwise(exact)
+
+
+def decimal_mean(c, digits: int, in_scale: int = 2) -> Column:
+    """``round(avg(c), digits)`` over values read at ``in_scale`` decimals, exactly."""
+    x = _c(c).cast("double")
+    bad = x.isNotNull() & ~representable(x, in_scale)
+    return exact_or_double(mean_of_scaled(scaled_int(x, in_scale), digits, in_scale),
+                           F.round(F.avg(x), digits), bad)
 
 
 def exact_avg(c, digits: int, in_scale: int = 2) -> Column:
-    """``round(avg(c), digits)`` on exact decimals of the inputs' resolution."""
+    """``round(avg(c), digits)`` on exact values at the inputs' resolution."""
     return decimal_mean(c, digits, in_scale)
 
 
 def exact_mean(c, in_scale: int = 2) -> Column:
-    """Mean to 6 decimals on exact decimals, as double."""
+    """Mean to 6 decimals on exact values, as double."""
     return decimal_mean(c, 6, in_scale)
 
 
 def decimal_max(c, digits: int = 2) -> Column:
     """``round(max(c), digits)``; rounding is monotone, so max of rounded = rounded max."""
-    return F.max(_c(c).cast(f"decimal(18,{digits})")).cast("double")
+    x = _c(c).cast("double")
+    return exact_or_double(F.max(scaled_int(x, digits)) / F.lit(float(10 ** digits)),
+                           F.round(F.max(x), digits), x.isNotNull() & ~representable(x, digits))
 
 
 def decimal_min(c, digits: int = 2) -> Column:
-    return F.min(_c(c).cast(f"decimal(18,{digits})")).cast("double")
+    x = _c(c).cast("double")
+    return exact_or_double(F.min(scaled_int(x, digits)) / F.lit(float(10 ** digits)),
+                           F.round(F.min(x), digits), x.isNotNull() & ~representable(x, digits))
 
 
 def rounded_stddev(c, digits: int) -> Column:

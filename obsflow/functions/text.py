@@ -17,8 +17,10 @@ def capitalize_first(c) -> Column:
 
 
 def fixed_1dp(c, in_scale: int = 2) -> Column:
-    """Number with one decimal, rounded half-up from the ``in_scale`` decimal value."""
-    return F.round(_c(c).cast(f"decimal(18,{in_scale})"), 1).cast("string")
+    """Number with one decimal, rounded half away from zero from the ``in_scale`` decimal value."""
+    from obsflow.functions.numeric import scaled_int
+    dec = (scaled_int(c, in_scale).cast("decimal(20,0)") / F.lit(10 ** in_scale)).cast(f"decimal(20,{in_scale})")
+    return F.round(dec, 1).cast("string")
 
 
 def or_placeholder(c, placeholder: str = "?") -> Column:

@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obsflow.functions.numeric import decimal_mean, exact_mean
+from obsflow.functions.numeric import (at_resolution, exact_mean, exact_or_double, mean_of_scaled,
+                                       representable, scaled_int)
 from obsflow.operators.joins import join_small
 
 # ---- Fixed values: model features --------------------------------------------
@@ -24,11 +25,17 @@ def available(df: DataFrame, features=FEATURES) -> list[str]:
     return [f for f in features if f in df.columns]
 
 
+def missing_as_null(f: str):
+    """NaN counts as missing (as in pandas), so it is imputed like NULL."""
+    x = F.col(f).cast("double")
+    return F.nanvl(x, F.lit(None).cast("double"))
+
+
 def _at_resolution(f: str):
     """A feature read at the sensors' 0.01 resolution: the median's value->count
     buffer then holds at most (range / 0.01) entries per group, however many
     rows a hot city has."""
-    return F.col(f).cast("decimal(18,2)").cast("double")
+    return at_resolution(f, 2)
 
 
 def medians(df: DataFrame, features=FEATURES, by: list[str] | None = None) -> DataFrame:
@@ -63,7 +70,7 @@ def feature_stats(df: DataFrame, features=FEATURES, med=None) -> DataFrame:
     """
     features = available(df, features)
     med = med if med is not None else medians(df, features).first()
-    imputed = {f: F.coalesce(F.col(f).cast("double"), F.lit(med[f"med_{f}"])) for f in features}
+    imputed = {f: F.coalesce(missing_as_null(f), F.lit(med[f"med_{f}"])) for f in features}
     aggs = []
     for f in features:
         aggs += [F.count(F.col(f)).alias(f"n_{f}"),
@@ -90,7 +97,7 @@ def standardize(df: DataFrame, stats: dict[str, dict], prefix: str = "z_",
     for f in feats:
         s = stats[f]
         sd = s["std_pop"] if s["std_pop"] not in (None, 0.0) else 1.0
-        cols.append(((F.coalesce(F.col(f).cast("double"), F.lit(s["median"])) - F.lit(s["mean"]))
+        cols.append(((F.coalesce(missing_as_null(f), F.lit(s["median"])) - F.lit(s["mean"]))
                      / F.lit(sd)).alias(prefix + f))
     return df.select("*", *cols)
 
@@ -111,7 +118,11 @@ def feature_deviation(df: DataFrame, features=FEATURES, by: str | None = None) -
         grp = src.groupBy(by)
     aggs = []
     for f in features:
-        dev = F.abs(F.col(f).cast("decimal(18,2)") - F.col(f"med_{f}").cast("decimal(18,3)"))
-        aggs.append(decimal_mean(dev, 6, 3).alias(f"mad_{f}"))
+        # |x - median| in units of 0.001: x at 0.01, the median (a midpoint) at 0.001
+        dev = F.abs(scaled_int(f, 2) * F.lit(10) - scaled_int(f"med_{f}", 3))
+        x = F.col(f).cast("double")
+        bad = x.isNotNull() & ~representable(x, 2)
+        aggs.append(exact_or_double(mean_of_scaled(dev, 6, 3),
+                                    F.round(F.avg(F.abs(x - F.col(f"med_{f}"))), 6), bad).alias(f"mad_{f}"))
     out = _long(grp.agg(*aggs), features, {"mad": "mad_{f}"}, [by] if by else None)
     return out.orderBy(*([by] if by else []), F.desc("mad"))

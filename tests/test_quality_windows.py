@@ -84,3 +84,14 @@ def test_plan_pushes_filters_and_prunes(spark, tmp_path):
     read = plan.split("ReadSchema: struct<")[1].split(">")[0]
     assert sorted(c.split(":")[0] for c in read.split(",")) == sorted(
         ["city", "temperature", "humidity", "pressure", "wind_speed", "visibility"])
+
+
+def test_non_finite_values_follow_double_semantics(spark):
+    rows = [("A", 1.0), ("A", float("nan")), ("B", float("inf")), ("B", 2.0), ("C", 1e300), ("C", 1.0),
+            ("D", 1.25), ("D", 1.26)]
+    df = _timed(spark, [(c, t, "2024-01-01T10:00:00+00:00") for c, t in rows])
+    out = {r["city"]: r for r in windows.window_aggregates(df).collect()}
+    assert math.isnan(out["A"]["avg_temp"]) and math.isnan(out["A"]["max_temp"])
+    assert out["B"]["avg_temp"] == float("inf") and out["B"]["min_temp"] == 2.0
+    assert out["C"]["max_temp"] == 1e300
+    assert out["D"]["avg_temp"] == 1.26 and out["D"]["max_temp"] == 1.26   # exact path, half away from zero
