@@ -13,9 +13,10 @@ After Liu, Ting and Zhou, "Isolation Forest" (ICDM 2008):
 * **Building** -- ``groupBy(tree_id).applyInPandas``: one bounded group per
   tree; random non-constant feature, uniform threshold, depth limit
   ceil(log2(psi)); a split with an empty side makes a leaf.
-* **Scoring** -- ``mapInPandas`` over Arrow batches; the node arrays
-  (at most trees * (2 psi - 1) rows) are broadcast; all trees are walked
-  level by level with numpy. Works unchanged on a stream.
+* **Scoring** -- a scalar Arrow UDF over the feature columns only; the node
+  arrays (at most trees * (2 psi - 1) rows) are broadcast, compiled to a
+  complete binary layout and walked level by level with numpy. Works
+  unchanged on a stream.
 
 score(x) = -2 ** (-mean_t h_t(x) / c(psi)), h = leaf depth + c(leaf rows),
 c(1) = 0, c(2) = 1, c(n) = 2 (ln(n - 1) + gamma) - 2 (n - 1) / n.
@@ -31,7 +32,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import DoubleType
 
 from obsflow.schemas import FOREST_NODE_SCHEMA
 
@@ -257,21 +258,28 @@ def literal_nodes(spark, trees: list[list[tuple]]) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Scoring
 # ---------------------------------------------------------------------------
+def score_column(spark, forest: Forest, cols: list[str]) -> F.Column:
+    """The isolation score as a column: a scalar Arrow UDF over the feature columns only.
+
+    Only the feature values cross to Python (Arrow batches); every other column
+    of the row stays in the JVM. The forest (bounded) travels as a broadcast.
+    """
+    bc = spark.sparkContext.broadcast(forest)
+
+    @F.pandas_udf(DoubleType())
+    def isolation_score(*features: pd.Series) -> pd.Series:
+        X = np.column_stack([f.to_numpy(dtype=float, na_value=np.nan) for f in features]) \
+            if len(features[0]) else np.zeros((0, len(features)))
+        return pd.Series(bc.value.score(X) if len(X) else np.zeros(0))
+
+    return isolation_score(*[F.col(c) for c in cols])
+
+
 def score(df: DataFrame, forest: Forest, feature_cols: list[str] | None = None,
           out: str = "anomaly_score_raw") -> DataFrame:
     """Append the isolation score of ``feature_cols`` (default: the forest's features)."""
     cols = feature_cols or forest.features
-    bc = df.sparkSession.sparkContext.broadcast(forest)
-    schema = StructType(df.schema.fields + [StructField(out, DoubleType(), True)])
-
-    def run(batches):
-        f = bc.value
-        for pdf in batches:
-            X = pdf[cols].to_numpy(dtype=float)
-            pdf[out] = f.score(X) if len(pdf) else np.zeros(0)
-            yield pdf
-
-    return df.mapInPandas(run, schema)
+    return df.withColumn(out, score_column(df.sparkSession, forest, cols))
 
 
 def round4(c) -> F.Column:
