@@ -196,7 +196,7 @@ def start_anomaly_sink(obs: DataFrame, model: "anom.Model", out_path: str, check
     """Score a stream with a fixed (committed) model: stateless, no ``foreachBatch``.
 
     The forest travels as a broadcast and each micro-batch is scored by
-    ``mapInPandas`` on the executors; the threshold is the model's own.
+    a scalar Arrow UDF on the executors; the threshold is the model's own.
     """
     scored = anom.apply_model(clean_records(obs, rules), model)
     if flagged_only:
