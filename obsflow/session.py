@@ -76,3 +76,21 @@ def work_dir(spark: SparkSession, name: str) -> str:
     """
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/obsflow/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def size_for_input(spark: SparkSession, input_bytes: int, total_cores: int,
+                   target_partition_bytes: int = 256 << 20, max_partitions: int = 100_000) -> int:
+    """Size scan splits and shuffles for an input of ``input_bytes`` on ``total_cores`` cores.
+
+    Scan splits and the adaptive advisory size are ``target_partition_bytes``
+    (fits an executor core's share of memory, spills cleanly); the initial
+    shuffle partition count covers a full-size shuffle of the input and AQE
+    coalesces it down when partial aggregation leaves little to move. Call it
+    before a stateful stream starts for the first time: the checkpoint fixes
+    that query's partition count.
+    """
+    n = max(total_cores * 2, min(max_partitions, -(-int(input_bytes) // target_partition_bytes)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(target_partition_bytes))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_partition_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n

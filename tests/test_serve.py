@@ -63,3 +63,14 @@ def test_city_matrix_widens(spark):
     assert m == {"temperature": 1.5, "humidity": 40.0, "pressure": 1000.0, "wind_speed": 2.0, "clouds": 3.0}
     wide = serve.city_metric_wide(serve.latest_by_city(df), ["A", "B"]).collect()
     assert {r["metric"]: r["A"] for r in wide}["pressure"] == 1000.0
+
+
+def test_size_for_input(spark):
+    from obsflow.session import size_for_input
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_for_input(spark, 100 << 40, 8000) == min(100_000, (100 << 40) // (256 << 20))
+        assert size_for_input(spark, 10 << 20, 8) == 16
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(256 << 20)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
