@@ -51,16 +51,29 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
 def newest_batches_cutoff(hist: DataFrame, n: int) -> int | None:
     """Smallest batch id such that the batches from it on hold at least ``n`` rows.
 
-    One partial aggregate (rows per batch id; Parquet answers it from footers)
-    whose result has one row per batch, not per record.
+    Doubling search from the newest batch: each probe is a count over a
+    partition-pruned range, and only the per-batch counts of the final range
+    (about as many batches as the last ``n`` rows span) reach the driver --
+    never one row per batch of the whole history.
     """
-    counts = hist.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n")) \
-        .orderBy(F.desc("batch_id")).collect()
+    b = F.col("batch_id")
+    r = hist.agg(F.max(b).alias("hi"), F.min(b).alias("lo")).first()
+    if r["hi"] is None:
+        return None
+    hi, lo_all = r["hi"], r["lo"]
+    width = 1
+    while True:
+        lo = hi - width + 1
+        if lo <= lo_all or hist.where(b >= F.lit(lo)).count() >= n:
+            break
+        width *= 2
+    counts = hist.where(b >= F.lit(max(lo, lo_all))).groupBy("batch_id") \
+        .agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("batch_id")).collect()
     acc = 0
-    for r in counts:
-        acc += r["n"]
+    for row in counts:
+        acc += row["n"]
         if acc >= n:
-            return r["batch_id"]
+            return row["batch_id"]
     return None
 
 
