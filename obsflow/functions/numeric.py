@@ -124,8 +124,11 @@ def exact_quantile(df: DataFrame, col: str, q: float, *,
     """
     base = df.select(F.col(col).cast("double").alias("v")).where(
         F.col("v").isNotNull() & ~F.isnan("v"))
+    inf = F.lit(float("inf"))
     st = base.agg(F.count("v").alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx"),
-                  F.approx_count_distinct("v").alias("nd")).first()
+                  F.approx_count_distinct("v").alias("nd"),
+                  F.count(F.when(F.col("v") == -inf, 1)).alias("n_lo"),
+                  F.count(F.when(F.col("v") == inf, 1)).alias("n_hi")).first()
     n = st["n"]
     if not n:
         return None
@@ -133,8 +136,19 @@ def exact_quantile(df: DataFrame, col: str, q: float, *,
         return base.agg(F.percentile("v", F.lit(q)).alias("p")).first()["p"]
     pos = q * (n - 1)
     lo_rank, hi_rank = math.floor(pos), math.ceil(pos)
-    v_lo = _kth(base, lo_rank, st["mn"], st["mx"], buckets, final_rows)
-    v_hi = v_lo if hi_rank == lo_rank else _kth(base, hi_rank, st["mn"], st["mx"], buckets, final_rows)
+    finite = base.where(F.abs(F.col("v")) < inf)
+    fr = finite.agg(F.min("v").alias("mn"), F.max("v").alias("mx")).first()
+
+    def kth(k: int) -> float:
+        # infinities sort at the ends; the rest is narrowed over finite values
+        if k < st["n_lo"]:
+            return float("-inf")
+        if k >= n - st["n_hi"]:
+            return float("inf")
+        return _kth(finite, k - st["n_lo"], fr["mn"], fr["mx"], buckets, final_rows)
+
+    v_lo = kth(lo_rank)
+    v_hi = v_lo if hi_rank == lo_rank else kth(hi_rank)
     return spark_interpolate(v_lo, v_hi, pos)
 
 

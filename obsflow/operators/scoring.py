@@ -47,6 +47,7 @@ def anomaly_rate(flags: DataFrame, total: DataFrame | None = None, flag_col: str
                         F.coalesce(F.sum(F.when(F.col(flag_col), 1).otherwise(0)), F.lit(0))
                         .cast("bigint").alias("n_anomalies"))
     else:
+        # two one-row counts combined by a union + max: no join of any kind is needed
         n_total = total.agg(F.count(F.lit(1)).alias("n_total"))
         n_anom = flags.agg(F.count(F.lit(1)).alias("n_anomalies"))
         agg = n_total.unionByName(n_anom, allowMissingColumns=True).agg(
@@ -62,12 +63,15 @@ def histogram_by(df: DataFrame, col: str, by: str = "city", bins: int = HIST_BIN
     """Equal-width histogram of ``col`` over its global [min, max], counted per ``by``.
 
     The maximum falls in the last bin. Bin edges come from one small aggregate.
+    Only finite values are binned (NULL, NaN and infinities have no bin).
     """
-    r = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
+    v = F.col(col).cast("double")
+    finite = df.where(v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))))
+    r = finite.agg(F.min(v).alias("lo"), F.max(v).alias("hi")).first()
     lo, hi = r["lo"], r["hi"]
     if lo is None:
         return df.sparkSession.createDataFrame([], f"{by} string, bin int, bin_start double, n bigint")
-    v = F.col(col)
+    df = finite
     if hi == lo:
         b = F.lit(1)
         start = F.lit(lo)
@@ -75,7 +79,7 @@ def histogram_by(df: DataFrame, col: str, by: str = "city", bins: int = HIST_BIN
         width = (F.lit(hi) - F.lit(lo)) / F.lit(bins)
         b = F.least(F.floor((v - F.lit(lo)) / width) + 1, F.lit(bins)).cast("int")
         start = None
-    g = df.where(v.isNotNull()).groupBy(F.col(by), b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    g = df.groupBy(F.col(by), b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     if start is None:
         start = F.lit(lo) + (F.col("bin") - 1) * ((F.lit(hi) - F.lit(lo)) / F.lit(bins))
     return g.select(by, "bin", start.cast("double").alias("bin_start"), "n")

@@ -129,3 +129,21 @@ def test_summaries_on_empty_input(spark, clean, model):
     assert (s["n_flagged"], s["n_total"], s["flagged_share"], s["min_flagged_score"]) == (0, 0, 0.0, None)
     r = scoring.anomaly_rate(empty).first()
     assert (r["n_total"], r["n_anomalies"], r["anomaly_rate"], r["rate_text"]) == (0, 0, 0.0, "0.0%")
+
+
+def test_histogram_non_finite_and_edges(spark):
+    from obsflow.operators import scoring
+    df = spark.createDataFrame([("A", 0.0), ("A", 10.0), ("B", 5.0), ("B", float("nan")), ("B", float("inf")),
+                                ("C", None)], "city string, v double")
+    got = {(r["city"], r["bin"]): r["n"] for r in scoring.histogram_by(df, "v", bins=20).collect()}
+    assert got == {("A", 1): 1, ("A", 20): 1, ("B", 11): 1}
+    same = spark.createDataFrame([("A", 2.0), ("A", 2.0)], "city string, v double")
+    assert [tuple(r) for r in scoring.histogram_by(same, "v").collect()] == [("A", 1, 2.0, 2)]
+
+
+def test_exact_quantile_with_infinities(spark):
+    vals = [float(i) for i in range(200)] + [float("inf")] * 5 + [float("-inf")] * 3 + [float("nan")]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    for q in (0.0, 0.01, 0.5, 0.99, 1.0):
+        got = exact_quantile(df, "v", q, exact_distinct_limit=10, buckets=8, final_rows=5)
+        assert got == exact_quantile(df, "v", q)
