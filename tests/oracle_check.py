@@ -1,6 +1,6 @@
 """Run registered queries against their DuckDB oracle, as the driver does.
 
-Usage: python tests/oracle_check.py [sf_dir] [key ...]
+Usage: python tests/oracle_check.py [--plain] [sf_dir] [key ...]
 Compares row count, column names and an order-insensitive hash of the values.
 """
 
@@ -50,10 +50,16 @@ def duck_rows(con, sql):
 
 
 def main():
-    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    keys = sys.argv[2:]
-    spark = get_spark("local[8]", shuffle_partitions=8,
-                      extra_conf={"spark.ui.showConsoleProgress": "false", "spark.ui.enabled": "false"})
+    args = [a for a in sys.argv[1:] if a != "--plain"]
+    sf_dir = args[0] if args else "/root/testdata/sf0.01"
+    keys = args[1:]
+    if "--plain" in sys.argv:  # a bare session, as an outside caller would build it
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8")
+                 .config("spark.ui.showConsoleProgress", "false").getOrCreate())
+    else:
+        spark = get_spark("local[8]", shuffle_partitions=8,
+                          extra_conf={"spark.ui.showConsoleProgress": "false", "spark.ui.enabled": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con = duckdb.connect()
     for t in TABLES:
