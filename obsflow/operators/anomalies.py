@@ -134,7 +134,8 @@ def score_summary(scored: DataFrame) -> DataFrame:
 
 def anomaly_details(anomalies: DataFrame, features: list[str] = feat.FEATURES) -> DataFrame:
     """City, score and each feature at one decimal (half to even), one row per anomaly."""
-    cols = [(F.rint(F.col(f).cast("double") * 10.0) / 10.0).alias(f) for f in feat.available(anomalies, features)]
+    k = float(10 ** DETAIL_DIGITS)
+    cols = [(F.rint(F.col(f).cast("double") * k) / k).alias(f) for f in feat.available(anomalies, features)]
     keep = [c for c in ["event_id", "timestamp"] if c in anomalies.columns]
     return anomalies.select(*keep, F.coalesce(F.col("city"), F.lit("?")).alias("city"),
                             "anomaly_score", *cols)
