@@ -35,7 +35,10 @@ def latest_by_city(df: DataFrame, *, fields: list[str] | None = None, time_col:
     if mode == "row":
         aggs = [F.max_by(F.col(c), t).alias(c) for c in fields]
     else:
-        aggs = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), t)).alias(c) for c in fields]
+        # newest (time, value) pair per column: rows tied on time resolve to the largest
+        # value, so the result never depends on row order
+        aggs = [F.max(F.when(F.col(c).isNotNull(), F.struct(t.alias("t"), F.col(c).alias("v"))))["v"].alias(c)
+                for c in fields]
     return src.groupBy(key).agg(*aggs, F.max(t).alias(time_col))
 
 
