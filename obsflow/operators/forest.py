@@ -70,6 +70,12 @@ class Forest:
     n_nodes: int = 0
     extra: dict = field(default_factory=dict)
 
+    def __getstate__(self):
+        # the broadcast handle stays on the driver; executors get arrays only
+        state = dict(self.__dict__)
+        state["extra"] = {k: v for k, v in self.extra.items() if k != "broadcast"}
+        return state
+
     @staticmethod
     def from_nodes(rows: list, features: list[str], psi: int) -> "Forest":
         pdf = pd.DataFrame([r.asDict() if hasattr(r, "asDict") else dict(r) for r in rows],
@@ -264,7 +270,10 @@ def score_column(spark, forest: Forest, cols: list[str]) -> F.Column:
     Only the feature values cross to Python (Arrow batches); every other column
     of the row stays in the JVM. The forest (bounded) travels as a broadcast.
     """
-    bc = spark.sparkContext.broadcast(forest)
+    bc = forest.extra.get("broadcast")
+    if bc is None:  # one broadcast per forest, reused by every micro-batch that scores with it
+        bc = spark.sparkContext.broadcast(forest)
+        forest.extra["broadcast"] = bc
 
     @F.pandas_udf(DoubleType())
     def isolation_score(*features: pd.Series) -> pd.Series:

@@ -88,6 +88,7 @@ class RecordSink:
         self.train_rows = train_rows
         self.lookback_batches = lookback_batches
         self.fit_args = fit_args or {}
+        self._model = None  # newest committed model, reloaded only when a new version commits
 
     @property
     def records_path(self):
@@ -125,12 +126,13 @@ class RecordSink:
             if self.mode == "refit_batch":
                 scored, _ = anom.score_all(clean, **self.fit_args)
             else:
-                model = model_store.load_model(spark, self.model_path)
+                model = self._current_model(spark)
                 if model is None:
                     model = anom.fit_model(clean, version=batch_id, **self.fit_args)
                     if model is None:
                         return
                     model_store.save_model(spark, model, self.model_path, batch_id)
+                    self._model = model
                 scored = anom.apply_model(clean, model)
             history.write_batch(scored.where(F.col("is_anomaly")), self.anomalies_path, batch_id)
             if self.mode != "refit_batch" and batch_id > 0 and batch_id % self.retrain_every == 0:
@@ -141,10 +143,20 @@ class RecordSink:
                 fresh = anom.fit_model(recent.drop("batch_id", "row_hash"), version=batch_id, **self.fit_args)
                 if fresh is not None:
                     model_store.save_model(spark, fresh, self.model_path, batch_id)
+                    self._model = fresh
         except Exception as exc:  # noqa: BLE001 - keep the batch even when the model fails
             log.error("batch %s: anomaly step failed: %s", batch_id, exc, exc_info=True)
 
 
+    def _current_model(self, spark: SparkSession):
+        v = model_store.latest_version(spark, self.model_path)
+        if v is None:
+            return None
+        if self._model is None or self._model.version != v:
+            self._model = model_store.load_model(spark, self.model_path)
+        return self._model
+
+
 def start_record_sink(obs: DataFrame, sink: RecordSink, checkpoint: str, *, trigger=TRIGGER,
                       query_name: str | None = None) -> StreamingQuery:
     w = obs.writeStream.outputMode("append").foreachBatch(sink).option("checkpointLocation", checkpoint)
