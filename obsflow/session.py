@@ -94,3 +94,17 @@ def size_for_input(spark: SparkSession, input_bytes: int, total_cores: int,
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_partition_bytes))
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     return n
+
+
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_rocksdb_state(spark: SparkSession) -> None:
+    """Keep streaming state in RocksDB (on local disk, checkpointed) instead of the JVM heap.
+
+    For the window query the state is the set of open windows, a few per city in
+    steady state; a backlog replayed in one micro-batch (restart after downtime)
+    can hold millions of groups until the watermark passes them, which this
+    provider spills instead of keeping on the heap. Set before a query's first start.
+    """
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)

@@ -88,3 +88,22 @@ def test_sql_views(spark):
     n = spark.sql("SELECT count(*) AS n FROM t_clean_records WHERE city = 'Paris'").first()["n"]
     assert n == clean_records(weather_view(spark, SF001)).where("city = 'Paris'").count()
     assert spark.sql("SELECT count(*) FROM t_latest_by_city").first()[0] == 10
+
+
+def test_window_stream_on_rocksdb_state(spark):
+    from obsflow.session import use_rocksdb_state
+    key = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(key, None)
+    base = work_dir(spark, "test-rocksdb")
+    try:
+        use_rocksdb_state(spark)
+        messages.encode_messages(weather_view(spark, SF001), offset_col="event_id").write.parquet(f"{base}/in")
+        obs = jobs.observation_stream(spark, fmt="parquet", path=f"{base}/in")
+        q = jobs.start_window_sink(obs, f"{base}/out", f"{base}/ck", trigger="available_now")
+        jobs.run_available_now(q)
+        assert history.agg_scan(spark, f"{base}/out").count() == 988
+    finally:
+        if old:
+            spark.conf.set(key, old)
+        else:
+            spark.conf.unset(key)
