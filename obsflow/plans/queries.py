@@ -408,3 +408,12 @@ def q_stream_anomalies(spark, sf_dir):
     an = history.read_history(spark, sink.anomalies_path)
     return an.select(*RECORD_FIELDS, F.col("offset").alias("event_id"), "anomaly_score", "anomaly_label",
                      F.col("batch_id").cast("bigint").alias("batch_id"))
+
+
+@query
+def q_anomaly_rate_capped(spark, sf_dir):
+    """The rate as a dashboard reading two capped files computes it (2,000 records, 500 anomalies)."""
+    rec, an = _anomaly_tables(spark, sf_dir)
+    return anom.capped_anomaly_rate(rec.withColumn("batch_id", F.col("batch_id").cast("bigint")),
+                                    an.withColumn("batch_id", F.col("batch_id").cast("bigint")),
+                                    cap_records=2000, cap_anomalies=500)
