@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -122,8 +123,17 @@ def exact_quantile(df: DataFrame, col: str, q: float, *,
     moves the column to one task or to the driver.
     NULL and NaN are ignored.
     """
+    # every pass reads this one column: materialise it once (upstream may be a UDF)
     base = df.select(F.col(col).cast("double").alias("v")).where(
-        F.col("v").isNotNull() & ~F.isnan("v"))
+        F.col("v").isNotNull() & ~F.isnan("v")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _exact_quantile(base, q, exact_distinct_limit, buckets, final_rows)
+    finally:
+        base.unpersist()
+
+
+def _exact_quantile(base: DataFrame, q: float, exact_distinct_limit: int, buckets: int,
+                    final_rows: int) -> float | None:
     inf = F.lit(float("inf"))
     st = base.agg(F.count("v").alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx"),
                   F.approx_count_distinct("v").alias("nd"),

@@ -75,13 +75,9 @@ def fit_model(df: DataFrame, *, features: list[str] = feat.FEATURES, n_trees: in
     nodes.unpersist()
     forest = iforest.Forest.from_nodes(node_rows, zcols, psi)
     forest.extra["nodes"] = [tuple(r) for r in node_rows]
-    # training scores are read by several small jobs: keep them for the threshold only
-    scored = iforest.score(z.select(*zcols), forest).select("anomaly_score_raw") \
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        thr = exact_quantile(scored, "anomaly_score_raw", contamination)
-    finally:
-        scored.unpersist()
+    # training scores are read by several small jobs; exact_quantile materialises them once
+    scored = iforest.score(z.select(*zcols), forest).select("anomaly_score_raw")
+    thr = exact_quantile(scored, "anomaly_score_raw", contamination)
     return Model(feats, {f: stats[f] for f in feats}, forest, thr, n_rows, version)
 
 

@@ -307,6 +307,21 @@ FROM wv"""
 
 register("forest_score_fixed", _fixed_forest_sql())
 
+
+def _fixed_detect_sql() -> str:
+    body = _fixed_forest_sql().strip()
+    raw = body[body.index("round(") + len("round("):body.index(" * 10000.0) / 10000.0 AS anomaly_score")]
+    return f"""
+, sc AS (SELECT event_id, {raw} AS s FROM wv),
+thr AS (SELECT quantile_cont(s, 0.05) AS t FROM sc)
+SELECT event_id, round(s * 10000.0) / 10000.0 AS anomaly_score,
+       CAST(CASE WHEN s < t THEN -1 ELSE 1 END AS INT) AS anomaly_label,
+       coalesce(s < t, false) AS is_anomaly
+FROM sc, thr"""
+
+
+register("detect_anomalies_fixed", _fixed_detect_sql())
+
 _CLOSED = ("WHERE event_time IS NOT NULL AND time_bucket(INTERVAL 5 MINUTE, event_time) + INTERVAL 5 MINUTE "
            "<= (SELECT max(event_time) - INTERVAL 10 MINUTE FROM wv)")
 register("stream_window_sink", _window_agg("wv", "AND time_bucket(INTERVAL 5 MINUTE, event_time) + INTERVAL 5 MINUTE "

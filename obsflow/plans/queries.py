@@ -417,3 +417,14 @@ def q_anomaly_rate_capped(spark, sf_dir):
     return anom.capped_anomaly_rate(rec.withColumn("batch_id", F.col("batch_id").cast("bigint")),
                                     an.withColumn("batch_id", F.col("batch_id").cast("bigint")),
                                     cap_records=2000, cap_anomalies=500)
+
+
+@query
+def q_detect_anomalies_fixed(spark, sf_dir):
+    """Detection with the literal forest: score, exact 5th-percentile threshold, labels."""
+    nodes = iforest.literal_nodes(spark, FIXED_FOREST).collect()
+    forest = iforest.Forest.from_nodes(nodes, features.FEATURES, 256)
+    scored = iforest.score(weather_view(spark, sf_dir).select("event_id", *features.FEATURES), forest)
+    flagged = scoring.percentile_flag(scored, "anomaly_score_raw")
+    return flagged.select("event_id", iforest.round4(F.col("anomaly_score_raw")).alias("anomaly_score"),
+                          "anomaly_label", "is_anomaly")
