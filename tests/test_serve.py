@@ -74,3 +74,24 @@ def test_size_for_input(spark):
         assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(256 << 20)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_empty_input_everywhere(spark):
+    from obsflow.operators import anomalies, features, quality, scoring, windows
+    from obsflow.sources import messages
+    empty = spark.createDataFrame([], RECORD_SCHEMA).withColumn("event_time", F.try_to_timestamp("timestamp"))
+    assert quality.clean_records(empty).count() == 0
+    rep = quality.quality_report(empty).first()
+    assert rep["n_rows"] == 0 and rep["n_kept"] == 0 and rep["n_bad_temperature"] == 0
+    assert windows.window_aggregates(empty).count() == 0
+    assert windows.poll_completeness(empty).count() == 0
+    lat = serve.latest_by_city(empty)
+    assert lat.count() == 0 and serve.current_conditions(lat).count() == 0
+    assert serve.dual_series(empty).count() == 0 and serve.agg_table_tail(windows.window_aggregates(empty)).count() == 0
+    st = {r["feature"]: r for r in features.feature_stats(empty).collect()}
+    assert st["temperature"]["n"] == 0 and st["temperature"]["median"] is None
+    assert features.feature_deviation(empty).count() == 5
+    assert scoring.histogram_by(empty, "temperature").count() == 0
+    assert scoring.percentile_flag(empty, "temperature").count() == 0
+    assert anomalies.detect_anomalies(empty).count() == 0
+    assert messages.parse_messages(messages.encode_messages(empty)).count() == 0
