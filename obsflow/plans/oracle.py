@@ -328,3 +328,14 @@ register("stream_window_sink", _window_agg("wv", "AND time_bucket(INTERVAL 5 MIN
                                                  "<= (SELECT max(event_time) - INTERVAL 10 MINUTE FROM wv)"))
 ORACLE["stream_restart"] = ORACLE["stream_window_sink"]
 register("stream_clean_sink", f"SELECT {RECORD_COLS}, event_id FROM clean")
+
+
+def _wide_sql() -> str:
+    cities = [c for c, _ in _L.CITIES]
+    long = " UNION ALL ".join(f"SELECT city, '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM lat"
+                              for m in ["temperature", "humidity", "pressure", "wind_speed", "clouds"])
+    cols = ", ".join(f"max(CASE WHEN city = '{c}' THEN value END) AS \"{c}\"" for c in cities)
+    return f", m AS ({long})\nSELECT metric, {cols} FROM m GROUP BY metric"
+
+
+register_lat("city_metric_wide", _wide_sql())

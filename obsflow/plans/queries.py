@@ -428,3 +428,9 @@ def q_detect_anomalies_fixed(spark, sf_dir):
     flagged = scoring.percentile_flag(scored, "anomaly_score_raw")
     return flagged.select("event_id", iforest.round4(F.col("anomaly_score_raw")).alias("anomaly_score"),
                           "anomaly_label", "is_anomaly")
+
+
+@query
+def q_city_metric_wide(spark, sf_dir):
+    """The transposed matrix: one row per metric, one column per polled city."""
+    return serve.city_metric_wide(_latest(spark, sf_dir), [c for c, _ in lookups.CITIES])
