@@ -339,3 +339,13 @@ def _wide_sql() -> str:
 
 
 register_lat("city_metric_wide", _wide_sql())
+
+
+def _rejected_sql() -> str:
+    parts = ", ".join(f"CASE WHEN coalesce({p}, false) THEN NULL ELSE '{n}' END" for n, p in _RULES)
+    return f"""
+SELECT event_id, city, concat_ws(',', {parts}) AS failed_rules
+FROM wv WHERE NOT ({_KEPT})"""
+
+
+register("rejected_records", _rejected_sql())

@@ -434,3 +434,10 @@ def q_detect_anomalies_fixed(spark, sf_dir):
 def q_city_metric_wide(spark, sf_dir):
     """The transposed matrix: one row per metric, one column per polled city."""
     return serve.city_metric_wide(_latest(spark, sf_dir), [c for c, _ in lookups.CITIES])
+
+
+@query
+def q_rejected_records(spark, sf_dir):
+    """Rows the range rules reject, with the rules each one fails (comma-joined)."""
+    rej = quality.rejected_records(weather_view(spark, sf_dir))
+    return rej.select("event_id", "city", F.concat_ws(",", "failed_rules").alias("failed_rules"))
