@@ -349,3 +349,6 @@ FROM wv WHERE NOT ({_KEPT})"""
 
 
 register("rejected_records", _rejected_sql())
+
+register("quarantined_payloads", """
+SELECT -event_id - 1 AS event_id, props AS payload, 'missing main' AS reject_reason FROM events""")

@@ -19,7 +19,7 @@ from obsflow.operators import forest as iforest
 from obsflow.schemas import RECORD_FIELDS
 from obsflow.session import work_dir
 from obsflow.sources import history, messages, model_store
-from obsflow.sources.tables import weather_view
+from obsflow.sources.tables import read_table, weather_from_events, weather_view
 from obsflow.streaming import jobs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -441,3 +441,15 @@ def q_rejected_records(spark, sf_dir):
     """Rows the range rules reject, with the rules each one fails (comma-joined)."""
     rej = quality.rejected_records(weather_view(spark, sf_dir))
     return rej.select("event_id", "city", F.concat_ws(",", "failed_rules").alias("failed_rules"))
+
+
+@query
+def q_quarantined_payloads(spark, sf_dir):
+    """Valid payloads mixed with each event's ``props`` JSON taken as a payload: only the
+    latter (no ``main`` object) are quarantined."""
+    wv = weather_from_events(read_table(spark, sf_dir, "events"), keep=["props"])
+    raw = messages.encode_payloads(wv, passthrough=["event_id", "props"])
+    bad = raw.select((-F.col("event_id") - 1).alias("event_id"), "props", "city", "country", "polled_at",
+                     F.col("props").alias("payload"))
+    raw = raw.unionByName(bad).drop("props")
+    return messages.quarantined_payloads(raw).select("event_id", "payload", "reject_reason")

@@ -40,8 +40,8 @@ EVENT_WEATHER = [
 OTHER_WEATHER = (761, "Dust", "dust")
 
 
-def weather_from_events(events: DataFrame, with_ids: bool = True) -> DataFrame:
-    """Observation records (17 fields + event_time [+ event_id]) from events."""
+def weather_from_events(events: DataFrame, with_ids: bool = True, keep: list[str] | None = None) -> DataFrame:
+    """Observation records (17 fields + event_time [+ event_id] [+ ``keep`` columns]) from events."""
     uid = F.col("user_id") % 10
     eid = F.col("event_id")
     v100 = F.floor(F.col("value") * 100 + 0.5).cast("bigint")
@@ -73,6 +73,7 @@ def weather_from_events(events: DataFrame, with_ids: bool = True) -> DataFrame:
     ]
     if with_ids:
         cols.append(eid.alias("event_id"))
+    cols += [F.col(c) for c in (keep or [])]
     return events.select(*cols)
 
 
