@@ -3,13 +3,14 @@
 After Liu, Ting and Zhou, "Isolation Forest" (ICDM 2008):
 
 * **Sampling** -- each tree gets psi = min(256, n) rows without replacement.
-  One hash per row draws a uniform pool of at most ``POOL_ROWS`` rows (one
-  scan, no shuffle). Per tree, pool rows are kept when a second hash of
-  (row, tree) falls under a rate that over-delivers psi; the generator emits
-  only the selected (row, tree) pairs, about 1.4 * psi per tree, never a
-  row x tree product. The psi smallest hashes per tree are kept; a tree that
-  got fewer is re-drawn with a higher rate. Everything is keyed by hashes,
-  so the forest does not depend on partitioning.
+  A seeded per-row draw makes a uniform pool of about ``POOL_ROWS`` rows (one
+  scan, no shuffle); pool rows are numbered. Per tree, pool rows are kept
+  when a hash of (row number, tree) falls under a rate that over-delivers
+  psi; the generator emits only the selected (row, tree) pairs, about
+  1.4 * psi per tree, never a row x tree product. The psi smallest hashes per
+  tree are kept; a tree that got fewer is re-drawn with a higher rate. Draws
+  are per row, so identical copies are sampled independently and no group
+  grows with them; the same input gives the same forest.
 * **Building** -- ``groupBy(tree_id).applyInPandas``: one bounded group per
   tree; random non-constant feature, uniform threshold, depth limit
   ceil(log2(psi)); a split with an empty side makes a leaf.
@@ -167,19 +168,25 @@ def _unit(*cols) -> F.Column:
     return (F.pmod(F.xxhash64(*cols), F.lit(1 << 53)).cast("double") / F.lit(float(1 << 53)))
 
 
-def tree_samples(df: DataFrame, features: list[str], key_cols: list[str], *, n_trees: int = N_TREES,
-                 max_samples: int = MAX_SAMPLES, seed: int = SEED, pool_rows: int = POOL_ROWS,
-                 rate_boost: float = 1.0, n_rows: int | None = None) -> tuple[DataFrame, int, int, DataFrame]:
+def tree_samples(df: DataFrame, features: list[str], key_cols: list[str] | None = None, *,
+                 n_trees: int = N_TREES, max_samples: int = MAX_SAMPLES, seed: int = SEED,
+                 pool_rows: int = POOL_ROWS, rate_boost: float = 1.0,
+                 n_rows: int | None = None) -> tuple[DataFrame, int, int, DataFrame]:
     """(row, tree) pairs for tree building, the pool size, psi and the cached pool.
 
-    The caller unpersists the returned pool.
+    Every draw is per row, never per value: identical copies of a row (even a
+    third of all rows) are drawn independently, exactly as row sampling
+    without replacement requires, and no group grows with them. The pool is a
+    seeded per-row draw (``rand(seed)``: per-partition streams, so a recomputed
+    partition draws the same rows); pool rows are then numbered, and the
+    per-tree draws hash that number. ``key_cols`` is accepted for callers that
+    name row keys; the draw does not need them. The caller unpersists the pool.
     """
-    h0 = F.xxhash64(*[F.col(c) for c in key_cols], *[F.col(f) for f in features])
-    base = df.select(h0.alias("__h"), *[F.col(f).cast("double").alias(f) for f in features])
+    base = df.select(*[F.col(f).cast("double").alias(f) for f in features])
     n = base.count() if n_rows is None else n_rows
     frac = 1.0 if n <= pool_rows else pool_rows / n
-    pool = base if frac >= 1.0 else base.where(_unit(F.col("__h"), F.lit(seed), F.lit(-1)) < F.lit(frac))
-    pool = pool.persist()
+    pool = base if frac >= 1.0 else base.where(F.rand(seed) < F.lit(frac))
+    pool = pool.withColumn("__h", F.monotonically_increasing_id()).persist()
     m = pool.count()
     psi = min(max_samples, m)
     rate = 1.0 if m <= psi else min(1.0, rate_boost * (psi + 6.0 * math.sqrt(psi) + 16.0) / m)

