@@ -36,9 +36,15 @@ HISTORY_ROWS = 2000
 
 def observation_stream(spark: SparkSession, *, fmt: str = "kafka", path: str | None = None,
                        bootstrap: str | None = None, topic: str = TOPIC, options: dict | None = None,
-                       keep: tuple[str, ...] = ("offset",), with_corrupt: bool = True) -> DataFrame:
-    """Parsed observation stream (records + event_time [+ kept message columns])."""
-    msgs = kafka_source(spark, fmt=fmt, path=path, bootstrap=bootstrap, topic=topic, options=options)
+                       keep: tuple[str, ...] = ("offset",), with_corrupt: bool = True,
+                       **source_args) -> DataFrame:
+    """Parsed observation stream (records + event_time [+ kept message columns]).
+
+    ``source_args`` go to ``kafka_source`` (``min_partitions``, ``max_offsets_per_trigger``,
+    ``starting_offsets``).
+    """
+    msgs = kafka_source(spark, fmt=fmt, path=path, bootstrap=bootstrap, topic=topic, options=options,
+                        **source_args)
     return parse_messages(msgs, keep=list(keep), with_corrupt=with_corrupt)
 
 
@@ -167,11 +173,11 @@ def start_record_sink(obs: DataFrame, sink: RecordSink, checkpoint: str, *, trig
 
 def start_consumer(spark: SparkSession, root: str, *, fmt: str = "kafka", path: str | None = None,
                    bootstrap: str | None = None, topic: str = TOPIC, trigger=TRIGGER,
-                   sink_options: dict | None = None) -> list[StreamingQuery]:
+                   sink_options: dict | None = None, **source_args) -> list[StreamingQuery]:
     """Both queries over one topic, each reading the source with its own offsets."""
     root = root.rstrip("/")
-    obs_a = observation_stream(spark, fmt=fmt, path=path, bootstrap=bootstrap, topic=topic)
-    obs_b = observation_stream(spark, fmt=fmt, path=path, bootstrap=bootstrap, topic=topic)
+    obs_a = observation_stream(spark, fmt=fmt, path=path, bootstrap=bootstrap, topic=topic, **source_args)
+    obs_b = observation_stream(spark, fmt=fmt, path=path, bootstrap=bootstrap, topic=topic, **source_args)
     q1 = start_window_sink(obs_a, f"{root}/aggregations", f"{root}/checkpoints/agg", trigger=trigger)
     q2 = start_record_sink(obs_b, RecordSink(root, **(sink_options or {})), f"{root}/checkpoints/raw",
                            trigger=trigger)
