@@ -19,10 +19,10 @@ from pyspark.sql.types import StringType, StructField, StructType
 from obsflow.functions.text import iso_utc
 from obsflow.schemas import MESSAGE_SCHEMA, PAYLOAD_SCHEMA, RECORD_FIELDS, RECORD_SCHEMA
 
-TOPIC = "weather-data"
 CORRUPT_COL = "_corrupt_record"
 
-# ---- Fixed values: defaults for absent optional payload keys ----------------
+# ---- Fixed values: topic name; defaults for absent optional payload keys ----
+TOPIC = "weather-data"
 DEFAULT_WIND_DEG = 0
 DEFAULT_WIND_GUST = 0.0
 DEFAULT_VISIBILITY = 10000
