@@ -116,13 +116,14 @@ def write_window_rows(aggs: DataFrame, path: str) -> None:
     aggs.write.mode("overwrite").json(path)
 
 
-def agg_scan(spark: SparkSession, path: str) -> DataFrame:
-    """All window rows under ``path`` (JSON lines, any number of files), by window start.
+def agg_scan(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
+    """All window rows under ``path`` (JSON lines or Parquet, any number of files), by window start.
 
-    The explicit schema keeps columns that some files omit (NULL stddev).
+    The explicit schema keeps columns that some files omit (NULL stddev). A
+    directory written by a streaming file sink is read through its commit log.
     """
     try:
-        df = spark.read.schema(WINDOW_AGG_SCHEMA).json(path)
+        df = spark.read.schema(WINDOW_AGG_SCHEMA).format(fmt).load(path)
     except AnalysisException:
         df = _empty(spark, WINDOW_AGG_SCHEMA)
     return df.orderBy("window_start", "city")

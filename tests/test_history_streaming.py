@@ -93,3 +93,10 @@ def test_last_n_reads_only_newest_batches(spark):
     assert "PartitionFilters: [isnotnull(batch_id" in plan_text(last) and "(batch_id#" in plan_text(last)
     assert {r["batch_id"] for r in last.select("batch_id").distinct().collect()} == {2}
     assert last.count() == 900
+
+
+def test_agg_scan_parquet(spark):
+    path = work_dir(spark, "test-agg-parquet")
+    wins = windows.window_aggregates(weather_view(spark, SF001))
+    wins.write.parquet(path)
+    assert history.agg_scan(spark, path, fmt="parquet").count() == wins.count()
