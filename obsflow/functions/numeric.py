@@ -44,15 +44,34 @@ def at_resolution(c, scale: int = 2) -> Column:
     return scaled_int(c, scale) / F.lit(float(10 ** scale))
 
 
-def mean_of_scaled(scaled: Column, digits: int, scale: int) -> Column:
-    """Mean of integer units of 10^-scale, rounded half up to ``digits`` decimals.
+def _decimal_mean_of_scaled(S: Column, n: Column, digits: int, scale: int) -> Column:
+    """S / n carried to 18 places as a decimal, rounded half up once (any size of S)."""
+    q = F.try_divide(S.cast("decimal(20,0)"), n.cast("decimal(20,0)"))
+    return (F.round(q, digits - scale) / F.lit(10 ** scale)).cast("double")
+
 
-    The sum is an exact bigint (partial per partition, order independent); the
-    quotient is formed once per group with 18 places before the one rounding,
-    so the result is the correctly rounded mean for any realistic group size.
+def mean_of_scaled(scaled: Column, digits: int, scale: int) -> Column:
+    """Mean of integer units of 10^-scale, rounded half away from zero to ``digits`` decimals.
+
+    The sum is an exact bigint (partial per partition, order independent). The
+    rounded quotient is formed once per group in long arithmetic -- quotient
+    and remainder, +1 away from zero when the remainder is at least half --
+    which is exact while |sum| * 10^(digits - scale) < 2^53; larger sums take a
+    decimal division at 18 places. Either way the result is the correctly
+    rounded mean, independent of partitioning.
     """
-    q = F.try_divide(F.sum(scaled).cast("decimal(20,0)"), F.count(scaled).cast("decimal(20,0)"))
-    return (F.round(q, digits - scale) / F.lit(10 ** scale)).cast("double")
+    S, n = F.sum(scaled), F.count(scaled)
+    if digits >= scale:
+        num, den = S * F.lit(10 ** (digits - scale)), n
+    else:
+        num, den = S, n * F.lit(10 ** (scale - digits))
+    r = num % den
+    q = ((num - r).cast("double") / den.cast("double")).cast("bigint")   # exact: num - r is a multiple of den
+    rounded = q + F.when(F.abs(r) * 2 >= den, F.signum(num).cast("bigint")).otherwise(F.lit(0))
+    fits = F.abs(S) < F.lit((1 << 53) // 10 ** max(0, digits - scale))
+    return (F.when(n == 0, F.lit(None).cast("double"))
+            .when(fits, rounded / F.lit(10.0 ** digits))
+            .otherwise(_decimal_mean_of_scaled(S, n, digits, scale)))
 
 
 def exact_or_double(exact: Column, double_result: Column, bad: Column) -> Column:

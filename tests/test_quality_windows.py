@@ -95,3 +95,22 @@ def test_non_finite_values_follow_double_semantics(spark):
     assert out["B"]["avg_temp"] == float("inf") and out["B"]["min_temp"] == 2.0
     assert out["C"]["max_temp"] == 1e300
     assert out["D"]["avg_temp"] == 1.26 and out["D"]["max_temp"] == 1.26   # exact path, half away from zero
+
+
+def test_exact_means_against_decimal_arithmetic(spark):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from obsflow.functions.numeric import decimal_mean
+    groups = {
+        "ties": [1.25, 1.26], "neg_ties": [-1.25, -1.26], "thirds": [1.0, 1.0, 1.01],
+        "mixed": [-3.5, 2.25, 0.01, 7.77, -0.02], "big": [8.9e13, 8.9e13, 8.9e13 + 0.01],  # decimal fallback
+        "one": [42.42],
+    }
+    rows = [(g, v) for g, vs in groups.items() for v in vs]
+    df = spark.createDataFrame(rows, "g string, v double")
+    for digits in (1, 2, 6):
+        got = {r["g"]: r["m"] for r in df.groupBy("g").agg(decimal_mean("v", digits).alias("m")).collect()}
+        for g, vs in groups.items():
+            exact = sum(Decimal(repr(v)) for v in vs) / Decimal(len(vs))
+            want = float(exact.quantize(Decimal(1).scaleb(-digits), rounding=ROUND_HALF_UP))
+            assert got[g] == want, (g, digits, got[g], want)
