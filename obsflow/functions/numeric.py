@@ -18,74 +18,73 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-LIMIT_UNITS = 9e15  # per-value bound; bigint sums stay exact up to ~10^3 such values per group
+EXACT_UNITS = float(1 << 53)  # integer-valued doubles add exactly below this
 
 
-def representable(c, scale: int) -> Column:
-    """True for finite values whose 10^-scale units fit comfortably in a bigint."""
-    x = _c(c).cast("double")
-    return ~F.isnan(x) & (F.abs(x) * F.lit(float(10 ** scale)) < F.lit(LIMIT_UNITS))
-
-
-def scaled_int(c, scale: int) -> Column:
-    """The value in integer units of 10^-scale: x * 10^scale rounded half away from zero.
+def units(c, scale: int) -> Column:
+    """The value in units of 10^-scale, rounded half away from zero, as an integer-valued double.
 
-    Plain double math on each row (stays in generated code, no BigDecimal per
-    row); equal to a cast to DECIMAL(18, scale) of the product. NULL for NaN,
-    infinities and values too large to count in units.
+    Plain double math on each row (stays in generated code). Sums of such
+    values are exact and order independent while they stay below 2^53; NaN and
+    infinities pass through unchanged, so aggregates over them behave exactly
+    like Spark's double aggregates.
     """
     p = _c(c).cast("double") * F.lit(float(10 ** scale))
-    units = (F.signum(p) * F.floor(F.abs(p) + F.lit(0.5))).cast("bigint")
-    return F.when(representable(c, scale), units)
+    # doubles of magnitude >= 2^53 are whole numbers already; infinities and NaN pass through
+    # (``floor`` returns a bigint, which would clamp them)
+    return F.when(F.abs(p) < F.lit(EXACT_UNITS), F.signum(p) * F.floor(F.abs(p) + F.lit(0.5))).otherwise(p)
+
+
+def scaled_int(c, scale: int) -> Column:
+    """``units`` as bigint (NULL for NaN, infinities and values beyond 2^53 units)."""
+    u = units(c, scale)
+    return F.when(F.abs(u) < F.lit(EXACT_UNITS), u.cast("bigint"))
 
 
 def at_resolution(c, scale: int = 2) -> Column:
-    """The value rounded to ``scale`` decimals, as double (NULL when not representable)."""
-    return scaled_int(c, scale) / F.lit(float(10 ** scale))
+    """The value rounded to ``scale`` decimals, as double; NaN counts as missing (NULL)."""
+    return F.nanvl(units(c, scale) / F.lit(float(10 ** scale)), F.lit(None).cast("double"))
 
 
-def _decimal_mean_of_scaled(S: Column, n: Column, digits: int, scale: int) -> Column:
-    """S / n carried to 18 places as a decimal, rounded half up once (any size of S)."""
+def _decimal_quotient(S: Column, n: Column, digits: int, scale: int) -> Column:
+    """S / n carried to 18 places as a decimal, rounded half up once (any bigint S)."""
     q = F.try_divide(S.cast("decimal(20,0)"), n.cast("decimal(20,0)"))
     return (F.round(q, digits - scale) / F.lit(10 ** scale)).cast("double")
 
 
-def mean_of_scaled(scaled: Column, digits: int, scale: int) -> Column:
-    """Mean of integer units of 10^-scale, rounded half away from zero to ``digits`` decimals.
+def mean_of_units(u: Column, x: Column, digits: int, scale: int) -> Column:
+    """Mean of ``x`` read as ``units`` ``u``, rounded half away from zero to ``digits``.
 
-    The sum is an exact bigint (partial per partition, order independent). The
-    rounded quotient is formed once per group in long arithmetic -- quotient
-    and remainder, +1 away from zero when the remainder is at least half --
-    which is exact while |sum| * 10^(digits - scale) < 2^53; larger sums take a
-    decimal division at 18 places. Either way the result is the correctly
-    rounded mean, independent of partitioning.
+    Buffers: an exact bigint sum of the units below 2^53, a double sum of the
+    rest (NaN, infinities, absurdly large values; NULL when there are none) and
+    the row count. Without a rest the mean is exact: the rounded quotient is
+    formed once per group in long arithmetic while it fits, else as an 18-place
+    decimal. With a rest, the double average carries NaN / +-inf exactly as
+    Spark's ``avg`` does.
     """
-    S, n = F.sum(scaled), F.count(scaled)
+    small = F.abs(u) < F.lit(EXACT_UNITS)
+    S = F.sum(F.when(small, u.cast("bigint")))
+    rest = F.sum(F.when(~small, x))
+    n = F.count(x)
+    k_up = 10 ** max(0, digits - scale)
     if digits >= scale:
-        num, den = S * F.lit(10 ** (digits - scale)), n
+        num, den = S * F.lit(k_up), n
     else:
         num, den = S, n * F.lit(10 ** (scale - digits))
     r = num % den
     q = ((num - r).cast("double") / den.cast("double")).cast("bigint")   # exact: num - r is a multiple of den
     rounded = q + F.when(F.abs(r) * 2 >= den, F.signum(num).cast("bigint")).otherwise(F.lit(0))
-    fits = F.abs(S) < F.lit((1 << 53) // 10 ** max(0, digits - scale))
+    approx = (F.coalesce(S.cast("double"), F.lit(0.0)) / F.lit(float(10 ** scale)) + rest) / n.cast("double")
     return (F.when(n == 0, F.lit(None).cast("double"))
-            .when(fits, rounded / F.lit(10.0 ** digits))
-            .otherwise(_decimal_mean_of_scaled(S, n, digits, scale)))
-
-
-def exact_or_double(exact: Column, double_result: Column, bad: Column) -> Column:
-    """``exact`` unless the group holds a value it cannot represent (NaN, +-inf, huge);
-    then the plain double aggregate, which carries NaN / infinity as Spark's own does."""
-    return F.when(F.max(F.when(bad, 1).otherwise(0)) == 1, double_result).otherwise(exact)
+            .when(rest.isNotNull(), F.round(approx, digits))
+            .when(F.abs(S) < F.lit(int(EXACT_UNITS) // k_up), rounded / F.lit(10.0 ** digits))
+            .otherwise(_decimal_quotient(S, n, digits, scale)))
 
 
 def decimal_mean(c, digits: int, in_scale: int = 2) -> Column:
     """``round(avg(c), digits)`` over values read at ``in_scale`` decimals, exactly."""
     x = _c(c).cast("double")
-    bad = x.isNotNull() & ~representable(x, in_scale)
-    return exact_or_double(mean_of_scaled(scaled_int(x, in_scale), digits, in_scale),
-                           F.round(F.avg(x), digits), bad)
+    return mean_of_units(units(x, in_scale), x, digits, in_scale)
 
 
 def exact_avg(c, digits: int, in_scale: int = 2) -> Column:
@@ -100,15 +99,11 @@ def exact_mean(c, in_scale: int = 2) -> Column:
 
 def decimal_max(c, digits: int = 2) -> Column:
     """``round(max(c), digits)``; rounding is monotone, so max of rounded = rounded max."""
-    x = _c(c).cast("double")
-    return exact_or_double(F.max(scaled_int(x, digits)) / F.lit(float(10 ** digits)),
-                           F.round(F.max(x), digits), x.isNotNull() & ~representable(x, digits))
+    return F.max(units(c, digits)) / F.lit(float(10 ** digits))
 
 
 def decimal_min(c, digits: int = 2) -> Column:
-    x = _c(c).cast("double")
-    return exact_or_double(F.min(scaled_int(x, digits)) / F.lit(float(10 ** digits)),
-                           F.round(F.min(x), digits), x.isNotNull() & ~representable(x, digits))
+    return F.min(units(c, digits)) / F.lit(float(10 ** digits))
 
 
 def rounded_stddev(c, digits: int) -> Column:

@@ -12,8 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obsflow.functions.numeric import (at_resolution, exact_mean, exact_or_double, mean_of_scaled,
-                                       representable, scaled_int)
+from obsflow.functions.numeric import at_resolution, exact_mean, mean_of_units, units
 from obsflow.operators.joins import join_small
 
 # ---- Fixed values: model features --------------------------------------------
@@ -119,10 +118,7 @@ def feature_deviation(df: DataFrame, features=FEATURES, by: str | None = None) -
     aggs = []
     for f in features:
         # |x - median| in units of 0.001: x at 0.01, the median (a midpoint) at 0.001
-        dev = F.abs(scaled_int(f, 2) * F.lit(10) - scaled_int(f"med_{f}", 3))
-        x = F.col(f).cast("double")
-        bad = x.isNotNull() & ~representable(x, 2)
-        aggs.append(exact_or_double(mean_of_scaled(dev, 6, 3),
-                                    F.round(F.avg(F.abs(x - F.col(f"med_{f}"))), 6), bad).alias(f"mad_{f}"))
+        dev = F.abs(units(f, 2) * F.lit(10.0) - units(f"med_{f}", 3))
+        aggs.append(mean_of_units(dev, dev / F.lit(1000.0), 6, 3).alias(f"mad_{f}"))
     out = _long(grp.agg(*aggs), features, {"mad": "mad_{f}"}, [by] if by else None)
     return out.orderBy(*([by] if by else []), F.desc("mad"))
