@@ -111,11 +111,6 @@ def rounded_stddev(c, digits: int) -> Column:
     return F.round(F.stddev_samp(_c(c)).cast("decimal(18,8)"), digits).cast("double")
 
 
-def round_half_up(c, digits: int) -> Column:
-    """Half-up rounding of a double's decimal value (Spark ``round``)."""
-    return F.round(_c(c), digits)
-
-
 def spark_interpolate(lo: float, hi: float, pos: float) -> float:
     """Linear interpolation between order statistics, as Spark's ``percentile``."""
     lower, higher = math.floor(pos), math.ceil(pos)

@@ -12,7 +12,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StructField, StructType
@@ -144,10 +143,6 @@ def recent_anomalies(anomalies: DataFrame, n: int = 20, time_col: str = "event_t
     return anomalies.orderBy(F.desc_nulls_last(t), F.desc_nulls_last("city")).limit(n).select(*cols)
 
 
-def persist_scored(df: DataFrame) -> DataFrame:
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
 def capped_anomaly_rate(records_hist: DataFrame, anomalies_hist: DataFrame, *,
                         cap_records: int | None = None, cap_anomalies: int | None = None) -> DataFrame:
     """Anomaly rate over history tables, optionally over the newest N rows of each.

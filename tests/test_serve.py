@@ -95,3 +95,14 @@ def test_empty_input_everywhere(spark):
     assert scoring.percentile_flag(empty, "temperature").count() == 0
     assert anomalies.detect_anomalies(empty).count() == 0
     assert messages.parse_messages(messages.encode_messages(empty)).count() == 0
+
+
+def test_clock_text_and_single_shuffle(spark):
+    from obsflow.functions.text import clock_text
+    from obsflow.operators import windows
+    from obsflow.plans.explain import count_exchanges
+    from obsflow.sources.tables import weather_view
+    from tests.conftest import SF001
+    t = spark.range(1).select(clock_text(F.lit("2024-01-01 10:04:59").cast("timestamp")).alias("t")).first()["t"]
+    assert t == "10:04:59 UTC"
+    assert count_exchanges(windows.window_aggregates(weather_view(spark, SF001))) == 1
