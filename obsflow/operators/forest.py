@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from obsflow.schemas import FOREST_NODE_SCHEMA
+from obsflow.session import checkpoint_root
 
 # ---- Fixed values: forest parameters -----------------------------------------
 N_TREES = 100
@@ -180,13 +181,16 @@ def tree_samples(df: DataFrame, features: list[str], key_cols: list[str] | None
     seeded per-row draw (``rand(seed)``: per-partition streams, so a recomputed
     partition draws the same rows); pool rows are then numbered, and the
     per-tree draws hash that number. ``key_cols`` is accepted for callers that
-    name row keys; the draw does not need them. The caller unpersists the pool.
+    name row keys; the draw does not need them.
     """
     base = df.select(*[F.col(f).cast("double").alias(f) for f in features])
     n = base.count() if n_rows is None else n_rows
     frac = 1.0 if n <= pool_rows else pool_rows / n
     pool = base if frac >= 1.0 else base.where(F.rand(seed) < F.lit(frac))
-    pool = pool.withColumn("__h", F.monotonically_increasing_id()).persist()
+    # The pool (about POOL_ROWS rows) is written to the shared checkpoint folder: a lost
+    # executor cannot redraw it, and every tree reads the same rows and row numbers.
+    checkpoint_root(df.sparkSession)
+    pool = pool.withColumn("__h", F.monotonically_increasing_id()).checkpoint(eager=True)
     m = pool.count()
     psi = min(max_samples, m)
     rate = 1.0 if m <= psi else min(1.0, rate_boost * (psi + 6.0 * math.sqrt(psi) + 16.0) / m)
