@@ -35,3 +35,9 @@ def test_query_matches_oracle(spark, con, key):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0 and df.columns[:3] == ["window_start", "window_end", "city"]
+
+
+@pytest.mark.parametrize("key", sorted(set(E.queries()) - set(E.oracle_sql())))
+def test_rows_only_query_runs(spark, key):
+    rows = E.queries()[key](spark, SF001).count()
+    assert rows > 0
