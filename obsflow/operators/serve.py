@@ -33,7 +33,11 @@ def latest_by_city(df: DataFrame, *, fields: list[str] | None = None, time_col:
     t = F.col(time_col)
     src = df.where(F.col(key).isNotNull() & t.isNotNull())
     if mode == "row":
-        aggs = [F.max_by(F.col(c), t).alias(c) for c in fields]
+        # the newest row; rows tied on time resolve by a hash of the row, never by arrival order
+        cols = [F.col(c) for c in fields]
+        newest = F.max(F.struct(t.alias("t"), F.xxhash64(*cols).alias("h"), F.struct(*cols).alias("r")))
+        return src.groupBy(key).agg(newest.alias("__n")).select(
+            key, *[F.col(f"__n.r.{c}").alias(c) for c in fields], F.col("__n.t").alias(time_col))
     else:
         # newest (time, value) pair per column: rows tied on time resolve to the largest
         # value, so the result never depends on row order

@@ -106,3 +106,11 @@ def test_clock_text_and_single_shuffle(spark):
     t = spark.range(1).select(clock_text(F.lit("2024-01-01 10:04:59").cast("timestamp")).alias("t")).first()["t"]
     assert t == "10:04:59 UTC"
     assert count_exchanges(windows.window_aggregates(weather_view(spark, SF001))) == 1
+
+
+def test_latest_row_mode_ties_are_deterministic(spark):
+    rows = [dict(city="A", temperature=float(i), humidity=i, timestamp="2024-01-01T10:00:00+00:00") for i in range(6)]
+    df = _df(spark, rows)
+    a = serve.latest_by_city(df, mode="row").first()
+    b = serve.latest_by_city(df.repartition(3), mode="row").first()
+    assert a == b and a["humidity"] == int(a["temperature"])   # one whole row, same either way
