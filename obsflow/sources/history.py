@@ -93,11 +93,13 @@ def history_last_n(hist: DataFrame, n: int = 2000, *, prune: bool = True) -> Dat
 
 
 def records_scan(spark: SparkSession, path: str, *, fmt: str = "parquet",
-                 descending: bool = False) -> DataFrame:
+                 descending: bool = False, sort: bool = True) -> DataFrame:
     """Read a record table, coerce ``timestamp`` to UTC time (bad -> NULL), sort by time.
 
     ``fmt="json"`` reads JSON arrays/lines with the fixed record schema.
-    Missing data gives an empty frame with the schema.
+    Missing data gives an empty frame with the schema. The sort is a
+    range-partitioned global sort; pass ``sort=False`` when the consumer
+    aggregates or filters anyway.
     """
     try:
         if fmt == "json":
@@ -107,6 +109,8 @@ def records_scan(spark: SparkSession, path: str, *, fmt: str = "parquet",
     except AnalysisException:
         df = _empty(spark, RECORD_SCHEMA)
     df = df.withColumn("event_time", F.try_to_timestamp(F.col("timestamp")))
+    if not sort:
+        return df
     order = F.desc_nulls_last("event_time") if descending else F.asc_nulls_last("event_time")
     return df.orderBy(order, F.asc_nulls_last("city"))
 

@@ -105,7 +105,9 @@ def test_clock_text_and_single_shuffle(spark):
     from tests.conftest import SF001
     t = spark.range(1).select(clock_text(F.lit("2024-01-01 10:04:59").cast("timestamp")).alias("t")).first()["t"]
     assert t == "10:04:59 UTC"
-    assert count_exchanges(windows.window_aggregates(weather_view(spark, SF001))) == 1
+    wins = windows.window_aggregates(weather_view(spark, SF001))
+    assert count_exchanges(wins) == 1
+    assert "partial_sum" in plan_text(wins, "simple")      # combined per partition before the shuffle
 
 
 def test_latest_row_mode_ties_are_deterministic(spark):
