@@ -51,11 +51,19 @@ def load_nodes(spark: SparkSession, root: str, version: int):
     return spark.read.parquet(f"{root.rstrip('/')}/nodes").where(F.col("version") == version).drop("version")
 
 
-def load_model(spark: SparkSession, root: str) -> Model | None:
-    """The newest committed model, or None (missing or unreadable store)."""
+def committed_versions(spark: SparkSession, root: str) -> list[int]:
     try:
-        v = latest_version(spark, root)
-        if v is None:
+        return sorted({r["version"] for r in spark.read.parquet(f"{root.rstrip('/')}/commits")
+                       .select("version").distinct().collect()})   # one row per retrain
+    except Exception:  # no store yet
+        return []
+
+
+def load_model(spark: SparkSession, root: str, version: int | None = None) -> Model | None:
+    """The newest committed model (or committed ``version``), or None (missing or unreadable store)."""
+    try:
+        v = latest_version(spark, root) if version is None else version
+        if v is None or (version is not None and version not in committed_versions(spark, root)):
             return None
         root = root.rstrip("/")
         meta = spark.read.parquet(f"{root}/meta").where(F.col("version") == v).first()

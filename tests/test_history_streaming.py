@@ -124,3 +124,23 @@ def test_late_data_equals_brute_force(spark):
             k = (dt.datetime.fromtimestamp(ws / 1e6, dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S"), city)
             want[k] = want.get(k, 0) + 1
     assert got == want
+
+
+def test_score_then_retrain_policy(spark):
+    """Each batch is scored with the newest model committed before it; retrains every 2 batches."""
+    from obsflow.operators import anomalies as anom
+    from obsflow.sources import model_store
+    sink = Q._stream_records(spark, SF001, "test-policy", detect=True, n_chunks=5,
+                             mode="score_then_retrain", retrain_every=2, fit_args={"n_trees": 10})
+    assert model_store.committed_versions(spark, sink.model_path) == [0, 2, 4]
+    rec = history.read_history(spark, sink.records_path)
+    an = history.read_history(spark, sink.anomalies_path)
+    used = {0: 0, 1: 0, 2: 0, 3: 2, 4: 2}           # retraining happens after a batch is scored
+    for b, v in used.items():
+        model = model_store.load_model(spark, sink.model_path, v)
+        batch = rec.where(F.col("batch_id") == b).drop("batch_id", "row_hash")
+        want = {(r["offset"], r["anomaly_score"]) for r in
+                anom.apply_model(batch, model).where("is_anomaly").select("offset", "anomaly_score").collect()}
+        got = {(r["offset"], r["anomaly_score"]) for r in
+               an.where(F.col("batch_id") == b).select("offset", "anomaly_score").collect()}
+        assert got == want, b
