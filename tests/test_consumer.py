@@ -107,3 +107,12 @@ def test_window_stream_on_rocksdb_state(spark):
             spark.conf.set(key, old)
         else:
             spark.conf.unset(key)
+
+
+def test_kafka_format_needs_the_connector(spark):
+    """The Kafka path is the same code with format="kafka"; without the connector jar on the
+    class path (as here) Spark says so when the source is built."""
+    import pytest
+    from pyspark.errors import AnalysisException
+    with pytest.raises(AnalysisException, match="(?i)kafka"):
+        messages.kafka_source(spark, bootstrap="localhost:9092", fmt="kafka")
