@@ -39,10 +39,13 @@ def save_model(spark: SparkSession, model: Model, root: str, version: int, nodes
         .write.mode("append").parquet(f"{root}/commits")
 
 
-def latest_version(spark: SparkSession, root: str) -> int | None:
+def latest_version(spark: SparkSession, root: str, before: int | None = None) -> int | None:
+    """Newest committed version (below ``before`` when given); one aggregate row."""
     try:
-        r = spark.read.parquet(f"{root.rstrip('/')}/commits").agg(F.max("version").alias("v")).first()
-        return r["v"]
+        c = spark.read.parquet(f"{root.rstrip('/')}/commits")
+        if before is not None:
+            c = c.where(F.col("version") < F.lit(int(before)))
+        return c.agg(F.max("version").alias("v")).first()["v"]
     except Exception:  # no store yet
         return None
 

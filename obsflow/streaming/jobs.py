@@ -94,7 +94,7 @@ class RecordSink:
         self.train_rows = train_rows
         self.lookback_batches = lookback_batches
         self.fit_args = fit_args or {}
-        self._model = None  # newest committed model, reloaded only when a new version commits
+        self._model = None  # the model in use, reloaded only when another version is needed
 
     @property
     def records_path(self):
@@ -132,7 +132,7 @@ class RecordSink:
             if self.mode == "refit_batch":
                 scored, _ = anom.score_all(clean, **self.fit_args)
             else:
-                model = self._current_model(spark)
+                model = self._model_for(spark, batch_id)
                 if model is None:
                     model = anom.fit_model(clean, version=batch_id, **self.fit_args)
                     if model is None:
@@ -154,15 +154,19 @@ class RecordSink:
             log.error("batch %s: anomaly step failed: %s", batch_id, exc, exc_info=True)
 
 
-    def _current_model(self, spark: SparkSession):
-        v = model_store.latest_version(spark, self.model_path)
+    def _model_for(self, spark: SparkSession, batch_id: int):
+        """The newest version committed before this batch, so a replayed batch is scored
+        with the same model as the first time; the very first batch fits its own."""
+        v = model_store.latest_version(spark, self.model_path, before=batch_id)
         if v is None:
-            return None
+            v = batch_id if model_store.latest_version(spark, self.model_path, before=batch_id + 1) == batch_id \
+                else None
+            if v is None:
+                return None
         if self._model is None or self._model.version != v:
-            self._model = model_store.load_model(spark, self.model_path)
+            self._model = model_store.load_model(spark, self.model_path, v)
         return self._model
 
-
 def start_record_sink(obs: DataFrame, sink: RecordSink, checkpoint: str, *, trigger=TRIGGER,
                       query_name: str | None = None) -> StreamingQuery:
     w = obs.writeStream.outputMode("append").foreachBatch(sink).option("checkpointLocation", checkpoint)

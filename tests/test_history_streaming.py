@@ -144,3 +144,11 @@ def test_score_then_retrain_policy(spark):
         got = {(r["offset"], r["anomaly_score"]) for r in
                an.where(F.col("batch_id") == b).select("offset", "anomaly_score").collect()}
         assert got == want, b
+    # an at-least-once replay of the last batch (which also retrained) gives the same anomalies
+    before = {tuple(r) for r in an.where("batch_id = 4").select("offset", "anomaly_score").collect()}
+    replay = rec.where("batch_id = 4").drop("batch_id", "row_hash").persist()
+    replay.count()
+    sink(replay, 4)
+    after = {tuple(r) for r in history.read_history(spark, sink.anomalies_path)
+             .where("batch_id = 4").select("offset", "anomaly_score").collect()}
+    assert after == before and model_store.committed_versions(spark, sink.model_path) == [0, 2, 4]
