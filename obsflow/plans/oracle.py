@@ -352,3 +352,5 @@ register("rejected_records", _rejected_sql())
 
 register("quarantined_payloads", """
 SELECT -event_id - 1 AS event_id, props AS payload, 'missing main' AS reject_reason FROM events""")
+
+ORACLE["stream_quality_report"] = ORACLE["quality_report"]

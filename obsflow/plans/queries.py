@@ -453,3 +453,10 @@ def q_quarantined_payloads(spark, sf_dir):
                      F.col("props").alias("payload"))
     raw = raw.unionByName(bad).drop("props")
     return messages.quarantined_payloads(raw).select("event_id", "payload", "reject_reason")
+
+
+@query
+def q_stream_quality_report(spark, sf_dir):
+    """The quality row the streaming record sink writes for its (single) micro-batch."""
+    sink = _stream_records(spark, sf_dir, "stream-quality", detect=False)
+    return spark.read.parquet(sink.quality_path).drop("batch_id")
