@@ -69,6 +69,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         root = tempfile.mkdtemp(prefix="obsflow-ckpt-")
         sc.setCheckpointDir(root)
         return sc.getCheckpointDir() or root
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)   # the configured shared folder, so DataFrame.checkpoint() can use it
     return root
 
 
