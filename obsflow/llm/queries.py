@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsflow.llm.line_dedup import line_dedup
+from obsflow.llm.minhash import near_duplicates
 from obsflow.llm.mixing import mix
 
 
@@ -27,7 +28,13 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
 
 
+def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its shingle count, the smallest id of its group of near copies, and whether it stays."""
+    return near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_dedup": op3_line_dedup,
     "op4_mix_sources": op4_mix_sources,
+    "op9_minhash_dedup": op9_minhash_dedup,
 }
