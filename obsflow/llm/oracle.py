@@ -69,9 +69,40 @@ SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesc
        d.doc_id <= coalesce(c.other, d.doc_id) AS kept
 FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN c ON c.node = d.doc_id
 """
+CONTAMINATION = r"""
+WITH dw AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
+), bw AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark
+), b AS (
+  SELECT DISTINCT item_id, least(len(ws), 13) AS n,
+         unnest(list_transform(range(1, greatest(len(ws) - 13, 0) + 2),
+                lambda i: array_to_string(ws[i:i + least(len(ws), 13) - 1], ' '))) AS w
+  FROM bw WHERE len(ws) > 0
+), lens AS (SELECT DISTINCT n FROM b),
+d AS (
+  SELECT doc_id, n, unnest(range(1, len(ws) - n + 2)) AS pos,
+         unnest(list_transform(range(1, len(ws) - n + 2), lambda i: array_to_string(ws[i:i + n - 1], ' '))) AS w
+  FROM dw, lens WHERE len(ws) >= n
+), hits AS (SELECT d.doc_id, d.pos, d.n, b.item_id FROM d JOIN b ON d.w = b.w AND d.n = b.n),
+cover AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(pos, pos + n)) AS p FROM hits)
+  GROUP BY doc_id
+), its AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS names
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS i FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM dw LEFT JOIN cover USING (doc_id) LEFT JOIN its USING (doc_id)
+"""
 
 ORACLE: dict[str, str] = {
     "op3_line_dedup": LINE_DEDUP,
     "op4_mix_sources": MIX,
+    "op7_decontaminate": CONTAMINATION,
     "op9_minhash_dedup": NEAR,
 }

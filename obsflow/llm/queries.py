@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from obsflow.llm.decontaminate import contamination
 from obsflow.llm.line_dedup import line_dedup
 from obsflow.llm.minhash import near_duplicates
 from obsflow.llm.mixing import mix
@@ -28,6 +29,14 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: words covered by benchmark windows, the items found and the verdict."""
+    found = contamination(_table(spark, sf_dir, "documents").select("doc_id", "text"),
+                          _table(spark, sf_dir, "benchmark").select("item_id", "text"))
+    return found.select(F.col("row_id").alias("doc_id"), "n_words", "n_hit", "n_items",
+                        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"), "contaminated")
+
+
 def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: its shingle count, the smallest id of its group of near copies, and whether it stays."""
     return near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -36,5 +45,6 @@ def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_dedup": op3_line_dedup,
     "op4_mix_sources": op4_mix_sources,
+    "op7_decontaminate": op7_decontaminate,
     "op9_minhash_dedup": op9_minhash_dedup,
 }
