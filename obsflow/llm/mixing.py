@@ -99,7 +99,7 @@ def schedule(spark, targets: DataFrame, total: int, block_words: int, chunk: int
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_repeats: int = 3, block_words: int = 1024,
-        bucket_docs: int = 20_000, id_col: str = "doc_id", text_col: str = "text",
+        bucket_docs: int = 2_000, id_col: str = "doc_id", text_col: str = "text",
         source_col: str = "source") -> DataFrame:
     """(doc_id, size, source_size, target, taken) for every row of ``docs``.
 
