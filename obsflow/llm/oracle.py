@@ -99,10 +99,26 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
 FROM dw LEFT JOIN cover USING (doc_id) LEFT JOIN its USING (doc_id)
 """
+WARC = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS x FROM pages),
+g AS (SELECT h, max(page_id) AS chosen FROM p GROUP BY h),
+v AS (
+  SELECT page_id, strlen(p.h)::BIGINT AS payload_bytes, chosen,
+         list_transform(range(0, 8), lambda i: ('0x' || substr(x, 1 + 5 * i, 5))::INTEGER) AS v
+  FROM p JOIN g USING (h)
+)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(v, lambda n: array_to_string(list_transform([15, 10, 5, 0], lambda s:
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((n >> s) & 31) + 1, 1)), '')), '') AS payload_digest,
+       CASE WHEN page_id = chosen THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> chosen THEN chosen END AS refers_to
+FROM v
+"""
 
 ORACLE: dict[str, str] = {
     "op3_line_dedup": LINE_DEDUP,
     "op4_mix_sources": MIX,
+    "op5_warc": WARC,
     "op7_decontaminate": CONTAMINATION,
     "op9_minhash_dedup": NEAR,
 }

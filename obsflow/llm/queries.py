@@ -11,6 +11,8 @@ from obsflow.llm.decontaminate import contamination
 from obsflow.llm.line_dedup import line_dedup
 from obsflow.llm.minhash import near_duplicates
 from obsflow.llm.mixing import mix
+from obsflow.llm.warc import plan_records, read_archives, write_archives
+from obsflow.session import work_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +31,13 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per page: what its record in the written archives says, read back through the verified boundary chain."""
+    path = work_dir(spark, "warc-archives")
+    write_archives(plan_records(_table(spark, sf_dir, "pages")), path)
+    return read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: words covered by benchmark windows, the items found and the verdict."""
     found = contamination(_table(spark, sf_dir, "documents").select("doc_id", "text"),
@@ -45,6 +54,7 @@ def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_dedup": op3_line_dedup,
     "op4_mix_sources": op4_mix_sources,
+    "op5_warc": op5_warc,
     "op7_decontaminate": op7_decontaminate,
     "op9_minhash_dedup": op9_minhash_dedup,
 }
