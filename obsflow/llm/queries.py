@@ -11,6 +11,7 @@ from obsflow.llm.decontaminate import contamination
 from obsflow.llm.line_dedup import line_dedup
 from obsflow.llm.minhash import near_duplicates
 from obsflow.llm.mixing import mix
+from obsflow.llm.suffix_dedup import suffix_dedup
 from obsflow.llm.warc import plan_records, read_archives, write_archives
 from obsflow.session import work_dir
 
@@ -51,10 +52,17 @@ def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: bytes covered by repeated 400-byte strings and the SHA-256 of the rest."""
+    out = suffix_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_dedup": op3_line_dedup,
     "op4_mix_sources": op4_mix_sources,
     "op5_warc": op5_warc,
     "op7_decontaminate": op7_decontaminate,
     "op9_minhash_dedup": op9_minhash_dedup,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
