@@ -93,3 +93,24 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int =
             b = max(a + 1, int(np.searchsorted(off, off[a] + max_bytes, "right")) - 1)
             yield batch.slice(a, b - a)
             a = b
+
+
+def sorted_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """The groups of equal first ``keys`` (integer) columns, from batches sorted by them; a group may span batches."""
+    held: list[pa.RecordBatch] = []
+    last: tuple | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        k = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(keys)])
+        cut = np.flatnonzero((k[:, 1:] != k[:, :-1]).any(axis=0)) + 1
+        edges = [0, *cut.tolist(), batch.num_rows]
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            now = tuple(k[:, a].tolist())
+            if held and now != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = now
+    if held:
+        yield pa.Table.from_batches(held)

@@ -114,8 +114,25 @@ SELECT page_id, payload_bytes,
        CASE WHEN page_id <> chosen THEN chosen END AS refers_to
 FROM v
 """
+VECTORS = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda c: c IS NULL OR isnan(c) OR isinf(c))) = 0
+    AND len(list_filter(embedding, lambda c: c <> 0)) > 0
+), l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+    AND len(a.x) = len(b.x) WHERE list_cosine_similarity(a.x, b.x) >= 0.98
+), r AS (SELECT a AS node, b AS other FROM l UNION SELECT r.node, l.b FROM r JOIN l ON r.other = l.a),
+c AS (SELECT node, min(other) AS other FROM r GROUP BY node),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT e.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, least(e.vec_id, coalesce(c.other, e.vec_id)) AS component_id,
+       e.vec_id <= coalesce(c.other, e.vec_id) AS kept
+FROM embeddings e LEFT JOIN n ON n.a = e.vec_id LEFT JOIN c ON c.node = e.vec_id
+"""
 
 ORACLE: dict[str, str] = {
+    "op2_near_vectors": VECTORS,
     "op3_line_dedup": LINE_DEDUP,
     "op4_mix_sources": MIX,
     "op5_warc": WARC,
