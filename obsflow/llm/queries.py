@@ -11,6 +11,7 @@ from obsflow.llm.decontaminate import contamination
 from obsflow.llm.line_dedup import line_dedup
 from obsflow.llm.minhash import near_duplicates
 from obsflow.llm.mixing import mix
+from obsflow.llm.quality import quality_scores
 from obsflow.llm.spherical import near_vectors
 from obsflow.llm.suffix_dedup import suffix_dedup
 from obsflow.llm.warc import plan_records, read_archives, write_archives
@@ -21,6 +22,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its quality score from the additive model and the decision at 0.3."""
+    return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op2_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per vector: its links at cosine 0.98 within its label, and the smallest id reachable by links."""
     return near_vectors(_table(spark, sf_dir, "embeddings"))
@@ -65,6 +71,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
     "op2_near_vectors": op2_near_vectors,
     "op3_line_dedup": op3_line_dedup,
     "op4_mix_sources": op4_mix_sources,
