@@ -14,6 +14,7 @@ from obsflow.llm.mixing import mix
 from obsflow.llm.quality import quality_scores
 from obsflow.llm.spherical import near_vectors
 from obsflow.llm.suffix_dedup import suffix_dedup
+from obsflow.llm.toxicity import toxicity_scores
 from obsflow.llm.warc import plan_records, read_archives, write_archives
 from obsflow.session import work_dir
 
@@ -59,6 +60,13 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its toxicity score over all windows and the decision at 0.3."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = toxicity_scores(docs, docs, _table(spark, sf_dir, "labels"))
+    return out.select(F.col("row_id").alias("doc_id"), "held_out", "score", "predicted", "n_windows")
+
+
 def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: its shingle count, the smallest id of its group of near copies, and whether it stays."""
     return near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -77,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mix_sources": op4_mix_sources,
     "op5_warc": op5_warc,
     "op7_decontaminate": op7_decontaminate,
+    "op8_toxicity": op8_toxicity,
     "op9_minhash_dedup": op9_minhash_dedup,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
