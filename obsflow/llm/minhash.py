@@ -4,9 +4,9 @@ Every document's distinct word shingles fall into ``bins`` by their hash; the
 smallest hash of a bin is its signature entry and an empty bin borrows from a
 non-empty one along a bin-specific random order (optimal densification). Bands
 of ``rows`` entries name buckets. Equal sets are one node. In a bucket only the
-star from its smallest member to the others is compared; buckets whose members
-then still lie in different components compare the members outside the bucket's
-largest component with all others, so no link between components is left out.
+star from its smallest member to the others is compared. Documents of buckets
+whose members then still lie in different components are compared across them,
+block by block, so no link between components is left out.
 Candidates are confirmed on the full shingle sets of the whole texts.
 
 Rules: documents without words link with nothing; a row with a null id links
@@ -21,8 +21,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
-from obsflow.llm.common import components, stash, text_slices, utf8
+from obsflow.llm.common import components, shuffle_width, sorted_groups, stash, text_slices, utf8
 from obsflow.llm.words import mix64, shingle_sets
 
 BINS, ROWS = 160, 4
@@ -137,7 +138,109 @@ def _confirm(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, k: int, num:
     return stash(full.mapInArrow(_verifier(k, num, den), "a long, b long"), f"{name}-links")
 
 
-def near_duplicates(docs: DataFrame, k: int = 4, num: int = 80, den: int = 100,
+def _set_rows(k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches, "text"):
+            sets, off = shingle_sets(*utf8(batch.column(1)), k)
+            lists = pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(sets.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(off)), lists], ["doc_id", "n", "hs"])
+    return run
+
+
+def _compare_blocks(num: int, den: int):
+    """Groups are (band, i, j): block i against block j of a bucket. Gives links that join what is apart.
+
+    A pair is compared only in the first band the two share, on the full sets;
+    of the links found a spanning forest goes out, so the output is linear.
+    """
+    def solve(t: pa.Table) -> tuple[list[int], list[int]]:
+        band, i, j = (t.column(c)[0].as_py() for c in range(3))
+        doc, part, chunk = (t.column(c).to_numpy() for c in (3, 4, 5))
+        m = len(doc)
+        bands = t.column(6).combine_chunks().flatten().to_numpy().reshape(m, -1)
+        lists = t.column(7).combine_chunks()
+        flat, size = lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy())
+        owner = np.repeat(np.arange(m), size)
+        _, at, often = np.unique(flat, return_inverse=True, return_counts=True)
+        shared = often[at] > 1
+        names, at = np.unique(at[shared], return_inverse=True)
+        owner = owner[shared]
+        inter = np.zeros((m, m), dtype=np.float32)
+        order = np.argsort(at, kind="stable")
+        at, owner = at[order], owner[order]
+        for c in range(0, len(names), 4096):
+            a, b = np.searchsorted(at, [c, c + 4096])
+            has = np.zeros((m, min(4096, len(names) - c)), dtype=np.float32)
+            has[owner[a:b], at[a:b] - c] = 1
+            inter += has @ has.T
+        inter = inter.astype(np.int64)
+        link = den * inter >= num * (size[:, None] + size[None, :] - inter)
+        link &= (part[:, None] != part[None, :]) & (np.arange(m)[:, None] < np.arange(m)[None, :])
+        if i != j:
+            link &= chunk[:, None] != chunk[None, :]
+        x, y = np.nonzero(link)
+        first = (bands[x] == bands[y]).argmax(axis=1)
+        mine = bands[x, first] == band
+        root = {p: p for p in part[np.concatenate([x, y])].tolist()}
+
+        def find(p: int) -> int:
+            while root[p] != p:
+                root[p] = root[root[p]]
+                p = root[p]
+            return p
+
+        out: tuple[list[int], list[int]] = ([], [])
+        for u, v in zip(x[mine].tolist(), y[mine].tolist(), strict=True):
+            p, q = find(part[u]), find(part[v])
+            if p != q:
+                root[p] = q
+                out[0].append(doc[u])
+                out[1].append(doc[v])
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in sorted_groups(batches, 3):
+            if t.num_rows > 1:
+                a, b = solve(t)
+                if a:
+                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+    return run
+
+
+def _links_between(left: DataFrame, nodes: DataFrame, texts: DataFrame, k: int, num: int, den: int,
+                   block: int) -> DataFrame:
+    """Links between components among ``left(band, doc_id, component)``, the documents of mixed buckets.
+
+    In any one order of all shingles, two linked sets share a shingle among the
+    first n - ceil(s * n) + 1 of each. With rare shingles first, documents that
+    share a common passage and nothing else drop out; the others are compared
+    block by block inside their buckets.
+    """
+    some = left.select("doc_id").distinct()
+    sets = stash(some.join(texts, "doc_id").select("doc_id", "text").mapInArrow(
+        _set_rows(k), "doc_id long, n long, hs array<long>"), "minhash-sets")
+    rows = sets.select("doc_id", "n", F.explode("hs").alias("h"))
+    often = rows.groupBy("h").agg(F.count(F.lit(1)).alias("f"))
+    rare_first = Window.partitionBy("doc_id", "n").orderBy("f", "h")
+    active = (rows.join(often, "h").withColumn("rank", F.row_number().over(rare_first))
+              .where(F.expr(f"rank <= n - (n * {num} + {den} - 1) div {den} + 1 and f > 1"))
+              .select("doc_id").distinct())
+    seen = stash(left.join(active, "doc_id"), "minhash-active")
+    sizes = (seen.groupBy("band").agg(F.count(F.lit(1)).alias("m"), F.min("component").alias("lo"),
+                                      F.max("component").alias("hi"))
+             .where("lo <> hi").select("band", F.ceil(F.col("m") / block).cast("int").alias("chunks")))
+    sizes = stash(sizes, "minhash-sizes")
+    placed = (seen.join(sizes, "band").withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int"))
+              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+              .join(nodes.select("doc_id", "bands"), "doc_id").join(sets, "doc_id")
+              .select("band", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"),
+                      "doc_id", "component", "chunk", "bands", "hs"))
+    where = ["band", "i", "j"]
+    return stash(placed.repartition(shuffle_width(texts.sparkSession), *where).sortWithinPartitions(*where)
+                 .mapInArrow(_compare_blocks(num, den), "a long, b long"), "minhash-rest-links")
+
+
+def near_duplicates(docs: DataFrame, k: int = 4, num: int = 80, den: int = 100, block: int = 512,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) per row of ``docs``.
 
@@ -162,21 +265,13 @@ def near_duplicates(docs: DataFrame, k: int = 4, num: int = 80, den: int = 100,
     links = _confirm(star, nodes, texts, k, num, den, "minhash-star")
     label = components(links, "minhash-first")
 
-    # Buckets that still hold several components: their members outside the largest one against all.
-    seen = stash(inside.join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-                 .withColumn("component", F.coalesce("component", "doc_id")), "minhash-labelled")
-    tally = seen.groupBy("band", "component").agg(F.count(F.lit(1)).alias("m"))
-    largest = (tally.groupBy("band").agg(F.max(F.struct("m", "component")).alias("top"), F.count(F.lit(1)).alias("c"))
-               .where("c > 1").select("band", F.col("top.component").alias("main")))
-    largest = stash(largest, "minhash-open")
-    left = seen.join(largest, "band")
-    x = left.where("component <> main and doc_id <> hub").alias("x")
-    y = left.where("doc_id <> hub").alias("y")
-    rest = (x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.component") != F.col("y.component"))
-                   & (den * F.least("x.n_shingles", "y.n_shingles") >= num * F.greatest("x.n_shingles", "y.n_shingles")))
-            .select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b"))
-            .distinct())
-    more = _confirm(rest, nodes, texts, k, num, den, "minhash-rest")
+    # Buckets that still hold several components: their documents are compared across components.
+    seen = inside.join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    seen = stash(seen.select("band", "doc_id", F.coalesce("component", "doc_id").alias("component")), "minhash-labelled")
+    mixed = stash(seen.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+                  .where("lo <> hi").select("band"), "minhash-mixed")
+    left = stash(seen.join(mixed, "band"), "minhash-left")
+    more = _links_between(left, nodes, texts, k, num, den, block)
     label = components(links.unionByName(more), "minhash-all")
 
     part = (classes.join(label.withColumnRenamed("node", "rep"), "rep", "left")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsflow.llm.decontaminate import contamination
+from obsflow.llm.html import extract_text
 from obsflow.llm.line_dedup import line_dedup
 from obsflow.llm.minhash import near_duplicates
 from obsflow.llm.mixing import mix
@@ -52,6 +53,11 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per page: the text of its article, read along the wrapper of its host."""
+    return extract_text(_table(spark, sf_dir, "pages"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: words covered by benchmark windows, the items found and the verdict."""
     found = contamination(_table(spark, sf_dir, "documents").select("doc_id", "text"),
@@ -84,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_dedup": op3_line_dedup,
     "op4_mix_sources": op4_mix_sources,
     "op5_warc": op5_warc,
+    "op6_html_text": op6_html_text,
     "op7_decontaminate": op7_decontaminate,
     "op8_toxicity": op8_toxicity,
     "op9_minhash_dedup": op9_minhash_dedup,
