@@ -7,8 +7,10 @@ through ``try_*`` functions instead), adaptive execution for batch jobs.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -54,6 +56,29 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """``configure`` and, once per application, send the package to the executors.
+
+    Executors' Python has no path to the folder that the driver imports from.
+    """
+    configure(spark)
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        here = os.path.dirname(os.path.abspath(__file__))
+        path = os.path.join(tempfile.mkdtemp(prefix="obsflow-src-"), "obsflow_src.zip")  # served by the driver
+        with zipfile.ZipFile(path, "w") as z:
+            for top, _, names in os.walk(here):
+                for name in sorted(n for n in names if n.endswith(".py")):
+                    full = os.path.join(top, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(here)))
+        spark.sparkContext.addPyFile(path)
+        _shipped.add(app)
+    return spark
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
