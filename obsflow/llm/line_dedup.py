@@ -28,11 +28,6 @@ def _lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n")
 
 
-def _row(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """A row is named by its id and the hash of its text, so that rows with a repeated id stay apart."""
-    return docs.withColumn("_id", F.col(id_col)).withColumn("_th", F.xxhash64(F.col(text_col)))
-
-
 def keep_bitmaps(docs: DataFrame, min_chars: int = 40, min_docs: int = 5,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Bitmaps of dropped lines: (_id, _th, n_dropped, drops array<struct<word, bits>>), one row per affected row.
@@ -42,8 +37,9 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 40, min_docs: int = 5,
     line w * 63 + b; words without a dropped line are left out.
     """
     spark = docs.sparkSession
-    lines = (_row(docs, id_col, text_col)
-             .select("_id", "_th", F.posexplode(_lines(F.col(text_col))).alias("pos", "line"))
+    # a row is named by its id and the hash of its text, so that rows with a repeated id stay apart
+    lines = (docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_th"),
+                         F.posexplode(_lines(F.col(text_col))).alias("pos", "line"))
              .withColumn("line", F.btrim("line", F.lit(BLANKS)))
              .where(F.char_length("line") >= min_chars)
              .withColumn("line", ascii_lower(F.col("line")))
@@ -65,9 +61,9 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 40, min_docs: int = 5,
                  F.sort_array(F.collect_list(F.struct("word", "bits"))).alias("drops")))
 
 
-def _kept_text(text: Column) -> Column:
+def _kept_text(text: Column, drops: Column) -> Column:
     """The text without its dropped lines; every step is linear in the number of lines."""
-    gone = F.flatten(F.transform("drops", lambda w: F.transform(
+    gone = F.flatten(F.transform(drops, lambda w: F.transform(
         F.filter(F.sequence(F.lit(0), F.lit(WORD_BITS - 1)),
                  lambda b: w["bits"].bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), b)) != 0),
         lambda b: w["word"] * WORD_BITS + b)))
@@ -77,20 +73,21 @@ def _kept_text(text: Column) -> Column:
 
 
 def apply_keep(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All rows and columns of ``docs`` plus n_lines, n_dropped and kept_text (null where nothing was dropped)."""
-    d = _row(docs, id_col, text_col).alias("d")
-    b = bitmaps.alias("b")
-    cond = F.col("d._id").eqNullSafe(F.col("b._id")) & (F.col("d._th") == F.col("b._th"))
-    return (d.join(b, cond, "left").select(
-        *[F.col(f"d.`{c}`") for c in docs.columns],
-        F.size(_lines(F.col(f"d.`{text_col}`"))).cast("long").alias("n_lines"),
-        F.coalesce("n_dropped", F.lit(0)).cast("long").alias("n_dropped"),
-        F.col("b.drops").alias("drops"),
-        F.when(F.col("b.drops").isNotNull(), _kept_text(F.col(f"d.`{text_col}`"))).alias("kept_text")))
+    """All rows and columns of ``docs`` plus n_lines, n_dropped, drops and kept_text (null where nothing was dropped).
+
+    Columns of ``docs`` with one of these names give way.
+    """
+    d, b = docs.alias("d"), bitmaps.alias("b")
+    text = F.col(f"d.`{text_col}`")
+    same = F.col(f"d.`{id_col}`").eqNullSafe(F.col("b._id")) & (F.xxhash64(text) == F.col("b._th"))
+    own = {"n_lines": F.size(_lines(text)).cast("long"),
+           "n_dropped": F.coalesce(F.col("b.n_dropped"), F.lit(0)).cast("long"), "drops": F.col("b.drops"),
+           "kept_text": F.when(F.col("b.drops").isNotNull(), _kept_text(text, F.col("b.drops")))}
+    return d.join(b, same, "left").select(*[F.col(f"d.`{c}`") for c in docs.columns if c.lower() not in own],
+                                          *[v.alias(k) for k, v in own.items()])
 
 
 def line_dedup(docs: DataFrame, min_chars: int = 40, min_docs: int = 5,
                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with n_lines, n_dropped, drops (bitmap words) and kept_text."""
-    slim = docs.select(id_col, text_col)
-    return apply_keep(docs, keep_bitmaps(slim, min_chars, min_docs, id_col, text_col), id_col, text_col)
+    return apply_keep(docs, keep_bitmaps(docs, min_chars, min_docs, id_col, text_col), id_col, text_col)

@@ -70,7 +70,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: its toxicity score over all windows and the decision at 0.3."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     out = toxicity_scores(docs, docs, _table(spark, sf_dir, "labels"))
-    return out.select(F.col("row_id").alias("doc_id"), "held_out", "score", "predicted", "n_windows")
+    return out.select("doc_id", "held_out", "score", "predicted", "n_windows")
 
 
 def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from obsflow.llm.common import text_slices, utf8
 from obsflow.llm.quality import fold
@@ -279,9 +280,11 @@ class Scorer:
 
 
 def toxicity_scores(docs: DataFrame, labelled: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2,
-                    threshold: float = 0.3, fit_rows: int = FIT_ROWS, fit_bytes: int = FIT_BYTES,
+                    threshold: float = 0.3, fit_rows: int = FIT_ROWS, fit_bytes: int = FIT_BYTES, carry: bool = False,
                     id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
-    """(row_id, th, held_out, score, predicted, n_windows, worst_word) per row of ``docs``.
+    """(id, score, n_windows, worst_word, held_out, predicted) per row of ``docs``.
+
+    ``carry`` keeps all columns of ``docs``, but for those with a name of the result.
 
     ``labelled`` are the documents that ``labels`` speaks of. The model is
     fitted on at most ``fit_rows`` of those outside the held fold whose text has
@@ -296,14 +299,17 @@ def toxicity_scores(docs: DataFrame, labelled: DataFrame, labels: DataFrame, fol
     data, off = utf8(sample.column(0))
     model = spark.sparkContext.broadcast(Scorer(data, off, sample.column(1).to_numpy().astype(np.float64)))
 
+    at = docs.columns.index(text_col)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, "text", 1 << 20):
-            score, many, worst = model.value.score(*utf8(batch.column(2)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(score), pa.array(many),
-                                              pa.array(worst)], ["row_id", "th", "score", "n_windows", "worst_word"])
-
-    rows = docs.select(F.col(id_col).cast("long").alias("row_id"), F.xxhash64(text_col).alias("th"),
-                       F.col(text_col).alias("text"))
-    return (rows.mapInArrow(run, "row_id long, th long, score double, n_windows long, worst_word long")
-            .select("row_id", "th", fold(F.col("row_id"), folds, held).alias("held_out"), "score",
-                    (F.col("score") >= threshold).cast("int").alias("predicted"), "n_windows", "worst_word"))
+        for batch in text_slices(batches, text_col, 1 << 20):
+            found = [pa.array(x) for x in model.value.score(*utf8(batch.column(at)))]
+            columns = [c for c, name in zip(batch.columns, batch.schema.names, strict=True) if name in carried]
+            yield pa.RecordBatch.from_arrays(columns + found, schema.names)
+
+    own = {"score", "n_windows", "worst_word", "held_out", "predicted"}
+    carried = [c for c in docs.columns if c == id_col or (carry and c.lower() not in own)]
+    added = StructType.fromDDL("score double, n_windows long, worst_word long")
+    schema = StructType([docs.schema[c] for c in carried] + added.fields)
+    return (docs.mapInArrow(run, schema).withColumn("held_out", fold(F.col(id_col), folds, held))
+            .withColumn("predicted", (F.col("score") >= threshold).cast("int")))
