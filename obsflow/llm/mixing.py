@@ -57,7 +57,8 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_r
     s = s.withColumn("target", F.when(F.col("open").isNull(), (max_repeats * F.col("source_size")).cast("double"))
                      .otherwise((F.col("open.left_words") * F.col("w")).cast("double") / F.col("open.left_weight")))
     run = Window.orderBy("rk")
-    s = s.withColumn("cum_hi", F.sum("target").over(run) / F.sum("target").over(every))
+    s = s.withColumn("cum_hi", F.coalesce(F.try_divide(
+        F.sum("target").over(run), F.sum("target").over(every)), F.lit(0.0)))
     return (s.withColumn("cum_lo", F.coalesce(F.lag("cum_hi").over(run), F.lit(0.0)))
             .withColumn("quota", F.floor("target").cast("long"))
             .select("source", "rk", "source_size", "target", "quota", "cum_lo", "cum_hi"))
