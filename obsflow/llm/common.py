@@ -48,23 +48,22 @@ def components(edges: DataFrame, name: str, max_rounds: int = 60) -> DataFrame:
     """
     cur = stash(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                 .distinct(), f"{name}-edges")
-    last = None
-    for i in range(max_rounds):
+    for _ in range(max_rounds):
         both = cur.unionByName(cur.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        small = stash(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), f"{name}-large-min")
-        large = (both.join(small, "a").where("b > a and b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                 .distinct())
-        large = stash(large, f"{name}-large")
-        small = stash(large.groupBy("a").agg(F.min("b").alias("m")), f"{name}-small-min")
-        step = large.join(small, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        cur = stash(step.unionByName(small.withColumnRenamed("m", "b")).where("a <> b").distinct(), f"{name}-small")
-        now = cur.agg(F.count("*"), F.coalesce(F.sum(F.hash("a", "b").cast("long")), F.lit(0))).first()
-        if now == last:
+        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        large = stash(both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(),
+                      f"{name}-large")
+        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        step = large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        cur = stash(step.unionByName(low.withColumnRenamed("m", "b")).distinct(), f"{name}-small")
+        # settled when all edges are stars: every node has one edge upwards or is a centre
+        ends = cur.select(F.col("a").alias("node"), F.lit(1).alias("up")).unionByName(
+            cur.select(F.col("b").alias("node"), F.lit(0).alias("up")).distinct())
+        if ends.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
             break
-        last = now
     else:
         raise RuntimeError(f"{name}: components did not settle in {max_rounds} rounds")
-    hubs = cur.groupBy("b").agg(F.lit(1)).select(F.col("b").alias("node"), F.col("b").alias("component"))
+    hubs = cur.select("b").distinct().select(F.col("b").alias("node"), F.col("b").alias("component"))
     return cur.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(hubs)
 
 
