@@ -20,6 +20,7 @@ from obsflow.functions.numeric import exact_quantile
 from obsflow.operators import features as feat
 from obsflow.operators import forest as iforest
 from obsflow.operators.scoring import CONTAMINATION, anomaly_rate, histogram_by  # noqa: F401
+from obsflow.session import work_dir
 
 # ---- Fixed values --------------------------------------------------------------
 MIN_SAMPLES = 5
@@ -27,7 +28,8 @@ DETAIL_DIGITS = 1
 RECENT_COLUMNS = ["timestamp", "city", "temperature", "humidity", "pressure", "wind_speed",
                   "weather_main", "anomaly_score"]
 # ------------------------------------------------------------------------------
-KEY_COLS = ["city", "timestamp"]
+#: Columns that name a row, the first ones present: an event id, or the position in the topic.
+KEY_COLS = [["event_id"], ["partition", "offset"], ["offset"]]
 
 
 @dataclass
@@ -49,52 +51,70 @@ def usable_features(stats: dict[str, dict]) -> list[str]:
     return [f for f, s in stats.items() if s["median"] is not None]
 
 
-def fit_model(df: DataFrame, *, features: list[str] = feat.FEATURES, n_trees: int = iforest.N_TREES,
-              max_samples: int = iforest.MAX_SAMPLES, seed: int = iforest.SEED,
-              contamination: float = CONTAMINATION, key_cols: list[str] | None = None,
-              version: int = 0) -> Model | None:
-    """Fit scaler + forest on ``df`` and set the threshold from its own scores."""
+def row_key(df: DataFrame) -> list[str]:
+    """The columns that name a row of ``df`` (none: equal rows are numbered instead)."""
+    return next((k for k in KEY_COLS if all(c in df.columns for c in k)), [])
+
+
+def fit_and_score(df: DataFrame, *, features: list[str] = feat.FEATURES, n_trees: int = iforest.N_TREES,
+                  max_samples: int = iforest.MAX_SAMPLES, seed: int = iforest.SEED,
+                  contamination: float = CONTAMINATION, key_cols: list[str] | None = None,
+                  version: int = 0, keep: bool = True) -> tuple[Model | None, DataFrame | None]:
+    """Fit scaler + forest on ``df``, score it once, set the threshold from those scores.
+
+    Returns the model and the scored rows: all columns (``keep``) or the score
+    alone, written once to the shared folder, so that the threshold and later
+    readers share one pass through Python and a lost executor costs no rescoring.
+    """
     feats = feat.available(df, features)
     if not feats:
-        return None
-    med = feat.medians_and_rows(df, feats)          # pass 1: medians + row count
-    n_rows = med["__rows"]
+        return None, None
+    n_rows = df.count()
     if n_rows < MIN_SAMPLES:
-        return None
-    stats = feat.stats_dict(feat.feature_stats(df, feats, med=med))   # pass 2
+        return None, None
+    stats = feat.stats_dict(feat.feature_stats(df, feats))
     feats = usable_features(stats)
-    if not feats or n_rows < MIN_SAMPLES:
-        return None
-    keys = [c for c in (key_cols or KEY_COLS) if c in df.columns]
+    if not feats:
+        return None, None
     z = feat.standardize(df, stats, prefix="__z_", features=feats)
     zcols = [_z(f) for f in feats]
-    nodes, psi = iforest.fit_nodes(z, zcols, keys, n_trees=n_trees, max_samples=max_samples, seed=seed,
-                                   n_rows=n_rows)
+    nodes, psi = iforest.fit_nodes(z, zcols, row_key(df) if key_cols is None else key_cols, n_trees=n_trees,
+                                   max_samples=max_samples, seed=seed, n_rows=n_rows)
     node_rows = nodes.collect()  # bounded: trees * (2 psi - 1) rows
     nodes.unpersist()
     forest = iforest.Forest.from_nodes(node_rows, zcols, psi)
     forest.extra["nodes"] = [tuple(r) for r in node_rows]
-    # training scores are read by several small jobs; exact_quantile materialises them once
-    scored = iforest.score(z.select(*zcols), forest).select("anomaly_score_raw")
+    scored = iforest.score(z, forest).select(*(df.columns if keep else []), "anomaly_score_raw")
+    path = work_dir(df.sparkSession, "scores")
+    scored.write.parquet(path)
+    scored = df.sparkSession.read.schema(scored.schema).parquet(path)
     thr = exact_quantile(scored, "anomaly_score_raw", contamination)
-    return Model(feats, {f: stats[f] for f in feats}, forest, thr, n_rows, version)
+    return Model(feats, {f: stats[f] for f in feats}, forest, thr, n_rows, version), scored
 
 
-def apply_model(df: DataFrame, model: Model, *, threshold: float | None = None) -> DataFrame:
-    """All input columns + anomaly_label (-1/1), anomaly_score (4 places), is_anomaly."""
-    thr = model.threshold if threshold is None else threshold
-    z = feat.standardize(df, model.stats, prefix="__z_", features=model.features)
-    zcols = [_z(f) for f in model.features]
-    s = iforest.score(z, model.forest, zcols)
+def fit_model(df: DataFrame, **fit_args) -> Model | None:
+    """Fit scaler + forest on ``df`` and set the threshold from its own scores."""
+    return fit_and_score(df, keep=False, **fit_args)[0]
+
+
+def _labelled(scored: DataFrame, columns: list[str], thr: float | None) -> DataFrame:
     below = (F.col("anomaly_score_raw") < F.lit(thr)) if thr is not None else F.lit(False)
-    return s.select(
-        *df.columns,
+    return scored.select(
+        *columns,
         F.when(below, F.lit(-1)).otherwise(F.lit(1)).cast("int").alias("anomaly_label"),
         iforest.round4(F.col("anomaly_score_raw")).alias("anomaly_score"),
         below.alias("is_anomaly"),
     )
 
 
+def apply_model(df: DataFrame, model: Model, *, threshold: float | None = None) -> DataFrame:
+    """All input columns + anomaly_label (-1/1), anomaly_score (4 places), is_anomaly."""
+    thr = model.threshold if threshold is None else threshold
+    z = feat.standardize(df, model.stats, prefix="__z_", features=model.features)
+    zcols = [_z(f) for f in model.features]
+    return _labelled(iforest.score(z, model.forest, zcols), df.columns, thr)
+
+
 def result_schema(df: DataFrame) -> StructType:
     return StructType(df.schema.fields + [StructField("anomaly_label", IntegerType(), True),
                                           StructField("anomaly_score", DoubleType(), True),
@@ -103,10 +123,12 @@ def result_schema(df: DataFrame) -> StructType:
 
 def score_all(df: DataFrame, *, model: Model | None = None, **fit_args) -> tuple[DataFrame, Model | None]:
     """Every row scored and labelled (refit on ``df`` unless a model is given)."""
-    m = model or fit_model(df, **fit_args)
+    if model is not None:
+        return apply_model(df, model), model
+    m, scored = fit_and_score(df, **fit_args)
     if m is None:
         return df.sparkSession.createDataFrame([], result_schema(df)), None
-    return apply_model(df, m), m
+    return _labelled(scored, df.columns, m.threshold), m
 
 
 def detect_anomalies(df: DataFrame, *, model: Model | None = None, **fit_args) -> DataFrame:
@@ -140,7 +162,8 @@ def recent_anomalies(anomalies: DataFrame, n: int = 20, time_col: str = "event_t
     """The ``n`` newest anomalies with the table's columns (a top-n, never a full sort)."""
     t = F.col(time_col) if time_col in anomalies.columns else F.try_to_timestamp(F.col("timestamp"))
     cols = [c for c in RECENT_COLUMNS if c in anomalies.columns]
-    return anomalies.orderBy(F.desc_nulls_last(t), F.desc_nulls_last("city")).limit(n).select(*cols)
+    ties = [F.desc_nulls_last(c) for c in ("city", "event_id", "offset") if c in anomalies.columns]
+    return anomalies.orderBy(F.desc_nulls_last(t), *ties).limit(n).select(*cols)
 
 
 def capped_anomaly_rate(records_hist: DataFrame, anomalies_hist: DataFrame, *,

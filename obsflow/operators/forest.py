@@ -2,15 +2,15 @@
 
 After Liu, Ting and Zhou, "Isolation Forest" (ICDM 2008):
 
-* **Sampling** -- each tree gets psi = min(256, n) rows without replacement.
-  A seeded per-row draw makes a uniform pool of about ``POOL_ROWS`` rows (one
-  scan, no shuffle); pool rows are numbered. Per tree, pool rows are kept
-  when a hash of (row number, tree) falls under a rate that over-delivers
-  psi; the generator emits only the selected (row, tree) pairs, about
-  1.4 * psi per tree, never a row x tree product. The psi smallest hashes per
-  tree are kept; a tree that got fewer is re-drawn with a higher rate. Draws
-  are per row, so identical copies are sampled independently and no group
-  grows with them; the same input gives the same forest.
+* **Sampling** -- each tree gets psi = min(max_samples, n) rows without
+  replacement out of all rows. Every row has a key (its id columns, else its
+  values and, for equal rows, the number of the copy), and all draws are hashes
+  of that key: how many trees take the row (a binomial count, zero for nearly
+  all rows of a large table), which ones, and its order in each tree. So one
+  scan without a shuffle selects about 1.4 psi rows a tree, whatever the size
+  and the partitioning of the input, and the same rows give the same forest. The
+  psi first rows of each tree are kept; a tree that got fewer is redrawn at a
+  higher rate.
 * **Building** -- ``groupBy(tree_id).applyInPandas``: one bounded group per
   tree; random non-constant feature, uniform threshold, depth limit
   ceil(log2(psi)); a split with an empty side makes a leaf.
@@ -36,14 +36,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from obsflow.schemas import FOREST_NODE_SCHEMA
-from obsflow.session import checkpoint_root
 
 # ---- Fixed values: forest parameters -----------------------------------------
 N_TREES = 100
 MAX_SAMPLES = 256
 SEED = 42
 # ------------------------------------------------------------------------------
-POOL_ROWS = 40_000
 EULER_GAMMA = 0.5772156649015329
 
 
@@ -169,37 +167,49 @@ def _unit(*cols) -> F.Column:
     return (F.pmod(F.xxhash64(*cols), F.lit(1 << 53)).cast("double") / F.lit(float(1 << 53)))
 
 
-def tree_samples(df: DataFrame, features: list[str], key_cols: list[str] | None = None, *,
-                 n_trees: int = N_TREES, max_samples: int = MAX_SAMPLES, seed: int = SEED,
-                 pool_rows: int = POOL_ROWS, rate_boost: float = 1.0,
-                 n_rows: int | None = None) -> tuple[DataFrame, int, int, DataFrame]:
-    """(row, tree) pairs for tree building, the pool size, psi and the cached pool.
+def _binomial_tail(n: int, p: float) -> list[float]:
+    """P(K >= j) for j = 1, 2, ... of a binomial count, as far as it is above 1e-18."""
+    log_pmf = [math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
+               + k * math.log(p) + (n - k) * math.log1p(-p) for k in range(n + 1)]
+    out, acc = [0.0] * (n + 1), 0.0
+    for k in range(n, 0, -1):
+        acc += math.exp(log_pmf[k])
+        out[k] = min(1.0, acc)
+    return [x for x in out[1:] if x > 1e-18]
 
-    Every draw is per row, never per value: identical copies of a row (even a
-    third of all rows) are drawn independently, exactly as row sampling
-    without replacement requires, and no group grows with them. The pool is a
-    seeded per-row draw (``rand(seed)``: per-partition streams, so a recomputed
-    partition draws the same rows); pool rows are then numbered, and the
-    per-tree draws hash that number. ``key_cols`` is accepted for callers that
-    name row keys; the draw does not need them.
+
+def keyed_rows(df: DataFrame, features: list[str], key_cols: list[str], copies: int = 1_000_000) -> DataFrame:
+    """The features and a key hash ``__h`` per row, independent of order and partitioning.
+
+    ``key_cols`` name a row. Without them equal rows are counted and numbered:
+    the numbers of a group of copies are produced in chunks of ``copies`` that
+    are dealt out, so copies of any number stay spread.
     """
-    base = df.select(*[F.col(f).cast("double").alias(f) for f in features])
-    n = base.count() if n_rows is None else n_rows
-    frac = 1.0 if n <= pool_rows else pool_rows / n
-    pool = base if frac >= 1.0 else base.where(F.rand(seed) < F.lit(frac))
-    # The pool (about POOL_ROWS rows) is written to the shared checkpoint folder: a lost
-    # executor cannot redraw it, and every tree reads the same rows and row numbers.
-    checkpoint_root(df.sparkSession)
-    pool = pool.withColumn("__h", F.monotonically_increasing_id()).checkpoint(eager=True)
-    m = pool.count()
-    psi = min(max_samples, m)
-    rate = 1.0 if m <= psi else min(1.0, rate_boost * (psi + 6.0 * math.sqrt(psi) + 16.0) / m)
+    cols = [F.col(f).cast("double").alias(f) for f in features]
+    if key_cols:
+        return df.select(*cols, F.xxhash64(*key_cols).alias("__h"))
+    counted = df.select(*cols).groupBy(*features).agg(F.count(F.lit(1)).alias("n"))
+    chunks = counted.withColumn("c", F.explode(F.sequence(F.lit(0), F.expr(f"(n - 1) div {copies}"))))
+    rows = chunks.repartition(*features, "c").withColumn("i", F.explode(F.sequence(
+        F.expr(f"c * {copies}"), F.expr(f"least(n, (c + 1) * {copies}) - 1"))))
+    return rows.select(*features, F.xxhash64(*features, "i").alias("__h"))
+
+
+def tree_samples(rows: DataFrame, features: list[str], n: int, psi: int, *, n_trees: int = N_TREES,
+                 seed: int = SEED, rate_boost: float = 1.0) -> DataFrame:
+    """(tree_id, __r, features) pairs, about 1.4 * psi per tree, from ``keyed_rows``."""
+    rate = 1.0 if n <= psi else min(1.0, rate_boost * (psi + 6.0 * math.sqrt(psi) + 16.0) / n)
     trees = F.sequence(F.lit(0), F.lit(n_trees - 1))
-    chosen = F.filter(trees, lambda t: _unit(F.col("__h"), F.lit(seed), t) < F.lit(rate)) \
-        if rate < 1.0 else trees
-    pairs = pool.select(F.explode(chosen).alias("tree_id"), "__h", *features) \
-        .withColumn("__r", F.xxhash64(F.col("__h"), F.lit(seed), F.col("tree_id"), F.lit(7)))
-    return pairs, m, psi, pool
+    h = F.col("__h")
+    if rate < 1.0:
+        tail = _binomial_tail(n_trees, rate)
+        u = _unit(h, F.lit(seed), F.lit(-1))
+        rows = rows.where(u < F.lit(tail[0]))   # the gate: one hash per row, before anything else
+        many = F.size(F.filter(F.array(*[F.lit(t) for t in tail]), lambda t: u < t))
+        order = F.array_sort(F.transform(trees, lambda t: F.struct(F.xxhash64(h, F.lit(seed), t).alias("o"), t.alias("t"))))
+        trees = F.transform(F.slice(order, 1, many), lambda s: s["t"])
+    return rows.select("__h", *features, F.explode(trees).alias("tree_id")) \
+        .withColumn("__r", F.xxhash64(h, F.lit(seed), F.col("tree_id"), F.lit(7)))
 
 
 # ---------------------------------------------------------------------------
@@ -236,7 +246,7 @@ def _build_one(tree_id: int, X: np.ndarray, psi: int, seed: int) -> list[tuple]:
 
 def _builder(features: list[str], psi: int, seed: int):
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["__r", "__h"], kind="mergesort").head(psi)
+        pdf = pdf.sort_values(["__r", "__h", *features], kind="mergesort").head(psi)
         tree_id = int(pdf["tree_id"].iloc[0])
         X = pdf[features].to_numpy(dtype=float)
         rows = _build_one(tree_id, X, psi, seed)
@@ -244,22 +254,20 @@ def _builder(features: list[str], psi: int, seed: int):
     return build
 
 
-def fit_nodes(df: DataFrame, features: list[str], key_cols: list[str], *, n_trees: int = N_TREES,
-              max_samples: int = MAX_SAMPLES, seed: int = SEED,
-              pool_rows: int = POOL_ROWS, n_rows: int | None = None) -> tuple[DataFrame, int]:
-    """Fit a forest; returns (nodes DataFrame, psi). Only node rows are materialised."""
+def fit_nodes(df: DataFrame, features: list[str], key_cols: list[str] | None = None, *, n_trees: int = N_TREES,
+              max_samples: int = MAX_SAMPLES, seed: int = SEED, n_rows: int | None = None) -> tuple[DataFrame, int]:
+    """Fit a forest on all rows; returns (nodes DataFrame, psi). Only node rows are materialised."""
+    rows = keyed_rows(df, features, [c for c in key_cols or [] if c in df.columns])
+    n = df.count() if n_rows is None else n_rows
+    psi = min(max_samples, n)
+    if psi == 0:
+        return df.sparkSession.createDataFrame([], FOREST_NODE_SCHEMA), 0
     boost = 1.0
     for _ in range(6):
-        pairs, m, psi, pool = tree_samples(df, features, key_cols, n_trees=n_trees, max_samples=max_samples,
-                                           seed=seed, pool_rows=pool_rows, rate_boost=boost, n_rows=n_rows)
-        if psi == 0:
-            pool.unpersist()
-            return df.sparkSession.createDataFrame([], FOREST_NODE_SCHEMA), 0
-        nodes = pairs.groupBy("tree_id").applyInPandas(_builder(features, psi, seed), FOREST_NODE_SCHEMA)
-        nodes = nodes.persist()
+        pairs = tree_samples(rows, features, n, psi, n_trees=n_trees, seed=seed, rate_boost=boost)
+        nodes = pairs.groupBy("tree_id").applyInPandas(_builder(features, psi, seed), FOREST_NODE_SCHEMA).persist()
         roots = nodes.where(F.col("node_id") == 0).agg(
             F.count(F.lit(1)).alias("t"), F.min("n_rows").alias("mn")).first()
-        pool.unpersist()
         if roots["t"] == n_trees and roots["mn"] == psi:
             return nodes, psi
         nodes.unpersist()

@@ -117,9 +117,8 @@ def test_exact_quantile_narrowing_matches_numpy(spark):
     vals = np.concatenate([rng.normal(size=5000), np.full(300, 0.25)])
     df = spark.createDataFrame([(float(v),) for v in vals], "v double").repartition(5)
     for q in (0.05, 0.5, 0.999):
-        got = exact_quantile(df, "v", q, exact_distinct_limit=10, buckets=16, final_rows=50)
+        got = exact_quantile(df, "v", q)
         assert got == pytest.approx(float(np.percentile(vals, 100 * q)), rel=0, abs=1e-12)
-        assert got == exact_quantile(df, "v", q)
 
 
 def test_summaries_on_empty_input(spark, clean, model):
@@ -145,29 +144,86 @@ def test_exact_quantile_with_infinities(spark):
     vals = [float(i) for i in range(200)] + [float("inf")] * 5 + [float("-inf")] * 3 + [float("nan")]
     df = spark.createDataFrame([(v,) for v in vals], "v double")
     for q in (0.0, 0.01, 0.5, 0.99, 1.0):
-        got = exact_quantile(df, "v", q, exact_distinct_limit=10, buckets=8, final_rows=5)
-        assert got == exact_quantile(df, "v", q)
+        assert exact_quantile(df, "v", q) == pytest.approx(float(spark.createDataFrame(
+            [(v,) for v in vals if v == v], "v double").agg(F.percentile("v", F.lit(q))).first()[0]), nan_ok=True)
+
+
+@pytest.mark.parametrize("vals", [
+    [5.0] * 50_000 + [7.0], [1e308, -1e308, 0.0], [5e-324, 0.0, 5e-324], [0.001, 0.002, 0.003], [1e-300, 1.0, 1e300], [2.5], []])
+def test_quantiles_collect_no_more_than_the_buckets(spark, vals, monkeypatch):
+    from obsflow.functions import numeric
+    sizes = []
+    real = type(spark.range(1)).collect
+    monkeypatch.setattr(type(spark.range(1)), "collect", lambda self: (lambda r: (sizes.append(len(r)), r)[1])(real(self)))
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    for q in (0.05, 0.5):
+        got = numeric.exact_quantile(df, "v", q)
+        want = float(np.percentile(vals, 100 * q)) if vals else None
+        assert got == (pytest.approx(want, rel=1e-12) if vals else None)
+    assert max(sizes, default=0) <= numeric.BUCKETS * 2
+
+
+def test_quantiles_by_group(spark):
+    from obsflow.functions.numeric import quantiles_by
+    rng = np.random.default_rng(5)
+    rows = [(None if g == 3 else f"g{g}", float(v), float(rng.integers(3)) if g else None)
+            for g in range(4) for v in np.concatenate([rng.normal(size=400) * 10.0 ** (3 * g), [1.5] * 300])]
+    df = spark.createDataFrame(rows, "g string, a double, b double").repartition(5)
+    got = {r["g"]: (r["a"], r["b"]) for r in quantiles_by(df, ["g"], ["a", "b"], 0.5).collect()}
+    want = {r["g"]: (r["a"], r["b"]) for r in df.groupBy("g").agg(F.median("a").alias("a"), F.median("b").alias("b")).collect()}
+    assert got.keys() == want.keys()
+    for k in want:
+        for a, b in zip(got[k], want[k]):
+            assert (a is None and b is None) or a == pytest.approx(b, rel=1e-12)
 
 
 def test_copies_are_sampled_per_row(spark):
-    """A third of all rows identical: the pool stays bounded and trees hold about a third copies."""
+    """A third of all rows identical, no key: every tree gets psi rows, about a third of them copies."""
     from pyspark.sql import Window
     n = 30_000
     df = spark.range(n).select(
         F.when(F.col("id") % 3 == 0, F.lit(1.0)).otherwise(F.col("id").cast("double")).alias("a"),
         F.when(F.col("id") % 3 == 0, F.lit(2.0)).otherwise((F.col("id") * 7 % 1000).cast("double")).alias("b"))
-    pairs, m, psi, pool = iforest.tree_samples(df, ["a", "b"], n_trees=50, pool_rows=6000)
-    try:
-        assert m < 7000 and psi == 256
-        per_tree = pairs.groupBy("tree_id").agg(F.count(F.lit(1)).alias("k")).collect()
-        assert max(r["k"] for r in per_tree) < 3 * psi
-        nodes, psi = iforest.fit_nodes(df, ["a", "b"], [], n_trees=50, pool_rows=6000)
-        # share of copies in the first psi rows of each tree, via the sample itself
-        top = pairs.withColumn("rk", F.row_number().over(Window.partitionBy("tree_id").orderBy("__r", "__h"))) \
-            .where(F.col("rk") <= psi)
-        share = top.agg(F.avg(((F.col("a") == 1.0) & (F.col("b") == 2.0)).cast("double"))).first()[0]
-        assert 0.28 < share < 0.39
-        roots = [r for r in nodes.collect() if r["node_id"] == 0]
-        assert len(roots) == 50 and all(r["n_rows"] == 256 for r in roots)
-    finally:
-        pool.unpersist()
+    rows = iforest.keyed_rows(df, ["a", "b"], [], copies=1000)
+    assert rows.count() == n and rows.select("__h").distinct().count() == n
+    pairs = iforest.tree_samples(rows, ["a", "b"], n, 256, n_trees=50)
+    per_tree = pairs.groupBy("tree_id").agg(F.count(F.lit(1)).alias("k")).collect()
+    assert len(per_tree) == 50 and max(r["k"] for r in per_tree) < 3 * 256
+    top = pairs.withColumn("rk", F.row_number().over(Window.partitionBy("tree_id").orderBy("__r", "__h"))) \
+        .where(F.col("rk") <= 256)
+    share = top.agg(F.avg(((F.col("a") == 1.0) & (F.col("b") == 2.0)).cast("double"))).first()[0]
+    assert 0.28 < share < 0.39
+    nodes, psi = iforest.fit_nodes(df, ["a", "b"], [], n_trees=50)
+    roots = [r for r in nodes.collect() if r["node_id"] == 0]
+    assert psi == 256 and len(roots) == 50 and all(r["n_rows"] == 256 for r in roots)
+
+
+@pytest.mark.parametrize("keys", [["id"], []])
+def test_forest_does_not_depend_on_the_layout(spark, keys):
+    base = spark.range(5000).select("id", (F.col("id") * 37 % 1009).cast("double").alias("a"),
+                                    (F.col("id") % 7).cast("double").alias("b"))
+    forests = [sorted(map(tuple, iforest.fit_nodes(d, ["a", "b"], keys, n_trees=20)[0].collect()))
+               for d in (base.coalesce(1), base.repartition(7), base.orderBy(F.rand(3)).repartition(3))]
+    assert forests[0] == forests[1] == forests[2]
+
+
+def test_any_sample_size_is_honoured(spark):
+    df = spark.range(60_000).select("id", F.col("id").cast("double").alias("a"))
+    nodes, psi = iforest.fit_nodes(df, ["a"], ["id"], n_trees=2, max_samples=45_000)
+    assert psi == 45_000 and {r["n_rows"] for r in nodes.where("node_id = 0").collect()} == {45_000}
+
+
+def test_infinite_values_are_missing_values(spark):
+    from obsflow.operators import features as feat
+    rows = [(float(i), float(i % 9)) for i in range(844)] + [(float("inf"), 1.0), (float("nan"), 2.0)]
+    df = spark.createDataFrame(rows, "temperature double, wind_speed double").withColumn("event_id", F.monotonically_increasing_id())
+    assert feat.non_finite_counts(df, ["temperature", "wind_speed"]) == {"temperature": 2, "wind_speed": 0}
+    m = anom.fit_model(df, n_trees=20)
+    used = {r[2] for r in m.forest.extra["nodes"]}
+    assert m.stats["temperature"]["median"] == 421.5 and {0, 1} <= used
+    assert anom.apply_model(df, m).where("anomaly_score is null or isnan(anomaly_score)").count() == 0
+
+
+def test_detection_scores_every_row_once(spark, clean, capsys):
+    anom.detect_anomalies(clean, n_trees=10).explain()
+    assert "ArrowEvalPython" not in capsys.readouterr().out   # reads the scores written while fitting
