@@ -47,7 +47,7 @@ def rejected_records(df: DataFrame, rules=DEFAULT_RULES) -> DataFrame:
 
 def quality_report(df: DataFrame, rules=DEFAULT_RULES, *, by: list[str] | None = None,
                    time_col: str | None = "event_time",
-                   malformed_col: str | None = None) -> DataFrame:
+                   malformed_col: str | None = None, bad_field_col: str | None = None) -> DataFrame:
     """One pass: rows, kept rows, rejects per rule, malformed rows, rows without time.
 
     Each rule is counted on its own (a row can fail several). All counters are
@@ -63,6 +63,8 @@ def quality_report(df: DataFrame, rules=DEFAULT_RULES, *, by: list[str] | None =
     aggs += [n_where(~c).alias(f"n_bad_{n}") for n, c in passes]
     if malformed_col:
         aggs.append(n_where(F.coalesce(F.col(malformed_col), F.lit(False))).alias("n_malformed"))
+    if bad_field_col:
+        aggs.append(n_where(F.coalesce(F.col(bad_field_col), F.lit(False))).alias("n_bad_field"))
     if time_col:
         aggs.append(n_where(F.col(time_col).isNull()).alias("n_null_time"))
     g = df.groupBy(*by) if by else df

@@ -459,4 +459,4 @@ def q_quarantined_payloads(spark, sf_dir):
 def q_stream_quality_report(spark, sf_dir):
     """The quality row the streaming record sink writes for its (single) micro-batch."""
     sink = _stream_records(spark, sf_dir, "stream-quality", detect=False)
-    return spark.read.parquet(sink.quality_path).drop("batch_id")
+    return spark.read.parquet(sink.quality_path).drop("batch_id", "n_bad_field")

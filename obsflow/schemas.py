@@ -4,10 +4,11 @@ All record fields are nullable, as in the source system; nothing is inferred.
 """
 
 from pyspark.sql.types import (
-    ArrayType, BinaryType, DoubleType, IntegerType, LongType, StringType,
+    ArrayType, BinaryType, BooleanType, DoubleType, IntegerType, LongType, StringType,
     StructField, StructType, TimestampType,
 )
 
+# ---- Fixed values: names, types and order of the fields ----------------------
 # Observation record: 17 flat fields.
 RECORD_SCHEMA = StructType([
     StructField("city", StringType(), True),
@@ -30,6 +31,13 @@ RECORD_SCHEMA = StructType([
 ])
 RECORD_FIELDS = [f.name for f in RECORD_SCHEMA.fields]
 
+# Anomaly record: an observation with its verdict.
+ANOMALY_SCHEMA = StructType(RECORD_SCHEMA.fields + [
+    StructField("anomaly_label", IntegerType(), True),
+    StructField("anomaly_score", DoubleType(), True),
+    StructField("is_anomaly", BooleanType(), True),
+])
+
 # Shape of a Kafka row (what readStream.format("kafka") produces).
 MESSAGE_SCHEMA = StructType([
     StructField("key", BinaryType(), True),
@@ -80,6 +88,11 @@ WINDOW_AGG_SCHEMA = StructType([
     StructField("record_count", LongType(), True),
 ])
 WINDOW_AGG_FIELDS = [f.name for f in WINDOW_AGG_SCHEMA.fields]
+# ------------------------------------------------------------------------------
+
+# What a history table adds to its records.
+HISTORY_FIELDS = [StructField("event_time", TimestampType(), True), StructField("row_hash", LongType(), True),
+                  StructField("batch_id", LongType(), True)]
 
 # Model tables.
 FOREST_NODE_SCHEMA = StructType([
@@ -92,11 +105,3 @@ FOREST_NODE_SCHEMA = StructType([
     StructField("depth", IntegerType(), False),
     StructField("n_rows", IntegerType(), False),
 ])
-
-FEATURE_STATS_SCHEMA = StructType([
-    StructField("feature", StringType(), False),
-    StructField("n", LongType(), True),
-    StructField("median", DoubleType(), True),
-    StructField("mean", DoubleType(), True),
-    StructField("std_pop", DoubleType(), True),
-])

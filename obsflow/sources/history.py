@@ -9,11 +9,14 @@ partition and merges them, so the view never sorts the whole history.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql.types import StructType
+from pyspark.errors import AnalysisException
 
-from obsflow.schemas import RECORD_FIELDS, RECORD_SCHEMA, WINDOW_AGG_SCHEMA
+from obsflow.schemas import ANOMALY_SCHEMA, HISTORY_FIELDS, RECORD_FIELDS, RECORD_SCHEMA, WINDOW_AGG_SCHEMA
 
 ARRIVAL_ORDER = ["batch_id", "event_time", "city", "row_hash"]
 
@@ -41,11 +44,20 @@ def _empty(spark: SparkSession, schema) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def read_history(spark: SparkSession, path: str) -> DataFrame:
+def missing(exc: AnalysisException) -> bool:
+    """Whether the error says that nothing has been written yet; any other one is a fault."""
+    return exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
+def read_history(spark: SparkSession, path: str, anomalies: bool = False) -> DataFrame:
+    """The table under ``path``; before its first batch, an empty table with all its columns."""
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
-        return _empty(spark, RECORD_SCHEMA)
+    except AnalysisException as exc:
+        if not missing(exc):
+            raise
+        schema = ANOMALY_SCHEMA if anomalies else RECORD_SCHEMA
+        return _empty(spark, StructType(schema.fields + HISTORY_FIELDS))
 
 
 def newest_batches_cutoff(hist: DataFrame, n: int) -> int | None:
@@ -57,17 +69,14 @@ def newest_batches_cutoff(hist: DataFrame, n: int) -> int | None:
     never one row per batch of the whole history.
     """
     b = F.col("batch_id")
-    r = hist.agg(F.max(b).alias("hi"), F.min(b).alias("lo")).first()
-    if r["hi"] is None:
+    ids = _batch_ids(hist)
+    if not ids:
         return None
-    hi, lo_all = r["hi"], r["lo"]
     width = 1
-    while True:
-        lo = hi - width + 1
-        if lo <= lo_all or hist.where(b >= F.lit(lo)).count() >= n:
-            break
+    while width < len(ids) and hist.where(b >= F.lit(ids[-width])).count() < n:
         width *= 2
-    counts = hist.where(b >= F.lit(max(lo, lo_all))).groupBy("batch_id") \
+    lo = ids[-min(width, len(ids))]
+    counts = hist.where(b >= F.lit(lo)).groupBy("batch_id") \
         .agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("batch_id")).collect()
     acc = 0
     for row in counts:
@@ -77,6 +86,31 @@ def newest_batches_cutoff(hist: DataFrame, n: int) -> int | None:
     return None
 
 
+def _batch_ids(hist: DataFrame) -> list[int]:
+    """Batch ids from the names of the table's files: no file is opened."""
+    found = {int(m[1]) for f in hist.inputFiles() if (m := re.search(r"/batch_id=(-?\d+)/", f))}
+    if found or "batch_id" not in hist.columns:
+        return sorted(found)
+    r = hist.agg(F.min("batch_id").alias("a"), F.max("batch_id").alias("b")).first()  # not a table of files
+    return [] if r["a"] is None else list(range(r["a"], r["b"] + 1))
+
+
+def compact(spark: SparkSession, path: str, into: str, *, keep_from: int | None = None,
+            batch_size: int = 1000) -> None:
+    """Rewrite the history under ``path`` to ``into`` with few files, one partition per ``batch_size`` batches.
+
+    ``batch_id`` becomes the first batch of its range, so "last N" reads keep
+    their order between ranges and use time inside one. ``keep_from`` leaves
+    older batches out (retention). Readers switch to ``into`` once it is written.
+    """
+    hist = read_history(spark, path)
+    if keep_from is not None:
+        hist = hist.where(F.col("batch_id") >= F.lit(keep_from))
+    ranged = hist.withColumn("batch_id", (F.floor(F.col("batch_id") / batch_size) * batch_size).cast("bigint"))
+    ranged.repartition("batch_id", F.pmod(F.col("row_hash"), F.lit(16))) \
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(into)
+
+
 def history_last_n(hist: DataFrame, n: int = 2000, *, prune: bool = True) -> DataFrame:
     """The newest ``n`` rows by arrival (batch, then time, city, hash).
 
@@ -93,21 +127,23 @@ def history_last_n(hist: DataFrame, n: int = 2000, *, prune: bool = True) -> Dat
 
 
 def records_scan(spark: SparkSession, path: str, *, fmt: str = "parquet",
-                 descending: bool = False, sort: bool = True) -> DataFrame:
+                 descending: bool = False, sort: bool = True, schema: StructType = RECORD_SCHEMA) -> DataFrame:
     """Read a record table, coerce ``timestamp`` to UTC time (bad -> NULL), sort by time.
 
-    ``fmt="json"`` reads JSON arrays/lines with the fixed record schema.
+    ``fmt="json"`` reads JSON arrays/lines with the fixed ``schema``.
     Missing data gives an empty frame with the schema. The sort is a
     range-partitioned global sort; pass ``sort=False`` when the consumer
     aggregates or filters anyway.
     """
     try:
         if fmt == "json":
-            df = spark.read.schema(RECORD_SCHEMA).option("multiLine", "true").json(path)
+            df = spark.read.schema(schema).option("multiLine", "true").json(path)
         else:
             df = spark.read.parquet(path)
-    except AnalysisException:
-        df = _empty(spark, RECORD_SCHEMA)
+    except AnalysisException as exc:
+        if not missing(exc):
+            raise
+        df = _empty(spark, schema)
     df = df.withColumn("event_time", F.try_to_timestamp(F.col("timestamp")))
     if not sort:
         return df
@@ -115,6 +151,11 @@ def records_scan(spark: SparkSession, path: str, *, fmt: str = "parquet",
     return df.orderBy(order, F.asc_nulls_last("city"))
 
 
+def anomaly_scan(spark: SparkSession, path: str, *, fmt: str = "parquet", sort: bool = True) -> DataFrame:
+    """The anomaly history (records with label, score and flag), newest first."""
+    return records_scan(spark, path, fmt=fmt, descending=True, sort=sort, schema=ANOMALY_SCHEMA)
+
+
 def write_window_rows(aggs: DataFrame, path: str) -> None:
     """Window rows as JSON lines (NULL fields are left out of each line)."""
     aggs.write.mode("overwrite").json(path)
@@ -128,6 +169,8 @@ def agg_scan(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     """
     try:
         df = spark.read.schema(WINDOW_AGG_SCHEMA).format(fmt).load(path)
-    except AnalysisException:
+    except AnalysisException as exc:
+        if not missing(exc):
+            raise
         df = _empty(spark, WINDOW_AGG_SCHEMA)
     return df.orderBy("window_start", "city")

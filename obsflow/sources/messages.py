@@ -93,9 +93,6 @@ def kafka_sink(messages: DataFrame, *, bootstrap: str, topic: str = TOPIC, check
     return None
 
 
-_PARSE_SCHEMA = StructType(RECORD_SCHEMA.fields + [StructField(CORRUPT_COL, StringType(), True)])
-
-
 def parse_once(df: DataFrame, parsed, name: str) -> DataFrame:
     """Add ``parsed`` (an expensive expression such as ``from_json``) as column ``name``,
     evaluated exactly once per row.
@@ -108,21 +105,31 @@ def parse_once(df: DataFrame, parsed, name: str) -> DataFrame:
 
 
 def parse_messages(messages: DataFrame, *, keep: list[str] | None = None,
-                   with_corrupt: bool = False) -> DataFrame:
+                   with_corrupt: bool = False, fields: list[str] | None = None) -> DataFrame:
     """Kafka rows -> typed records with ``event_time``.
 
-    PERMISSIVE parse: a malformed value gives NULL fields (and, with
-    ``with_corrupt``, a non-NULL ``_corrupt_record``); a wrongly typed field is
-    NULL on its own. ``event_time`` is ``try_to_timestamp(timestamp)``.
+    PERMISSIVE parse: a value that is no JSON object gives NULL fields, a
+    wrongly typed field is NULL on its own. With ``with_corrupt`` two flags tell
+    them apart: ``is_malformed`` (no record could be read) and ``has_bad_field``
+    (a record was read, but some field had the wrong type). ``fields`` parses
+    those record fields only. ``event_time`` is ``try_to_timestamp(timestamp)``.
     """
-    d = F.from_json(F.col("value").cast("string"), _PARSE_SCHEMA,
-                    {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL})
-    base = messages.select(*[F.col(c) for c in (keep or [])], "value")
-    out = parse_once(base, d, "__d").select(*[F.col(c) for c in (keep or [])], "__d.*")
-    out = out.withColumn("event_time", F.try_to_timestamp(F.col("timestamp")))
+    keep = [F.col(c) for c in (keep or [])]
+    wanted = [f for f in RECORD_SCHEMA.fields if fields is None or f.name in fields]
+    schema = StructType(wanted + ([StructField(CORRUPT_COL, StringType(), True)] if with_corrupt else []))
+    opts = {"mode": "PERMISSIVE"} | ({"columnNameOfCorruptRecord": CORRUPT_COL} if with_corrupt else {})
+    text = F.col("value").cast("string")
+    d = F.from_json(text, schema, opts)
+    out = parse_once(messages.select(*keep, "value"), d, "__d")
+    out = out.select(*keep, *([F.col("value")] if with_corrupt else []), "__d.*")
+    out = out.withColumn("event_time", F.try_to_timestamp(F.col("timestamp"))) if "timestamp" in out.columns else out
     if with_corrupt:
-        return out.withColumn("is_malformed", F.col(CORRUPT_COL).isNotNull()).drop(CORRUPT_COL)
-    return out.drop(CORRUPT_COL)
+        # only values the parser complained about are looked at again
+        bad = F.col(CORRUPT_COL).isNotNull()
+        is_object = F.json_object_keys(text).isNotNull()
+        out = out.withColumn("is_malformed", F.col("value").isNull() | (bad & ~is_object)) \
+            .withColumn("has_bad_field", F.col("value").isNotNull() & bad & is_object).drop(CORRUPT_COL, "value")
+    return out
 
 
 def encode_payloads(records: DataFrame, *, passthrough: list[str] | None = None,

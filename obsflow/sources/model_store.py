@@ -3,21 +3,20 @@
 A version is written whole (three small Parquet tables partitioned by
 ``version``, dynamic overwrite, so re-writing a version replaces it) and then
 committed by appending one row to ``commits``. Readers take the newest
-committed version; an unreadable store means "no model yet".
+committed version; a store without commits means "no model yet", any other
+fault is raised.
 """
 
 from __future__ import annotations
 
-import logging
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from obsflow.operators import forest as iforest
 from obsflow.operators.anomalies import Model
 from obsflow.schemas import FOREST_NODE_SCHEMA
-
-log = logging.getLogger(__name__)
+from obsflow.sources.history import missing
 
 
 def save_model(spark: SparkSession, model: Model, root: str, version: int, nodes_df=None) -> None:
@@ -39,46 +38,73 @@ def save_model(spark: SparkSession, model: Model, root: str, version: int, nodes
         .write.mode("append").parquet(f"{root}/commits")
 
 
+def _commits(spark: SparkSession, root: str):
+    """The commit log, or None while nothing has been committed; a storage fault is raised."""
+    try:
+        return spark.read.parquet(f"{root.rstrip('/')}/commits")
+    except AnalysisException as exc:
+        if missing(exc):
+            return None
+        raise
+
+
 def latest_version(spark: SparkSession, root: str, before: int | None = None) -> int | None:
     """Newest committed version (below ``before`` when given); one aggregate row."""
-    try:
-        c = spark.read.parquet(f"{root.rstrip('/')}/commits")
-        if before is not None:
-            c = c.where(F.col("version") < F.lit(int(before)))
-        return c.agg(F.max("version").alias("v")).first()["v"]
-    except Exception:  # no store yet
+    c = _commits(spark, root)
+    if c is None:
         return None
+    if before is not None:
+        c = c.where(F.col("version") < F.lit(int(before)))
+    return c.agg(F.max("version").alias("v")).first()["v"]
 
 
-def load_nodes(spark: SparkSession, root: str, version: int):
-    return spark.read.parquet(f"{root.rstrip('/')}/nodes").where(F.col("version") == version).drop("version")
+def is_committed(spark: SparkSession, root: str, version: int) -> bool:
+    c = _commits(spark, root)
+    return c is not None and not c.where(F.col("version") == F.lit(int(version))).isEmpty()
 
 
 def committed_versions(spark: SparkSession, root: str) -> list[int]:
-    try:
-        return sorted({r["version"] for r in spark.read.parquet(f"{root.rstrip('/')}/commits")
-                       .select("version").distinct().collect()})   # one row per retrain
-    except Exception:  # no store yet
-        return []
+    """All committed versions (for operators of the store; loading a model never lists them)."""
+    c = _commits(spark, root)
+    return [] if c is None else sorted(r["version"] for r in c.select("version").distinct().collect())
+
+
+def load_nodes(spark: SparkSession, root: str, version: int):
+    return spark.read.parquet(f"{root.rstrip('/')}/nodes").where(F.col("version") == version).drop("version")
 
 
 def load_model(spark: SparkSession, root: str, version: int | None = None) -> Model | None:
-    """The newest committed model (or committed ``version``), or None (missing or unreadable store)."""
-    try:
-        v = latest_version(spark, root) if version is None else version
-        if v is None or (version is not None and version not in committed_versions(spark, root)):
-            return None
-        root = root.rstrip("/")
-        meta = spark.read.parquet(f"{root}/meta").where(F.col("version") == v).first()
-        stats_rows = spark.read.parquet(f"{root}/stats").where(F.col("version") == v) \
-            .orderBy("position").collect()
-        feats = meta["features"].split(",") if meta["features"] else []
-        stats = {r["feature"]: {"feature": r["feature"], "n": r["n"], "median": r["median"],
-                                "mean": r["mean"], "std_pop": r["std_pop"]} for r in stats_rows}
-        nodes = load_nodes(spark, root, v).collect()  # bounded: trees * (2 psi - 1)
-        forest = iforest.Forest.from_nodes(nodes, [f"__z_{f}" for f in feats], meta["psi"])
-        forest.extra["nodes"] = [tuple(r) for r in nodes]
-        return Model(feats, {f: stats[f] for f in feats}, forest, meta["threshold"], meta["n_train"], v)
-    except Exception as exc:  # noqa: BLE001 - a broken store means "start fresh"
-        log.warning("could not load model from %s: %s", root, exc)
+    """The newest committed model (or committed ``version``); None while there is none."""
+    v = latest_version(spark, root) if version is None else version
+    if v is None or (version is not None and not is_committed(spark, root, version)):
         return None
+    root = root.rstrip("/")
+    meta = spark.read.parquet(f"{root}/meta").where(F.col("version") == v).first()
+    stats_rows = spark.read.parquet(f"{root}/stats").where(F.col("version") == v).orderBy("position").collect()
+    feats = meta["features"].split(",") if meta["features"] else []
+    stats = {r["feature"]: {"feature": r["feature"], "n": r["n"], "median": r["median"],
+                            "mean": r["mean"], "std_pop": r["std_pop"]} for r in stats_rows}
+    nodes = load_nodes(spark, root, v).collect()  # bounded: trees * (2 psi - 1)
+    forest = iforest.Forest.from_nodes(nodes, [f"__z_{f}" for f in feats], meta["psi"])
+    forest.extra["nodes"] = [tuple(r) for r in nodes]
+    return Model(feats, {f: stats[f] for f in feats}, forest, meta["threshold"], meta["n_train"], v)
+
+
+def prune_versions(spark: SparkSession, root: str, keep: int = 10) -> list[int]:
+    """Drop all but the newest ``keep`` committed versions from the store; returns the versions that stay.
+
+    The small tables are rewritten without the old versions; run it while no
+    writer is active.
+    """
+    c = _commits(spark, root)
+    if c is None:
+        return []
+    kept = [r["version"] for r in c.select("version").distinct().orderBy(F.desc("version")).limit(keep).collect()]
+    root = root.rstrip("/")
+    for name in ("nodes", "stats", "meta", "commits"):
+        t = spark.read.parquet(f"{root}/{name}")
+        # checkpointed to the shared folder, since the table is replaced by its own rows
+        left = t.where(F.col("version").isin(kept)).checkpoint()
+        w = left.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        (w.partitionBy("version") if name != "commits" else w).parquet(f"{root}/{name}")
+    return sorted(kept)

@@ -14,6 +14,7 @@ Two independent queries read the same source, each with its own checkpoint:
 from __future__ import annotations
 
 import logging
+import time
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -30,22 +31,23 @@ log = logging.getLogger(__name__)
 
 # ---- Fixed values --------------------------------------------------------------
 TRIGGER = "60 seconds"
-HISTORY_ROWS = 2000
 # ------------------------------------------------------------------------------
+#: The record fields the window statistics read.
+WINDOW_FIELDS = ["city", "timestamp", "temperature", "humidity", "pressure", "wind_speed", "clouds", "visibility"]
 
 
 def observation_stream(spark: SparkSession, *, fmt: str = "kafka", path: str | None = None,
                        bootstrap: str | None = None, topic: str = TOPIC, options: dict | None = None,
-                       keep: tuple[str, ...] = ("offset",), with_corrupt: bool = True,
-                       **source_args) -> DataFrame:
+                       keep: tuple[str, ...] = ("partition", "offset"), with_corrupt: bool = True,
+                       fields: list[str] | None = None, **source_args) -> DataFrame:
     """Parsed observation stream (records + event_time [+ kept message columns]).
 
     ``source_args`` go to ``kafka_source`` (``min_partitions``, ``max_offsets_per_trigger``,
-    ``starting_offsets``).
+    ``starting_offsets``). ``fields`` limits the parse to those record fields.
     """
     msgs = kafka_source(spark, fmt=fmt, path=path, bootstrap=bootstrap, topic=topic, options=options,
                         **source_args)
-    return parse_messages(msgs, keep=list(keep), with_corrupt=with_corrupt)
+    return parse_messages(msgs, keep=list(keep), with_corrupt=with_corrupt, fields=fields)
 
 
 def _with_trigger(writer, trigger):
@@ -74,25 +76,23 @@ class RecordSink:
     """``foreachBatch`` body: quality row, cleaned records, anomalies, model upkeep.
 
     ``mode="score_then_retrain"``: score with the newest committed model (the
-    first batch fits one), refit on the last ``train_rows`` rows of the last
-    ``lookback_batches`` batches every ``retrain_every`` batches, committed as
-    version = batch id.
+    first batch fits one), refit on the record history every ``retrain_every``
+    batches, committed as version = batch id. The refit reads all history, or
+    the newest ``train_rows`` rows where the caller asks for a bound.
     ``mode="refit_batch"``: fit on each batch and score it with that fit.
-    ``detect=False`` skips the model entirely. A model failure is logged and
-    does not fail the batch.
+    ``detect=False`` skips the model entirely. A failing fit or model is logged
+    and does not fail the batch; a failing write fails it, so it is replayed.
     """
 
     def __init__(self, root: str, *, rules=DEFAULT_RULES, detect: bool = True,
                  mode: str = "score_then_retrain", retrain_every: int = 2,
-                 train_rows: int = HISTORY_ROWS, lookback_batches: int = 100,
-                 fit_args: dict | None = None):
+                 train_rows: int | None = None, fit_args: dict | None = None):
         self.root = root.rstrip("/")
         self.rules = rules
         self.detect = detect
         self.mode = mode
         self.retrain_every = max(1, retrain_every)
         self.train_rows = train_rows
-        self.lookback_batches = lookback_batches
         self.fit_args = fit_args or {}
         self._model = None  # the model in use, reloaded only when another version is needed
 
@@ -117,10 +117,11 @@ class RecordSink:
         try:
             if batch.isEmpty():
                 return
-            malformed = "is_malformed" if "is_malformed" in batch.columns else None
-            history.write_batch(quality_report(batch, self.rules, malformed_col=malformed),
+            flags = [c for c in ("is_malformed", "has_bad_field") if c in batch.columns]
+            malformed, bad_field = (flags + [None, None])[:2]
+            history.write_batch(quality_report(batch, self.rules, malformed_col=malformed, bad_field_col=bad_field),
                                 self.quality_path, batch_id)
-            clean = clean_records(batch.drop(*(["is_malformed"] if malformed else [])), self.rules)
+            clean = clean_records(batch.drop(*flags), self.rules)
             history.write_batch(clean, self.records_path, batch_id)
             if self.detect:
                 self._anomalies(batch.sparkSession, clean, batch_id)
@@ -128,31 +129,42 @@ class RecordSink:
             batch.unpersist()
 
     def _anomalies(self, spark: SparkSession, clean: DataFrame, batch_id: int) -> None:
+        scored = self._guarded(batch_id, "scoring", lambda: self._scored(spark, clean, batch_id))
+        if scored is None:
+            return
+        history.write_batch(scored.where(F.col("is_anomaly")), self.anomalies_path, batch_id)
+        if self.mode != "refit_batch" and batch_id > 0 and batch_id % self.retrain_every == 0:
+            fresh = self._guarded(batch_id, "retraining", lambda: self._retrained(spark, batch_id))
+            if fresh is not None:
+                model_store.save_model(spark, fresh, self.model_path, batch_id)
+                self._model = fresh
+
+    @staticmethod
+    def _guarded(batch_id: int, what: str, step):
         try:
-            if self.mode == "refit_batch":
-                scored, _ = anom.score_all(clean, **self.fit_args)
-            else:
-                model = self._model_for(spark, batch_id)
-                if model is None:
-                    model = anom.fit_model(clean, version=batch_id, **self.fit_args)
-                    if model is None:
-                        return
-                    model_store.save_model(spark, model, self.model_path, batch_id)
-                    self._model = model
-                scored = anom.apply_model(clean, model)
-            history.write_batch(scored.where(F.col("is_anomaly")), self.anomalies_path, batch_id)
-            if self.mode != "refit_batch" and batch_id > 0 and batch_id % self.retrain_every == 0:
-                # partition pruning keeps the retrain read to the newest batches, not all history
-                hist = history.read_history(spark, self.records_path) \
-                    .where(F.col("batch_id") > F.lit(batch_id - self.lookback_batches))
-                recent = history.history_last_n(hist, self.train_rows)
-                fresh = anom.fit_model(recent.drop("batch_id", "row_hash"), version=batch_id, **self.fit_args)
-                if fresh is not None:
-                    model_store.save_model(spark, fresh, self.model_path, batch_id)
-                    self._model = fresh
+            return step()
         except Exception as exc:  # noqa: BLE001 - keep the batch even when the model fails
-            log.error("batch %s: anomaly step failed: %s", batch_id, exc, exc_info=True)
-
+            log.error("batch %s: %s failed: %s", batch_id, what, exc, exc_info=True)
+            return None
+
+    def _scored(self, spark: SparkSession, clean: DataFrame, batch_id: int) -> DataFrame | None:
+        if self.mode == "refit_batch":
+            return anom.score_all(clean, **self.fit_args)[0]
+        model = self._model_for(spark, batch_id)
+        if model is not None:
+            return anom.apply_model(clean, model)
+        scored, model = anom.score_all(clean, version=batch_id, **self.fit_args)
+        if model is None:
+            return None
+        model_store.save_model(spark, model, self.model_path, batch_id)
+        self._model = model
+        return scored
+
+    def _retrained(self, spark: SparkSession, batch_id: int):
+        hist = history.read_history(spark, self.records_path).where(F.col("batch_id") <= F.lit(batch_id))
+        if self.train_rows is not None:
+            hist = history.history_last_n(hist, self.train_rows)
+        return anom.fit_model(hist.drop("batch_id", "row_hash"), version=batch_id, **self.fit_args)
 
     def _model_for(self, spark: SparkSession, batch_id: int):
         """The newest version committed before this batch, so a replayed batch is scored
@@ -167,6 +179,7 @@ class RecordSink:
             self._model = model_store.load_model(spark, self.model_path, v)
         return self._model
 
+
 def start_record_sink(obs: DataFrame, sink: RecordSink, checkpoint: str, *, trigger=TRIGGER,
                       query_name: str | None = None) -> StreamingQuery:
     w = obs.writeStream.outputMode("append").foreachBatch(sink).option("checkpointLocation", checkpoint)
@@ -180,7 +193,8 @@ def start_consumer(spark: SparkSession, root: str, *, fmt: str = "kafka", path:
                    sink_options: dict | None = None, **source_args) -> list[StreamingQuery]:
     """Both queries over one topic, each reading the source with its own offsets."""
     root = root.rstrip("/")
-    obs_a = observation_stream(spark, fmt=fmt, path=path, bootstrap=bootstrap, topic=topic, **source_args)
+    obs_a = observation_stream(spark, fmt=fmt, path=path, bootstrap=bootstrap, topic=topic, keep=(),
+                               with_corrupt=False, fields=WINDOW_FIELDS, **source_args)
     obs_b = observation_stream(spark, fmt=fmt, path=path, bootstrap=bootstrap, topic=topic, **source_args)
     q1 = start_window_sink(obs_a, f"{root}/aggregations", f"{root}/checkpoints/agg", trigger=trigger)
     q2 = start_record_sink(obs_b, RecordSink(root, **(sink_options or {})), f"{root}/checkpoints/raw",
@@ -188,20 +202,25 @@ def start_consumer(spark: SparkSession, root: str, *, fmt: str = "kafka", path:
     return [q1, q2]
 
 
-def await_any(spark: SparkSession, queries: list[StreamingQuery], timeout: float | None = None) -> None:
-    """Wait until any query stops; then stop the others and re-raise a failure."""
-    try:
-        if timeout is None:
-            spark.streams.awaitAnyTermination()
-        else:
-            spark.streams.awaitAnyTermination(timeout)
-    finally:
-        errors = [q.exception() for q in queries if not q.isActive and q.exception() is not None]
-        for q in queries:
-            if q.isActive:
-                q.stop()
-        if errors:
-            raise RuntimeError(f"streaming query failed: {errors[0]}")
+def await_any(spark: SparkSession, queries: list[StreamingQuery], timeout: float | None = None,
+              poll: float = 0.5) -> bool:
+    """Wait until one of ``queries`` stops; then stop the others and re-raise a failure.
+
+    Other queries of the session do not matter. Returns False, with all queries
+    left running, when ``timeout`` seconds pass first.
+    """
+    end = None if timeout is None else time.monotonic() + timeout
+    while all(q.isActive for q in queries):
+        if end is not None and time.monotonic() >= end:
+            return False
+        time.sleep(poll if end is None else max(0.0, min(poll, end - time.monotonic())))
+    errors = [q.exception() for q in queries if not q.isActive and q.exception() is not None]
+    for q in queries:
+        if q.isActive:
+            q.stop()
+    if errors:
+        raise RuntimeError(f"streaming query failed: {errors[0]}")
+    return True
 
 
 def run_available_now(query: StreamingQuery) -> StreamingQuery:

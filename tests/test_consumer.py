@@ -1,5 +1,6 @@
 import json
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from obsflow.operators import anomalies as anom
@@ -41,13 +42,13 @@ def test_records_scan_json_array(spark, tmp_path):
     assert out[2]["event_time"] is None
 
 
-def test_pool_sampling_path(spark):
+def test_sampling_gives_full_trees(spark):
     clean = clean_records(weather_view(spark, "/root/testdata/sf0.01"))
     z = clean.select("city", "timestamp", *[F.col(f).cast("double").alias(f) for f in
                                               ["temperature", "humidity", "pressure", "wind_speed", "clouds"]])
     feats = ["temperature", "humidity", "pressure", "wind_speed", "clouds"]
-    a, psi = iforest.fit_nodes(z, feats, ["city", "timestamp"], n_trees=30, pool_rows=2000)
-    b, _ = iforest.fit_nodes(z, feats, ["city", "timestamp"], n_trees=30, pool_rows=2000)
+    a, psi = iforest.fit_nodes(z, feats, ["city", "timestamp"], n_trees=30)
+    b, _ = iforest.fit_nodes(z, feats, ["city", "timestamp"], n_trees=30)
     ra, rb = sorted(tuple(r) for r in a.collect()), sorted(tuple(r) for r in b.collect())
     assert psi == 256 and ra == rb
     roots = [r for r in ra if r[1] == 0]
@@ -91,22 +92,139 @@ def test_sql_views(spark):
 
 
 def test_window_stream_on_rocksdb_state(spark):
-    from obsflow.session import use_rocksdb_state
-    key = "spark.sql.streaming.stateStore.providerClass"
-    old = spark.conf.get(key, None)
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("RocksDBStateStoreProvider")
     base = work_dir(spark, "test-rocksdb")
+    messages.encode_messages(weather_view(spark, SF001), offset_col="event_id").write.parquet(f"{base}/in")
+    obs = jobs.observation_stream(spark, fmt="parquet", path=f"{base}/in")
+    jobs.run_available_now(jobs.start_window_sink(obs, f"{base}/out", f"{base}/ck", trigger="available_now"))
+    assert history.agg_scan(spark, f"{base}/out").count() == 988
+
+
+def _idle_queries(spark, base, n=2):
+    """Streams that stay active: they wait for files that never come."""
+    spark.range(1).selectExpr("'x' AS city", "id").write.parquet(f"{base}/in")
+    src = spark.readStream.schema("city string, id long").parquet(f"{base}/in")
+    return [src.writeStream.format("noop").option("checkpointLocation", f"{base}/ck{i}")
+            .trigger(processingTime="1 second").start() for i in range(n)]
+
+
+def test_waiting_ignores_other_queries_and_timeouts(spark):
+    base = work_dir(spark, "test-await")
+    done = _idle_queries(spark, f"{base}/other", 1)[0]
+    done.stop()   # a query of the session that ended earlier
+    qs = _idle_queries(spark, base)
     try:
-        use_rocksdb_state(spark)
-        messages.encode_messages(weather_view(spark, SF001), offset_col="event_id").write.parquet(f"{base}/in")
-        obs = jobs.observation_stream(spark, fmt="parquet", path=f"{base}/in")
-        q = jobs.start_window_sink(obs, f"{base}/out", f"{base}/ck", trigger="available_now")
-        jobs.run_available_now(q)
-        assert history.agg_scan(spark, f"{base}/out").count() == 988
+        assert jobs.await_any(spark, qs, timeout=2) is False and all(q.isActive for q in qs)
+        qs[0].stop()
+        assert jobs.await_any(spark, qs, timeout=20) is True and not qs[1].isActive
     finally:
-        if old:
-            spark.conf.set(key, old)
-        else:
-            spark.conf.unset(key)
+        for q in qs:
+            q.stop()
+
+
+def test_a_failing_anomaly_write_fails_the_batch(spark, monkeypatch):
+    import pytest
+    base = work_dir(spark, "test-failing")
+    sink = jobs.RecordSink(base, fit_args={"n_trees": 10})
+    batch = messages.parse_messages(messages.encode_messages(weather_view(spark, SF001), offset_col="event_id"),
+                                    keep=["offset"], with_corrupt=True)
+    real = history.write_batch
+
+    def failing(df, path, batch_id, **kw):
+        if path.endswith("/anomalies"):
+            raise OSError("no space left")
+        real(df, path, batch_id, **kw)
+
+    monkeypatch.setattr(history, "write_batch", failing)
+    with pytest.raises(OSError):
+        sink(batch, 0)
+    monkeypatch.setattr(history, "write_batch", real)
+    monkeypatch.setattr(jobs.anom, "apply_model", lambda *a, **k: 1 / 0)
+    sink(batch, 1)   # a model that fails is logged; the batch's records stay
+    assert history.read_history(spark, sink.records_path).where("batch_id = 1").count() > 0
+
+
+def test_retraining_reads_all_history(spark):
+    base = work_dir(spark, "test-history")
+    sink = jobs.RecordSink(base, retrain_every=150, fit_args={"n_trees": 5})
+    clean = clean_records(weather_view(spark, "/root/testdata/sf0.01")).limit(1510).drop("event_id")
+    rows = clean.withColumn("batch_id", (F.row_number().over(Window.orderBy("timestamp", "city")) - 1).cast("long") % 151)
+    history.write_batches(rows, sink.records_path)
+    assert sink._retrained(spark, 150).n_train == 1510
+    assert jobs.RecordSink(base, train_rows=200, fit_args={"n_trees": 5})._retrained(spark, 150).n_train == 200
+
+
+def test_missing_histories_have_all_columns(spark, tmp_path):
+    none = str(tmp_path / "none")
+    empty = history.read_history(spark, none)
+    assert history.history_last_n(empty, 10).collect() == []
+    r = anom.capped_anomaly_rate(empty, history.read_history(spark, none, anomalies=True), cap_records=5, cap_anomalies=5).first()
+    assert (r["n_total"], r["n_anomalies"], r["rate_text"]) == (0, 0, "0.0%")
+    assert anom.recent_anomalies(history.anomaly_scan(spark, none)).collect() == []
+
+
+def test_anomaly_scan_of_json_keeps_its_columns(spark, tmp_path):
+    rows = [{"city": "Paris", "timestamp": f"2024-01-01T1{i}:00:00+00:00", "temperature": 1.5, "anomaly_label": -1,
+             "anomaly_score": -0.5 - i, "is_anomaly": True} for i in range(3)]
+    (tmp_path / "a.json").write_text(json.dumps(rows))
+    got = history.anomaly_scan(spark, str(tmp_path / "a.json"), fmt="json").collect()
+    assert [r["anomaly_score"] for r in got] == [-2.5, -1.5, -0.5] and got[0]["is_anomaly"] is True
+
+
+def test_compaction_keeps_the_rows(spark):
+    path, into = work_dir(spark, "test-many"), work_dir(spark, "test-few")
+    clean = clean_records(weather_view(spark, SF001))
+    history.write_batches(clean.withColumn("batch_id", F.col("event_id") % 90), path)
+    history.compact(spark, path, into, batch_size=50, keep_from=10)
+    few = history.read_history(spark, into)
+    want = history.read_history(spark, path).where("batch_id >= 10")
+    assert few.drop("batch_id").exceptAll(want.select(*few.drop("batch_id").columns)).isEmpty() and few.count() == want.count()
+    assert {r["batch_id"] for r in few.select("batch_id").distinct().collect()} == {0, 50}
+    assert len(few.inputFiles()) <= 32
+
+
+def test_old_model_versions_are_pruned(spark):
+    from obsflow.sources import model_store
+    root = work_dir(spark, "test-prune")
+    model = anom.fit_model(clean_records(weather_view(spark, SF001)), n_trees=5)
+    for v in range(4):
+        model_store.save_model(spark, model, root, v)
+    assert model_store.prune_versions(spark, root, keep=2) == [2, 3]
+    assert model_store.load_model(spark, root).version == 3 and model_store.load_model(spark, root, 0) is None
+    assert model_store.load_model(spark, root, 2).threshold == model.threshold
+
+
+def test_malformed_and_badly_typed_are_told_apart(spark):
+    vals = ['{"city": "A", "temperature": 1.5}', '{"city": "A", "temperature": "warm"}', "not json", None, "[1]", "{}"]
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(vals)], "value string, offset long")
+    got = {r["offset"]: (r["is_malformed"], r["has_bad_field"], r["city"])
+           for r in messages.parse_messages(df, keep=["offset"], with_corrupt=True).collect()}
+    assert got == {0: (False, False, "A"), 1: (False, True, "A"), 2: (True, False, None), 3: (True, False, None),
+                   4: (True, False, None), 5: (False, False, None)}
+
+
+def test_pruned_parse_reads_the_same_values(spark):
+    m = messages.encode_messages(weather_view(spark, SF001), offset_col="event_id")
+    some = messages.parse_messages(m, keep=["offset"], fields=jobs.WINDOW_FIELDS)
+    assert some.columns == ["offset", *[f for f in messages.RECORD_FIELDS if f in jobs.WINDOW_FIELDS], "event_time"]
+    assert some.exceptAll(messages.parse_messages(m, keep=["offset"]).select(*some.columns)).isEmpty()
+
+
+def test_no_temporary_folder_on_a_cluster(spark, monkeypatch):
+    import pytest
+
+    from obsflow import session
+
+    class Context:
+        master = "spark://host:7077"
+        def getConf(self): return {}  # noqa: E704
+        def getCheckpointDir(self): return None  # noqa: E704
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(Session())
 
 
 def test_kafka_format_needs_the_connector(spark):
