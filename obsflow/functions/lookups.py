@@ -34,21 +34,21 @@ DEFAULT_ICON = "🌡️"
 
 
 def dimension(spark: SparkSession, mapping: dict[str, str], key: str, value: str) -> DataFrame:
-    """A two-column dimension DataFrame from a small fixed mapping."""
-    return spark.createDataFrame(list(mapping.items()), f"{key} string, {value} string")
+    """A two-column dimension DataFrame from a small fixed mapping (literals, so the planner knows its size)."""
+    rows = [F.struct(F.lit(k).alias(key), F.lit(v).alias(value)) for k, v in mapping.items()]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def lookup_with_default(df: DataFrame, dim: DataFrame, on: str, value: str,
-                        default: str, out: str | None = None, max_rows: int = 1_000_000) -> DataFrame:
+                        default: str, out: str | None = None) -> DataFrame:
     """Left-join a lookup dimension and fill misses with ``default``.
 
-    A dimension of at most ``max_rows`` rows (checked) is broadcast, so the
-    large side is neither shuffled nor reordered; a larger one is shuffle-joined.
+    Spark broadcasts the dimension where its size is below the session's
+    threshold, so the large side is neither shuffled nor reordered.
     """
     out = out or value
     d = dim.select(F.col(on).alias("__lk"), F.col(value).alias("__lv"))
-    small = d.count() <= max_rows
-    joined = df.join(F.broadcast(d) if small else d, df[on] == F.col("__lk"), "left")
+    joined = df.join(d, df[on] == F.col("__lk"), "left")
     return joined.withColumn(out, F.coalesce(F.col("__lv"), F.lit(default))).drop("__lk", "__lv")
 
 

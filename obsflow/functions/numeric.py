@@ -1,8 +1,9 @@
-"""Numeric helpers: exact averages, rounding, exact quantiles at any size.
+"""Numeric helpers: averages, rounding, exact quantiles at any size.
 
-Averages are taken over exact decimals of the input column. That makes them
-independent of partitioning and shuffle order (a double sum is not), so the
-same query gives the same digits on 8 threads and on 1000 executors.
+Averages are double averages snapped to 9 decimals before they are rounded: the
+snap absorbs the last-bit differences that the order of partial sums leaves,
+and every digit of the input counts. Quantiles are found by narrowing a
+histogram, so no task or driver ever holds the values themselves.
 """
 
 from __future__ import annotations
@@ -10,188 +11,158 @@ from __future__ import annotations
 import math
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from obsflow.session import work_dir
 
-def _c(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-EXACT_UNITS = float(1 << 53)  # integer-valued doubles add exactly below this
+SNAP = 9
+BUCKETS = 1024
+#: Fixed value: the largest finite double; infinities are narrowed as if they were this.
+BIGGEST = 1.7976931348623157e308
 
 
-def units(c, scale: int) -> Column:
-    """The value in units of 10^-scale, rounded half away from zero, as an integer-valued double.
-
-    Plain double math on each row (stays in generated code). Sums of such
-    values are exact and order independent while they stay below 2^53; NaN and
-    infinities pass through unchanged, so aggregates over them behave exactly
-    like Spark's double aggregates.
-    """
-    p = _c(c).cast("double") * F.lit(float(10 ** scale))
-    # doubles of magnitude >= 2^53 are whole numbers already; infinities and NaN pass through
-    # (``floor`` returns a bigint, which would clamp them)
-    return F.when(F.abs(p) < F.lit(EXACT_UNITS), F.signum(p) * F.floor(F.abs(p) + F.lit(0.5))).otherwise(p)
+def _c(c) -> Column:
+    return F.col(c) if isinstance(c, str) else c
 
 
-def scaled_int(c, scale: int) -> Column:
-    """``units`` as bigint (NULL for NaN, infinities and values beyond 2^53 units)."""
-    u = units(c, scale)
-    return F.when(F.abs(u) < F.lit(EXACT_UNITS), u.cast("bigint"))
+def finite_or_null(c) -> Column:
+    """The value as double; NaN and infinities count as missing (NULL)."""
+    x = _c(c).cast("double")
+    return F.when(F.abs(x) <= F.lit(BIGGEST), x)
 
 
-def at_resolution(c, scale: int = 2) -> Column:
-    """The value rounded to ``scale`` decimals, as double; NaN counts as missing (NULL)."""
-    return F.nanvl(units(c, scale) / F.lit(float(10 ** scale)), F.lit(None).cast("double"))
+def snapped(x: Column, digits: int) -> Column:
+    """``round(x, digits)`` after snapping to ``SNAP`` decimals."""
+    return F.round(F.round(x, SNAP), digits)
 
 
-def _decimal_quotient(S: Column, n: Column, digits: int, scale: int) -> Column:
-    """S / n carried to 18 places as a decimal, rounded half up once (any bigint S)."""
-    q = F.try_divide(S.cast("decimal(20,0)"), n.cast("decimal(20,0)"))
-    return (F.round(q, digits - scale) / F.lit(10 ** scale)).cast("double")
+def rounded_avg(c, digits: int) -> Column:
+    return snapped(F.avg(_c(c).cast("double")), digits)
 
 
-def mean_of_units(u: Column, x: Column, digits: int, scale: int) -> Column:
-    """Mean of ``x`` read as ``units`` ``u``, rounded half away from zero to ``digits``.
+def rounded_stddev(c, digits: int) -> Column:
+    """Sample standard deviation (NULL for one row)."""
+    return snapped(F.stddev_samp(_c(c).cast("double")), digits)
 
-    Buffers: an exact bigint sum of the units below 2^53, a double sum of the
-    rest (NaN, infinities, absurdly large values; NULL when there are none) and
-    the row count. Without a rest the mean is exact: the rounded quotient is
-    formed once per group in long arithmetic while it fits, else as an 18-place
-    decimal. With a rest, the double average carries NaN / +-inf exactly as
-    Spark's ``avg`` does.
-    """
-    small = F.abs(u) < F.lit(EXACT_UNITS)
-    S = F.sum(F.when(small, u.cast("bigint")))
-    rest = F.sum(F.when(~small, x))
-    n = F.count(x)
-    k_up = 10 ** max(0, digits - scale)
-    if digits >= scale:
-        num, den = S * F.lit(k_up), n
-    else:
-        num, den = S, n * F.lit(10 ** (scale - digits))
-    r = num % den
-    q = ((num - r).cast("double") / den.cast("double")).cast("bigint")   # exact: num - r is a multiple of den
-    rounded = q + F.when(F.abs(r) * 2 >= den, F.signum(num).cast("bigint")).otherwise(F.lit(0))
-    approx = (F.coalesce(S.cast("double"), F.lit(0.0)) / F.lit(float(10 ** scale)) + rest) / n.cast("double")
-    return (F.when(n == 0, F.lit(None).cast("double"))
-            .when(rest.isNotNull(), F.round(approx, digits))
-            .when(F.abs(S) < F.lit(int(EXACT_UNITS) // k_up), rounded / F.lit(10.0 ** digits))
-            .otherwise(_decimal_quotient(S, n, digits, scale)))
-
-
-def decimal_mean(c, digits: int, in_scale: int = 2) -> Column:
-    """``round(avg(c), digits)`` over values read at ``in_scale`` decimals, exactly."""
-    x = _c(c).cast("double")
-    return mean_of_units(units(x, in_scale), x, digits, in_scale)
 
+def interpolate(lo: float, hi: float, pos: float) -> float:
+    """Linear interpolation between neighbouring order statistics."""
+    lower, higher = math.floor(pos), math.ceil(pos)
+    if lower == higher or lo == hi:
+        return lo
+    return (higher - pos) * lo + (pos - lower) * hi
 
-def exact_avg(c, digits: int, in_scale: int = 2) -> Column:
-    """``round(avg(c), digits)`` on exact values at the inputs' resolution."""
-    return decimal_mean(c, digits, in_scale)
 
+def _clamped(c) -> Column:
+    x = F.nanvl(_c(c).cast("double"), F.lit(None).cast("double"))
+    return F.when(x > BIGGEST, F.lit(BIGGEST)).when(x < -BIGGEST, F.lit(-BIGGEST)).otherwise(x)
 
-def exact_mean(c, in_scale: int = 2) -> Column:
-    """Mean to 6 decimals on exact values, as double."""
-    return decimal_mean(c, 6, in_scale)
 
+def _bucket(v: Column, lo: Column, hi: Column) -> Column:
+    """Which of ``BUCKETS`` equal parts of [lo, hi] holds ``v`` (halves keep the width finite)."""
+    part = F.try_divide(v / 2 - lo / 2, hi / 2 - lo / 2) * F.lit(float(BUCKETS))
+    return F.when(v >= hi, F.lit(BUCKETS - 1)).otherwise(
+        F.least(F.coalesce(F.floor(part).cast("int"), F.lit(0)), F.lit(BUCKETS - 1)))
 
-def decimal_max(c, digits: int = 2) -> Column:
-    """``round(max(c), digits)``; rounding is monotone, so max of rounded = rounded max."""
-    return F.max(units(c, digits)) / F.lit(float(10 ** digits))
 
+def _unclamped(v: float) -> float:
+    return math.copysign(math.inf, v) if abs(v) >= BIGGEST else v
 
-def decimal_min(c, digits: int = 2) -> Column:
-    return F.min(units(c, digits)) / F.lit(float(10 ** digits))
 
+def exact_quantiles(df: DataFrame, cols: list[str], q: float) -> dict[str, float | None]:
+    """Exact linear-interpolated quantile of each of ``cols`` (NULL and NaN are left out).
 
-def rounded_stddev(c, digits: int) -> Column:
-    """Sample stddev rounded via an 8-place decimal (NULL for one row)."""
-    return F.round(F.stddev_samp(_c(c)).cast("decimal(18,8)"), digits).cast("double")
+    Each pass is one partially aggregated histogram job over the ranges that
+    still hold a wanted rank; both ranks of all columns narrow together until a
+    range is a single value. At most ``BUCKETS`` rows a column and rank reach
+    the driver per pass, whatever the data or its ties.
+    """
+    values = df.select(*[_clamped(c).alias(f"v{i}") for i, c in enumerate(cols)]).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        st = values.agg(*[f(f"v{i}").alias(f"{n}{i}") for i in range(len(cols))
+                          for f, n in ((F.count, "n"), (F.min, "lo"), (F.max, "hi"))]).first()
+        # (column, rank) -> [lo, hi, rows below lo]
+        state = {(i, k): [st[f"lo{i}"], st[f"hi{i}"], 0] for i in range(len(cols)) if st[f"n{i}"]
+                 for k in {math.floor(q * (st[f"n{i}"] - 1)), math.ceil(q * (st[f"n{i}"] - 1))}}
+        while True:
+            todo = [(key, s) for key, s in state.items() if s[0] < s[1]]
+            if not todo:
+                break
+            parts = [F.when(F.col(f"v{i}").between(lo, hi), F.struct(
+                F.lit(j).alias("j"), _bucket(F.col(f"v{i}"), F.lit(lo), F.lit(hi)).alias("b"), F.col(f"v{i}").alias("v")))
+                for j, ((i, _), (lo, hi, _)) in enumerate(todo)]
+            hist = (values.select(F.explode(F.array_compact(F.array(*parts))).alias("p")).groupBy("p.j", "p.b")
+                    .agg(F.count(F.lit(1)).alias("n"), F.min("p.v").alias("lo"), F.max("p.v").alias("hi")).collect())
+            for j, ((_, k), s) in enumerate(todo):
+                for row in sorted((r for r in hist if r["j"] == j), key=lambda r: r["b"]):
+                    if k < s[2] + row["n"]:
+                        s[0], s[1] = row["lo"], row["hi"]
+                        break
+                    s[2] += row["n"]
+        out: dict[str, float | None] = {}
+        for i, c in enumerate(cols):
+            n = st[f"n{i}"]
+            pos = q * (n - 1) if n else 0
+            out[c] = interpolate(_unclamped(state[i, math.floor(pos)][0]), _unclamped(state[i, math.ceil(pos)][0]),
+                                 pos) if n else None
+        return out
+    finally:
+        values.unpersist()
 
 
-def spark_interpolate(lo: float, hi: float, pos: float) -> float:
-    """Linear interpolation between order statistics, as Spark's ``percentile``."""
-    lower, higher = math.floor(pos), math.ceil(pos)
-    if lower == higher or lo == hi:
-        return lo
-    return (higher - pos) * lo + (pos - lower) * hi
+def exact_quantile(df: DataFrame, col: str, q: float) -> float | None:
+    return exact_quantiles(df, [col], q)[col]
 
 
-def exact_quantile(df: DataFrame, col: str, q: float, *,
-                   exact_distinct_limit: int = 1_000_000,
-                   buckets: int = 2048, final_rows: int = 20_000) -> float | None:
-    """Exact linear-interpolated quantile of ``col``, distributed at any size.
+def quantiles_by(df: DataFrame, keys: list[str], cols: list[str], q: float) -> DataFrame:
+    """Exact quantiles per group: ``keys`` and one column per name of ``cols``.
 
-    ``percentile`` keeps a value->count map, so it is used directly only when the
-    number of distinct values is bounded. Otherwise the order statistics are
-    found by narrowing: each pass is one partial-aggregated histogram job over
-    the current value range (``buckets`` rows reach the driver); once the bucket
-    that holds the wanted rank is small, its values are fetched sorted. No pass
-    moves the column to one task or to the driver.
-    NULL and NaN are ignored.
+    The same narrowing with its state in a table (two rows a group and column),
+    written to the shared folder between passes: a group of any size is only
+    ever counted, bucket by bucket, never gathered.
     """
-    # every pass reads this one column: materialise it once (upstream may be a UDF)
-    base = df.select(F.col(col).cast("double").alias("v")).where(
-        F.col("v").isNotNull() & ~F.isnan("v")).persist(StorageLevel.MEMORY_AND_DISK)
+    spark = df.sparkSession
+    at = [f"_k{i}" for i in range(len(keys))]
+    group = [*at, "_f"]
+    long = df.select(*[F.col(k).alias(a) for k, a in zip(keys, at, strict=True)], F.explode(F.array(*[
+        F.struct(F.lit(i).alias("f"), _clamped(c).alias("v")) for i, c in enumerate(cols)])).alias("s"))
+    long = long.select(*at, F.col("s.f").alias("_f"), F.col("s.v").alias("v")).where("v is not null")
+    long = long.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _exact_quantile(base, q, exact_distinct_limit, buckets, final_rows)
-    finally:
-        base.unpersist()
-
-
-def _exact_quantile(base: DataFrame, q: float, exact_distinct_limit: int, buckets: int,
-                    final_rows: int) -> float | None:
-    inf = F.lit(float("inf"))
-    st = base.agg(F.count("v").alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx"),
-                  F.approx_count_distinct("v").alias("nd"),
-                  F.count(F.when(F.col("v") == -inf, 1)).alias("n_lo"),
-                  F.count(F.when(F.col("v") == inf, 1)).alias("n_hi")).first()
-    n = st["n"]
-    if not n:
-        return None
-    if st["nd"] <= exact_distinct_limit:
-        return base.agg(F.percentile("v", F.lit(q)).alias("p")).first()["p"]
-    pos = q * (n - 1)
-    lo_rank, hi_rank = math.floor(pos), math.ceil(pos)
-    finite = base.where(F.abs(F.col("v")) < inf)
-    fr = finite.agg(F.min("v").alias("mn"), F.max("v").alias("mx")).first()
-
-    def kth(k: int) -> float:
-        # infinities sort at the ends; the rest is narrowed over finite values
-        if k < st["n_lo"]:
-            return float("-inf")
-        if k >= n - st["n_hi"]:
-            return float("inf")
-        return _kth(finite, k - st["n_lo"], fr["mn"], fr["mx"], buckets, final_rows)
-
-    v_lo = kth(lo_rank)
-    v_hi = v_lo if hi_rank == lo_rank else kth(hi_rank)
-    return spark_interpolate(v_lo, v_hi, pos)
-
-
-def _kth(base: DataFrame, k: int, lo: float, hi: float, buckets: int, final_rows: int) -> float:
-    """k-th smallest (0-based) value of ``base.v`` by histogram narrowing."""
-    below = 0  # rows known to be < lo
-    while True:
-        sub = base.where((F.col("v") >= F.lit(lo)) & (F.col("v") <= F.lit(hi)))
-        if lo == hi:
-            return lo
-        width = (hi - lo) / buckets
-        b = F.least(F.floor((F.col("v") - F.lit(lo)) / F.lit(width)).cast("int"), F.lit(buckets - 1))
-        hist = (sub.groupBy(b.alias("b"))
-                .agg(F.count("*").alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx"))
-                .orderBy("b").collect())
-        acc = below
-        for row in hist:
-            if k < acc + row["n"]:
-                if row["n"] <= final_rows or row["mn"] == row["mx"]:
-                    vals = (sub.where((F.col("v") >= F.lit(row["mn"])) & (F.col("v") <= F.lit(row["mx"])))
-                            .orderBy("v").limit(row["n"]).collect())
-                    return vals[k - acc]["v"]
-                lo, hi, below = row["mn"], row["mx"], acc
+        state = long.groupBy(*group).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+        pos = F.lit(q) * (F.col("n") - 1)
+        state = state.withColumn("pos", pos).withColumn("k", F.explode(F.array(F.floor("pos"), F.ceil("pos")))).distinct()
+        while True:
+            path = work_dir(spark, "quantile")
+            state.write.parquet(path)
+            state = spark.read.parquet(path)
+            todo = state.where("lo < hi")
+            if todo.isEmpty():
                 break
-            acc += row["n"]
-        else:  # pragma: no cover - k outside the data
-            raise ValueError("rank outside the data")
+            cond = [F.col(f"v.{g}").eqNullSafe(F.col(f"t.{g}")) for g in group]
+            cell = long.alias("v").join(todo.alias("t"), cond).where("v.v between t.lo and t.hi")
+            hist = cell.groupBy(*[F.col(f"t.{g}").alias(g) for g in group], "t.n", "t.pos", "t.k",
+                                _bucket(F.col("v.v"), F.col("t.lo"), F.col("t.hi")).alias("b"), F.col("t.below").alias("below")
+                                if "below" in state.columns else F.lit(0).cast("long").alias("below")) \
+                .agg(F.count(F.lit(1)).alias("m"), F.min("v.v").alias("lo"), F.max("v.v").alias("hi"))
+            run = Window.partitionBy(*group, "k").orderBy("b")
+            hist = hist.withColumn("below", F.col("below") + F.sum("m").over(run) - F.col("m"))
+            found = hist.where("below <= k and k < below + m").select(*group, "n", "pos", "k", "lo", "hi", "below")
+            done = state.where("lo = hi")
+            if "below" not in state.columns:
+                done = done.withColumn("below", F.lit(0).cast("long"))
+            state = done.select(*found.columns).unionByName(found)
+        inf = F.lit(float("inf"))
+        value = F.when(F.col("lo") >= BIGGEST, inf).when(F.col("lo") <= -BIGGEST, -inf).otherwise(F.col("lo"))
+        ends = state.groupBy(*group).agg(F.min(value).alias("a"), F.max(value).alias("b"), F.first("pos").alias("pos"))
+        low = F.floor("pos")
+        mid = F.when(F.col("a") == F.col("b"), F.col("a")).otherwise(
+            (low + 1 - F.col("pos")) * F.col("a") + (F.col("pos") - low) * F.col("b"))
+        wide = ends.withColumn("m", mid).groupBy(*at).agg(*[
+            F.max(F.when(F.col("_f") == i, F.col("m"))).alias(c) for i, c in enumerate(cols)])
+        path = work_dir(spark, "quantile")
+        wide.select(*[F.col(a).alias(k) for k, a in zip(keys, at, strict=True)], *cols).write.parquet(path)
+        return spark.read.parquet(path)
+    finally:
+        long.unpersist()

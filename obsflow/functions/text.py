@@ -16,11 +16,9 @@ def capitalize_first(c) -> Column:
     return F.concat(F.upper(F.substring(s, 1, 1)), F.lower(F.substring(s, 2, 1 << 30)))
 
 
-def fixed_1dp(c, in_scale: int = 2) -> Column:
-    """Number with one decimal, rounded half away from zero from the ``in_scale`` decimal value."""
-    from obsflow.functions.numeric import scaled_int
-    dec = (scaled_int(c, in_scale).cast("decimal(20,0)") / F.lit(10 ** in_scale)).cast(f"decimal(20,{in_scale})")
-    return F.round(dec, 1).cast("string")
+def fixed_1dp(c) -> Column:
+    """Number with one decimal, rounded half away from zero from its shortest decimal form."""
+    return F.format_string("%.1f", F.round(_c(c).cast("double"), 1) + F.lit(0.0))  # + 0.0: no "-0.0"
 
 
 def or_placeholder(c, placeholder: str = "?") -> Column:

@@ -1,10 +1,9 @@
 """Per-feature statistics: median (imputation), mean and population std (scaling),
 mean absolute deviation from the median.
 
-Medians use ``percentile``, whose buffer is a value->count map merged across
-partitions: its size is the number of distinct values of a measurement at its
-resolution (bounded by the range rules), not the number of rows. Means are
-exact decimal means. Every statistic is one partial aggregation pass.
+NaN and infinities count as missing. Medians are exact and found by histogram
+narrowing (``functions.numeric``); the other statistics are one partial
+aggregation pass over the values as they are.
 """
 
 from __future__ import annotations
@@ -12,8 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obsflow.functions.numeric import at_resolution, exact_mean, mean_of_units, units
-from obsflow.operators.joins import join_small
+from obsflow.functions.numeric import SNAP, exact_quantiles, finite_or_null, quantiles_by, rounded_avg
 
 # ---- Fixed values: model features --------------------------------------------
 FEATURES = ["temperature", "humidity", "pressure", "wind_speed", "clouds"]
@@ -24,27 +22,23 @@ def available(df: DataFrame, features=FEATURES) -> list[str]:
     return [f for f in features if f in df.columns]
 
 
-def missing_as_null(f: str):
-    """NaN counts as missing (as in pandas), so it is imputed like NULL."""
-    x = F.col(f).cast("double")
-    return F.nanvl(x, F.lit(None).cast("double"))
+def medians(df: DataFrame, features=FEATURES) -> dict[str, float | None]:
+    """Exact median of the finite values of each feature (None without any), free of interpolation noise."""
+    src = df.select(*[finite_or_null(f).alias(f) for f in features])
+    return {f: None if m is None else round(m, SNAP) for f, m in exact_quantiles(src, list(features), 0.5).items()}
 
 
-def _at_resolution(f: str):
-    """A feature read at the sensors' 0.01 resolution: the median's value->count
-    buffer then holds at most (range / 0.01) entries per group, however many
-    rows a hot city has."""
-    return at_resolution(f, 2)
+def medians_by(df: DataFrame, by: list[str], features=FEATURES) -> DataFrame:
+    """``by`` and ``med_<feature>``: exact medians per group."""
+    src = df.select(*by, *[finite_or_null(f).alias(f"med_{f}") for f in features])
+    out = quantiles_by(src, by, [f"med_{f}" for f in features], 0.5)
+    return out.select(*by, *[F.round(f"med_{f}", SNAP).alias(f"med_{f}") for f in features])
 
 
-def medians(df: DataFrame, features=FEATURES, by: list[str] | None = None) -> DataFrame:
-    """One row (or one row per group) with ``med_<feature>`` columns.
-
-    Rounded to 6 places: exact for values at 0.01 resolution (a median is a
-    value or the midpoint of two) and free of last-bit interpolation noise.
-    """
-    aggs = [F.round(F.median(_at_resolution(f)), 6).alias(f"med_{f}") for f in features]
-    return (df.groupBy(*by) if by else df).agg(*aggs)
+def non_finite_counts(df: DataFrame, features=FEATURES) -> dict[str, int]:
+    """How many NaN or infinite values each feature holds (they count as missing)."""
+    aggs = [F.count(F.when(F.col(f).isNotNull() & finite_or_null(f).isNull(), 1)).alias(f) for f in features]
+    return df.agg(*aggs).first().asDict()
 
 
 def _long(row_df: DataFrame, features, fields: dict[str, str], by=None) -> DataFrame:
@@ -54,28 +48,20 @@ def _long(row_df: DataFrame, features, fields: dict[str, str], by=None) -> DataF
     return row_df.select(*(by or []), F.explode(F.array(*items)).alias("__s")).select(*(by or []), "__s.*")
 
 
-def medians_and_rows(df: DataFrame, features=FEATURES):
-    """One pass: the medians row plus the total row count (``__rows``)."""
-    aggs = [F.round(F.median(_at_resolution(f)), 6).alias(f"med_{f}") for f in features]
-    return df.agg(*aggs, F.count(F.lit(1)).alias("__rows")).first()
-
+def feature_stats(df: DataFrame, features=FEATURES) -> DataFrame:
+    """feature, n (finite values), median, mean and std_pop of the median-imputed column.
 
-def feature_stats(df: DataFrame, features=FEATURES, med=None) -> DataFrame:
-    """feature, n (non-NULL), median, mean and std_pop of the median-imputed column.
-
-    Two passes: medians, then mean/std of ``coalesce(x, median)``. A constant
-    feature has std_pop 0 (scaling then divides by 1). ``med`` may carry the
-    medians row of ``medians_and_rows`` when the caller already has it.
+    A constant feature has std_pop 0 (scaling then divides by 1).
     """
     features = available(df, features)
-    med = med if med is not None else medians(df, features).first()
-    imputed = {f: F.coalesce(missing_as_null(f), F.lit(med[f"med_{f}"])) for f in features}
+    med = medians(df, features)
     aggs = []
     for f in features:
-        aggs += [F.count(F.col(f)).alias(f"n_{f}"),
-                 F.lit(med[f"med_{f}"]).cast("double").alias(f"med_{f}"),
-                 exact_mean(imputed[f]).alias(f"mean_{f}"),
-                 F.round(F.stddev_pop(imputed[f]), 6).alias(f"std_{f}")]
+        m = F.lit(med[f]).cast("double")
+        imputed = F.coalesce(finite_or_null(f), m)
+        aggs += [F.count(finite_or_null(f)).alias(f"n_{f}"), m.alias(f"med_{f}"),
+                 rounded_avg(imputed, 6).alias(f"mean_{f}"),
+                 F.round(F.stddev_pop(imputed), 6).alias(f"std_{f}")]
     return _long(df.agg(*aggs), features,
                  {"n": "n_{f}", "median": "med_{f}", "mean": "mean_{f}", "std_pop": "std_{f}"})
 
@@ -96,7 +82,7 @@ def standardize(df: DataFrame, stats: dict[str, dict], prefix: str = "z_",
     for f in feats:
         s = stats[f]
         sd = s["std_pop"] if s["std_pop"] not in (None, 0.0) else 1.0
-        cols.append(((F.coalesce(missing_as_null(f), F.lit(s["median"])) - F.lit(s["mean"]))
+        cols.append(((F.coalesce(finite_or_null(f), F.lit(s["median"])) - F.lit(s["mean"]))
                      / F.lit(sd)).alias(prefix + f))
     return df.select("*", *cols)
 
@@ -105,20 +91,15 @@ def feature_deviation(df: DataFrame, features=FEATURES, by: str | None = None) -
     """Mean absolute deviation from the median, per feature (and per ``by`` group), descending.
 
     ``by=None`` uses one global median per feature; ``by="city"`` each city's own.
-    Values are read at 0.01 resolution and the median at 0.001, so the mean is exact.
     """
     features = available(df, features)
     if by is None:
-        med = medians(df, features).first()
-        src = df.select(*[F.lit(med[f"med_{f}"]).alias(f"med_{f}") for f in features], *features)
-        grp = src
+        med = medians(df, features)
+        grp = df.select(*[F.lit(med[f]).cast("double").alias(f"med_{f}") for f in features], *features)
     else:
-        src = join_small(df.select(by, *features), medians(df, features, [by]), by)
-        grp = src.groupBy(by)
-    aggs = []
-    for f in features:
-        # |x - median| in units of 0.001: x at 0.01, the median (a midpoint) at 0.001
-        dev = F.abs(units(f, 2) * F.lit(10.0) - units(f"med_{f}", 3))
-        aggs.append(mean_of_units(dev, dev / F.lit(1000.0), 6, 3).alias(f"mad_{f}"))
+        # the medians are one row per group; adaptive execution picks the join by their measured size
+        per = medians_by(df, [by], features).withColumnRenamed(by, "__by")
+        grp = df.select(by, *features).join(per, F.col(by).eqNullSafe(F.col("__by"))).drop("__by").groupBy(by)
+    aggs = [rounded_avg(F.abs(finite_or_null(f) - F.col(f"med_{f}")), 6).alias(f"mad_{f}") for f in features]
     out = _long(grp.agg(*aggs), features, {"mad": "mad_{f}"}, [by] if by else None)
     return out.orderBy(*([by] if by else []), F.desc("mad"))

@@ -14,11 +14,6 @@ HIST_BINS = 20
 # ------------------------------------------------------------------------------
 
 
-def percentile_threshold(df: DataFrame, col: str, q: float = CONTAMINATION) -> float | None:
-    """Linear-interpolated ``q`` quantile of ``col`` (exact, distributed)."""
-    return exact_quantile(df, col, q)
-
-
 def flag_below(df: DataFrame, col: str, threshold: float | None) -> DataFrame:
     """``anomaly_label`` -1 when ``col < threshold`` (strict), else 1; ``is_anomaly``."""
     below = F.col(col) < F.lit(threshold) if threshold is not None else F.lit(False)
@@ -27,7 +22,7 @@ def flag_below(df: DataFrame, col: str, threshold: float | None) -> DataFrame:
 
 
 def percentile_flag(df: DataFrame, col: str, q: float = CONTAMINATION) -> DataFrame:
-    return flag_below(df, col, percentile_threshold(df, col, q))
+    return flag_below(df, col, exact_quantile(df, col, q))
 
 
 def rate_pct(num, den) -> F.Column:
@@ -56,7 +51,7 @@ def anomaly_rate(flags: DataFrame, total: DataFrame | None = None, flag_col: str
                          F.coalesce("n_anomalies", F.lit(0)).cast("bigint").alias("n_anomalies"))
     rate = rate_pct(F.col("n_anomalies"), F.col("n_total"))
     return agg.select("n_total", "n_anomalies", rate.alias("anomaly_rate"),
-                      F.concat(fixed_1dp(rate, 6), F.lit("%")).alias("rate_text"))
+                      F.concat(fixed_1dp(rate), F.lit("%")).alias("rate_text"))
 
 
 def histogram_by(df: DataFrame, col: str, by: str = "city", bins: int = HIST_BINS) -> DataFrame:

@@ -1,19 +1,21 @@
 """Served tables: plain batch DataFrames over records and window rows.
 
 Per-city results are built with aggregates that combine partially on every
-partition (``max_by`` keeps one candidate per city and partition), so a city
-holding a third of all rows costs the same as any other. Top-k per city uses
+partition, so a city holding a third of all rows costs the same as any other. Top-k per city uses
 ``row_number() <= k``, which Spark plans with a partial group limit before the
 shuffle: at most k rows per city and partition cross the network.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from obsflow.functions import lookups
-from obsflow.functions.text import capitalize_first, fixed_1dp, or_placeholder, time_text
+from obsflow.functions.text import capitalize_first, clock_text, fixed_1dp, or_placeholder, time_text
+from obsflow.session import work_dir
 
 METRICS = ["temperature", "humidity", "pressure", "wind_speed", "clouds"]
 LATEST_FIELDS = ["country", "timestamp", "temperature", "feels_like", "temp_min", "temp_max",
@@ -38,16 +40,26 @@ def latest_by_city(df: DataFrame, *, fields: list[str] | None = None, time_col:
         newest = F.max(F.struct(t.alias("t"), F.xxhash64(*cols).alias("h"), F.struct(*cols).alias("r")))
         return src.groupBy(key).agg(newest.alias("__n")).select(
             key, *[F.col(f"__n.r.{c}").alias(c) for c in fields], F.col("__n.t").alias(time_col))
-    else:
-        # newest (time, value) pair per column: rows tied on time resolve to the largest
-        # value, so the result never depends on row order
-        aggs = [F.max(F.when(F.col(c).isNotNull(), F.struct(t.alias("t"), F.col(c).alias("v"))))["v"].alias(c)
-                for c in fields]
-    return src.groupBy(key).agg(*aggs, F.max(t).alias(time_col))
-
-
-def current_conditions(latest: DataFrame, spark=None) -> DataFrame:
-    """KPI cards per city: flag, temperature text, description, icon, caption."""
+    # Pass 1: per column the newest time with a value, and the newest time; fixed-width buffers, so a hash
+    # aggregate. The few rows it gives are written once, and bound what pass 2 has to read.
+    newest = src.groupBy(F.col(key).alias("__k")).agg(
+        *[F.max(F.when(F.col(c).isNotNull(), t)).alias(f"__t_{c}") for c in fields], F.max(t).alias("__t"))
+    path = work_dir(df.sparkSession, "latest")
+    newest.write.parquet(path)
+    newest = df.sparkSession.read.parquet(path)
+    times = [f"__t_{c}" for c in fields] + ["__t"]
+    first = newest.agg(F.min(F.least(*times)).alias("t")).first()["t"] if len(times) > 1 else None
+    recent = src if first is None else src.where(t >= F.lit(first))
+    # Pass 2: the values at those times; rows tied on time resolve to the largest value, whatever their order.
+    at = recent.join(newest, F.col(key) == F.col("__k"))
+    any_hit = reduce(lambda a, b: a | b, [t == F.col(x) for x in times])
+    rows = at.where(any_hit).groupBy(key).agg(
+        *[F.max(F.when(t == F.col(f"__t_{c}"), F.col(c))).alias(c) for c in fields], F.max(t).alias(time_col))
+    return rows
+
+
+def current_conditions(latest: DataFrame, *, clock: bool = False) -> DataFrame:
+    """KPI cards per city: flag, temperature text, description, icon, caption (and the refresh clock)."""
     flag = lookups.map_lookup(F.col("city"), lookups.CITY_FLAGS, lookups.DEFAULT_FLAG)
     icon = lookups.map_lookup(F.col("weather_main"), lookups.WEATHER_ICONS, lookups.DEFAULT_ICON)
     return latest.select(
@@ -59,13 +71,16 @@ def current_conditions(latest: DataFrame, spark=None) -> DataFrame:
         icon.alias("icon"),
         F.concat(icon, F.lit("  💧"), or_placeholder("humidity"), F.lit("%  🌬️"),
                  or_placeholder("wind_speed"), F.lit(" m/s")).alias("caption"),
+        *([clock_text().alias("refreshed_at")] if clock else []),
     )
 
 
-def temperature_series(records: DataFrame, time_col: str = "event_time") -> DataFrame:
-    return records.where(F.col(time_col).isNotNull()).select(
+def temperature_series(records: DataFrame, time_col: str = "event_time", *, sort: bool = True) -> DataFrame:
+    """Temperature over time, oldest first (``sort=False`` when the consumer orders or aggregates anyway)."""
+    out = records.where(F.col(time_col).isNotNull()).select(
         time_text(time_col).alias("event_time"), "city", "temperature", *(
             ["event_id"] if "event_id" in records.columns else []))
+    return out.orderBy("event_time", "city") if sort else out
 
 
 def first_cities(df: DataFrame, n: int = 5, key: str = "city") -> DataFrame:
@@ -73,8 +88,9 @@ def first_cities(df: DataFrame, n: int = 5, key: str = "city") -> DataFrame:
     return df.select(key).where(F.col(key).isNotNull()).distinct().orderBy(key).limit(n)
 
 
-def dual_series(records: DataFrame, n_cities: int = 5, time_col: str = "event_time") -> DataFrame:
-    """Humidity and pressure series of the first ``n`` cities, long form with axis labels.
+def dual_series(records: DataFrame, n_cities: int = 5, time_col: str = "event_time", *,
+                sort: bool = True) -> DataFrame:
+    """Humidity and pressure series of the first ``n`` cities, long form with axis labels, oldest first.
 
     The city set is a limited subquery (at most ``n`` rows), joined left-semi
     with a broadcast: its size is bounded by ``n``, not by the data.
@@ -89,12 +105,13 @@ def dual_series(records: DataFrame, n_cities: int = 5, time_col: str = "event_ti
         F.col("humidity").cast("double").alias("humidity"),
         F.col("pressure").cast("double").alias("pressure"),
     ).unpivot(ids, ["humidity", "pressure"], "metric", "value")
-    return long.select(
+    out = long.select(
         "*",
         F.when(F.col("metric") == "humidity", F.lit("Humidity (%)"))
          .otherwise(F.lit("Pressure (hPa)")).alias("axis"),
         F.concat_ws(" ", F.col("city"), F.col("metric")).alias("series"),
     )
+    return out.orderBy("event_time", "city", "metric") if sort else out
 
 
 def wind_ranking(latest: DataFrame) -> DataFrame:
@@ -112,10 +129,11 @@ def city_metric_wide(latest: DataFrame, cities: list[str], metrics: list[str] =
     return city_metric_matrix(latest, metrics).groupBy("metric").pivot("city", cities).agg(F.first("value"))
 
 
-def window_series_city(aggs: DataFrame, city: str | None) -> DataFrame:
-    """Average / max / min temperature per window of one city (all cities when None)."""
+def window_series_city(aggs: DataFrame, city: str | None, *, sort: bool = True) -> DataFrame:
+    """Average / max / min temperature per window of one city (all cities when None), oldest first."""
     src = aggs if city is None else aggs.where(F.col("city") == F.lit(city))
-    return src.select("window_start", "city", "avg_temp", "max_temp", "min_temp")
+    out = src.select("window_start", "city", "avg_temp", "max_temp", "min_temp")
+    return out.orderBy("window_start", "city") if sort else out
 
 
 def top_k_per_group(df: DataFrame, group: list[str], order: list, k: int) -> DataFrame:
@@ -124,10 +142,11 @@ def top_k_per_group(df: DataFrame, group: list[str], order: list, k: int) -> Dat
     return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= k).drop("__rn")
 
 
-def agg_table_tail(aggs: DataFrame, k: int = 20, city: str | None = None) -> DataFrame:
-    """The newest ``k`` windows of each city (or of one city)."""
+def agg_table_tail(aggs: DataFrame, k: int = 20, city: str | None = None, *, sort: bool = True) -> DataFrame:
+    """The newest ``k`` windows of each city (or of one city), oldest first."""
     src = aggs if city is None else aggs.where(F.col("city") == F.lit(city))
-    return top_k_per_group(src, ["city"], [F.desc("window_start")], k)
+    out = top_k_per_group(src, ["city"], [F.desc("window_start")], k)
+    return out.orderBy("window_start", "city") if sort else out
 
 
 def distinct_cities(df: DataFrame, time_col: str | None = "event_time") -> DataFrame:

@@ -1,9 +1,9 @@
 """Tumbling event-time windows: the same function for batch and stream.
 
 Plan shape: partial HashAggregate on every input partition -> Exchange on
-(window, city) -> final HashAggregate. Averages are exact decimal averages, so
-partial results merge without order effects. On a stream the watermark bounds
-the state and append mode emits a window once it is closed.
+(window, city) -> final HashAggregate, all in double arithmetic over the values
+as they are. On a stream the watermark bounds the state and append mode emits a
+window once it is closed.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obsflow.functions.numeric import decimal_max, decimal_min, exact_avg, rounded_stddev
+from obsflow.functions.numeric import rounded_avg, rounded_stddev
 from obsflow.operators.quality import DEFAULT_RULES, clean_records
 
 # ---- Fixed values ----------------------------------------------------------
@@ -33,14 +33,14 @@ def window_aggregates(df: DataFrame, *, duration: str = WINDOW, time_col: str =
     if watermark:
         src = src.withWatermark(time_col, watermark)
     agg = src.groupBy(F.window(F.col(time_col), duration).alias("window"), F.col(by)).agg(
-        exact_avg("temperature", 2).alias("avg_temp"),
-        decimal_max("temperature", 2).alias("max_temp"),
-        decimal_min("temperature", 2).alias("min_temp"),
+        rounded_avg("temperature", 2).alias("avg_temp"),
+        F.round(F.max("temperature"), 2).alias("max_temp"),
+        F.round(F.min("temperature"), 2).alias("min_temp"),
         rounded_stddev("temperature", 2).alias("stddev_temp"),
-        exact_avg("humidity", 1).alias("avg_humidity"),
-        exact_avg("pressure", 1).alias("avg_pressure"),
-        exact_avg("wind_speed", 2).alias("avg_wind_speed"),
-        exact_avg("clouds", 1).alias("avg_clouds"),
+        rounded_avg("humidity", 1).alias("avg_humidity"),
+        rounded_avg("pressure", 1).alias("avg_pressure"),
+        rounded_avg("wind_speed", 2).alias("avg_wind_speed"),
+        rounded_avg("clouds", 1).alias("avg_clouds"),
         F.count(F.lit(1)).alias("record_count"),
     )
     return agg.select(

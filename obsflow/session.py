@@ -8,6 +8,7 @@ through ``try_*`` functions instead), adaptive execution for batch jobs.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -22,6 +23,10 @@ SESSION_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Writers replace only the partitions a job touches (batch_id=N, version=N).
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Streaming state on local disk (checkpointed), not on the heap: a backlog replayed in one
+    # micro-batch may hold millions of open windows until the watermark passes them.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # The JVM does not JIT-compile methods above 8000 bytes of bytecode; a whole-stage
     # method that large (nine aggregates in one stage) would run interpreted, 3x slower.
     # At this limit Spark falls back to per-operator code for just that stage.
@@ -49,10 +54,7 @@ def get_spark(master: str | None = None, app: str = "obsflow",
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime SQL settings to an existing session (idempotent)."""
     for k, v in SESSION_CONF.items():
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # static conf on a shared session: keep what is there
-            pass
+        spark.conf.set(k, v)
     return spark
 
 
@@ -83,7 +85,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the deployment and is read, never replaced.
-    Only when it is unset (tests, a laptop) a folder is created and registered.
+    Only when it is unset on a local master (tests, a laptop) a folder is created
+    and registered; elsewhere executors could not read the driver's own folders.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)
@@ -91,6 +94,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         current = sc.getCheckpointDir()
         if current:
             return current
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="obsflow-ckpt-")
         sc.setCheckpointDir(root)
         return sc.getCheckpointDir() or root
@@ -110,7 +115,7 @@ def work_dir(spark: SparkSession, name: str) -> str:
 
 
 def size_for_input(spark: SparkSession, input_bytes: int, total_cores: int,
-                   target_partition_bytes: int = 256 << 20, max_partitions: int = 100_000) -> int:
+                   target_partition_bytes: int = 256 << 20) -> int:
     """Size scan splits and shuffles for an input of ``input_bytes`` on ``total_cores`` cores.
 
     Scan splits and the adaptive advisory size are ``target_partition_bytes``
@@ -120,22 +125,8 @@ def size_for_input(spark: SparkSession, input_bytes: int, total_cores: int,
     before a stateful stream starts for the first time: the checkpoint fixes
     that query's partition count.
     """
-    n = max(total_cores * 2, min(max_partitions, -(-int(input_bytes) // target_partition_bytes)))
+    n = max(total_cores * 2, -(-int(input_bytes) // target_partition_bytes))
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(target_partition_bytes))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_partition_bytes))
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     return n
-
-
-ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-def use_rocksdb_state(spark: SparkSession) -> None:
-    """Keep streaming state in RocksDB (on local disk, checkpointed) instead of the JVM heap.
-
-    For the window query the state is the set of open windows, a few per city in
-    steady state; a backlog replayed in one micro-batch (restart after downtime)
-    can hold millions of groups until the watermark passes them, which this
-    provider spills instead of keeping on the heap. Set before a query's first start.
-    """
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
