@@ -69,10 +69,11 @@ def _band_keys(sig: np.ndarray, rows: int) -> np.ndarray:
     return key
 
 
-SKETCH_SCHEMA = "doc_id long, n_shingles long, s1 long, s2 long, bands array<long>, sketch binary"
+ROW_SCHEMA = "doc_id long, n_shingles long, s1 long, s2 long, bands array<long>"
+TEXT_SCHEMA = "doc_id long, n_shingles long, sketch binary, text string"
 
 
-def _sketcher(k: int, bins: int, rows: int):
+def _bander(k: int, bins: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "text"):
             sets, off = shingle_sets(*utf8(batch.column(1)), k)
@@ -81,14 +82,24 @@ def _sketcher(k: int, bins: int, rows: int):
             for salt in (0x1234567, 0x89ABCDE):
                 total = np.concatenate([[np.uint64(0)], np.cumsum(mix64(sets ^ np.uint64(salt)), dtype=np.uint64)])
                 sums.append((total[off[1:]] - total[off[:-1]]).view(np.int64))
-            sig = signatures(sets, off, bins)
-            keys = _band_keys(sig, rows).view(np.int64)
+            keys = _band_keys(signatures(sets, off, bins), rows).view(np.int64)
             bands = pa.ListArray.from_arrays(
                 pa.array(np.arange(len(n) + 1, dtype=np.int32) * keys.shape[1]), pa.array(keys.ravel()))
-            sketch = pa.array([r.tobytes() for r in (sig & np.uint64(0xFFFF)).astype(np.uint16)], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n), pa.array(sums[0]), pa.array(sums[1]), bands, sketch],
-                ["doc_id", "n_shingles", "s1", "s2", "bands", "sketch"])
+                [batch.column(0), pa.array(n), pa.array(sums[0]), pa.array(sums[1]), bands],
+                ["doc_id", "n_shingles", "s1", "s2", "bands"])
+    return run
+
+
+def _with_sketch(k: int, bins: int):
+    """Adds the size of the set and 16 bits of every signature entry to (doc_id, text)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches, "text"):
+            sets, off = shingle_sets(*utf8(batch.column(1)), k)
+            low = (signatures(sets, off, bins) & np.uint64(0xFFFF)).astype(np.uint16)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(np.diff(off)), pa.array([r.tobytes() for r in low], pa.binary()),
+                 batch.column(1)], ["doc_id", "n_shingles", "sketch", "text"])
     return run
 
 
@@ -126,9 +137,9 @@ def _verifier(k: int, num: int, den: int):
     return run
 
 
-def _confirm(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, k: int, num: int, den: int, name: str) -> DataFrame:
+def _confirm(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int, name: str) -> DataFrame:
     """Of the candidate pairs (a, b) those that are links, by full shingle sets."""
-    side = lambda x: nodes.select(F.col("doc_id").alias(x), F.col("n_shingles").alias(f"n_{x}"),
+    side = lambda x: texts.select(F.col("doc_id").alias(x), F.col("n_shingles").alias(f"n_{x}"),
                                   F.col("sketch").alias(f"s_{x}"))
     text = lambda x: texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}"))
     close = (pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "s_a", "s_b")
@@ -212,19 +223,24 @@ def _links_between(left: DataFrame, nodes: DataFrame, texts: DataFrame, k: int,
     """Links between components among ``left(band, doc_id, component)``, the documents of mixed buckets.
 
     In any one order of all shingles, two linked sets share a shingle among the
-    first n - ceil(s * n) + 1 of each. With rare shingles first, documents that
-    share a common passage and nothing else drop out; the others are compared
-    block by block inside their buckets.
+    first n - ceil(s * n) + 1 of each. With rare shingles first, documents whose
+    first shingles no other component has (they share a common passage, or are
+    near copies of nothing else) drop out; the others are compared block by
+    block inside their buckets.
     """
-    some = left.select("doc_id").distinct()
+    some = left.select("doc_id", "component").distinct()
     sets = stash(some.join(texts, "doc_id").select("doc_id", "text").mapInArrow(
         _set_rows(k), "doc_id long, n long, hs array<long>"), "minhash-sets")
     rows = sets.select("doc_id", "n", F.explode("hs").alias("h"))
-    often = rows.groupBy("h").agg(F.count(F.lit(1)).alias("f"))
+    often = rows.groupBy("h").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
     rare_first = Window.partitionBy("doc_id", "n").orderBy("f", "h")
-    active = (rows.join(often, "h").withColumn("rank", F.row_number().over(rare_first))
-              .where(F.expr(f"rank <= n - (n * {num} + {den} - 1) div {den} + 1 and f > 1"))
-              .select("doc_id").distinct())
+    first = (rows.join(often, "h", "left").withColumn("f", F.coalesce("f", F.lit(1)))
+             .withColumn("rank", F.row_number().over(rare_first))
+             .where(F.expr(f"rank <= n - (n * {num} + {den} - 1) div {den} + 1 and f > 1")))
+    first = stash(first.select("doc_id", "h").join(some, "doc_id"), "minhash-prefixes")
+    across = (first.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+              .where("lo <> hi").select("h"))
+    active = first.join(across, "h").select("doc_id").distinct()
     seen = stash(left.join(active, "doc_id"), "minhash-active")
     sizes = (seen.groupBy("band").agg(F.count(F.lit(1)).alias("m"), F.min("component").alias("lo"),
                                       F.max("component").alias("hi"))
@@ -248,21 +264,24 @@ def near_duplicates(docs: DataFrame, k: int = 4, num: int = 80, den: int = 100,
     ``k``-word shingle sets; component_id is the smallest id reachable by links.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = stash(texts.mapInArrow(_sketcher(k, BINS, ROWS), SKETCH_SCHEMA), "minhash-rows")
+    rows = stash(texts.mapInArrow(_bander(k, BINS, ROWS), ROW_SCHEMA), "minhash-rows")
     key = ["s1", "s2", "n_shingles"]
     classes = stash(rows.where("n_shingles > 0 and doc_id is not null").groupBy(*key)
                     .agg(F.min("doc_id").alias("rep")), "minhash-classes")
     mine = (F.col("r.doc_id") == F.col("c.rep")) & (F.col("r.s1") == F.col("c.s1")) & (F.col("r.s2") == F.col("c.s2"))
-    nodes = stash(rows.alias("r").join(classes.alias("c"), mine).select("r.*").dropDuplicates(["doc_id", "s1", "s2"]),
-                  "minhash-nodes")
+    nodes = stash(rows.alias("r").join(classes.alias("c"), mine).select("r.doc_id", "r.s1", "r.s2", "r.bands")
+                  .dropDuplicates(["doc_id", "s1", "s2"]), "minhash-nodes")
 
-    member = nodes.select("doc_id", "n_shingles", F.explode("bands").alias("band"))
+    member = nodes.select("doc_id", F.explode("bands").alias("band"))
     shared = (member.groupBy("band").agg(F.min("doc_id").alias("hub"), F.count(F.lit(1)).alias("m"))
               .where("m > 1").select("band", "hub"))
     shared = stash(shared, "minhash-buckets")
     inside = stash(member.join(shared, "band"), "minhash-members")
+    # the texts of documents that share a bucket, once for all comparisons
+    texts = stash(inside.select("doc_id").distinct().join(texts, "doc_id").select("doc_id", "text")
+                  .mapInArrow(_with_sketch(k, BINS), TEXT_SCHEMA), "minhash-texts")
     star = inside.where("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
-    links = _confirm(star, nodes, texts, k, num, den, "minhash-star")
+    links = _confirm(star, texts, k, num, den, "minhash-star")
     label = components(links, "minhash-first")
 
     # Buckets that still hold several components: their documents are compared across components.

@@ -1,5 +1,7 @@
 import math
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from obsflow.operators import quality, windows
@@ -97,20 +99,29 @@ def test_non_finite_values_follow_double_semantics(spark):
     assert out["D"]["avg_temp"] == 1.26 and out["D"]["max_temp"] == 1.26   # exact path, half away from zero
 
 
-def test_exact_means_against_decimal_arithmetic(spark):
+def test_means_against_decimal_arithmetic(spark):
     from decimal import ROUND_HALF_UP, Decimal
 
-    from obsflow.functions.numeric import decimal_mean
+    from obsflow.functions.numeric import rounded_avg
     groups = {
         "ties": [1.25, 1.26], "neg_ties": [-1.25, -1.26], "thirds": [1.0, 1.0, 1.01],
-        "mixed": [-3.5, 2.25, 0.01, 7.77, -0.02], "big": [8.9e13, 8.9e13, 8.9e13 + 0.01],  # decimal fallback
-        "one": [42.42],
+        "mixed": [-3.5, 2.25, 0.01, 7.77, -0.02], "fine": [20.004, 20.004, 20.008], "one": [42.42],
     }
     rows = [(g, v) for g, vs in groups.items() for v in vs]
     df = spark.createDataFrame(rows, "g string, v double")
     for digits in (1, 2, 6):
-        got = {r["g"]: r["m"] for r in df.groupBy("g").agg(decimal_mean("v", digits).alias("m")).collect()}
+        got = {r["g"]: r["m"] for r in df.groupBy("g").agg(rounded_avg("v", digits).alias("m")).collect()}
         for g, vs in groups.items():
             exact = sum(Decimal(repr(v)) for v in vs) / Decimal(len(vs))
             want = float(exact.quantize(Decimal(1).scaleb(-digits), rounding=ROUND_HALF_UP))
             assert got[g] == want, (g, digits, got[g], want)
+
+
+def test_windows_keep_every_digit_and_any_magnitude(spark):
+    """Finer than 0.01, huge single values, and sums beyond any 64-bit count of hundredths."""
+    rows = [("A", 20.004), ("A", 20.004), ("A", 20.008), ("B", 1e12), ("B", 10.0)] + [("C", 9e13)] * 1100
+    out = {r["city"]: r for r in windows.window_aggregates(
+        _timed(spark, [(c, t, "2024-01-01T10:00:00+00:00") for c, t in rows])).collect()}
+    assert out["A"]["avg_temp"] == 20.01 and out["A"]["max_temp"] == 20.01 and out["A"]["min_temp"] == 20.0
+    assert out["B"]["stddev_temp"] == pytest.approx(707106781179.48, rel=1e-12)
+    assert out["C"]["avg_temp"] == 9e13 and out["C"]["stddev_temp"] == 0.0
