@@ -220,6 +220,13 @@ SELECT event_id, temperature,
        CASE WHEN temperature IS NULL THEN NULL WHEN temperature >= 0 THEN 'normal' ELSE 'inverse' END AS label
 FROM wv""")
 
+ORACLE_MINUTE = """
+SELECT strftime(time_bucket(INTERVAL 1 MINUTE, event_time), '%Y-%m-%d %H:%M:%S') AS cycle_start,
+       count(DISTINCT city) AS n_cities, count(*) AS n_records,
+       count(DISTINCT city) / 10 AS completeness,
+       (epoch_us(max(event_time)) - epoch_us(min(event_time))) / 1e6 AS elapsed_sec
+FROM wv WHERE event_time IS NOT NULL GROUP BY 1"""
+register("poll_completeness_minute", ORACLE_MINUTE)
 register("poll_completeness", """
 SELECT strftime(time_bucket(INTERVAL 1 HOUR, event_time), '%Y-%m-%d %H:%M:%S') AS cycle_start,
        count(DISTINCT city) AS n_cities, count(*) AS n_records,
@@ -354,3 +361,70 @@ register("quarantined_payloads", """
 SELECT -event_id - 1 AS event_id, props AS payload, 'missing main' AS reject_reason FROM events""")
 
 ORACLE["stream_quality_report"] = ORACLE["quality_report"]
+
+
+# ---- the anomaly tables over the literal forest -------------------------------
+_RAW = _fixed_forest_sql().strip()
+_RAW = _RAW[_RAW.index("round(") + len("round("):_RAW.index(" * 10000.0) / 10000.0 AS anomaly_score")]
+_FIXED = f""", raw AS (SELECT *, {_RAW} AS s FROM clean),
+sc AS (
+  SELECT raw.* EXCLUDE (s), round_even(s * 10000.0, 0) / 10000.0 AS anomaly_score, coalesce(s < t, false) AS is_anomaly,
+         CAST(CASE WHEN s < t THEN -1 ELSE 1 END AS INT) AS anomaly_label
+  FROM raw, (SELECT quantile_cont(s, 0.05) AS t FROM raw)),
+an AS (SELECT * FROM sc WHERE is_anomaly)
+"""
+_RATE = """SELECT n_total, n_anomalies, CASE WHEN n_total = 0 THEN 0.0 ELSE n_anomalies * 100.0::DOUBLE / n_total END AS anomaly_rate,
+       CAST(round(CAST(CASE WHEN n_total = 0 THEN 0.0 ELSE n_anomalies * 100.0::DOUBLE / n_total END AS DECIMAL(18,6)), 1) AS VARCHAR)
+       || '%' AS rate_text"""
+_RECENT = ["timestamp", "city", "temperature", "humidity", "pressure", "wind_speed", "weather_main", "anomaly_score"]
+
+register("detect_flagged_fixed", f"{_FIXED} SELECT {RECORD_COLS}, event_id, anomaly_score, anomaly_label FROM an")
+register("score_summary_fixed", f"""{_FIXED}
+SELECT min(anomaly_score) FILTER (WHERE is_anomaly) AS min_flagged_score,
+       max(anomaly_score) FILTER (WHERE is_anomaly) AS max_flagged_score,
+       count(*) FILTER (WHERE is_anomaly) AS n_flagged, count(*) AS n_total,
+       count(*) FILTER (WHERE is_anomaly) / count(*) AS flagged_share FROM sc""")
+register("anomaly_details_fixed", f"{_FIXED} SELECT event_id, timestamp, city, anomaly_score, " + ", ".join(
+    f"round_even({f}::DOUBLE * 10, 0) / 10 AS {f}" for f in _FEATS) + " FROM an")
+register("anomaly_histogram_fixed", f"""{_FIXED}, mm AS (SELECT min(anomaly_score) AS lo, max(anomaly_score) AS hi FROM an),
+h AS (SELECT city, lo, hi, CASE WHEN hi = lo THEN 1 ELSE
+        CAST(least(floor((anomaly_score - lo) / ((hi - lo) / 20)) + 1, 20) AS INT) END AS bin FROM an, mm)
+SELECT city, bin, CAST(lo + (bin - 1) * ((hi - lo) / 20) AS DOUBLE) AS bin_start, count(*) AS n FROM h GROUP BY city, bin, lo, hi""")
+register("recent_anomalies_fixed", f"""{_FIXED}
+SELECT {", ".join(_RECENT)} FROM (SELECT * FROM an ORDER BY event_time DESC, city DESC, event_id DESC LIMIT 20)""")
+register("anomaly_scan", f"""{_FIXED}
+SELECT {RECORD_COLS}, event_id, anomaly_label, anomaly_score, {_TT('event_time')} AS event_time FROM an""")
+register("anomaly_rate_history_fixed", f"""{_FIXED},
+c AS (SELECT count(*) AS n_total, count(*) FILTER (WHERE is_anomaly) AS n_anomalies FROM sc) {_RATE} FROM c""")
+register("anomaly_rate_capped_fixed", f"""{_FIXED},
+c AS (SELECT least(count(*), 2000) AS n_total, least(count(*) FILTER (WHERE is_anomaly), 500) AS n_anomalies FROM sc) {_RATE} FROM c""")
+register("forest_roundtrip", f"""{_FIXED} SELECT event_id, round_even(s * 10000.0, 0) / 10000.0 AS anomaly_score,
+       CAST(CASE WHEN s < -0.5 THEN -1 ELSE 1 END AS INT) AS anomaly_label FROM raw""")
+register("stream_anomalies_fixed", f"""{_FIXED} SELECT event_id, city, round_even(s * 10000.0, 0) / 10000.0 AS anomaly_score,
+       -1 AS anomaly_label FROM raw WHERE s < -0.5""")
+register("forest_invariants", """SELECT CAST(t AS INT) AS tree_id, least(256, n) AS root_rows, least(256, n) AS leaf_rows,
+       true AS depth_ok, CAST(0 AS BIGINT) AS bad_splits
+FROM (SELECT count(*) AS n FROM clean), range(100) r(t)""")
+register("forest_flag_share", """SELECT count(*) AS n_rows, count(*) AS n_scored, true AS flags_bounded,
+       true AS flags_lowest, true AS in_range FROM clean""")
+
+# The stream reads five equal time ranges in the order 2, 0, 4, 1, 3. A run first aggregates its rows with the
+# watermark the runs before left behind (10 minutes below the latest time seen) and drops rows whose window that
+# watermark has passed; at its end the watermark rises and the windows it has passed are given out.
+_LATE_ORDER = [2, 0, 4, 1, 3]
+
+
+def _late_sql() -> str:
+    ranks = " ".join(f"WHEN {c} THEN {i}" for i, c in enumerate(_LATE_ORDER))
+    return f""", ab AS (SELECT epoch_us(min(event_time)) AS a, epoch_us(max(event_time)) AS b FROM wv),
+ch AS (SELECT wv.*, CASE (epoch_us(event_time) - a) // ((b - a) // 5 + 1) {ranks} END AS run,
+              time_bucket(INTERVAL 5 MINUTE, event_time) + INTERVAL 5 MINUTE AS w_end FROM wv, ab),
+mx AS (SELECT run, max(event_time) AS m FROM ch GROUP BY run),
+wm AS (SELECT run, max(m) OVER (ORDER BY run) - INTERVAL 10 MINUTE AS after_run,
+              max(m) OVER (ORDER BY run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 10 MINUTE AS before_run FROM mx),
+late AS (SELECT ch.* EXCLUDE (run, w_end) FROM ch JOIN wm USING (run)
+         WHERE (before_run IS NULL OR w_end > before_run) AND w_end <= (SELECT max(after_run) FROM wm))
+{_window_agg("late")}"""
+
+
+register("stream_late_data", _late_sql())

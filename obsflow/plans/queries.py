@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsflow.functions import lookups
+from obsflow.functions.numeric import exact_quantile
 from obsflow.functions.text import threshold_label, time_text
 from obsflow.operators import anomalies as anom
 from obsflow.operators import features, quality, scoring, serve, windows
@@ -199,6 +200,12 @@ def q_poll_completeness(spark, sf_dir):
                                      expected=len(lookups.CITIES))
 
 
+@query
+def q_poll_completeness_minute(spark, sf_dir):
+    """At the poll cycle of the source: one minute."""
+    return windows.poll_completeness(weather_view(spark, sf_dir), expected=len(lookups.CITIES))
+
+
 # ---- features and score statistics ------------------------------------------
 
 
@@ -261,50 +268,76 @@ def q_forest_fit(spark, sf_dir):
 
 @query
 def q_forest_score(spark, sf_dir):
-    clean, m = _model(spark, sf_dir)
-    return anom.apply_model(clean, m).select("event_id", "city", "anomaly_score", "anomaly_label")
+    scored, _ = anom.score_all(_clean(spark, sf_dir))
+    return scored.select("event_id", "city", "anomaly_score", "anomaly_label")
+
+
+@query
+def q_forest_invariants(spark, sf_dir):
+    """What every fitted tree obeys: psi rows at its root, as many in its leaves, children one level down."""
+    clean = _clean(spark, sf_dir)
+    zcols = features.FEATURES
+    nodes, _ = iforest.fit_nodes(clean, zcols, ["event_id"])
+    leaf = F.col("feature") < 0
+    kids = nodes.select("tree_id", F.col("node_id").alias("kid"), F.col("n_rows").alias("kid_rows"), F.col("depth").alias("kid_depth"))
+    split = nodes.where(~leaf).select("tree_id", "n_rows", "depth", F.explode(F.array("left", "right")).alias("kid"), "node_id") \
+        .join(kids, ["tree_id", "kid"]).groupBy("tree_id", "node_id", "n_rows", "depth") \
+        .agg(F.sum("kid_rows").alias("s"), F.max(F.col("kid_depth") - F.col("depth")).alias("d")) \
+        .groupBy("tree_id").agg(F.count(F.when((F.col("s") != F.col("n_rows")) | (F.col("d") != 1), 1)).alias("bad_splits"))
+    return nodes.groupBy("tree_id").agg(
+        F.max(F.when(F.col("node_id") == 0, F.col("n_rows"))).cast("long").alias("root_rows"),
+        F.sum(F.when(leaf, F.col("n_rows"))).alias("leaf_rows"),
+        (F.max("depth") <= 8).alias("depth_ok")).join(split, "tree_id").select(
+        "tree_id", "root_rows", "leaf_rows", "depth_ok", "bad_splits")
+
+
+@query
+def q_forest_flag_share(spark, sf_dir):
+    """How many rows a fitted forest scores, and whether it flags those below the 5th percentile and no others."""
+    scored, m = anom.score_all(_clean(spark, sf_dir))
+    flagged = F.col("is_anomaly")
+    return scored.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("anomaly_score").alias("n_scored"),
+        (F.count(F.when(flagged, 1)) <= F.ceil(F.count(F.lit(1)) * 0.05)).alias("flags_bounded"),
+        (F.max(F.when(flagged, F.col("anomaly_score"))) <= F.min(F.when(~flagged, F.col("anomaly_score")))).alias("flags_lowest"),
+        ((F.min("anomaly_score") >= -1) & (F.max("anomaly_score") <= 0)).alias("in_range"))
 
 
 @query
 def q_forest_roundtrip(spark, sf_dir):
-    clean, m = _model(spark, sf_dir)
+    """Every record scored with the literal forest after it went through the model store."""
     root = work_dir(spark, "model")
-    model_store.save_model(spark, m, root, version=1)
-    loaded = model_store.load_model(spark, root)
-    # scores with the loaded model, rows joined with the fitted model's scores must agree
-    a = anom.apply_model(clean, m).select("event_id", F.col("anomaly_score").alias("s_fit"))
-    b = anom.apply_model(clean, loaded).select("event_id", F.col("anomaly_score").alias("s_loaded"))
-    return a.join(b, "event_id").where(F.col("s_fit") == F.col("s_loaded"))
+    model_store.save_model(spark, _fixed_model(spark), root, version=1)
+    scored = anom.apply_model(_clean(spark, sf_dir), model_store.load_model(spark, root))
+    return scored.select("event_id", "anomaly_score", "anomaly_label")
 
 
 def _scored(spark, sf_dir):
-    clean, m = _model(spark, sf_dir)
-    return anom.apply_model(clean, m)
+    return anom.score_all(_clean(spark, sf_dir))[0]
 
 
 @query
 def q_detect_anomalies(spark, sf_dir):
-    return _scored(spark, sf_dir).where(F.col("is_anomaly"))
+    return anom.detect_anomalies(_clean(spark, sf_dir))
 
 
-def _anomaly_tables(spark, sf_dir):
+def _anomaly_tables(spark, scored):
     """Records and anomalies written as history tables (one batch per day)."""
-    scored = _scored(spark, sf_dir)
     rec_path, an_path = work_dir(spark, "records"), work_dir(spark, "anomalies")
     history.write_batches(_day_batch(scored.drop("anomaly_label", "anomaly_score", "is_anomaly")), rec_path)
     history.write_batches(_day_batch(scored.where(F.col("is_anomaly"))), an_path)
-    return history.read_history(spark, rec_path), history.read_history(spark, an_path)
+    return history.read_history(spark, rec_path), history.read_history(spark, an_path, anomalies=True)
 
 
 @query
 def q_recent_anomalies(spark, sf_dir):
-    _, an = _anomaly_tables(spark, sf_dir)
+    _, an = _anomaly_tables(spark, _scored(spark, sf_dir))
     return anom.recent_anomalies(an, 20)
 
 
 @query
 def q_anomaly_rate(spark, sf_dir):
-    rec, an = _anomaly_tables(spark, sf_dir)
+    rec, an = _anomaly_tables(spark, _scored(spark, sf_dir))
     return scoring.anomaly_rate(an, total=rec)
 
 
@@ -335,6 +368,82 @@ FIXED_FOREST = [
 ]
 
 
+def _fixed_model(spark, threshold=-0.5):
+    """The literal forest as a model: features as they are, a literal threshold."""
+    nodes = iforest.literal_nodes(spark, FIXED_FOREST).collect()
+    forest = iforest.Forest.from_nodes(nodes, [f"__z_{f}" for f in features.FEATURES], 256)
+    forest.extra["nodes"] = [tuple(r) for r in nodes]
+    stats = {f: {"feature": f, "n": 1, "median": 0.0, "mean": 0.0, "std_pop": 1.0} for f in features.FEATURES}
+    return anom.Model(list(features.FEATURES), stats, forest, threshold, 1)
+
+
+def _scored_fixed(spark, sf_dir):
+    """The clean records with scores of the literal forest, cut at their exact 5th percentile."""
+    clean, model = _clean(spark, sf_dir), _fixed_model(spark)
+    raw = iforest.score(clean, model.forest, features.FEATURES)
+    return anom.apply_model(clean, model, threshold=exact_quantile(raw, "anomaly_score_raw", scoring.CONTAMINATION))
+
+
+@query
+def q_detect_flagged_fixed(spark, sf_dir):
+    flagged = _scored_fixed(spark, sf_dir).where(F.col("is_anomaly"))
+    return flagged.select(*RECORD_FIELDS, "event_id", "anomaly_score", "anomaly_label")
+
+
+@query
+def q_score_summary_fixed(spark, sf_dir):
+    return anom.score_summary(_scored_fixed(spark, sf_dir))
+
+
+@query
+def q_anomaly_details_fixed(spark, sf_dir):
+    return anom.anomaly_details(_scored_fixed(spark, sf_dir).where(F.col("is_anomaly")))
+
+
+@query
+def q_anomaly_histogram_fixed(spark, sf_dir):
+    return scoring.histogram_by(_scored_fixed(spark, sf_dir).where(F.col("is_anomaly")), "anomaly_score", "city")
+
+
+@query
+def q_recent_anomalies_fixed(spark, sf_dir):
+    _, an = _anomaly_tables(spark, _scored_fixed(spark, sf_dir))
+    return anom.recent_anomalies(an, 20)
+
+
+@query
+def q_anomaly_scan(spark, sf_dir):
+    """The anomaly history as the dashboard reads it: records with their verdict, by time."""
+    path = work_dir(spark, "anomalies")
+    flagged = _scored_fixed(spark, sf_dir).where(F.col("is_anomaly"))
+    history.write_batches(_day_batch(flagged), path)
+    return history.anomaly_scan(spark, path).select(*RECORD_FIELDS, "event_id", "anomaly_label", "anomaly_score",
+                                                    time_text("event_time").alias("event_time"))
+
+
+@query
+def q_anomaly_rate_history_fixed(spark, sf_dir):
+    rec, an = _anomaly_tables(spark, _scored_fixed(spark, sf_dir))
+    return scoring.anomaly_rate(an, total=rec)
+
+
+@query
+def q_anomaly_rate_capped_fixed(spark, sf_dir):
+    rec, an = _anomaly_tables(spark, _scored_fixed(spark, sf_dir))
+    return anom.capped_anomaly_rate(rec, an, cap_records=2000, cap_anomalies=500)
+
+
+@query
+def q_stream_anomalies_fixed(spark, sf_dir):
+    """A stream of messages scored with the stored literal model, flagged rows appended by a stateless sink."""
+    base = work_dir(spark, "stream-fixed")
+    _messages(spark, sf_dir).write.parquet(f"{base}/in")
+    obs = jobs.observation_stream(spark, fmt="parquet", path=f"{base}/in", keep=("offset",), with_corrupt=False)
+    jobs.run_available_now(jobs.start_anomaly_sink(obs, _fixed_model(spark), f"{base}/out", f"{base}/ck",
+                                                   trigger="available_now"))
+    return spark.read.parquet(f"{base}/out").select(F.col("offset").alias("event_id"), "city", "anomaly_score", "anomaly_label")
+
+
 @query
 def q_forest_score_fixed(spark, sf_dir):
     nodes = iforest.literal_nodes(spark, FIXED_FOREST).collect()
@@ -413,7 +522,7 @@ def q_stream_anomalies(spark, sf_dir):
 @query
 def q_anomaly_rate_capped(spark, sf_dir):
     """The rate as a dashboard reading two capped files computes it (2,000 records, 500 anomalies)."""
-    rec, an = _anomaly_tables(spark, sf_dir)
+    rec, an = _anomaly_tables(spark, _scored(spark, sf_dir))
     return anom.capped_anomaly_rate(rec.withColumn("batch_id", F.col("batch_id").cast("bigint")),
                                     an.withColumn("batch_id", F.col("batch_id").cast("bigint")),
                                     cap_records=2000, cap_anomalies=500)
