@@ -21,6 +21,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Rows sent to Python are batched by size: long texts must not pile up in a worker.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
     # Writers replace only the partitions a job touches (batch_id=N, version=N).
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Streaming state on local disk (checkpointed), not on the heap: a backlog replayed in one
