@@ -122,7 +122,7 @@ def _prefilter(num: int, den: int, bins: int):
 
 def _verifier(k: int, num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(text_slices(batches, "text_a", 2 << 20), "text_b", 2 << 20):
+        for batch in text_slices(text_slices(batches, "text_a"), "text_b"):
             sa, oa = shingle_sets(*utf8(batch.column(2)), k)
             sb, ob = shingle_sets(*utf8(batch.column(3)), k)
             ok = np.zeros(batch.num_rows, dtype=bool)
@@ -190,7 +190,8 @@ def _compare_blocks(num: int, den: int):
         if i != j:
             link &= chunk[:, None] != chunk[None, :]
         x, y = np.nonzero(link)
-        first = (bands[x] == bands[y]).argmax(axis=1)
+        first = np.concatenate([np.zeros(0, np.int64), *[(bands[x[c:c + 50_000]] == bands[y[c:c + 50_000]]).argmax(axis=1)
+                                                         for c in range(0, len(x), 50_000)]])
         mine = bands[x, first] == band
         root = {p: p for p in part[np.concatenate([x, y])].tolist()}
 
