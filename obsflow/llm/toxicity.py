@@ -287,14 +287,16 @@ def toxicity_scores(docs: DataFrame, labelled: DataFrame, labels: DataFrame, fol
     ``carry`` keeps all columns of ``docs``, but for those with a name of the result.
 
     ``labelled`` are the documents that ``labels`` speaks of. The model is
-    fitted on at most ``fit_rows`` of those outside the held fold whose text has
-    at most ``fit_bytes`` bytes, those with the smallest hash of their id.
+    fitted on the ``fit_rows`` labels outside the held fold with the smallest
+    hash of their id at most, as far as their text has up to ``fit_bytes`` bytes.
     """
     spark = docs.sparkSession
     known = (labels.select(F.col(id_col).alias("i"), F.col(label_col).alias("y")).where("y in (0, 1)")
              .where(~fold(F.col("i"), folds, held)))
+    # at most fit_rows ids, so they can be broadcast and no text is shuffled
+    chosen = known.withColumn("o", F.xxhash64("i")).orderBy("o", "i", "y").limit(fit_rows)
     text = labelled.select(F.col(id_col).alias("i"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    sample = (text.where(F.octet_length("text") <= fit_bytes).join(known, "i").withColumn("o", F.xxhash64("i"))
+    sample = (text.where(F.octet_length("text") <= fit_bytes).join(F.broadcast(chosen), "i")
               .orderBy("o", "i", "y", F.xxhash64("text")).limit(fit_rows).select("text", "y").toArrow())
     data, off = utf8(sample.column(0))
     model = spark.sparkContext.broadcast(Scorer(data, off, sample.column(1).to_numpy().astype(np.float64)))
