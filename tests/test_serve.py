@@ -116,3 +116,13 @@ def test_latest_row_mode_ties_are_deterministic(spark):
     a = serve.latest_by_city(df, mode="row").first()
     b = serve.latest_by_city(df.repartition(3), mode="row").first()
     assert a == b and a["humidity"] == int(a["temperature"])   # one whole row, same either way
+
+
+def test_refresh_clock_column(spark):
+    import re
+
+    from obsflow.operators import serve
+    from obsflow.sources.tables import weather_view
+    from tests.conftest import SF001
+    cards = serve.current_conditions(serve.latest_by_city(weather_view(spark, SF001)), clock=True)
+    assert cards.columns[-1] == "refreshed_at" and re.fullmatch(r"\d\d:\d\d:\d\d UTC", cards.first()["refreshed_at"])
