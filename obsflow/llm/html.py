@@ -26,6 +26,7 @@ import html as entities
 import json
 import re
 from collections.abc import Iterator
+from difflib import SequenceMatcher
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -64,12 +65,12 @@ DEPTH = 200
 
 
 class Element:
-    """An open element: what its text counts as, and its place in the page's tree."""
+    """An open element: what its text counts as (``zones``: one bit per zone it stands in), and its tree node."""
 
-    __slots__ = ("tag", "skip", "zone", "node", "link")
+    __slots__ = ("tag", "skip", "zones", "node", "link")
 
-    def __init__(self, tag: str, skip: bool, zone: int, node: list, link: bool):
-        self.tag, self.skip, self.zone, self.node, self.link = tag, skip, zone, node, link
+    def __init__(self, tag: str, skip: bool, zones: int, node: list, link: bool):
+        self.tag, self.skip, self.zones, self.node, self.link = tag, skip, zones, node, link
 
 
 # Tree nodes are lists: label, text (None, a digest, or SLOT), optional, repeated, children.
@@ -81,18 +82,18 @@ def _attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): next((x for x in m.groups()[1:] if x is not None), "") for m in ATTRIBUTE.finditer(raw)}
 
 
-def _judge(tag: str, attr: dict[str, str], zones: set[int]) -> tuple[bool, int]:
-    """(left out?, zone): zone 3 article, 2 main, 1 named as content, 0 none. ``zones``: those it stands in."""
+def _judge(tag: str, attr: dict[str, str], zones: int) -> tuple[bool, int]:
+    """(left out?, zone): zone 3 article, 2 main, 1 named as content, 0 none. ``zones``: bits of those around it."""
     role = attr.get("role", "").lower()
     names = {w.lower() for k in ("class", "id") for w in NAME.findall(attr.get(k, ""))}
     style = attr.get("style", "").replace(" ", "").lower()
     skip = (tag in SKIPPED or role in SKIPPED_ROLES or "hidden" in attr or attr.get("aria-hidden") == "true"
             or "display:none" in style or "visibility:hidden" in style or bool(names & COMMENTS))
-    inside = bool(zones & {2, 3})
+    inside = bool(zones & (1 << 2 | 1 << 3))
     if tag not in ("html", "body", "main", "article"):
         skip |= bool(names & BOILERPLATE) or (not inside and (tag == "header" or "header" in names))
     if tag == "article":
-        skip |= 3 in zones or bool(names & {"teaser", "related", "promo", "sponsored", "ad"})
+        skip |= bool(zones >> 3 & 1) or bool(names & {"teaser", "related", "promo", "sponsored", "ad"})
         return skip, 3
     if tag == "main" or role == "main":
         return skip, 2
@@ -108,6 +109,7 @@ def read_page(html: str) -> tuple[list[list], list]:
     """(blocks, tree) of a page. A block: [text pieces, zones, skipped?, link characters, label path]."""
     root: list = ["page", None, False, False, []]
     stack = [Element("", False, 0, root, False)]
+    opened: dict[str, int] = {}  # open elements by tag, so that a stray end tag costs nothing
     path: list[str] = []
     blocks: list[list] = []
     fresh, at, low = True, 0, html.lower() if html.isascii() else None
@@ -120,7 +122,7 @@ def read_page(html: str) -> tuple[list[list], list]:
             return
         top = stack[-1]
         if fresh or blocks[-1][2] != top.skip:
-            blocks.append([[], {e.zone for e in stack}, top.skip, 0, tuple(path), top.node])
+            blocks.append([[], top.zones, top.skip, 0, tuple(path[:DEPTH]), top.node])
             fresh = False
         blocks[-1][0].append(text)
         if top.link:
@@ -129,6 +131,7 @@ def read_page(html: str) -> tuple[list[list], list]:
     def close(k: int) -> None:
         nonlocal fresh
         for e in stack[k:]:
+            opened[e.tag] -= 1
             if e.tag not in INLINE:
                 fresh = True
                 if path:
@@ -145,9 +148,8 @@ def read_page(html: str) -> tuple[list[list], list]:
         if not tag:
             continue
         if m[1]:
-            k = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == tag), 0)
-            if k:
-                close(k)
+            if opened.get(tag):
+                close(next(k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == tag))
             continue
         if not m[0].endswith(">"):
             break  # cut off by the end of the page
@@ -170,7 +172,7 @@ def read_page(html: str) -> tuple[list[list], list]:
             if first:
                 close(first)
         top = stack[-1]
-        skip, zone = _judge(tag, attr, {e.zone for e in stack}) if attr or tag not in INLINE else (False, 0)
+        skip, zone = _judge(tag, attr, top.zones) if attr or tag not in INLINE else (False, 0)
         node = top.node
         if tag not in INLINE:
             fresh = True
@@ -187,7 +189,8 @@ def read_page(html: str) -> tuple[list[list], list]:
                 at = close_at.start() if close_at else n
             path.pop()
             continue
-        stack.append(Element(tag, top.skip or skip, zone, node, top.link or tag == "a"))
+        opened[tag] = opened.get(tag, 0) + 1
+        stack.append(Element(tag, top.skip or skip, top.zones | 1 << zone, node, top.link or tag == "a"))
     for b in blocks:
         b[0] = " ".join("".join(b[0]).split())
         node = b.pop()
@@ -203,28 +206,14 @@ def _merge_text(a: str | None, b: str | None) -> str | None:
 
 
 def _merge_lists(x: list[list], y: list[list]) -> list[list]:
-    """Two child lists aligned on a longest common subsequence of labels; the rest becomes optional."""
-    n, m = len(x), len(y)
-    a = 0
-    while a < min(n, m) and x[a][LABEL] == y[a][LABEL]:
-        a += 1
-    best = [[0] * (m + 1 - a) for _ in range(n + 1 - a)]
-    for i in range(n - 1, a - 1, -1):
-        for j in range(m - 1, a - 1, -1):
-            best[i - a][j - a] = (best[i - a + 1][j - a + 1] + 1 if x[i][LABEL] == y[j][LABEL]
-                                  else max(best[i - a + 1][j - a], best[i - a][j - a + 1]))
-    out = [merge(p, q) for p, q in zip(x[:a], y[:a], strict=True)]
-    i = j = a
-    while i < n or j < m:
-        if i < n and j < m and x[i][LABEL] == y[j][LABEL]:
-            out.append(merge(x[i], y[j]))
-            i, j = i + 1, j + 1
-        elif j == m or (i < n and best[i - a + 1][j - a] >= best[i - a][j - a + 1]):
-            out.append([*x[i][:OPTIONAL], True, *x[i][REPEATED:]])
-            i += 1
+    """Two child lists aligned by their labels; what only one side has becomes optional."""
+    out = []
+    labels = [[n[LABEL] for n in side] for side in (x, y)]
+    for what, a, b, c, d in SequenceMatcher(None, *labels, autojunk=False).get_opcodes():
+        if what == "equal":
+            out += [merge(p, q) for p, q in zip(x[a:b], y[c:d], strict=True)]
         else:
-            out.append([*y[j][:OPTIONAL], True, *y[j][REPEATED:]])
-            j += 1
+            out += [[*n[:OPTIONAL], True, *n[REPEATED:]] for n in x[a:b] + y[c:d]]
     return _fold(out)
 
 
@@ -289,7 +278,7 @@ def main_text(blocks: list[list], constants: set[tuple[str, ...]]) -> str:
     """The article's blocks joined by newlines; ``constants`` are the label paths of template texts."""
     shown = [b for b in blocks if not b[2]]
     for zone in (3, 2, 1):
-        inside = [b for b in shown if zone in b[1]]
+        inside = [b for b in shown if b[1] >> zone & 1]
         if inside:
             return "\n".join(b[0] for b in inside)
     return "\n".join(b[0] for b in shown if b[4] not in constants and 2 * b[3] < len(b[0]) + 1)
