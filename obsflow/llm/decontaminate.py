@@ -1,7 +1,7 @@
 """Benchmark decontamination by an FM-index per shard of the training text.
 
 Test phrases are all windows of 13 words of the benchmark texts (the whole text
-where it is shorter). Each shard (a few megabytes of documents inside a task)
+where it is shorter). Each shard (two megabytes of documents inside a task)
 is indexed over its runs of benchmark words; the phrases are looked up by
 backward search, occurrences located through sampled suffix positions, and the
 covered words merged into spans. Documents are never shuffled. Phrases go out
@@ -29,6 +29,9 @@ WINDOW = 13
 #: A block of phrases holds about this many (13 hashes of 8 bytes each: 20 MB).
 BLOCK_PHRASES = 200_000
 
+#: A shard is as many whole documents as fit into this many bytes, one at least.
+SHARD_BYTES = 2 << 20
+
 _SPAN = pa.struct([("w0", pa.int64()), ("w1", pa.int64()), ("b0", pa.int64()), ("b1", pa.int64())])
 _RESULT = "row_id long, th long, n_words long, spans array<struct<w0:long,w1:long,b0:long,b1:long>>, items array<string>"
 
@@ -112,7 +115,7 @@ def occurrences(block: PhraseBlock, h: np.ndarray, per: np.ndarray) -> Iterator[
 def _scanner(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = shared.value
-        for batch in text_slices(batches, "text"):
+        for batch in text_slices(batches, "text", SHARD_BYTES):
             data, off = utf8(batch.column(2))
             start, end, per = find_words(data, off, ALNUM)
             woff = np.concatenate([[0], np.cumsum(per)])

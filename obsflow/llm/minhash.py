@@ -27,6 +27,8 @@ from obsflow.llm.common import components, shuffle_width, sorted_groups, stash,
 from obsflow.llm.words import mix64, shingle_sets
 
 BINS, ROWS = 160, 4
+#: A block of documents holds this many shingles times its number of documents, about.
+SHINGLES_A_DOC = 1000
 
 
 def _orders(bins: int) -> np.ndarray:
@@ -238,14 +240,16 @@ def _links_between(left: DataFrame, nodes: DataFrame, texts: DataFrame, k: int,
     first = (rows.join(often, "h", "left").withColumn("f", F.coalesce("f", F.lit(1)))
              .withColumn("rank", F.row_number().over(rare_first))
              .where(F.expr(f"rank <= n - (n * {num} + {den} - 1) div {den} + 1 and f > 1")))
-    first = stash(first.select("doc_id", "h").join(some, "doc_id"), "minhash-prefixes")
+    first = stash(first.select("doc_id", "n", "h").join(some, "doc_id"), "minhash-prefixes")
     across = (first.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
               .where("lo <> hi").select("h"))
-    active = first.join(across, "h").select("doc_id").distinct()
+    active = first.join(across, "h").select("doc_id", "n").distinct()
     seen = stash(left.join(active, "doc_id"), "minhash-active")
-    sizes = (seen.groupBy("band").agg(F.count(F.lit(1)).alias("m"), F.min("component").alias("lo"),
+    # blocks are bounded in documents and in shingles (one very long document may exceed the latter)
+    size = F.greatest(F.count(F.lit(1)), F.sum("n") / SHINGLES_A_DOC)
+    sizes = (seen.groupBy("band").agg(F.ceil(size / block).cast("int").alias("chunks"), F.min("component").alias("lo"),
                                       F.max("component").alias("hi"))
-             .where("lo <> hi").select("band", F.ceil(F.col("m") / block).cast("int").alias("chunks")))
+             .where("lo <> hi").select("band", "chunks"))
     sizes = stash(sizes, "minhash-sizes")
     placed = (seen.join(sizes, "band").withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))

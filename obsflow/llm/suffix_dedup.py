@@ -33,9 +33,9 @@ LENGTH, GRAM = 400, 160
 #: A part of a text that is handled at once; positions inside fit the low 20 bits of a packed hash.
 PIECE = 1 << 19
 #: Symbols of one suffix array (packed keys hold 21 bits a symbol).
-ARRAY = 1 << 20
+ARRAY = 1 << 19
 #: Names with more contexts than this are dealt by string.
-GROUP = 4096
+GROUP = 1024
 
 _LOW = np.uint64((1 << 20) - 1)
 
@@ -127,7 +127,7 @@ _CUT = "name long, id long, th long, lo long, open boolean, bytes binary"
 
 
 def _cut_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in text_slices(batches, "text", 2 << 20):
+    for batch in text_slices(batches, "text"):
         data, off = utf8(batch.column(2))
         rows = [(c["name"], i, t, c["lo"], c["open"], data[off[r] + c["lo"]:off[r] + c["to"]].tobytes())
                 for r, (i, t, many) in enumerate(zip(*(batch.column(k).to_pylist() for k in (0, 1, 3)), strict=True))

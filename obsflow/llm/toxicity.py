@@ -18,6 +18,7 @@ share of toxic rows.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +34,7 @@ from obsflow.llm.words import ALNUM, VALUE_FOLDED, find_words, hash_words, mix64
 WINDOW, STRIDE, HIDDEN, INPUTS = 32, 16, 6, 4
 TRIGRAMS = 1 << 15
 #: The labelled rows a model is fitted on at most (smallest hash of the id), and their length in bytes.
-FIT_ROWS, FIT_BYTES = 6_000, 32_768
+FIT_ROWS, FIT_BYTES = 4_000, 16_384
 
 
 class Words:
@@ -279,6 +280,16 @@ class Scorer:
                 first[worst] - (np.cumsum(words.per) - words.per))
 
 
+def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sample, in one partition, to a pickled model (one row)."""
+    held = [b for b in batches if b.num_rows]
+    if held:
+        table = pa.Table.from_batches(held)
+        data, off = utf8(table.column(0))
+        scorer = Scorer(data, off, table.column(1).to_numpy().astype(np.float64))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(scorer)], pa.binary())], ["model"])
+
+
 def toxicity_scores(docs: DataFrame, labelled: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2,
                     threshold: float = 0.3, fit_rows: int = FIT_ROWS, fit_bytes: int = FIT_BYTES, carry: bool = False,
                     id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
@@ -297,15 +308,17 @@ def toxicity_scores(docs: DataFrame, labelled: DataFrame, labels: DataFrame, fol
     chosen = known.withColumn("o", F.xxhash64("i")).orderBy("o", "i", "y").limit(fit_rows)
     text = labelled.select(F.col(id_col).alias("i"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     sample = (text.where(F.octet_length("text") <= fit_bytes).join(F.broadcast(chosen), "i")
-              .orderBy("o", "i", "y", F.xxhash64("text")).limit(fit_rows).select("text", "y").toArrow())
-    data, off = utf8(sample.column(0))
-    model = spark.sparkContext.broadcast(Scorer(data, off, sample.column(1).to_numpy().astype(np.float64)))
-
+              .orderBy("o", "i", "y", F.xxhash64("text")).limit(fit_rows).select("text", "y"))
+    # one task holds the bounded sample and fits; the driver only passes the small model on
+    fitted = sample.mapInArrow(_fit, "model binary").first()
+    model = spark.sparkContext.broadcast(fitted["model"] if fitted else pickle.dumps(Scorer(*utf8(pa.array([], pa.string())),
+                                                                                           np.zeros(0))))
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, text_col, 1 << 20):
-            found = [pa.array(x) for x in model.value.score(*utf8(batch.column(at)))]
+        scorer = pickle.loads(model.value)
+        for batch in text_slices(batches, text_col):
+            found = [pa.array(x) for x in scorer.score(*utf8(batch.column(at)))]
             columns = [c for c, name in zip(batch.columns, batch.schema.names, strict=True) if name in carried]
             yield pa.RecordBatch.from_arrays(columns + found, schema.names)
 
