@@ -44,18 +44,16 @@ def components(edges: DataFrame, name: str, max_rounds: int = 60) -> DataFrame:
     Alternating large-star and small-star steps: every step replaces the edges
     by edges to the smallest neighbour, so the table never grows past its first
     size and long chains shrink by doubling. Each step is an aggregate and a
-    join on the node and is written to the shared folder.
+    join on the node; every round is written to the shared folder.
     """
-    cur = stash(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                .distinct(), f"{name}-edges")
+    cur = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     for _ in range(max_rounds):
         both = cur.unionByName(cur.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = stash(both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(),
-                      f"{name}-large")
+        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         step = large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        cur = stash(step.unionByName(low.withColumnRenamed("m", "b")).distinct(), f"{name}-small")
+        cur = stash(step.unionByName(low.withColumnRenamed("m", "b")).distinct(), f"{name}-edges")
         # settled when all edges are stars: every node has one edge upwards or is a centre
         ends = cur.select(F.col("a").alias("node"), F.lit(1).alias("up")).unionByName(
             cur.select(F.col("b").alias("node"), F.lit(0).alias("up")).distinct())
