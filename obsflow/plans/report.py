@@ -14,7 +14,7 @@ from obsflow.plans.queries import QUERIES
 from obsflow.session import get_spark
 
 STREAMING = {"stream_window_sink", "stream_restart", "stream_late_data", "stream_clean_sink", "stream_anomalies",
-             "stream_quality_report"}
+             "stream_quality_report", "stream_anomalies_fixed"}
 KINDS = [("Exchange hashpartitioning", "hash exchange"), ("Exchange rangepartitioning", "range exchange"),
          ("Exchange SinglePartition", "single-partition exchange (partial results only)"),
          ("BroadcastExchange", "broadcast"), ("WindowGroupLimit", "window group limit"),
