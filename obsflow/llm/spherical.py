@@ -106,20 +106,21 @@ def _unit(raw: list[bytes], dim: int) -> np.ndarray:
 
 
 def _decoder(codewords: int, caps: int):
+    """Adds the filters of each vector to (cls, label, dim, weight, raw)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes: dict[int, ProductCode] = {}
         for batch in batches:
             for a in range(0, batch.num_rows, 2048):
                 part = batch.slice(a, 2048)
-                dims, raw = part.column(1).to_numpy(), part.column(2).to_pylist()
+                dims, raw = part.column(2).to_numpy(), part.column(4).to_pylist()
                 lists: list[list[int]] = [[]] * part.num_rows
                 for dim in np.unique(dims).tolist():
                     code = codes.setdefault(dim, ProductCode(dim, codewords))
                     rows = np.flatnonzero(dims == dim)
                     for r, f in zip(rows, code.decode(_unit([raw[r] for r in rows], dim), caps).tolist(), strict=True):
                         lists[r] = f
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(lists, pa.list_(pa.int32()))],
-                                                 ["cls", "filters"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(lists, pa.list_(pa.int32()))],
+                                                 [*part.schema.names, "filters"])
     return run
 
 
@@ -177,8 +178,9 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98, codewords: int = C
     classes = stash(rows.where(able).groupBy(*key).agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("weight"),
                                                        F.first("raw").alias("raw"))
                     .withColumn("cls", F.monotonically_increasing_id()), "vectors-classes")
-    lists = classes.select("cls", "dim", "raw").mapInArrow(_decoder(codewords, caps), "cls long, filters array<int>")
-    decoded = stash(classes.select("cls", "label", "dim", "weight", "raw").join(lists, "cls"), "vectors-filters")
+    decoded = stash(classes.select("cls", "label", "dim", "weight", "raw").mapInArrow(
+        _decoder(codewords, caps), "cls long, label long, dim int, weight long, raw binary, filters array<int>"),
+        "vectors-filters")
     bucket = ["label", "dim", "filter"]
     posting = decoded.select("cls", "label", "dim", F.explode("filters").alias("filter"))
     sizes = posting.groupBy(*bucket).agg(F.count(F.lit(1)).alias("m")).where("m > 1")

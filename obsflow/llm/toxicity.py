@@ -34,7 +34,7 @@ from obsflow.llm.words import ALNUM, VALUE_FOLDED, find_words, hash_words, mix64
 WINDOW, STRIDE, HIDDEN, INPUTS = 32, 16, 6, 4
 TRIGRAMS = 1 << 15
 #: The labelled rows a model is fitted on at most (smallest hash of the id), and their length in bytes.
-FIT_ROWS, FIT_BYTES = 4_000, 16_384
+FIT_ROWS, FIT_BYTES = 4_000, 32_768
 
 
 class Words:
