@@ -11,7 +11,8 @@ together, so no task holds a host's pages.
 Extraction: a page is read along its host's wrapper. Its article is what lies in
 article elements (else main elements, else containers named as content), without
 the regions that are menus, headers, footers, sidebars, notices, adverts, forms,
-comments or not displayed. Pages without such a container give all slots that
+comments or not displayed. Words of class and id names never leave out html,
+body, main, article or an element around an article or main. Pages without such a container give all slots that
 are not constants of the template and not mostly links.
 
 Rules: null html is empty and gives empty text; a null URL belongs to the host
@@ -54,6 +55,7 @@ BOILERPLATE = set("ad ads adv advert adverts advertisement advertising adsense a
                   "navbar navigation breadcrumb breadcrumbs masthead footer copyright share sharing social related "
                   "recommended recommendations teaser toolbar pagination pager login search hidden tracking form".split())
 COMMENTS = set("comment comments reply replies respond disqus discussion".split())
+STATES = set("no not without has with open closed".split())  # names like no-sidebar and comments-open name no region
 CONTENT = set("article content post entry story articlebody maincontent postcontent".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -64,12 +66,17 @@ HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)"
 DEPTH = 200
 
 
+# What leaves a text out: [left out?, the same of the region around it]. A region left out for its name is shown again
+# (with those around it) as soon as an article or main starts in it.
+SHOWN, HIDDEN = [False, None], [True, None]
+
+
 class Element:
     """An open element: what its text counts as (``zones``: one bit per zone it stands in), and its tree node."""
 
     __slots__ = ("tag", "skip", "zones", "node", "link")
 
-    def __init__(self, tag: str, skip: bool, zones: int, node: list, link: bool):
+    def __init__(self, tag: str, skip: list, zones: int, node: list, link: bool):
         self.tag, self.skip, self.zones, self.node, self.link = tag, skip, zones, node, link
 
 
@@ -82,22 +89,34 @@ def _attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): next((x for x in m.groups()[1:] if x is not None), "") for m in ATTRIBUTE.finditer(raw)}
 
 
-def _judge(tag: str, attr: dict[str, str], zones: int) -> tuple[bool, int]:
-    """(left out?, zone): zone 3 article, 2 main, 1 named as content, 0 none. ``zones``: bits of those around it."""
+def _region_names(attr: dict[str, str]) -> set[str]:
+    """Every class and id token whole, and its first and last word."""
+    out: set[str] = set()
+    for token in f"{attr.get('class', '')} {attr.get('id', '')}".split():
+        words = [w.lower() for w in NAME.findall(token)]
+        if words and not STATES & {words[0], words[-1]}:
+            out |= {words[0], words[-1], "".join(words)}
+    return out
+
+
+def _judge(tag: str, attr: dict[str, str], zones: int) -> tuple[bool, bool, int]:
+    """(left out?, left out for its names?, zone): zone 3 article, 2 main, 1 named as content, 0 none.
+
+    ``zones``: bits of those around it.
+    """
     role = attr.get("role", "").lower()
-    names = {w.lower() for k in ("class", "id") for w in NAME.findall(attr.get(k, ""))}
     style = attr.get("style", "").replace(" ", "").lower()
-    skip = (tag in SKIPPED or role in SKIPPED_ROLES or "hidden" in attr or attr.get("aria-hidden") == "true"
-            or "display:none" in style or "visibility:hidden" in style or bool(names & COMMENTS))
     inside = bool(zones & (1 << 2 | 1 << 3))
-    if tag not in ("html", "body", "main", "article"):
-        skip |= bool(names & BOILERPLATE) or (not inside and (tag == "header" or "header" in names))
+    skip = (tag in SKIPPED or role in SKIPPED_ROLES or "hidden" in attr or attr.get("aria-hidden") == "true"
+            or "display:none" in style or "visibility:hidden" in style or (tag == "header" and not inside))
     if tag == "article":
-        skip |= bool(zones >> 3 & 1) or bool(names & {"teaser", "related", "promo", "sponsored", "ad"})
-        return skip, 3
+        return skip or bool(zones >> 3 & 1), False, 3
     if tag == "main" or role == "main":
-        return skip, 2
-    return skip, 1 if names & CONTENT and tag not in INLINE else 0
+        return skip, False, 2
+    names = _region_names(attr)
+    named = tag not in ("html", "body") and bool(names & BOILERPLATE or names & COMMENTS or (not inside and "header" in names))
+    words = {w.lower() for k in ("class", "id") for w in NAME.findall(attr.get(k, ""))}
+    return skip, named, 1 if words & CONTENT and tag not in INLINE else 0
 
 
 def _label(tag: str, attr: dict[str, str]) -> str:
@@ -108,7 +127,7 @@ def _label(tag: str, attr: dict[str, str]) -> str:
 def read_page(html: str) -> tuple[list[list], list]:
     """(blocks, tree) of a page. A block: [text pieces, zones, skipped?, link characters, label path]."""
     root: list = ["page", None, False, False, []]
-    stack = [Element("", False, 0, root, False)]
+    stack = [Element("", SHOWN, 0, root, False)]
     opened: dict[str, int] = {}  # open elements by tag, so that a stray end tag costs nothing
     path: list[str] = []
     blocks: list[list] = []
@@ -121,7 +140,7 @@ def read_page(html: str) -> tuple[list[list], list]:
         if not text or (fresh and not text.strip()):
             return
         top = stack[-1]
-        if fresh or blocks[-1][2] != top.skip:
+        if fresh or blocks[-1][2] is not top.skip:
             blocks.append([[], top.zones, top.skip, 0, tuple(path[:DEPTH]), top.node])
             fresh = False
         blocks[-1][0].append(text)
@@ -172,7 +191,12 @@ def read_page(html: str) -> tuple[list[list], list]:
             if first:
                 close(first)
         top = stack[-1]
-        skip, zone = _judge(tag, attr, top.zones) if attr or tag not in INLINE else (False, 0)
+        skip, named, zone = _judge(tag, attr, top.zones) if attr or tag not in INLINE else (False, False, 0)
+        region = HIDDEN if skip or top.skip is HIDDEN else [True, top.skip] if named else top.skip
+        if zone > 1:
+            around = region
+            while around[0] and around[1]:
+                around[0], around = False, around[1]
         node = top.node
         if tag not in INLINE:
             fresh = True
@@ -190,9 +214,9 @@ def read_page(html: str) -> tuple[list[list], list]:
             path.pop()
             continue
         opened[tag] = opened.get(tag, 0) + 1
-        stack.append(Element(tag, top.skip or skip, top.zones | 1 << zone, node, top.link or tag == "a"))
+        stack.append(Element(tag, region, top.zones | 1 << zone, node, top.link or tag == "a"))
     for b in blocks:
-        b[0] = " ".join("".join(b[0]).split())
+        b[0], b[2] = " ".join("".join(b[0]).split()), b[2][0]
         node = b.pop()
         if b[0]:
             digest = hashlib.blake2b(b[0].encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()

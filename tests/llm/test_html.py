@@ -35,6 +35,21 @@ def test_pages(page, want):
     assert main_text(read_page(page)[0], set()) == want
 
 
+@pytest.mark.parametrize("page,want", [
+    ("<html class=modal-ad><body class='comments-open sidebar'><article><p>x</p></article></body>", "x"),
+    ("<article class='post comments-open'><p>x</p></article>", "x"), ("<main id=related-form><p>x</p></main>", "x"),
+    *((f"<div class='{name}'><p>a</p><div class=menu>m</div><{tag}><p>x</p></{tag.split()[0]}></div><div class=sidebar>s</div>", "x")
+      for name in ("content-sidebar-wrap", "no-sidebar", "sidebar", "long-form-body", "comments", "header")
+      for tag in ("article", "main", "div role=main")),
+    ("<div class=long-form-body><p>x</p></div><div class=my-sidebar>s</div><div class=adBox>t</div>", "x"),
+    ("<div class='hentry comments-open'><p>x</p></div><div id=commentList>c</div>", "x"),
+    ("<div class=sidebar><div class=ads>t</div><div hidden><article>h</article></div>s</div><p>x</p>", "x"),
+    ("<article><p>x</p><div class=comments><article>c</article></div></article>", "x"),
+])
+def test_names_never_leave_out_the_article(page, want):
+    assert main_text(read_page(page)[0], set()) == want
+
+
 def test_deep_and_long_pages():
     assert main_text(read_page("<div>" * 5000 + "deep" + "</div>" * 5000)[0], set()) == "deep"
     assert len(main_text(read_page("<article>" + "<p>par</p>" * 50_000)[0], set())) == 4 * 50_000 - 1
