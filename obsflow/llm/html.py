@@ -4,7 +4,8 @@ Inference: a page's block tags and text slots make a token stream whose nested
 repeats are folded. Streams of one host are aligned one after the other;
 tokens that only one side has become optional groups, repeats stay repeated
 groups, and text that differs becomes a slot, while text that is the same on
-all pages stays a constant of the template. Every task aligns its own pages of
+all pages stays a constant of the template, if at least two pages whose main
+text differs have it (copies of one page say nothing). Every task aligns its own pages of
 a host first, a host's parts are then aligned in salted groups and finally
 together, so no task holds a host's pages.
 
@@ -80,9 +81,10 @@ class Element:
         self.tag, self.skip, self.zones, self.node, self.link = tag, skip, zones, node, link
 
 
-# Tree nodes are lists: label, text (None, a digest, or SLOT), optional, repeated, children.
+# Tree nodes are lists: label, text (None, a digest, or SLOT), optional, repeated, children, and for a digest the digest
+# of the main text of the pages that have it (SLOT if they differ).
 SLOT = "#"
-LABEL, TEXT, OPTIONAL, REPEATED, CHILDREN = range(5)
+LABEL, TEXT, OPTIONAL, REPEATED, CHILDREN, SOURCE = range(6)
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -126,7 +128,7 @@ def _label(tag: str, attr: dict[str, str]) -> str:
 
 def read_page(html: str) -> tuple[list[list], list]:
     """(blocks, tree) of a page. A block: [text pieces, zones, skipped?, link characters, label path]."""
-    root: list = ["page", None, False, False, []]
+    root: list = ["page", None, False, False, [], None]
     stack = [Element("", SHOWN, 0, root, False)]
     opened: dict[str, int] = {}  # open elements by tag, so that a stray end tag costs nothing
     path: list[str] = []
@@ -201,7 +203,7 @@ def read_page(html: str) -> tuple[list[list], list]:
         if tag not in INLINE:
             fresh = True
             if len(stack) <= DEPTH:
-                node = [_label(tag, attr), None, False, False, []]
+                node = [_label(tag, attr), None, False, False, [], None]
                 top.node[CHILDREN].append(node)
             path.append(_label(tag, attr))
         if tag in RAW:
@@ -219,10 +221,14 @@ def read_page(html: str) -> tuple[list[list], list]:
         b[0], b[2] = " ".join("".join(b[0]).split()), b[2][0]
         node = b.pop()
         if b[0]:
-            digest = hashlib.blake2b(b[0].encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
-            node[TEXT] = digest if node[TEXT] is None else SLOT
-    _fold_tree(root)
-    return [b for b in blocks if b[0]], root
+            node[TEXT] = _digest(b[0], 8) if node[TEXT] is None else SLOT
+    blocks = [b for b in blocks if b[0]]
+    _fold_tree(root, _digest("\n".join(b[0] for b in _region(blocks)[1]), 4))
+    return blocks, root
+
+
+def _digest(text: str, size: int) -> str:
+    return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=size).hexdigest()
 
 
 def _merge_text(a: str | None, b: str | None) -> str | None:
@@ -243,8 +249,9 @@ def _merge_lists(x: list[list], y: list[list]) -> list[list]:
 
 def merge(a: list, b: list) -> list:
     """The wrapper of two wrappers with the same label."""
-    return [a[LABEL], _merge_text(a[TEXT], b[TEXT]), a[OPTIONAL] or b[OPTIONAL], a[REPEATED] or b[REPEATED],
-            _merge_lists(a[CHILDREN], b[CHILDREN])]
+    text = _merge_text(a[TEXT], b[TEXT])
+    return [a[LABEL], text, a[OPTIONAL] or b[OPTIONAL], a[REPEATED] or b[REPEATED],
+            _merge_lists(a[CHILDREN], b[CHILDREN]), None if text == SLOT else _merge_text(a[SOURCE], b[SOURCE])]
 
 
 def _fold(nodes: list[list]) -> list[list]:
@@ -266,12 +273,12 @@ def _fold(nodes: list[list]) -> list[list]:
                     both[0][REPEATED] = True
                     out += both
                 else:
-                    out.append(["(" + " ".join(labels) + ")", None, False, True, both])
+                    out.append(["(" + " ".join(labels) + ")", None, False, True, both, None])
                 break
     return out
 
 
-def _fold_tree(root: list) -> None:
+def _fold_tree(root: list, source: str) -> None:
     todo = [root]
     order = []
     while todo:
@@ -279,6 +286,8 @@ def _fold_tree(root: list) -> None:
         todo += order[-1][CHILDREN]
     for node in reversed(order):
         node[CHILDREN] = _fold(node[CHILDREN])
+        if node[TEXT] not in (None, SLOT):
+            node[SOURCE] = source
 
 
 def expression(node: list) -> str:
@@ -290,22 +299,37 @@ def expression(node: list) -> str:
     return f"({body}){mark}" if mark else body
 
 
-def _constants(node: list, path: tuple[str, ...], out: dict[tuple[str, ...], str]) -> None:
+def _constants(node: list, path: tuple[str, ...], out: dict[tuple[str, ...], tuple]) -> None:
+    """(text, source) of all label paths with text."""
     for c in node[CHILDREN]:
         here = path if c[LABEL].startswith("(") else (*path, c[LABEL])
         if c[TEXT] is not None:
-            out[here] = _merge_text(out.get(here, c[TEXT]), c[TEXT])
+            known = out.get(here, (c[TEXT], c[SOURCE]))
+            out[here] = _merge_text(known[0], c[TEXT]), _merge_text(known[1], c[SOURCE])
         _constants(c, here, out)
 
 
-def main_text(blocks: list[list], constants: set[tuple[str, ...]]) -> str:
-    """The article's blocks joined by newlines; ``constants`` are the label paths of template texts."""
+def template_paths(wrapper: list) -> set[tuple[str, ...]]:
+    """The label paths whose text is one and the same on pages that differ."""
+    found: dict[tuple[str, ...], tuple] = {}
+    _constants(wrapper, (), found)
+    return {p for p, (text, source) in found.items() if text != SLOT and source == SLOT}
+
+
+def _region(blocks: list[list]) -> tuple[int, list[list]]:
+    """(zone, the shown blocks of the article), zone 0 with all that are not mostly links if nothing names the article."""
     shown = [b for b in blocks if not b[2]]
     for zone in (3, 2, 1):
         inside = [b for b in shown if b[1] >> zone & 1]
         if inside:
-            return "\n".join(b[0] for b in inside)
-    return "\n".join(b[0] for b in shown if b[4] not in constants and 2 * b[3] < len(b[0]) + 1)
+            return zone, inside
+    return 0, [b for b in shown if 2 * b[3] < len(b[0]) + 1]
+
+
+def main_text(blocks: list[list], constants: set[tuple[str, ...]]) -> str:
+    """The article's blocks joined by newlines; ``constants`` are the label paths of template texts."""
+    zone, inside = _region(blocks)
+    return "\n".join(b[0] for b in inside if zone or b[4] not in constants)
 
 
 _PART = "host string, pages long, wrapper string"
@@ -366,10 +390,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if key not in known:
                 if len(known) > 256:
                     known.clear()
-                found: dict[tuple[str, ...], str] = {}
-                if wrapper and pages > 1:
-                    _constants(json.loads(wrapper), (), found)
-                known[key] = {p for p, t in found.items() if t != SLOT}
+                known[key] = template_paths(json.loads(wrapper)) if wrapper and pages > 1 else set()
             out.append(main_text(read_page(html)[0], known[key]))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string())],
                                          ["page_id", "url", "text"])

@@ -81,6 +81,20 @@ def test_constants_of_a_host_go_where_nothing_names_the_article(spark):
     assert got[9] == (None, "", 0) and got[10][1] == "t" and got[11] == ("http://e/", "", 0)
 
 
+def test_copies_of_a_page_keep_their_text(spark):
+    page = "<div>Top</div><div class=a><p>One story.</p></div><div><a href=q>{}</a></div><div class=ad>{}</div>"
+    lone = "<section>Lone</section><section class=b>Text</section>"
+    rows = [(i, f"http://copies.com/{i}", page.format(f"link {i}", f"ad {i}")) for i in range(40)]
+    rows += [(100 + i, None, page.format("", "")) for i in range(2)]
+    # copies beside another page: what only the copies have stays, what both have is the template
+    rows += [(200 + i, "http://mixed.com", lone) for i in range(3)] + [(210, "http://mixed.com", page.format("", ""))]
+    rows += [(300 + i, "http://site.com", page.format("", "").replace("One", f"{min(i, 1)}")) for i in range(6)]
+    got = run(spark, rows)
+    assert {got[i][1] for i in (*range(40), 100, 101, 210)} == {"Top\nOne story."}
+    assert {got[i][1] for i in range(200, 203)} == {"Lone\nText"}
+    assert [got[300 + i][1] for i in range(6)] == ["0 story."] + ["1 story."] * 5
+
+
 def test_tables_without_rows(spark):
     assert run(spark, []) == {}
 
