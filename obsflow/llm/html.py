@@ -13,8 +13,11 @@ Extraction: a page is read along its host's wrapper. Its article is what lies in
 article elements (else main elements, else containers named as content), without
 the regions that are menus, headers, footers, sidebars, notices, adverts, forms,
 comments or not displayed. Words of class and id names never leave out html,
-body, main, article or an element around an article or main. Pages without such a container give all slots that
-are not constants of the template and not mostly links.
+body, main, article or an element around an article or main. Pages without such a container give all slots that are not
+mostly links. Of either, the constants of the host's template go: inside an
+article, main or container named as content those that all such containers of
+the host have, unless they are more than half of the page's blocks there (then
+the pages are near copies).
 
 Rules: null html is empty and gives empty text; a null URL belongs to the host
 "" (as every URL without a host does); markup cut off by the end of the page is
@@ -299,21 +302,31 @@ def expression(node: list) -> str:
     return f"({body}){mark}" if mark else body
 
 
-def _constants(node: list, path: tuple[str, ...], out: dict[tuple[str, ...], tuple]) -> None:
-    """(text, source) of all label paths with text."""
+def _constants(node: list, path: tuple[str, ...], out: dict[tuple[str, ...], tuple], inside: bool = False,
+               always: bool = True) -> None:
+    """(text, source, wherever its container is?) of all label paths with text; ``inside``: of a container of content."""
     for c in node[CHILDREN]:
-        here = path if c[LABEL].startswith("(") else (*path, c[LABEL])
+        group = c[LABEL].startswith("(")
+        here = path if group else (*path, c[LABEL])
+        holder = not group and _is_container(c[LABEL])
+        within, every = inside or holder, holder or (always and not c[OPTIONAL])
         if c[TEXT] is not None:
-            known = out.get(here, (c[TEXT], c[SOURCE]))
-            out[here] = _merge_text(known[0], c[TEXT]), _merge_text(known[1], c[SOURCE])
-        _constants(c, here, out)
+            known = out.get(here, (c[TEXT], c[SOURCE], False))
+            out[here] = (_merge_text(known[0], c[TEXT]), _merge_text(known[1], c[SOURCE]),
+                         known[2] or every or not within)
+        _constants(c, here, out, within, every)
+
+
+def _is_container(label: str) -> bool:
+    tag, *names = label.split(".")
+    return tag in ("article", "main") or bool(CONTENT & {w.lower() for c in names for w in NAME.findall(c)})
 
 
 def template_paths(wrapper: list) -> set[tuple[str, ...]]:
     """The label paths whose text is one and the same on pages that differ."""
     found: dict[tuple[str, ...], tuple] = {}
     _constants(wrapper, (), found)
-    return {p for p, (text, source) in found.items() if text != SLOT and source == SLOT}
+    return {p for p, (text, source, always) in found.items() if text != SLOT and source == SLOT and always}
 
 
 def _region(blocks: list[list]) -> tuple[int, list[list]]:
@@ -329,7 +342,8 @@ def _region(blocks: list[list]) -> tuple[int, list[list]]:
 def main_text(blocks: list[list], constants: set[tuple[str, ...]]) -> str:
     """The article's blocks joined by newlines; ``constants`` are the label paths of template texts."""
     zone, inside = _region(blocks)
-    return "\n".join(b[0] for b in inside if zone or b[4] not in constants)
+    own = [b for b in inside if b[4] not in constants]
+    return "\n".join(b[0] for b in (inside if zone and 2 * len(own) < len(inside) else own))
 
 
 _PART = "host string, pages long, wrapper string"

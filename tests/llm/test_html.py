@@ -95,6 +95,26 @@ def test_copies_of_a_page_keep_their_text(spark):
     assert [got[300 + i][1] for i in range(6)] == ["0 story."] + ["1 story."] * 5
 
 
+@pytest.mark.parametrize("box", ["article", "main", "div class=entry-content"])
+def test_constants_of_a_host_go_inside_the_article(spark, box):
+    page = lambda h, s, n="Read us daily.": (f"<body><div>{h}</div><{box}><h1>T {h}</h1><div class=motto>{n}</div><p>{s} one</p>"
+                                             f"<p>{s} two</p></{box.split()[0]}></body>")
+    rows = [(i, "http://a.com", page(i, f"Story {i}")) for i in range(4)] + [(9, "http://a.com", None)]  # the template's motto
+    rows += [(10, "http://one.com", page(1, "Lone")), (11, "http://b.com", page(1, "Copy")), (12, "http://b.com", page(1, "Copy"))]
+    rows += [(20 + i, "http://c.com", page(i, f"S {i}", f"Motto {i}")) for i in range(3)]  # differs: no constant
+    rows += [(30 + i, "http://d.com", f"<div>{i}</div><{box}><h1>Same</h1><p>Copy</p><i>{i // 2}</i></{box.split()[0]}>") for i in range(4)]
+    rows += [(40, "http://e.com", page(1, "A")), (41, "http://e.com", page(2, "B")),  # not in all articles: stays
+             (42, "http://e.com", page(3, "C").replace("<div class=motto>Read us daily.</div>", ""))]
+    got = {i: r[1].split("\n") for i, r in run(spark, rows).items()}
+    for i in range(4):
+        assert got[i] == [f"T {i}", f"Story {i} one", f"Story {i} two"]
+    assert got[10] == ["T 1", "Read us daily.", "Lone one", "Lone two"] and got[9] == [""]
+    assert got[11] == got[12] == ["T 1", "Read us daily.", "Copy one", "Copy two"]
+    assert got[21] == ["T 1", "Motto 1", "S 1 one", "S 1 two"]
+    assert [got[30 + i] for i in range(4)] == [["Same", "Copy", f"{i // 2}"] for i in range(4)]
+    assert got[40][:2] == ["T 1", "Read us daily."] and got[42] == ["T 3", "C one", "C two"]
+
+
 def test_tables_without_rows(spark):
     assert run(spark, []) == {}
 
