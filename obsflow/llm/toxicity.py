@@ -34,7 +34,7 @@ from obsflow.llm.words import ALNUM, VALUE_FOLDED, find_words, hash_words, mix64
 WINDOW, STRIDE, HIDDEN, INPUTS = 32, 16, 6, 4
 TRIGRAMS = 1 << 15
 #: The labelled rows a model is fitted on at most (smallest hash of the id), and their length in bytes.
-FIT_ROWS, FIT_BYTES = 4_000, 32_768
+FIT_ROWS, FIT_BYTES = 6_000, 32_768
 
 
 class Words:
@@ -299,15 +299,17 @@ def toxicity_scores(docs: DataFrame, labelled: DataFrame, labels: DataFrame, fol
 
     ``labelled`` are the documents that ``labels`` speaks of. The model is
     fitted on the ``fit_rows`` labels outside the held fold with the smallest
-    hash of their id at most, as far as their text has up to ``fit_bytes`` bytes.
+    hash of their id at most, among those whose text has up to ``fit_bytes`` bytes.
     """
     spark = docs.sparkSession
     known = (labels.select(F.col(id_col).alias("i"), F.col(label_col).alias("y")).where("y in (0, 1)")
              .where(~fold(F.col("i"), folds, held)))
-    # at most fit_rows ids, so they can be broadcast and no text is shuffled
-    chosen = known.withColumn("o", F.xxhash64("i")).orderBy("o", "i", "y").limit(fit_rows)
     text = labelled.select(F.col(id_col).alias("i"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    sample = (text.where(F.octet_length("text") <= fit_bytes).join(F.broadcast(chosen), "i")
+    text = text.where(F.octet_length("text") <= fit_bytes)
+    # at most fit_rows ids, so they can be broadcast and no text is shuffled
+    chosen = (known.join(text.select("i"), "i", "left_semi").withColumn("o", F.xxhash64("i"))
+              .orderBy("o", "i", "y").limit(fit_rows))
+    sample = (text.join(F.broadcast(chosen), "i")
               .orderBy("o", "i", "y", F.xxhash64("text")).limit(fit_rows).select("text", "y"))
     # one task holds the bounded sample and fits; the driver only passes the small model on
     fitted = sample.mapInArrow(_fit, "model binary").first()

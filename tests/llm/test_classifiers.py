@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from obsflow.llm.common import utf8
 from obsflow.llm.quality import FEATURES, AdditiveModel, quality_scores, text_features
-from obsflow.llm.toxicity import INPUTS, WINDOW, Network, Scorer, Words, toxicity_scores, windows
+from obsflow.llm.toxicity import FIT_ROWS, INPUTS, WINDOW, Network, Scorer, Words, toxicity_scores, windows
 from tests.conftest import SF01
 
 SF1 = "/root/testdata/sf0.1"
@@ -73,6 +73,19 @@ def test_labels_of_the_held_fold_change_nothing(spark):
         assert a == b
 
 
+def test_rows_over_the_length_bound_take_no_place_in_the_fit_sample(spark):
+    assert FIT_ROWS >= 6_000
+    short = [(i, "vile scorn" if i % 2 else "plain words") for i in range(40)]
+    both = short + [(i, "long " * 50) for i in range(40, 400)]
+    got = []
+    for rows in (short, both):
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+        got.append(dict(toxicity_scores(docs, docs, labels, fit_rows=30, fit_bytes=100).select("doc_id", "score").collect()))
+    assert all(got[0][i] == pytest.approx(got[1][i], abs=1e-6) for i, _ in short)
+    assert min(got[1][i] for i in range(1, 40, 2)) > 0.5 > max(got[1][i] for i in range(0, 40, 2))
+
+
 def test_features_by_hand():
     x = dict(zip(FEATURES, text_features(*arrays(["Ab, ab ab\nC1|", ""]))[0], strict=True))
     assert x["log_words"] == pytest.approx(np.log1p(4)) and x["log_lines"] == pytest.approx(np.log1p(2))
