@@ -131,6 +131,43 @@ SELECT e.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, least(e.vec_id, coalesce(c
 FROM embeddings e LEFT JOIN n ON n.a = e.vec_id LEFT JOIN c ON c.node = e.vec_id
 """
 
+_ASSIGN = """
+a{r} AS MATERIALIZED (
+  SELECT vec_id, part, arg_min(entry, (d, entry)) AS entry, min(d) AS d FROM (
+    SELECT x.vec_id, x.part, b.entry, list_sum(list_transform(list_zip(x.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+    FROM x JOIN b{r} b USING (part)) GROUP BY vec_id, part
+)"""
+_REFINE = """,
+b{n} AS MATERIALIZED (
+  SELECT part, entry, list(c ORDER BY pos) AS v FROM (
+    SELECT b.part, b.entry, p.pos, CASE WHEN s.n IS NULL THEN b.v[p.pos]
+             ELSE s.t // s.n - CASE WHEN s.t % s.n < 0 THEN 1 ELSE 0 END END::BIGINT AS c
+    FROM b{r} b CROSS JOIN (SELECT unnest(range(1, 5)) AS pos) p
+    LEFT JOIN (SELECT a.part, a.entry, pos, sum(x.v[pos])::BIGINT AS t, count(*) AS n
+               FROM a{r} a JOIN x USING (vec_id, part), (SELECT unnest(range(1, 5)) AS pos)
+               GROUP BY a.part, a.entry, pos) s ON s.part = b.part AND s.entry = b.entry AND s.pos = p.pos)
+  GROUP BY part, entry
+),"""
+#: For vectors of 64 components, 4 a part.
+CODES = """
+WITH k AS (
+  SELECT vec_id, label, list_transform(embedding, lambda c: floor(256 * c::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR isnan(c) OR isinf(c))) = 0
+), x AS MATERIALIZED (
+  SELECT vec_id, part, v[4 * part + 1:4 * part + 4] AS v FROM k, (SELECT unnest(range(0, 16)) AS part)
+), b0 AS MATERIALIZED (
+  SELECT part, entry, x.v FROM x JOIN (
+    SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM k ORDER BY vec_id LIMIT 64) f USING (vec_id)
+),""" + (_ASSIGN + _REFINE).format(r=0, n=1) + (_ASSIGN + _REFINE).format(r=1, n=2) + _ASSIGN.format(r=2) + """,
+c AS (
+  SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error
+  FROM a2 GROUP BY vec_id
+)
+SELECT c.vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) FROM b2) AS codebooks_sha256
+FROM c JOIN k USING (vec_id)
+"""
+
 ORACLE: dict[str, str] = {
     "op2_near_vectors": VECTORS,
     "op3_line_dedup": LINE_DEDUP,
@@ -138,4 +175,5 @@ ORACLE: dict[str, str] = {
     "op5_warc": WARC,
     "op7_decontaminate": CONTAMINATION,
     "op9_minhash_dedup": NEAR,
+    "op12_vector_codes": CODES,
 }

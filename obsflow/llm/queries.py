@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from obsflow.llm.codes import compress
 from obsflow.llm.decontaminate import contamination
 from obsflow.llm.html import extract_text
 from obsflow.llm.line_dedup import line_dedup
@@ -84,6 +85,11 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per kept vector: its code, its error, the error of its label and the digest of the codebooks."""
+    return compress(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_near_vectors": op2_near_vectors,
@@ -95,4 +101,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_minhash_dedup": op9_minhash_dedup,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op12_vector_codes": op12_vector_codes,
 }
