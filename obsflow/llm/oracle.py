@@ -168,6 +168,48 @@ SELECT c.vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS
 FROM c JOIN k USING (vec_id)
 """
 
+def _crc32(text: str) -> str:
+    """SQL of the unsigned CRC-32 of a text's UTF-8 bytes, four bits at a time."""
+    # The CRC-32 of the sixteen nibbles.
+    nibbles = ("([0, 498536548, 997073096, 651767980, 1994146192, 1802195444, 1303535960, 1342533948, "
+               "3988292384, 4027552580, 3604390888, 3412177804, 2607071920, 2262029012, 2685067896, 3183342108]::BIGINT[])")
+    step = lambda c: f"xor({nibbles}[(({c}) & 15) + 1], ({c}) >> 4)"
+    data = (f"list_transform(range(0, strlen({text})), lambda i: ('0x' || substr(hex({text}), (2 * i + 1)::INTEGER, 2))::BIGINT)")
+    return f"xor(4294967295::BIGINT, list_reduce({data}, lambda c, b: {step(step('xor(c, b)'))}, 4294967295::BIGINT))"
+
+
+SPELLING = r"""
+WITH RECURSIVE r AS (
+  SELECT doc_id, run, count(*) AS m FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[a-zÀ-ÿ]+')) AS run FROM documents)
+  GROUP BY doc_id, run
+), h AS (SELECT run, m, """ + _crc32("concat(coalesce(doc_id::VARCHAR, ''), ':', run)") + r""" AS h FROM r),
+g AS MATERIALIZED (
+  SELECT word, sum(m)::BIGINT AS n FROM (
+    SELECT m, CASE WHEN h % 199 <> 0 THEN run
+         ELSE substr(run, 1, (h % length(run))::INTEGER) || substr(run, (h % length(run) + 2)::INTEGER) END AS word FROM h)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(m) >= 5
+), c AS MATERIALIZED (
+  SELECT word, pos, substr(word, 1, (pos - 1)::INTEGER) || substr(word, (pos + 1)::INTEGER) AS cut
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS pos FROM g)
+), p AS (
+  SELECT c.word AS a, g.word AS b FROM c JOIN g ON c.cut = g.word
+  UNION SELECT g.word, c.word FROM c JOIN g ON c.cut = g.word
+  UNION SELECT x.word, y.word FROM c x JOIN c y ON x.cut = y.cut AND x.pos = y.pos AND x.word <> y.word
+), t AS (
+  SELECT a, count(*) AS n_near, arg_min(b, (-g.n, b)) AS b, max(g.n) AS n FROM p JOIN g ON p.b = g.word GROUP BY a
+), f AS MATERIALIZED (
+  SELECT g.word, g.n, coalesce(t.n_near, 0)::BIGINT AS n_near, CASE WHEN t.n >= 5 * g.n THEN t.b END AS form,
+         CASE WHEN t.n >= 5 * g.n THEN t.n END AS form_n
+  FROM g LEFT JOIN t ON g.word = t.a
+), w AS (
+  SELECT word, word AS stop FROM f UNION ALL SELECT w.word, f.form FROM w JOIN f ON w.stop = f.word WHERE f.form IS NOT NULL
+)
+SELECT word, form, stop AS root, n, n_near, form_n
+FROM f JOIN w USING (word) JOIN (SELECT word AS last FROM f WHERE form IS NULL) ON stop = last
+"""
+
 ORACLE: dict[str, str] = {
     "op2_near_vectors": VECTORS,
     "op3_line_dedup": LINE_DEDUP,
@@ -176,4 +218,5 @@ ORACLE: dict[str, str] = {
     "op7_decontaminate": CONTAMINATION,
     "op9_minhash_dedup": NEAR,
     "op12_vector_codes": CODES,
+    "op13_spelling_variants": SPELLING,
 }

@@ -15,6 +15,7 @@ from obsflow.llm.minhash import near_duplicates
 from obsflow.llm.mixing import mix
 from obsflow.llm.quality import quality_scores
 from obsflow.llm.spherical import near_vectors
+from obsflow.llm.spelling import spelling_variants
 from obsflow.llm.suffix_dedup import suffix_dedup
 from obsflow.llm.toxicity import toxicity_scores
 from obsflow.llm.warc import plan_records, read_archives, write_archives
@@ -90,6 +91,11 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compress(_table(spark, sf_dir, "embeddings"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per frequent word: its more frequent form one edit away, the end of the chain of forms, and counts."""
+    return spelling_variants(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_near_vectors": op2_near_vectors,
@@ -102,4 +108,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_minhash_dedup": op9_minhash_dedup,
     "op10_suffix_dedup": op10_suffix_dedup,
     "op12_vector_codes": op12_vector_codes,
+    "op13_spelling_variants": op13_spelling_variants,
 }
