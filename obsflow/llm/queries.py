@@ -13,6 +13,7 @@ from obsflow.llm.html import extract_text
 from obsflow.llm.line_dedup import line_dedup
 from obsflow.llm.minhash import near_duplicates
 from obsflow.llm.mixing import mix
+from obsflow.llm.packing import pack
 from obsflow.llm.quality import quality_scores
 from obsflow.llm.spherical import near_vectors
 from obsflow.llm.spelling import spelling_variants
@@ -86,6 +87,13 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per piece of a document: where it lies in the document and in its sequence, and the CRC-32 of its token ids."""
+    import public_tokenizers
+    out = pack(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"), public_tokenizers.path("word_bpe_49k.json"))
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per kept vector: its code, its error, the error of its label and the digest of the codebooks."""
     return compress(_table(spark, sf_dir, "embeddings"))
@@ -107,6 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_minhash_dedup": op9_minhash_dedup,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_packing": op11_packing,
     "op12_vector_codes": op12_vector_codes,
     "op13_spelling_variants": op13_spelling_variants,
 }
