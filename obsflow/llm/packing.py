@@ -35,6 +35,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import struct
 from bisect import bisect_right
 from collections.abc import Iterator
 
@@ -52,15 +53,31 @@ LENGTH, GRAIN, END_ID = 4096, 64, 2
 #: Bytes of a text that are split at a time; cached words of a worker.
 _BYTES, _CACHED = 1 << 20, 400_000
 _DUE_BITS = 80
+#: Fixed value: the pattern of a tokenizer whose texts can be encoded word by word.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+class _Words(dict):
+    """Ids of words, made by ``make`` where missing and kept while there is room."""
+
+    def __init__(self, make, longest: int):
+        super().__init__()
+        self.make, self.longest = make, longest
+
+    def __missing__(self, word):
+        got = self.make(word)
+        if len(self) < _CACHED and len(word) < self.longest:
+            self[word] = got
+        return got
 
 
 class Encoder:
     """Token ids of a text as packed integers, by the tokenizer file at ``path``.
 
-    Where the file's tokenizer drops blanks and never looks across them, a text
-    is encoded word by word with a bounded cache of frequent words; words of
-    plain Latin letters then go straight to the file's own pattern and model.
-    Any other tokenizer encodes whole texts.
+    Where the file's tokenizer drops blanks and takes runs of letters, single
+    digits and runs of other signs, a text is encoded word by word with a
+    bounded cache of frequent words; words of plain Latin letters then go
+    straight to the file's model. Any other tokenizer encodes whole texts.
     """
 
     def __init__(self, path: str, end_id: int = END_ID):
@@ -69,58 +86,54 @@ class Encoder:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.type = "<u2" if max(self.tokenizer.get_vocab_size() - 1, end_id) < 1 << 16 else "<u4"
-        self.end = np.array([end_id], dtype=self.type).tobytes()
-        self.words: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-        self.special = [t["content"] for t in spec.get("added_tokens") or []]
-        pattern = self._pattern(spec)
-        self.by_word = pattern is not None
+        self.end = self._packed([end_id])
+        self.by_word = self._splits_words(spec)
         if self.by_word:
-            self.split = regex.compile(pattern).findall
+            self.words, self.parts = _Words(self._word, 64), _Words(self._part, 64)
+            self.split = regex.compile(WORD_PATTERN).findall
             self.plain = regex.compile("[!-~À-ÖØ-öø-ÿ]+").fullmatch
+            named = "|".join(regex.escape(t["content"]) for t in spec.get("added_tokens") or [])
+            self.special = regex.compile(named or r"(?!)").search
             level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
             self.byte_level = {ord(c): level.pre_tokenize_str(c)[0][0] for c in map(chr, range(0xDF, 0x100))}
 
     @staticmethod
-    def _pattern(spec: dict) -> str | None:
-        """The pattern of the words, if blanks are dropped and only case and form of letters are normalised."""
+    def _splits_words(spec: dict) -> bool:
+        """Whether the words match ``WORD_PATTERN``, all else is dropped, and only case and form of letters are normalised."""
         flat = lambda x, key: x.get(key, [x]) if x else []
         norm = [n["type"] for n in flat(spec.get("normalizer"), "normalizers")]
         pre = flat(spec.get("pre_tokenizer"), "pretokenizers")
         if norm != ["NFC", "Replace", "Lowercase"] or [p["type"] for p in pre] != ["Split", "ByteLevel"] \
                 or spec.get("post_processor") or spec["model"]["type"] != "BPE":
-            return None
+            return False
         split, level = pre
-        pattern = split["pattern"].get("Regex", "")
-        if split["behavior"] != "Removed" or not split["invert"] or level["add_prefix_space"] or level["use_regex"] \
-                or regex.search(pattern, " \t\n\r\v\f") or any(regex.search(r"\s", t["content"]) or t["lstrip"] or t["rstrip"]
-                                                               for t in spec.get("added_tokens") or []):
-            return None
-        return pattern
+        return (split["pattern"].get("Regex") == WORD_PATTERN and split["behavior"] == "Removed" and split["invert"]
+                and not level["add_prefix_space"] and not level["use_regex"]
+                and not any(regex.search(r"\s", t["content"]) or t["lstrip"] or t["rstrip"]
+                            for t in spec.get("added_tokens") or []))
+
+    def _packed(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{'H' if self.type == '<u2' else 'I'}", *ids)
 
     def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.type).tobytes()
+        return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _part(self, part: str) -> bytes:
-        got = self.parts.get(part)
-        if got is None:
-            tokens = self.tokenizer.model.tokenize(part.translate(self.byte_level))
-            got = np.array([t.id for t in tokens], dtype=self.type).tobytes()
-            if len(self.parts) < _CACHED:
-                self.parts[part] = got
-        return got
+        """Ids of a match of the pattern, of lower-case Latin letters or other ASCII signs."""
+        if not part.isascii():
+            part = part.translate(self.byte_level)
+        return self._packed([t.id for t in self.tokenizer.model.tokenize(part)])
 
     def _word(self, raw: bytes) -> bytes:
-        got = self.words.get(raw)
-        if got is None:
-            word = raw.decode()
-            if self.plain(word) and not any(s in word for s in self.special):
-                got = b"".join([self._part(p) for p in self.split(word.lower())])
-            else:
-                got = self._ids(word)
-            if len(self.words) < _CACHED and len(raw) < 64:
-                self.words[raw] = got
-        return got
+        word = raw.decode()
+        if not (word.isprintable() if word.isascii() else self.plain(word)) or self.special(word):
+            return self._ids(word)
+        word = word.lower()
+        if word.isalpha():
+            return self.parts[word]
+        if word[:-1].isalpha():  # letters and one other sign: two matches
+            return self.parts[word[:-1]] + self.parts[word[-1]]
+        return b"".join(map(self.parts.__getitem__, self.split(word)))
 
     def __call__(self, data: bytes) -> bytes:
         """The ids of a UTF-8 text and the end token after them."""
@@ -132,8 +145,7 @@ class Encoder:
             if b - a > _BYTES:
                 at = data.find(b" ", a + _BYTES)
                 b = at if at >= 0 else b
-            found = self.words
-            out += [found.get(w) or self._word(w) for w in data[a:b].split()]
+            out += map(self.words.__getitem__, data[a:b].split())
             a = b
         return b"".join(out) + self.end
 
