@@ -17,14 +17,16 @@ import logging
 import time
 
 from pyspark import StorageLevel
+from pyspark.errors import PythonException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from obsflow.operators import anomalies as anom
+from obsflow.operators import training
 from obsflow.operators.quality import DEFAULT_RULES, clean_records, quality_report
 from obsflow.operators.windows import WATERMARK, WINDOW, window_aggregates
-from obsflow.sources import history, model_store
+from obsflow.sources import history, model_store, state_store
 from obsflow.sources.messages import TOPIC, kafka_source, parse_messages
 
 log = logging.getLogger(__name__)
@@ -32,6 +34,7 @@ log = logging.getLogger(__name__)
 # ---- Fixed values --------------------------------------------------------------
 TRIGGER = "60 seconds"
 # ------------------------------------------------------------------------------
+ERROR_SCHEMA = "step string, error string, message string"
 #: The record fields the window statistics read.
 WINDOW_FIELDS = ["city", "timestamp", "temperature", "humidity", "pressure", "wind_speed", "clouds", "visibility"]
 
@@ -72,16 +75,32 @@ def start_window_sink(obs: DataFrame, out_path: str, checkpoint: str, *, trigger
     return _with_trigger(w, trigger).start()
 
 
+def is_storage_fault(exc: BaseException) -> bool:
+    """Whether a failure comes from reading or writing files rather than from the model."""
+    if isinstance(exc, OSError):
+        return True
+    if isinstance(exc, PythonException):  # raised by a Python worker: the model's own code
+        return False
+    text = str(exc)
+    return any(k in text for k in ("java.io.", "java.nio.file.", "org.apache.hadoop.fs.", "org.apache.hadoop.hdfs.",
+                                   "FAILED_READ_FILE", "TASK_WRITE_FAILED")) and "PythonException" not in text
+
+
 class RecordSink:
     """``foreachBatch`` body: quality row, cleaned records, anomalies, model upkeep.
 
     ``mode="score_then_retrain"``: score with the newest committed model (the
-    first batch fits one), refit on the record history every ``retrain_every``
-    batches, committed as version = batch id. The refit reads all history, or
-    the newest ``train_rows`` rows where the caller asks for a bound.
+    first batch fits one), refit on all history every ``retrain_every`` batches,
+    committed as version = batch id. The refit reads the training state, into
+    which every batch is merged (``operators.training``), never the history; or
+    the newest ``train_rows`` rows where the caller asks for that bound.
     ``mode="refit_batch"``: fit on each batch and score it with that fit.
-    ``detect=False`` skips the model entirely. A failing fit or model is logged
-    and does not fail the batch; a failing write fails it, so it is replayed.
+    ``detect=False`` skips the model entirely.
+
+    Failures: scoring runs to its end into a staging table before its rows are
+    published, so a model that fails on an executor, like one that fails on the
+    driver, leaves the records, writes a row to ``errors`` and does not fail the
+    batch. A read or write that fails does fail it, so it is replayed.
     """
 
     def __init__(self, root: str, *, rules=DEFAULT_RULES, detect: bool = True,
@@ -108,6 +127,14 @@ class RecordSink:
     def quality_path(self):
         return f"{self.root}/quality"
 
+    @property
+    def errors_path(self):
+        return f"{self.root}/errors"
+
+    @property
+    def state_path(self):
+        return f"{self.root}/training"
+
     @property
     def model_path(self):
         return f"{self.root}/model"
@@ -129,23 +156,46 @@ class RecordSink:
             batch.unpersist()
 
     def _anomalies(self, spark: SparkSession, clean: DataFrame, batch_id: int) -> None:
-        scored = self._guarded(batch_id, "scoring", lambda: self._scored(spark, clean, batch_id))
-        if scored is None:
+        scored = self._guarded(spark, batch_id, "scoring", lambda: self._staged(spark, clean, batch_id))
+        if scored is not None:
+            history.write_batch(scored, self.anomalies_path, batch_id)
+        if self.mode == "refit_batch":
             return
-        history.write_batch(scored.where(F.col("is_anomaly")), self.anomalies_path, batch_id)
-        if self.mode != "refit_batch" and batch_id > 0 and batch_id % self.retrain_every == 0:
-            fresh = self._guarded(batch_id, "retraining", lambda: self._retrained(spark, batch_id))
+        state = None
+        if self.train_rows is None:
+            state = self._guarded(spark, batch_id, "training state", lambda: self._merged(spark, batch_id))
+        if scored is not None and batch_id > 0 and batch_id % self.retrain_every == 0:
+            fresh = self._guarded(spark, batch_id, "retraining", lambda: self._retrained(spark, batch_id, state))
             if fresh is not None:
                 model_store.save_model(spark, fresh, self.model_path, batch_id)
                 self._model = fresh
 
-    @staticmethod
-    def _guarded(batch_id: int, what: str, step):
+    def _guarded(self, spark: SparkSession, batch_id: int, what: str, step):
+        """The step's result, or None with an error row written. Steps run their own jobs, so what
+        fails on an executor fails in here; what cannot be written or read fails the batch."""
         try:
             return step()
         except Exception as exc:  # noqa: BLE001 - keep the batch even when the model fails
+            if is_storage_fault(exc):
+                raise
             log.error("batch %s: %s failed: %s", batch_id, what, exc, exc_info=True)
+            history.write_batch(spark.createDataFrame([(what, type(exc).__name__, str(exc)[:2000])], ERROR_SCHEMA),
+                                f"{self.errors_path}/{what.replace(' ', '_')}", batch_id)
+            return None
+
+    def _staged(self, spark: SparkSession, clean: DataFrame, batch_id: int) -> DataFrame | None:
+        """The batch's anomalies, computed to the end and written to a staging table: the first phase.
+
+        Publishing them reads files only, so a model that fails does so here
+        and a publication that fails is storage. A replay stages anew.
+        """
+        scored = self._scored(spark, clean, batch_id)
+        if scored is None:
             return None
+        flagged = scored.where(F.col("is_anomaly"))
+        path = f"{self.root}/staging/anomalies"
+        flagged.write.mode("overwrite").parquet(path)
+        return spark.read.schema(flagged.schema).parquet(path)
 
     def _scored(self, spark: SparkSession, clean: DataFrame, batch_id: int) -> DataFrame | None:
         if self.mode == "refit_batch":
@@ -160,11 +210,32 @@ class RecordSink:
         self._model = model
         return scored
 
-    def _retrained(self, spark: SparkSession, batch_id: int):
-        hist = history.read_history(spark, self.records_path).where(F.col("batch_id") <= F.lit(batch_id))
+    def _args(self, *names: str) -> dict:
+        return {k: v for k, v in self.fit_args.items() if k in names}
+
+    def _merged(self, spark: SparkSession, batch_id: int) -> training.TrainingState:
+        """The training state up to this batch: the state before it and the batches since, usually this one alone."""
+        state, upto = state_store.load_state(spark, self.state_path, before=batch_id)
+        since = history.batches_after(spark, self.records_path, upto, batch_id)
+        if since is None:
+            rows = history.read_history(spark, self.records_path).where(F.col("batch_id") <= F.lit(batch_id))
+        else:
+            rows = history.read_batches(spark, self.records_path, since)
+        state = training.merged(state, rows.drop("batch_id", "row_hash"), salt=batch_id,
+                                **self._args("features", "key_cols", "n_trees", "max_samples", "seed"))
+        return state_store.save_state(spark, state, self.state_path, batch_id)
+
+    def _retrained(self, spark: SparkSession, batch_id: int, state: training.TrainingState | None = None):
         if self.train_rows is not None:
-            hist = history.history_last_n(hist, self.train_rows)
-        return anom.fit_model(hist.drop("batch_id", "row_hash"), version=batch_id, **self.fit_args)
+            ids = history.newest_batches(spark, self.records_path, self.train_rows)
+            if ids is None or any(i > batch_id for i in ids):  # an old batch is replayed
+                hist = history.read_history(spark, self.records_path).where(F.col("batch_id") <= F.lit(batch_id))
+                hist = history.history_last_n(hist, self.train_rows)
+            else:
+                hist = history.last_n(spark, self.records_path, self.train_rows)
+            return anom.fit_model(hist.drop("batch_id", "row_hash"), version=batch_id, **self.fit_args)
+        return training.fit_state(state or self._merged(spark, batch_id), version=batch_id,
+                                  **self._args("n_trees", "max_samples", "seed", "contamination"))
 
     def _model_for(self, spark: SparkSession, batch_id: int):
         """The newest version committed before this batch, so a replayed batch is scored
