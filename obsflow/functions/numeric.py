@@ -124,14 +124,14 @@ def exact_quantiles(df: DataFrame, cols: list[str], q: float, weight: str | None
         counted: dict[int, list] = {i: [] for i in some}
         for r in cells.collect():
             counted[r["i"]].append((r["v"], r["w"]))
-        found = [_picked(counted[i], st[f"n{i}"], q) for i in some]
+        found = [picked(counted[i], st[f"n{i}"], q) for i in some]
     for i, x in zip(some, found, strict=True):
         # a rank outside its bracket (the sketch's error is random, far below SLACK): narrow the column itself
         out[cols[i]] = _narrow(values.select(F.col(f"v{i}").alias("v0"), "w"), 1, q)[0] if x is None else x
     return out
 
 
-def _picked(cells: list[tuple[float | None, int]], n: int, q: float) -> float | None:
+def picked(cells: list[tuple[float | None, int]], n: int, q: float) -> float | None:
     """The quantile of ``n`` values from those inside the bracket (the value None counts the ones below)."""
     pos = q * (n - 1)
     ends: list[float | None] = [None, None]

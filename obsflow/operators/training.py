@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from obsflow.functions.numeric import SNAP, exact_quantile, exact_quantiles, finite_or_null, snapped
+from obsflow.functions.numeric import COLLECTED, SNAP, exact_quantile, exact_quantiles, finite_or_null, picked, snapped
 from obsflow.operators import features as feat
 from obsflow.operators import forest as iforest
 from obsflow.operators.anomalies import MIN_SAMPLES, Model, row_key, usable_features
@@ -150,11 +150,20 @@ def merged(state: TrainingState | None, batch: DataFrame, *, features: list[str]
     return TrainingState(samples, counted, n, feats)
 
 
+def _medians(values: DataFrame, feats: list[str]) -> dict[str, float | None]:
+    """Exact medians of counted values: on the driver up to ``COLLECTED`` distinct ones, else narrowed by jobs."""
+    few = values.limit(COLLECTED + 1).collect()
+    if len(few) > COLLECTED:
+        wide = values.select(*[F.when(F.col("feature") == f, F.col("value")).alias(f) for f in feats], "n")
+        return exact_quantiles(wide, feats, 0.5, weight="n")
+    cells = {f: [(r["value"], r["n"]) for r in few if r["feature"] == f] for f in feats}
+    return {f: picked(c, sum(n for _, n in c), 0.5) if c else None for f, c in cells.items()}
+
+
 def state_stats(state: TrainingState) -> dict[str, dict]:
     """n, median, mean and population deviation per feature, equal to ``features.feature_stats`` of all rows."""
     feats = state.features
-    wide = state.values.select(*[F.when(F.col("feature") == f, F.col("value")).alias(f) for f in feats], "n")
-    med = {f: None if m is None else round(m, SNAP) for f, m in exact_quantiles(wide, feats, 0.5, weight="n").items()}
+    med = {f: None if m is None else round(m, SNAP) for f, m in _medians(state.values, feats).items()}
     median = F.element_at(F.create_map(*[x for f in feats for x in (F.lit(f), F.lit(med[f]).cast("double"))]), F.col("feature"))
     total, n = F.lit(float(state.n_rows)), F.sum("n")
     base = state.values.groupBy("feature").agg(n.alias("n"), F.sum(F.col("value") * F.col("n")).alias("s"))

@@ -52,6 +52,42 @@ def window_aggregates(df: DataFrame, *, duration: str = WINDOW, time_col: str =
     )
 
 
+def cycle_spine(spark, start, end, cycle: str = "1 minute", *, chunk: int = 1440) -> DataFrame:
+    """(cycle_start): every cycle start from the one that holds ``start`` to the one that holds ``end``.
+
+    Cycles are made in parallel: tasks take chunks of ``chunk`` cycles each from
+    a distributed range, so years of minutes are no single-task sequence.
+    """
+    step = spark.sql(f"SELECT unix_micros(timestamp'1970-01-01 00:00:00' + INTERVAL {cycle}) AS s").first()["s"]
+    first, last = start // step, end // step
+    parts = max(1, -(-(last - first + 1) // chunk))
+    ids = spark.range(first, last + 1, 1, min(parts, 4096))
+    return ids.select(F.timestamp_micros(F.col("id") * F.lit(step)).alias("cycle_start"))
+
+
+def delivery_by_cycle(df: DataFrame, *, cycle: str = "1 minute", expected: int = 10, time_col: str = "event_time",
+                      key: str = "city", start=None, end=None) -> DataFrame:
+    """``poll_completeness`` over every cycle of the span: a cycle that delivered nothing is a row of zeros.
+
+    The span is that of the data, or from ``start`` to ``end`` (microseconds
+    since the epoch), so cycles before the first and after the last record can
+    be judged too. Deliveries outside the span are left out. The statistics are
+    aggregated per cycle first; the spine meets only their result.
+    """
+    t = F.col(time_col)
+    if start is None or end is None:
+        r = df.agg(F.min(F.unix_micros(t)).alias("a"), F.max(F.unix_micros(t)).alias("b")).first()
+        start, end = (r["a"] if start is None else start), (r["b"] if end is None else end)
+    have = poll_completeness(df, cycle=cycle, expected=expected, time_col=time_col, key=key)
+    if start is None or end is None or end < start:
+        return have.limit(0)
+    spine = cycle_spine(df.sparkSession, start, end, cycle).select(F.col("cycle_start").cast("string").alias("__c"))
+    full = spine.join(have, F.col("__c") == F.col("cycle_start"), "left")
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast(have.schema[c].dataType).alias(c)
+    return full.select(F.col("__c").alias("cycle_start"), zero("n_cities"), zero("n_records"), zero("completeness"),
+                       "elapsed_sec", F.col("cycle_start").isNull().alias("silent"))
+
+
 def poll_completeness(df: DataFrame, *, cycle: str = "1 minute", expected: int = 10,
                       time_col: str = "event_time", key: str = "city") -> DataFrame:
     """Per poll cycle: distinct cities delivered, share of the expected list, spread in seconds.

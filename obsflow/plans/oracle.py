@@ -234,6 +234,17 @@ SELECT strftime(time_bucket(INTERVAL 1 HOUR, event_time), '%Y-%m-%d %H:%M:%S') A
        (epoch_us(max(event_time)) - epoch_us(min(event_time))) / 1e6 AS elapsed_sec
 FROM wv WHERE event_time IS NOT NULL GROUP BY 1""")
 
+register("delivery_by_cycle", """
+, g AS (
+  SELECT time_bucket(INTERVAL 1 MINUTE, event_time) AS c, count(DISTINCT city) AS n_cities, count(*) AS n_records,
+         count(DISTINCT city) / 10 AS completeness,
+         (epoch_us(max(event_time)) - epoch_us(min(event_time))) / 1e6 AS elapsed_sec
+  FROM wv WHERE event_time IS NOT NULL GROUP BY 1
+), spine AS (SELECT unnest(generate_series((SELECT min(c) FROM g), (SELECT max(c) FROM g), INTERVAL 1 MINUTE)) AS c)
+SELECT strftime(spine.c, '%Y-%m-%d %H:%M:%S') AS cycle_start, coalesce(n_cities, 0) AS n_cities,
+       coalesce(n_records, 0) AS n_records, coalesce(completeness, 0.0) AS completeness, elapsed_sec, g.c IS NULL AS silent
+FROM spine LEFT JOIN g USING (c)""")
+
 _FEATS = ["temperature", "humidity", "pressure", "wind_speed", "clouds"]
 _MED = "med AS (SELECT " + ", ".join(f"round(median(CAST({f} AS DOUBLE)), 6) AS m_{f}" for f in _FEATS) + " FROM clean)"
 _STATS = " UNION ALL ".join(

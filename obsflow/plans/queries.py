@@ -209,6 +209,12 @@ def q_poll_completeness_minute(spark, sf_dir):
 # ---- features and score statistics ------------------------------------------
 
 
+@query
+def q_delivery_by_cycle(spark, sf_dir):
+    """Every minute of the span, those without any delivery included."""
+    return windows.delivery_by_cycle(weather_view(spark, sf_dir), expected=len(lookups.CITIES))
+
+
 @query
 def q_feature_stats(spark, sf_dir):
     return features.feature_stats(_clean(spark, sf_dir))
