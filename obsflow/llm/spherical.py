@@ -8,6 +8,10 @@ share a filter and a label meet in blocks of bounded size and are compared by
 cosine in double precision; a pair counts only under the smallest filter the
 two share, so each link is found once. Equal vectors are one weighted node.
 
+In few dimensions the best filters of two close vectors may all differ, since
+a filter's cap is then small; vectors of fewer than ``FEW`` dimensions share
+one filter per label and length instead, and all of them meet block by block.
+
 Rules: vectors that are null, empty, zero or hold null or non-finite
 components, and rows with a null label or id, link with nothing (a null id has
 a null component and stays); vectors of different length never link; equal
@@ -27,6 +31,8 @@ from obsflow.llm.common import components, shuffle_width, sorted_groups, stash
 from obsflow.llm.words import mix64
 
 CODEWORDS, CAPS, BLOCK = 64, 20, 1024
+#: Dimensions from which filters tell vectors apart without losing links.
+FEW = 16
 
 
 class ProductCode:
@@ -48,6 +54,8 @@ class ProductCode:
         A pair of ranks (i, j) is beaten or met by (i + 1) * (j + 1) pairs, so the
         best ones have (i + 1) * (j + 1) <= caps.
         """
+        if unit.shape[1] < FEW:
+            return np.zeros((len(unit), 1), dtype=np.int32)
         caps = min(caps, self.codewords ** 2)
         x = unit @ self.rotation
         scores = [x[:, :self.half] @ self.books[0].T, x[:, self.half:] @ self.books[1].T]

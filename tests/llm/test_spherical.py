@@ -91,3 +91,22 @@ def test_recall_at_the_threshold():
     a, b = code.decode(x, 20), code.decode(0.98 * x + math.sqrt(1 - 0.98 ** 2) * z, 20)
     found = sum(bool(set(p) & set(q)) for p, q in zip(a.tolist(), b.tolist(), strict=True))
     assert found >= 3996
+
+
+@pytest.mark.parametrize("dim", [1, 2, 3, 4, 6, 8, 12, 15, 16])
+def test_no_link_is_lost_in_few_dimensions(spark, dim):
+    """Pairs just above and below the threshold, in blocks smaller than the buckets."""
+    rng = np.random.default_rng(dim)
+    rows = []
+    for i in range(60):
+        x = rng.normal(size=dim)
+        y = rng.normal(size=dim)
+        x /= np.linalg.norm(x)
+        y -= (y @ x) * x
+        for cosine in (0.981, 0.9799):
+            side = y / (np.linalg.norm(y) or 1.0) * np.sqrt(1 - cosine**2) if dim > 1 else 0.0
+            rows.append((len(rows), (cosine * x + side).tolist(), 1 + i % 2))
+        rows.append((len(rows), x.tolist(), 1 + i % 2))
+    want = brute(rows)
+    assert sum(r[1] for r in want) >= 120
+    assert run(spark, rows, block=64) == want
