@@ -37,16 +37,33 @@ t AS (
   SELECT rk, source, source_size, CASE WHEN capped THEN (3 * source_size)::DOUBLE
          ELSE (o.t * w)::DOUBLE / o.wl::DOUBLE END AS target
   FROM c, o
-), p AS (
-  SELECT d.doc_id, d.size, t.*, coalesce(sum(d.size) OVER (PARTITION BY rk
+), b AS (
+  SELECT *, greatest(1, (sum(source_size) OVER () + 1048575) // 1048576)::BIGINT AS b FROM t
+), n AS (
+  SELECT *, (source_size + b - 1) // b AS blocks,
+         CASE WHEN source_size = 0 THEN 0 ELSE target * ((source_size + b - 1) // b)::DOUBLE / source_size::DOUBLE END AS slots FROM b
+), c2 AS (
+  SELECT *, sum(slots) OVER () AS n_slots,
+         coalesce(sum(slots) OVER (ORDER BY rk), 0) / nullif(sum(slots) OVER (), 0) AS cum_hi FROM n
+), v AS MATERIALIZED (SELECT *, coalesce(lag(cum_hi) OVER (ORDER BY rk), 0) AS cum_lo FROM c2),
+g AS (
+  SELECT k, ((k + 1) * 0.6180339887498949::DOUBLE) - floor((k + 1) * 0.6180339887498949::DOUBLE) AS u
+  FROM (SELECT unnest(range(0, coalesce(ceil((SELECT max(n_slots) FROM v) - 1e-6), 0)::BIGINT)) AS k)
+), q AS MATERIALIZED (
+  SELECT rk, k, row_number() OVER (PARTITION BY rk ORDER BY k) - 1 AS r
+  FROM g JOIN v ON u >= cum_lo AND u < cum_hi WHERE blocks > 0
+), m AS (SELECT rk, count(*) AS m FROM q GROUP BY rk),
+p AS (
+  SELECT d.doc_id, d.size, v.*, coalesce(m.m, 0) AS m, coalesce(sum(d.size) OVER (PARTITION BY v.rk
            ORDER BY md5(coalesce(doc_id::VARCHAR, '')), doc_id NULLS FIRST, size
-           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS lo, floor(target)::BIGINT AS quota
-  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS lo
+  FROM d JOIN v ON d.source IS NOT DISTINCT FROM v.source LEFT JOIN m ON m.rk = v.rk
 )
 SELECT doc_id, size, source_size, target,
-       CASE WHEN source_size = 0 THEN 0 ELSE (quota // source_size) * size
-         + greatest(0, least(lo + size, quota % source_size) - lo) END::BIGINT AS taken
-FROM p
+       CASE WHEN blocks = 0 THEN 0 WHEN m >= 3 * blocks THEN 3 * size
+         ELSE (m // blocks) * size + greatest(0, least(lo + size, (m % blocks) * b) - lo) END::BIGINT AS taken,
+       CASE WHEN size > 0 THEN q.k END AS first_slot
+FROM p LEFT JOIN q ON q.rk = p.rk AND q.r = lo // b
 """
 NEAR = r"""
 WITH RECURSIVE w AS (

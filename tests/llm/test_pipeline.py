@@ -39,7 +39,7 @@ def test_run_against_brute_force(spark):
     hit = {r[0] for r in test_decontaminate.brute([r[:2] for r in rows], items) if r[4]}
     rows = [r for r in rows if r[0] not in hit]
     assert bad and hit and len(keep) < docs.count() - len(bad)
-    got = sorted(((r.doc_id, r.size, r.source_size, round(r.target, 6), r.taken)
+    got = sorted(((r.doc_id, r.size, r.source_size, round(r.target, 6), r.taken, r.first_slot)
                   for r in P.run(spark, SF001).collect()), key=repr)
     assert got == test_mixing.brute(rows)
 
