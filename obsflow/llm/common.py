@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +24,20 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stash_by_key(df: DataFrame, name: str, key: str) -> DataFrame:
+    """As ``stash``, in buckets by ``key``: shuffled once here, joins on the key then move their other side only.
+
+    The catalog entry goes at once; the files stay, as those of other stashes.
+    """
+    spark = df.sparkSession
+    width, path = shuffle_width(spark), work_dir(spark, name)
+    table = f"keyed_{uuid.uuid4().hex}"
+    (df.repartition(width, key).write.bucketBy(width, key).option("path", path).saveAsTable(table, format="parquet"))
+    out = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")
+    return out
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

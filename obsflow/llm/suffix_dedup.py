@@ -4,7 +4,8 @@
    hash among its ``GRAM``-byte substrings (leftmost on ties). Strings of a text
    that share that substring are consecutive and make one context; equal strings
    have equal names, so only contexts whose name occurs again can hold a
-   repeated string. A context that occurs again as a whole is settled.
+   repeated string. A context that occurs again as a whole is settled: all
+   contexts of a name with one kind, and the kinds of other names that recur.
 2. Suffix arrays. The other contexts of a name, with one copy of each settled
    one, meet in one task (whole names are dealt to partitions): sort the sampled
    triples, recurse on their names, merge the remaining suffixes, and compare
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obsflow.llm.common import shuffle_width, stash, text_slices, utf8
+from obsflow.llm.common import shuffle_width, stash, stash_by_key, text_slices, utf8
 from obsflow.llm.words import _BASE, _INVERSE, _VALUE, _powers, mix64
 
 LENGTH, GRAM = 400, 160
@@ -105,7 +106,7 @@ def contexts(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]
 def _context_rows(length: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "text"):
-            data, off = utf8(batch.column(2))
+            data, off = utf8(batch.column(1))
             parts: list[list[np.ndarray]] = [[], [], [], [], []]
             for r in np.flatnonzero(np.diff(off) >= length):
                 for a in range(off[r], off[r + 1] - length + 1, PIECE - length + 1):
@@ -116,26 +117,25 @@ def _context_rows(length: int, gram: int):
             if not parts[0]:
                 continue
             row, name, whole, lo, hi = (np.concatenate(p) for p in parts)
-            take = pa.array(row)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(take), batch.column(1).take(take), pa.array(name), pa.array(whole),
-                 pa.array(lo), pa.array(hi)], ["id", "th", "name", "whole", "lo", "hi"])
+                [batch.column(0).take(pa.array(row)), pa.array(name), pa.array(whole), pa.array(lo), pa.array(hi)],
+                ["row", "name", "whole", "lo", "hi"])
     return run
 
 
-_CUT = "name long, id long, th long, lo long, open boolean, bytes binary"
+_CUT = "name long, row long, lo long, open boolean, bytes binary"
 
 
 def _cut_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in text_slices(batches, "text"):
-        data, off = utf8(batch.column(2))
-        rows = [(c["name"], i, t, c["lo"], c["open"], data[off[r] + c["lo"]:off[r] + c["to"]].tobytes())
-                for r, (i, t, many) in enumerate(zip(*(batch.column(k).to_pylist() for k in (0, 1, 3)), strict=True))
+        data, off = utf8(batch.column(1))
+        rows = [(c["name"], i, c["lo"], c["open"], data[off[r] + c["lo"]:off[r] + c["to"]].tobytes())
+                for r, (i, many) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True))
                 for c in many]
         cols = list(zip(*rows, strict=True))
-        types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()]
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)],
-                                         ["name", "id", "th", "lo", "open", "bytes"])
+                                         ["name", "row", "lo", "open", "bytes"])
 
 
 def repeated_starts(texts: list[bytes], length: int) -> np.ndarray:
@@ -161,7 +161,7 @@ def repeated_starts(texts: list[bytes], length: int) -> np.ndarray:
     return out
 
 
-_SPAN = "id long, th long, b0 long, b1 long"
+_SPAN = "row long, b0 long, b1 long"
 
 
 def _runs(flag: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -172,16 +172,15 @@ def _runs(flag: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _spans_of_groups(length: int):
     """Input sorted by name. Whole names are gathered to arrays of about ``ARRAY`` symbols."""
     def solve(rows: list[tuple]) -> pa.RecordBatch:
-        flag = repeated_starts([r[5] for r in rows], length)
-        start = np.concatenate([[0], np.cumsum([len(r[5]) + 1 for r in rows])])
+        flag = repeated_starts([r[4] for r in rows], length)
+        start = np.concatenate([[0], np.cumsum([len(r[4]) + 1 for r in rows])])
         a, b = _runs(flag)  # a run never crosses a separator: no string starts on the last bytes of a text
         who = np.searchsorted(start, a, "right") - 1
-        keep = [k for k in range(len(a)) if rows[who[k]][4]]
-        at = lambda k, x: int(rows[who[k]][3] + x[k] - start[who[k]])
+        keep = [k for k in range(len(a)) if rows[who[k]][3]]
+        at = lambda k, x: int(rows[who[k]][2] + x[k] - start[who[k]])
         return pa.RecordBatch.from_arrays(
-            [pa.array([rows[who[k]][1] for k in keep], pa.int64()), pa.array([rows[who[k]][2] for k in keep], pa.int64()),
-             pa.array([at(k, a) for k in keep], pa.int64()), pa.array([at(k, b) + length for k in keep], pa.int64())],
-            ["id", "th", "b0", "b1"])
+            [pa.array([rows[who[k]][1] for k in keep], pa.int64()), pa.array([at(k, a) for k in keep], pa.int64()),
+             pa.array([at(k, b) + length for k in keep], pa.int64())], ["row", "b0", "b1"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: list[tuple] = []   # whole names
@@ -195,7 +194,7 @@ def _spans_of_groups(length: int):
                         yield solve(done)
                         done, size = [], 0
                 last.append(row)
-                size += len(row[5]) + 1
+                size += len(row[4]) + 1
         if done or last:
             yield solve(done + last)
     return run
@@ -205,7 +204,7 @@ def _strings(length: int):
     """One row per string of the contexts: a 128-bit hash and where it starts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, i, th, lo, is_open, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for _, i, lo, is_open, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 data = np.frombuffer(raw, dtype=np.uint8)
                 n = len(data) - length + 1
                 t, inverse = _window_hashes(data)
@@ -213,49 +212,50 @@ def _strings(length: int):
                 one = lambda x: pa.array(mix64((x[length:] - x[:-length]) * inverse[:n]).view(np.int64))
                 full = lambda v, kind: pa.array([v] * n, kind)
                 yield pa.RecordBatch.from_arrays(
-                    [one(t), one(u), full(i, pa.int64()), full(th, pa.int64()), pa.array(np.arange(n) + lo),
-                     full(is_open, pa.bool_())], ["h1", "h2", "id", "th", "b0", "open"])
+                    [one(t), one(u), full(i, pa.int64()), pa.array(np.arange(n) + lo), full(is_open, pa.bool_())],
+                    ["h1", "h2", "row", "b0", "open"])
     return run
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int = GROUP,
-                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, th, spans): per text with repeats its byte ranges [b0, b1), unmerged; th is the hash of the text."""
-    spark = docs.sparkSession
-    text = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("th"),
-                       F.col(text_col).alias("text"))
-    rows = stash(text.mapInArrow(_context_rows(length, gram),
-                                 "id long, th long, name long, whole long, lo long, hi long"), "repeat-contexts")
-    kinds = rows.groupBy("name", "whole").agg(
-        F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("id", "th", "lo", "hi")])
-    kinds = stash(kinds, "repeat-kinds")
-    names = (kinds.groupBy("name").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least"))
-             .where("kinds > 1 and least = 1").select("name", "kinds"))
-    names = stash(names, "repeat-names")
-    settled = (rows.join(kinds.where("n > 1").select("name", "whole"), ["name", "whole"])
-               .select("id", "th", F.col("lo").alias("b0"), (F.col("hi") + length).alias("b1")))
+def repeated_spans(text: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int = GROUP) -> DataFrame:
+    """(row, spans): per ``row`` of ``text(row, text)`` with repeats its byte ranges [b0, b1), unmerged.
+
+    ``row`` identifies a row; where ``text`` is bucketed by it, the joins do not move the texts.
+    """
+    spark = text.sparkSession
+    rows = stash(text.select("row", "text").mapInArrow(
+        _context_rows(length, gram), "row long, name long, whole long, lo long, hi long"), "repeat-contexts")
+    again = (rows.groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.min("whole").alias("low"), F.max("whole").alias("high"))
+             .where("n > 1").select("name", (F.col("low") != F.col("high")).alias("mixed")))
+    rows = stash(rows.join(again, "name"), "repeat-again")
+    mixed = rows.where("mixed")
+    kinds = stash(mixed.groupBy("name", "whole").agg(
+        F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("row", "lo", "hi")]), "repeat-kinds")
+    names = stash(kinds.groupBy("name").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least"))
+                  .where("least = 1").select("name", "kinds"), "repeat-names")
+    settled = (rows.where("not mixed").select("row", "lo", "hi").unionByName(
+        mixed.join(kinds.where("n > 1").select("name", "whole"), ["name", "whole"]).select("row", "lo", "hi"))
+        .select("row", F.col("lo").alias("b0"), (F.col("hi") + length).alias("b1")))
     open_ = kinds.join(names, "name").select(
-        "id", "th", F.struct("name", "lo", (F.col("hi") + length).alias("to"), (F.col("n") == 1).alias("open"),
-                             (F.col("kinds") > group).alias("many")).alias("c"))
-    open_ = stash(open_.groupBy("id", "th").agg(F.collect_list("c").alias("c")), "repeat-open")
-    same = F.col("t.id").eqNullSafe(F.col("o.id")) & (F.col("t.th") == F.col("o.th"))
+        "row", F.struct("name", "lo", (F.col("hi") + length).alias("to"), (F.col("n") == 1).alias("open"),
+                        (F.col("kinds") > group).alias("many")).alias("c"))
+    open_ = stash(open_.groupBy("row").agg(F.collect_list("c").alias("c")), "repeat-open")
 
     def cut(many: bool) -> DataFrame:
         wanted = open_.withColumn("c", F.filter("c", lambda c: c["many"] == many)).where(F.size("c") > 0)
-        return (text.alias("t").join(wanted.alias("o"), same).select("t.id", "t.th", "t.text", "o.c")
-                .mapInArrow(_cut_contexts, _CUT))
+        return text.select("row", "text").join(wanted, "row").mapInArrow(_cut_contexts, _CUT)
 
     found = (cut(False).repartition(shuffle_width(spark), "name").sortWithinPartitions("name")
              .mapInArrow(_spans_of_groups(length), _SPAN))
     if not names.where(F.col("kinds") > group).isEmpty():
-        strings = stash(cut(True).mapInArrow(_strings(length), "h1 long, h2 long, id long, th long, b0 long, open boolean"),
+        strings = stash(cut(True).mapInArrow(_strings(length), "h1 long, h2 long, row long, b0 long, open boolean"),
                         "repeat-strings")
         twice = stash(strings.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h1", "h2"),
                       "repeat-twice")
         found = found.unionByName(strings.where("open").join(twice, ["h1", "h2"])
-                                  .select("id", "th", "b0", (F.col("b0") + length).alias("b1")))
+                                  .select("row", "b0", (F.col("b0") + length).alias("b1")))
     spans = settled.unionByName(found)
-    return spans.groupBy("id", "th").agg(F.collect_set(F.struct("b0", "b1")).alias("spans"))
+    return spans.groupBy("row").agg(F.collect_set(F.struct("b0", "b1")).alias("spans"))
 
 
 def _cutter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,10 +288,9 @@ def _cutter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def suffix_dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text",
                  **kw) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept_sha256, spans) per row of ``docs``; spans are merged byte ranges."""
-    spans = stash(repeated_spans(docs, length, id_col=id_col, text_col=text_col, **kw), "repeat-spans")
-    text = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("th"),
-                       F.col(text_col).alias("text"))
-    same = F.col("t.id").eqNullSafe(F.col("s.id")) & (F.col("t.th") == F.col("s.th"))
-    return (text.alias("t").join(spans.alias("s"), same, "left").select("t.id", "t.text", "s.spans")
+    text = stash_by_key(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"),
+                                    F.col(text_col).alias("text")), "repeat-texts", "row")
+    spans = stash(repeated_spans(text, length, **kw), "repeat-spans")
+    return (text.join(spans, "row", "left").select("id", "text", "spans")
             .mapInArrow(_cutter, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
                                  "spans array<array<long>>"))
