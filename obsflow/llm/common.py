@@ -38,6 +38,18 @@ def stash_by_key(df: DataFrame, name: str, key: str) -> DataFrame:
     return out
 
 
+def join_counted(rows: DataFrame, counted: DataFrame, keys: list[str], total: int, share: int = 1024) -> DataFrame:
+    """Inner join of ``rows`` (``total`` of them) with a table that has one row a key and its number of rows ``n``.
+
+    Keys with at least 1/``share`` of all rows, hence ``share`` of them at most, are
+    broadcast, so their rows stay where they are; the others meet by shuffle. ``n`` is not kept.
+    """
+    often = F.col("n") * share >= total
+    hot, rest = counted.where(often).drop("n"), counted.where(~often).drop("n")
+    few = F.broadcast(hot)
+    return (rows.join(few, keys).unionByName(rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(rest, keys)))
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

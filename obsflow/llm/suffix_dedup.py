@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obsflow.llm.common import shuffle_width, stash, stash_by_key, text_slices, utf8
+from obsflow.llm.common import join_counted, shuffle_width, stash, stash_by_key, text_slices, utf8
 from obsflow.llm.words import _BASE, _INVERSE, _VALUE, _powers, mix64
 
 LENGTH, GRAM = 400, 160
@@ -225,16 +225,18 @@ def repeated_spans(text: DataFrame, length: int = LENGTH, gram: int = GRAM, grou
     spark = text.sparkSession
     rows = stash(text.select("row", "text").mapInArrow(
         _context_rows(length, gram), "row long, name long, whole long, lo long, hi long"), "repeat-contexts")
+    total = rows.count()
     again = (rows.groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.min("whole").alias("low"), F.max("whole").alias("high"))
-             .where("n > 1").select("name", (F.col("low") != F.col("high")).alias("mixed")))
-    rows = stash(rows.join(again, "name"), "repeat-again")
+             .where("n > 1").select("name", "n", (F.col("low") != F.col("high")).alias("mixed")))
+    rows = stash(join_counted(rows, stash(again, "repeat-names"), ["name"], total), "repeat-again")
     mixed = rows.where("mixed")
     kinds = stash(mixed.groupBy("name", "whole").agg(
         F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("row", "lo", "hi")]), "repeat-kinds")
     names = stash(kinds.groupBy("name").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least"))
-                  .where("least = 1").select("name", "kinds"), "repeat-names")
+                  .where("least = 1").select("name", "kinds"), "repeat-mixed")
     settled = (rows.where("not mixed").select("row", "lo", "hi").unionByName(
-        mixed.join(kinds.where("n > 1").select("name", "whole"), ["name", "whole"]).select("row", "lo", "hi"))
+        join_counted(mixed, kinds.where("n > 1").select("name", "whole", "n"), ["name", "whole"], total)
+        .select("row", "lo", "hi"))
         .select("row", F.col("lo").alias("b0"), (F.col("hi") + length).alias("b1")))
     open_ = kinds.join(names, "name").select(
         "row", F.struct("name", "lo", (F.col("hi") + length).alias("to"), (F.col("n") == 1).alias("open"),

@@ -76,5 +76,28 @@ def test_long_text_in_pieces(spark):
     assert got[2, 2004] == [[0, 2000]] and got[2, 2005] == [[0, 2000]] and got[None, 895] == [[0, 895]]
 
 
+def test_one_passage_in_most_texts(spark):
+    """The names of the passage hold far more than 1/1024 of all contexts; the rows differ around it."""
+    r = random.Random(5)
+    word = lambda n: "".join(r.choices("abcdefgh ", k=n))
+    passage = word(300)
+    check(spark, [word(90) + passage + word(90) if i % 3 else word(200) for i in range(60)], length=50, gram=20)
+
+
+def test_texts_are_shuffled_once(spark):
+    """Both joins with the texts read the bucketed table: no exchange above it."""
+    from obsflow.plans.explain import count_exchanges, plan_text
+    df = spark.createDataFrame([(i, "abcdefgh" * 100 + str(i)) for i in range(8)], "doc_id long, text string")
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = suffix_dedup(df)
+        exchanges, plan = count_exchanges(out), plan_text(out, "simple")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    assert "SortMergeJoin" in plan and "Bucketed: true" in plan
+    assert exchanges == 1   # the spans
+
+
 def test_empty_table(spark):
     assert suffix_dedup(spark.createDataFrame([], "doc_id long, text string")).collect() == []
