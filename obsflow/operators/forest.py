@@ -15,8 +15,8 @@ After Liu, Ting and Zhou, "Isolation Forest" (ICDM 2008):
   tree; random non-constant feature, uniform threshold, depth limit
   ceil(log2(psi)); a split with an empty side makes a leaf.
 * **Scoring** -- a scalar Arrow UDF over the feature columns only; the node
-  arrays (at most trees * (2 psi - 1) rows) are broadcast, compiled to a
-  complete binary layout and walked level by level with numpy. Works
+  arrays (at most trees * (2 psi - 1) rows, checked by size) are broadcast, laid
+  out level by level and walked with numpy. Works
   unchanged on a stream.
 
 score(x) = -2 ** (-mean_t h_t(x) / c(psi)), h = leaf depth + c(leaf rows),
@@ -41,6 +41,8 @@ from obsflow.schemas import FOREST_NODE_SCHEMA
 N_TREES = 100
 MAX_SAMPLES = 256
 SEED = 42
+#: What the arrays of a broadcast forest may take; checked before it is laid out.
+MAX_BYTES = 1 << 30
 # ------------------------------------------------------------------------------
 EULER_GAMMA = 0.5772156649015329
 
@@ -61,12 +63,12 @@ class Forest:
     """Node arrays of a fitted forest (small: at most trees * (2 psi - 1) nodes)."""
     features: list[str]
     psi: int
-    feature: np.ndarray      # [T, M] int, -1 for a leaf
-    threshold: np.ndarray    # [T, M] float
-    left: np.ndarray         # [T, M] int
-    right: np.ndarray        # [T, M] int
-    leaf_h: np.ndarray       # [T, M] float: depth + c(n_rows) at leaves
-    max_depth: int
+    feature: np.ndarray      # per slot: the feature of a split, 0 at a leaf
+    threshold: np.ndarray    # per slot, NaN at a leaf
+    child: np.ndarray        # per slot: the left child (the right one follows), the slot before a leaf itself
+    leaf_h: np.ndarray       # per slot: depth + c(n_rows)
+    root: np.ndarray         # per tree: its first slot
+    depth: np.ndarray        # per tree: its depth
     n_nodes: int = 0
     extra: dict = field(default_factory=dict)
 
@@ -80,56 +82,41 @@ class Forest:
     def from_nodes(rows: list, features: list[str], psi: int) -> "Forest":
         pdf = pd.DataFrame([r.asDict() if hasattr(r, "asDict") else dict(r) for r in rows],
                            columns=[f.name for f in FOREST_NODE_SCHEMA.fields])
-        trees = sorted(pdf["tree_id"].unique())
-        t_index = {t: i for i, t in enumerate(trees)}
-        m = int(pdf["node_id"].max()) + 1 if len(pdf) else 1
-        T = max(len(trees), 1)
-        feat = np.full((T, m), -1, dtype=np.int64)
-        thr = np.zeros((T, m))
-        le = np.zeros((T, m), dtype=np.int64)
-        ri = np.zeros((T, m), dtype=np.int64)
-        h = np.zeros((T, m))
-        ti = pdf["tree_id"].map(t_index).to_numpy()
-        ni = pdf["node_id"].to_numpy()
-        feat[ti, ni] = pdf["feature"].to_numpy()
-        thr[ti, ni] = pdf["threshold"].fillna(0.0).to_numpy()
-        le[ti, ni] = pdf["left"].to_numpy()
-        ri[ti, ni] = pdf["right"].to_numpy()
-        h[ti, ni] = pdf["depth"].to_numpy() + c_factor(pdf["n_rows"].to_numpy())
-        depth = int(pdf["depth"].max()) if len(pdf) else 0
-        forest = Forest(features, psi, feat, thr, le, ri, h, depth, len(pdf))
-        forest._compile()  # on the driver, before the forest is broadcast
-        return forest
-
-    def _compile(self) -> None:
-        """Lay every tree out as a complete binary tree of depth ``max_depth``.
-
-        Slot s has children 2s+1 / 2s+2, so a step is ``s = 2s + 1 + go_right``
-        with no child lookup. A leaf above the bottom fills all bottom slots of
-        its subtree with its path length, so every row walks exactly
-        ``max_depth`` steps and the walk has no branches.
+        if 28 * len(pdf) > MAX_BYTES:
+            raise ValueError(f"a forest of {len(pdf)} nodes is beyond {MAX_BYTES} bytes; lower max_samples or n_trees")
+        return Forest._laid_out(pdf, features, psi)
+
+    @staticmethod
+    def _laid_out(pdf: pd.DataFrame, features: list[str], psi: int) -> "Forest":
+        """All trees in one run of slots: level by level, roots first, the two children of a node side by side.
+
+        A step is ``slot = child + (x > threshold)``. A leaf has a threshold that
+        no value is below and a child one before itself, so a row that has
+        arrived stays: memory goes with the nodes, whatever the depth.
         """
-        D = self.max_depth
-        size = 2 ** (D + 1) - 1
-        T = self.feature.shape[0]
-        ff = np.zeros((T, size), dtype=np.int64)
-        tt = np.zeros((T, size))
-        hh = np.zeros((T, size))
-        for t in range(T):
-            stack = [(0, 0, 0)]  # node id, slot, depth
-            while stack:
-                o, slot, depth = stack.pop()
-                f = self.feature[t, o]
-                if f >= 0:
-                    ff[t, slot], tt[t, slot] = f, self.threshold[t, o]
-                    stack.append((self.left[t, o], 2 * slot + 1, depth + 1))
-                    stack.append((self.right[t, o], 2 * slot + 2, depth + 1))
-                else:
-                    lo = hi = slot
-                    for _ in range(D - depth):
-                        lo, hi = 2 * lo + 1, 2 * hi + 2
-                    hh[t, lo:hi + 1] = self.leaf_h[t, o]
-        self.extra["layout"] = (ff, tt, hh)
+        pdf = pdf.sort_values(["tree_id", "node_id"]).reset_index(drop=True)
+        col = lambda name, kind=np.int64: pdf[name].to_numpy(dtype=kind)
+        n, tree, feature = len(pdf), col("tree_id"), col("feature")
+        key = tree << 32 | col("node_id")
+        level = np.flatnonzero(col("node_id") == 0)
+        levels, inner, kids = [level], [], []
+        while level.size:
+            split = level[feature[level] >= 0]
+            level = np.searchsorted(key, np.stack([tree[split] << 32 | col(c)[split] for c in ("left", "right")], 1)).ravel()
+            levels.append(level)
+            inner.append(split)
+            kids.append(level[::2])
+        order = np.concatenate(levels)
+        slot = np.empty(n, dtype=np.int64)
+        slot[order] = np.arange(n)
+        parent, first = np.concatenate(inner or [order]), np.concatenate(kids or [order])
+        feat, child, thr = np.zeros(n, dtype=np.int32), np.arange(-1, n - 1, dtype=np.int32), np.full(n, np.nan)
+        child[slot[parent]] = slot[first]
+        feat[slot[parent]] = feature[parent]
+        thr[slot[parent]] = col("threshold", float)[parent]
+        path = (col("depth") + c_factor(col("n_rows")))[order]
+        depths = pdf.groupby("tree_id")["depth"].max().to_numpy(dtype=np.int64)
+        return Forest(features, psi, feat, thr, child, path, np.arange(len(depths)), depths, n)
 
     def path_lengths(self, X: np.ndarray) -> np.ndarray:
         """Sum over trees of h(x), accumulated tree by tree (a plain left-to-right sum).
@@ -137,25 +124,20 @@ class Forest:
         One tree at a time over the whole batch (1-D gathers stay in cache);
         ``x <= threshold`` goes left, so NaN goes right.
         """
-        if "layout" not in self.extra:
-            self._compile()
-        ff, tt, hh = self.extra["layout"]
         n, d = X.shape
         flat = np.ascontiguousarray(X, dtype=float).ravel()
         base = np.arange(n, dtype=np.int64) * d
         total = np.zeros(n)
-        for t in range(ff.shape[0]):
-            f_t, thr_t, h_t = ff[t], tt[t], hh[t]
-            node = np.zeros(n, dtype=np.int64)
-            for _ in range(self.max_depth):
-                x = flat[base + f_t[node]]
-                node = 2 * node + 2 - (x <= thr_t[node])
-            total += h_t[node]
+        for root, depth in zip(self.root.tolist(), self.depth.tolist(), strict=True):
+            node = np.full(n, root, dtype=np.int64)
+            for _ in range(depth):
+                x = flat[base + self.feature[node]]
+                node = self.child[node] + 1 - (x <= self.threshold[node])
+            total += self.leaf_h[node]
         return total
 
     def score(self, X: np.ndarray) -> np.ndarray:
-        T = self.feature.shape[0]
-        mean_h = self.path_lengths(X) / T
+        mean_h = self.path_lengths(X) / max(len(self.root), 1)
         return -np.power(2.0, -mean_h / float(c_factor([self.psi])[0]))
 
 

@@ -21,6 +21,22 @@ METRICS = ["temperature", "humidity", "pressure", "wind_speed", "clouds"]
 LATEST_FIELDS = ["country", "timestamp", "temperature", "feels_like", "temp_min", "temp_max",
                  "humidity", "pressure", "wind_speed", "wind_deg", "wind_gust", "clouds",
                  "visibility", "weather_id", "weather_main", "weather_description"]
+#: Ranges of time that the second pass of ``latest_by_city`` reads.
+RANGES = 16
+
+
+def time_ranges(newest: DataFrame, times: list[str], most: int = RANGES) -> list[tuple]:
+    """At most ``most`` ranges of time that hold every value of the columns ``times``.
+
+    The values are reduced to the first and last of each day on the executors;
+    the driver joins the days, across the smallest gaps first.
+    """
+    t = F.explode(F.array(*times)).alias("t")
+    days = newest.select(t).where("t is not null").groupBy(F.to_date("t").alias("d")).agg(
+        F.min("t").alias("a"), F.max("t").alias("b")).orderBy("d").collect()
+    gaps = sorted(range(1, len(days)), key=lambda i: days[i - 1]["b"] - days[i]["a"])[:most - 1]
+    cuts = [0, *sorted(gaps), len(days)]
+    return [(days[i]["a"], days[j - 1]["b"]) for i, j in zip(cuts[:-1], cuts[1:], strict=True) if j > i]
 
 
 def latest_by_city(df: DataFrame, *, fields: list[str] | None = None, time_col: str = "event_time",
@@ -41,15 +57,16 @@ def latest_by_city(df: DataFrame, *, fields: list[str] | None = None, time_col:
         return src.groupBy(key).agg(newest.alias("__n")).select(
             key, *[F.col(f"__n.r.{c}").alias(c) for c in fields], F.col("__n.t").alias(time_col))
     # Pass 1: per column the newest time with a value, and the newest time; fixed-width buffers, so a hash
-    # aggregate. The few rows it gives are written once, and bound what pass 2 has to read.
+    # aggregate. The few rows it gives are written once, and bound what pass 2 has to read: a few ranges of
+    # time, pushed to the scan, so a city that fell silent long ago adds its own days and not all days since.
     newest = src.groupBy(F.col(key).alias("__k")).agg(
         *[F.max(F.when(F.col(c).isNotNull(), t)).alias(f"__t_{c}") for c in fields], F.max(t).alias("__t"))
     path = work_dir(df.sparkSession, "latest")
     newest.write.parquet(path)
     newest = df.sparkSession.read.parquet(path)
     times = [f"__t_{c}" for c in fields] + ["__t"]
-    first = newest.agg(F.min(F.least(*times)).alias("t")).first()["t"] if len(times) > 1 else None
-    recent = src if first is None else src.where(t >= F.lit(first))
+    wanted = [t.between(F.lit(a), F.lit(b)) for a, b in time_ranges(newest, times)]
+    recent = src.where(reduce(lambda a, b: a | b, wanted)) if wanted else src
     # Pass 2: the values at those times; rows tied on time resolve to the largest value, whatever their order.
     at = recent.join(newest, F.col(key) == F.col("__k"))
     any_hit = reduce(lambda a, b: a | b, [t == F.col(x) for x in times])

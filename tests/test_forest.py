@@ -227,3 +227,27 @@ def test_infinite_values_are_missing_values(spark):
 def test_detection_scores_every_row_once(spark, clean, capsys):
     anom.detect_anomalies(clean, n_trees=10).explain()
     assert "ArrowEvalPython" not in capsys.readouterr().out   # reads the scores written while fitting
+
+
+def _chain(depth):
+    """Tree 0: a chain that only its last node ends; tree 1: one leaf."""
+    rows = []
+    for d in range(depth):
+        rows += [(0, 2 * d, 0, float(-d), 2 * d + 2, 2 * d + 1, d, depth - d + 1), (0, 2 * d + 1, -1, None, -1, -1, d + 1, 1)]
+    rows.append((0, 2 * depth, -1, None, -1, -1, depth, 1))
+    return [dict(zip(("tree_id", "node_id", "feature", "threshold", "left", "right", "depth", "n_rows"), r)) for r in
+            rows + [(1, 0, -1, None, -1, -1, 0, 2)]]
+
+
+def test_deep_tree_takes_memory_by_nodes():
+    f = iforest.Forest.from_nodes(_chain(500), ["x"], 256)   # 2^500 slots as a complete tree
+    assert f.n_nodes == 1002 and f.feature.size == f.threshold.size == f.child.size == f.leaf_h.size == 1002
+    x = np.array([[1.0], [-0.5], [-3.5], [-600.0], [np.nan]])
+    got = f.path_lengths(x) - 1.0                            # tree 1: one leaf of two rows
+    assert got.tolist() == [1.0, 2.0, 5.0, 500.0, 1.0]       # NaN goes right
+
+
+def test_forest_beyond_the_size_is_refused(monkeypatch):
+    monkeypatch.setattr(iforest, "MAX_BYTES", 1000)
+    with pytest.raises(ValueError, match="max_samples"):
+        iforest.Forest.from_nodes(_chain(100), ["x"], 256)

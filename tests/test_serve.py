@@ -126,3 +126,29 @@ def test_refresh_clock_column(spark):
     from tests.conftest import SF001
     cards = serve.current_conditions(serve.latest_by_city(weather_view(spark, SF001)), clock=True)
     assert cards.columns[-1] == "refreshed_at" and re.fullmatch(r"\d\d:\d\d:\d\d UTC", cards.first()["refreshed_at"])
+
+
+def test_latest_reads_few_ranges_of_time(spark):
+    """A city that fell silent a year ago adds its own days to the second pass, not all days since."""
+    from datetime import datetime, timedelta
+
+    from obsflow.plans.explain import plan_text
+    from obsflow.session import work_dir
+    t0 = datetime(2024, 1, 1)
+    rows = [("old", t0, 1.0, None), ("old", t0 - timedelta(days=2), 0.0, 5)] + [
+        ("new", t0 + timedelta(hours=h), float(h), h) for h in range(24 * 365)]
+    path = work_dir(spark, "latest-in")
+    spark.createDataFrame(rows, "city string, event_time timestamp, temperature double, humidity int").write.parquet(path)
+    df = spark.read.parquet(path)
+    out = serve.latest_by_city(df)
+    got = {r["city"]: (r["temperature"], r["humidity"], r["event_time"]) for r in out.collect()}
+    last = t0 + timedelta(hours=24 * 365 - 1)
+    assert got == {"old": (1.0, 5, t0), "new": (float(24 * 365 - 1), 24 * 365 - 1, last)}
+    pushed = [line for line in plan_text(out).splitlines() if "PushedFilters" in line and "event_time" in line]
+    assert any("Or(" in line and "GreaterThanOrEqual(event_time" in line for line in pushed)
+    newest = df.groupBy("city").agg(F.max("event_time").alias("t"))
+    assert serve.time_ranges(newest, ["t"]) == [(t0, t0), (last, last)]
+    assert serve.time_ranges(newest, ["t"], most=1) == [(t0, last)]
+    many = df.where("city = 'new'")
+    ranges = serve.time_ranges(many.withColumnRenamed("event_time", "t"), ["t"], most=5)
+    assert len(ranges) == 5 and all(any(a <= r[1] <= b for a, b in ranges) for r in rows[2:])
