@@ -425,17 +425,24 @@ register("forest_flag_share", """SELECT count(*) AS n_rows, count(*) AS n_scored
 _LATE_ORDER = [2, 0, 4, 1, 3]
 
 
-def _late_sql() -> str:
+def _runs_sql() -> str:
     ranks = " ".join(f"WHEN {c} THEN {i}" for i, c in enumerate(_LATE_ORDER))
     return f""", ab AS (SELECT epoch_us(min(event_time)) AS a, epoch_us(max(event_time)) AS b FROM wv),
 ch AS (SELECT wv.*, CASE (epoch_us(event_time) - a) // ((b - a) // 5 + 1) {ranks} END AS run,
               time_bucket(INTERVAL 5 MINUTE, event_time) + INTERVAL 5 MINUTE AS w_end FROM wv, ab),
 mx AS (SELECT run, max(event_time) AS m FROM ch GROUP BY run),
 wm AS (SELECT run, max(m) OVER (ORDER BY run) - INTERVAL 10 MINUTE AS after_run,
-              max(m) OVER (ORDER BY run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 10 MINUTE AS before_run FROM mx),
+              max(m) OVER (ORDER BY run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 10 MINUTE AS before_run FROM mx)"""
+
+
+def _late_sql() -> str:
+    return f"""{_runs_sql()},
 late AS (SELECT ch.* EXCLUDE (run, w_end) FROM ch JOIN wm USING (run)
          WHERE (before_run IS NULL OR w_end > before_run) AND w_end <= (SELECT max(after_run) FROM wm))
 {_window_agg("late")}"""
 
 
 register("stream_late_data", _late_sql())
+register("stream_input_quality", f"""{_runs_sql()}
+SELECT CAST(run AS BIGINT) AS batch_id, count(*) AS rows_in, count(*) FILTER (WHERE event_time IS NULL) AS null_time,
+       count(*) FILTER (WHERE w_end <= before_run) AS late_rows FROM ch JOIN wm USING (run) GROUP BY run""")

@@ -499,11 +499,12 @@ def q_stream_late_data(spark, sf_dir):
     return _stream_windows(spark, sf_dir, [2, 0, 4, 1, 3], "stream-late")
 
 
-def _stream_records(spark, sf_dir, name, *, detect, n_chunks=1, **sink_args):
+def _stream_records(spark, sf_dir, name, *, detect, n_chunks=1, order=None, **sink_args):
     base = work_dir(spark, name)
     sink = jobs.RecordSink(f"{base}/tables", detect=detect, **sink_args)
-    for chunk in _time_chunks(spark, sf_dir, n_chunks):
-        chunk.write.mode("append").parquet(f"{base}/in")
+    chunks = _time_chunks(spark, sf_dir, n_chunks)
+    for i in order or range(n_chunks):
+        chunks[i].write.mode("append").parquet(f"{base}/in")
         obs = jobs.observation_stream(spark, fmt="parquet", path=f"{base}/in")
         jobs.run_available_now(jobs.start_record_sink(obs, sink, f"{base}/ck", trigger="available_now"))
     return sink
@@ -516,6 +517,13 @@ def q_stream_clean_sink(spark, sf_dir):
     return rec.select(*RECORD_FIELDS, F.col("offset").alias("event_id"))
 
 
+@query
+def q_stream_input_quality(spark, sf_dir):
+    sink = _stream_records(spark, sf_dir, "stream-input", detect=False, n_chunks=5, order=[2, 0, 4, 1, 3])
+    rows = history.read_history(spark, sink.input_path)
+    return rows.select(F.col("batch_id").cast("long").alias("batch_id"), "rows_in", "null_time", "late_rows")
+
+
 @query
 def q_stream_anomalies(spark, sf_dir):
     sink = _stream_records(spark, sf_dir, "stream-anomalies", detect=True, n_chunks=5,

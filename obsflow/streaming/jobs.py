@@ -97,6 +97,10 @@ class RecordSink:
     ``mode="refit_batch"``: fit on each batch and score it with that fit.
     ``detect=False`` skips the model entirely.
 
+    Every batch leaves one row in ``input``: rows read, rows without time, and
+    rows that the window query drops as late, whose window of ``duration`` ends
+    at or before the newest time of the batches before it less ``watermark``.
+
     Failures: scoring runs to its end into a staging table before its rows are
     published, so a model that fails on an executor, like one that fails on the
     driver, leaves the records, writes a row to ``errors`` and does not fail the
@@ -105,7 +109,8 @@ class RecordSink:
 
     def __init__(self, root: str, *, rules=DEFAULT_RULES, detect: bool = True,
                  mode: str = "score_then_retrain", retrain_every: int = 2,
-                 train_rows: int | None = None, fit_args: dict | None = None):
+                 train_rows: int | None = None, fit_args: dict | None = None,
+                 duration: str = WINDOW, watermark: str = WATERMARK):
         self.root = root.rstrip("/")
         self.rules = rules
         self.detect = detect
@@ -113,6 +118,9 @@ class RecordSink:
         self.retrain_every = max(1, retrain_every)
         self.train_rows = train_rows
         self.fit_args = fit_args or {}
+        self.duration = duration
+        self.watermark = watermark
+        self._seen = None  # (batch id, newest time before it, newest time with it)
         self._model = None  # the model in use, reloaded only when another version is needed
 
     @property
@@ -127,6 +135,10 @@ class RecordSink:
     def quality_path(self):
         return f"{self.root}/quality"
 
+    @property
+    def input_path(self):
+        return f"{self.root}/input"
+
     @property
     def errors_path(self):
         return f"{self.root}/errors"
@@ -148,6 +160,7 @@ class RecordSink:
             malformed, bad_field = (flags + [None, None])[:2]
             history.write_batch(quality_report(batch, self.rules, malformed_col=malformed, bad_field_col=bad_field),
                                 self.quality_path, batch_id)
+            self._input_quality(batch, batch_id)
             clean = clean_records(batch.drop(*flags), self.rules)
             history.write_batch(clean, self.records_path, batch_id)
             if self.detect:
@@ -155,6 +168,35 @@ class RecordSink:
         finally:
             batch.unpersist()
 
+    def _newest_before(self, spark: SparkSession, batch_id: int):
+        """The newest event time of the batches before this one; read from ``input`` only after a restart."""
+        if self._seen is not None:
+            last, before, until = self._seen
+            if last < batch_id:
+                return until
+            if last == batch_id:
+                return before
+        rows = history.read_history(spark, self.input_path)
+        if "seen_until" not in rows.columns:
+            return None
+        return rows.where(F.col("batch_id") < F.lit(batch_id)).agg(F.max("seen_until").alias("t")).first()["t"]
+
+    def _input_quality(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = self._newest_before(spark, batch_id)
+        mark = F.date_trunc("MILLISECOND", F.lit(before).cast("timestamp")) - F.expr(f"INTERVAL {self.watermark}")
+        t = F.col("event_time")
+        at, step = F.unix_micros(t), F.expr(f"unix_micros(timestamp'1970-01-01 00:00:00' + INTERVAL {self.duration})")
+        w_end = F.timestamp_micros(at - F.pmod(at, step) + step)
+        row = batch.agg(F.count(F.lit(1)).alias("rows_in"), F.count(F.when(t.isNull(), 1)).alias("null_time"),
+                        F.count(F.when(w_end <= mark, 1)).alias("late_rows"), F.max(t).alias("newest")).first()
+        until = max((x for x in (before, row["newest"]) if x is not None), default=None)
+        out = spark.createDataFrame(
+            [(row["rows_in"], row["null_time"], row["late_rows"], before, until)],
+            "rows_in long, null_time long, late_rows long, seen_before timestamp, seen_until timestamp")
+        history.write_batch(out, self.input_path, batch_id)
+        self._seen = (batch_id, before, until)
+
     def _anomalies(self, spark: SparkSession, clean: DataFrame, batch_id: int) -> None:
         scored = self._guarded(spark, batch_id, "scoring", lambda: self._staged(spark, clean, batch_id))
         if scored is not None:

@@ -152,3 +152,30 @@ def test_score_then_retrain_policy(spark):
     after = {tuple(r) for r in history.read_history(spark, sink.anomalies_path)
              .where("batch_id = 4").select("offset", "anomaly_score").collect()}
     assert after == before and model_store.committed_versions(spark, sink.model_path) == [0, 2, 4]
+
+
+def test_input_quality_of_each_batch(spark):
+    """Late rows by the newest time of the batches before; a replay and a restarted sink give the same row."""
+    from datetime import datetime, timedelta
+    from pyspark.sql.types import StructField, StructType, TimestampType
+
+    from obsflow.streaming import jobs
+    t0 = datetime(2024, 1, 1, 12, 0)
+    schema = StructType([*RECORD_SCHEMA.fields, StructField("event_time", TimestampType())])
+    minutes = [[0, 1, None], [30, 31], [19, 20, 21, 24, 26, None], [40]]
+
+    def batch(i):
+        rows = [rec(city="A", temperature=1.0, event_time=None if m is None else t0 + timedelta(minutes=m)) for m in minutes[i]]
+        return spark.createDataFrame(rows, schema)
+    base = work_dir(spark, "input-quality")
+    sink = jobs.RecordSink(base, detect=False)
+    for i in (0, 1, 2):
+        sink(batch(i), i)
+    sink(batch(2), 2)                                   # a replay
+    again = jobs.RecordSink(base, detect=False)         # a restart, which replays the last batch
+    again(batch(2), 2)
+    again(batch(3), 3)
+    rows = history.read_history(spark, base + "/input").orderBy("batch_id").collect()
+    # newest time before batch 2: 12:31, so the watermark is 12:21; windows that end at 12:20 are closed
+    assert [(r["rows_in"], r["null_time"], r["late_rows"]) for r in rows] == [(3, 1, 0), (2, 0, 0), (6, 1, 1), (1, 0, 0)]
+    assert [r["seen_until"] for r in rows] == [t0 + timedelta(minutes=m) for m in (1, 31, 31, 40)]
