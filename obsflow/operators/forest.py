@@ -82,7 +82,7 @@ class Forest:
     def from_nodes(rows: list, features: list[str], psi: int) -> "Forest":
         pdf = pd.DataFrame([r.asDict() if hasattr(r, "asDict") else dict(r) for r in rows],
                            columns=[f.name for f in FOREST_NODE_SCHEMA.fields])
-        if 28 * len(pdf) > MAX_BYTES:
+        if 32 * len(pdf) > MAX_BYTES:
             raise ValueError(f"a forest of {len(pdf)} nodes is beyond {MAX_BYTES} bytes; lower max_samples or n_trees")
         return Forest._laid_out(pdf, features, psi)
 
@@ -110,7 +110,7 @@ class Forest:
         slot = np.empty(n, dtype=np.int64)
         slot[order] = np.arange(n)
         parent, first = np.concatenate(inner or [order]), np.concatenate(kids or [order])
-        feat, child, thr = np.zeros(n, dtype=np.int32), np.arange(-1, n - 1, dtype=np.int32), np.full(n, np.nan)
+        feat, child, thr = np.zeros(n, dtype=np.int64), np.arange(-1, n - 1), np.full(n, np.nan)
         child[slot[parent]] = slot[first]
         feat[slot[parent]] = feature[parent]
         thr[slot[parent]] = col("threshold", float)[parent]
@@ -131,9 +131,9 @@ class Forest:
         for root, depth in zip(self.root.tolist(), self.depth.tolist(), strict=True):
             node = np.full(n, root, dtype=np.int64)
             for _ in range(depth):
-                x = flat[base + self.feature[node]]
-                node = self.child[node] + 1 - (x <= self.threshold[node])
-            total += self.leaf_h[node]
+                x = flat.take(base + self.feature.take(node))
+                node = self.child.take(node) + 1 - (x <= self.threshold.take(node))
+            total += self.leaf_h.take(node)
         return total
 
     def score(self, X: np.ndarray) -> np.ndarray:
