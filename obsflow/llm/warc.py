@@ -7,7 +7,9 @@ its successor (from its Content-Length). Candidates whose successor is the next
 candidate form runs; pointer jumping over the runs from the start of each file
 keeps the reachable ones, so a version line (or a whole record) inside a payload
 is never taken for a record. A payload that holds such lines is put together
-from its pieces.
+from its pieces. Offsets come from one written table of candidates, and a second
+scan finds pieces by the hash of their bytes, so nothing depends on how a scan
+happens to be split among the executors of the moment.
 
 Rules: a null payload is empty; line breaks in a URL become spaces, a null URL
 has no header; rows with a null id are written and read with a null id and never
@@ -82,6 +84,10 @@ def _pieces(spark: SparkSession, path: str) -> DataFrame:
                     F.monotonically_increasing_id().alias("seq"), F.col("value").cast("binary").alias("piece")))
 
 
+def _piece_key() -> Column:
+    return F.unhex(F.sha2("piece", 256))
+
+
 def _candidates(pieces: DataFrame) -> DataFrame:
     """Header fields of every piece and, where its whole record is in the piece, the payload's size and digest."""
     text = F.col("piece").cast("string")
@@ -93,7 +99,7 @@ def _candidates(pieces: DataFrame) -> DataFrame:
          .withColumn("length", F.when(F.col("bytes") >= F.col("head_bytes") + 4, field("Content-Length").try_cast("long")))
          .withColumn("whole", F.coalesce(F.col("bytes") == F.col("head_bytes") + F.col("length") + 8, F.lit(False))))
     body = F.expr("substring(piece, cast(head_bytes + 5 as int), cast(length as int))")
-    return c.select("file", "block", "seq", "bytes", "head_bytes", "length", "whole",
+    return c.select("file", "block", "seq", "bytes", "head_bytes", "length", "whole", _piece_key().alias("key"),
                     field("WARC-Type").alias("record_type"), page(field("WARC-Record-ID")).alias("page_id"),
                     page(field("WARC-Refers-To")).alias("refers_to"), field("WARC-Target-URI").alias("url"),
                     F.regexp_replace(field("WARC-Payload-Digest"), "^sha1:", "").alias("named_digest"),
@@ -142,9 +148,9 @@ def _reachable(placed: DataFrame) -> DataFrame:
 
 
 def _owners(placed: DataFrame, records: DataFrame) -> DataFrame:
-    """(file, block, seq, o, r): every candidate with the last record at or before it in its file."""
+    """(file, o, r, key): every candidate with the last record at or before it in its file."""
     real = records.select("file", "o", F.col("o").alias("own"))
-    c = placed.select("file", "block", "seq", "o").join(real, ["file", "o"], "left")
+    c = placed.select("file", "block", "o", "key").join(real, ["file", "o"], "left")
     c = stash(c, "warc-owners")
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = c.groupBy("file", "block").agg(F.max("own").alias("top"))
@@ -152,7 +158,7 @@ def _owners(placed: DataFrame, records: DataFrame) -> DataFrame:
     inside = Window.partitionBy("file", "block").orderBy("o")
     return (c.join(blocks, ["file", "block"])
             .withColumn("r", F.coalesce(F.last("own", ignorenulls=True).over(inside), "carried"))
-            .select("file", "block", "seq", "o", "r"))
+            .select("file", "o", "r", "key"))
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
@@ -160,14 +166,18 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 
     Size and digest of a revisit are those of the response it refers to.
     """
-    placed = stash(_place(_candidates(_pieces(spark, path))), "warc-candidates").where("o >= 0")
+    candidates = stash(_candidates(_pieces(spark, path)), "warc-candidates")
+    placed = stash(_place(candidates), "warc-placed").where("o >= 0")
     records = stash(_reachable(placed), "warc-records")
     cut = records.where("not whole and length is not null").select("file", F.col("o").alias("r"), "succ", "head_bytes", "length")
     if not cut.isEmpty():
         # payloads with a version line inside: their pieces, joined by the line, make the record again
         inner = (_owners(placed, records).join(cut.select("file", "r", F.col("succ").alias("r_end")), ["file", "r"])
-                 .where("o < r_end").select("file", "block", "seq", "o", "r"))
-        pieces = _pieces(spark, path).join(inner, ["file", "block", "seq"])
+                 .where("o < r_end").select("file", "r", "o", "key"))
+        inner = stash(inner, "warc-inner")
+        texts = (_pieces(spark, path).select(_piece_key().alias("key"), "piece")
+                 .join(inner.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"]))
+        pieces = inner.join(texts, "key")
         whole = (pieces.groupBy("file", "r").agg(F.sort_array(F.collect_list(F.struct("o", "piece"))).alias("p"))
                  .withColumn("record", F.aggregate(
                      F.expr("slice(p, 2, size(p))"), F.expr("p[0].piece"),

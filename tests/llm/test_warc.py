@@ -61,3 +61,28 @@ def test_small_payloads_stay_responses(spark):
 
 def test_empty_table(spark):
     assert round_trip(spark, []) == []
+
+
+def test_pieces_are_found_whatever_the_split_of_the_second_scan(spark, monkeypatch):
+    """Executors lost or gained between the scans change the split; here the second scan is cut differently."""
+    from obsflow.llm import warc
+    scans, plain = [], warc._pieces
+
+    def scan(spark, path):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "134217728" if not scans else "97")
+        scans.append(path)
+        return plain(spark, path)
+
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    monkeypatch.setattr(warc, "_pieces", scan)
+    try:
+        assert round_trip(spark, ROWS) == expected(ROWS) and len(scans) == 2
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_clashing_extra_columns(spark):
+    rows = [(1, "u", "<p>a</p>", "k", 7, "w"), (2, "u", "<p>a</p>", None, None, None), (3, None, None, "k", 1, "w")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, key string, n int, payload string")
+    got = sorted(tuple(r) for r in plan_records(pages).select("page_id", "payload", "record_type", "refers_to").collect())
+    assert got == [(1, "<p>a</p>", "revisit", 2), (2, "<p>a</p>", "response", None), (3, "", "response", None)]
