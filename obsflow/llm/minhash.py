@@ -261,7 +261,7 @@ def _links_between(left: DataFrame, nodes: DataFrame, texts: DataFrame, k: int,
                  .mapInArrow(_compare_blocks(num, den), "a long, b long"), "minhash-rest-links")
 
 
-def near_duplicates(docs: DataFrame, k: int = 4, num: int = 80, den: int = 100, block: int = 512,
+def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, block: int = 512,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) per row of ``docs``.
 

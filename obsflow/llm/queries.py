@@ -77,8 +77,8 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document: its shingle count, the smallest id of its group of near copies, and whether it stays."""
-    return near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """Per document: its four-word shingle count, the smallest id of its group of near copies, and whether it stays."""
+    return near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"), k=4)
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

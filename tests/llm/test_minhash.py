@@ -10,14 +10,14 @@ from obsflow.llm.common import components
 from obsflow.llm.minhash import near_duplicates, signatures
 
 
-def sets_of(text, k=4):
+def sets_of(text, k=5):
     low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
     w = re.findall(r"[^\x20\x09-\x0D]+", low)
     return {tuple(w[i:i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else ({tuple(w)} if w else set())
 
 
-def brute(rows):
-    sets = [sets_of(t) for _, t in rows]
+def brute(rows, k=5):
+    sets = [sets_of(t, k) for _, t in rows]
     root = list(range(len(rows)))
 
     def find(x):
@@ -72,11 +72,11 @@ def corpus(seed=2):
     return [(i * 7 % 1009, t) for i, t in enumerate(rows)] + [(None, rows[0]), (None, rows[1])]
 
 
-@pytest.mark.parametrize("block", [512, 8])
-def test_against_brute_force(spark, block):
+@pytest.mark.parametrize("block,k", [(512, 4), (8, 4), (512, 5)])
+def test_against_brute_force(spark, block, k):
     rows = corpus()
     rows += [rows[3], rows[4]]
-    assert run(spark, rows, block=block) == brute(rows)
+    assert run(spark, rows, block=block, k=k) == brute(rows, k)
 
 
 def test_a_bridge_outside_the_star_is_found(spark):
@@ -84,7 +84,7 @@ def test_a_bridge_outside_the_star_is_found(spark):
     change = lambda at: [f"u{i}" if i in at else x for i, x in enumerate(w)]
     rows = [(1, " ".join(change({10, 40}))), (2, " ".join(w)), (3, " ".join(change({70, 90})))]
     rows += [(10 + i, " ".join(change({10, 40, 55 + i}))) for i in range(3)]
-    assert run(spark, rows) == brute(rows)
+    assert run(spark, rows, k=4) == brute(rows, 4)
 
 
 def test_empty_table(spark):
