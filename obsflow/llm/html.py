@@ -1,13 +1,16 @@
-"""Main text of web pages through wrappers: union-free regular expressions inferred per host.
+"""Main text of web pages through wrappers: union-free regular expressions inferred per host and page shape.
 
 Inference: a page's block tags and text slots make a token stream whose nested
-repeats are folded. Streams of one host are aligned one after the other;
+repeats are folded. Pages of one host with alike sets of label paths (the
+smallest three of the paths' hashes are the page's shape) are aligned one after the other;
 tokens that only one side has become optional groups, repeats stay repeated
 groups, and text that differs becomes a slot, while text that is the same on
 all pages stays a constant of the template, if at least two pages whose main
 text differs have it (copies of one page say nothing). Every task aligns its own pages of
-a host first, a host's parts are then aligned in salted groups and finally
-together, so no task holds a host's pages.
+a shape first, a shape's parts are then aligned in salted groups and finally
+together, so no task holds a host's pages, and pages that have little in common
+do not grow one wrapper. The label paths of a host's wrappers are then
+brought together by grouping: a constant must be the same in all of them.
 
 Extraction: a page is read along its host's wrapper. Its article is what lies in
 article elements (else main elements, else containers named as content), without
@@ -32,6 +35,7 @@ import json
 import re
 from collections.abc import Iterator
 from difflib import SequenceMatcher
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -68,6 +72,8 @@ ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'
 NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)"
 DEPTH = 200
+#: Pages of a host whose smallest so many hashes of label paths agree are aligned with each other.
+ALIKE = 3
 
 
 # What leaves a text out: [left out?, the same of the region around it]. A region left out for its name is shown again
@@ -302,19 +308,21 @@ def expression(node: list) -> str:
     return f"({body}){mark}" if mark else body
 
 
-def _constants(node: list, path: tuple[str, ...], out: dict[tuple[str, ...], tuple], inside: bool = False,
-               always: bool = True) -> None:
-    """(text, source, wherever its container is?) of all label paths with text; ``inside``: of a container of content."""
+def _text_paths(node: list, path: tuple[str, ...], box: tuple[str, ...] | None, out: dict[tuple[str, ...], tuple],
+                boxes: set[tuple[str, ...]], always: bool = True) -> None:
+    """(text, source, wherever its container is?, container) of all label paths with text, and the containers of content."""
     for c in node[CHILDREN]:
         group = c[LABEL].startswith("(")
         here = path if group else (*path, c[LABEL])
         holder = not group and _is_container(c[LABEL])
-        within, every = inside or holder, holder or (always and not c[OPTIONAL])
+        within, every = here if holder else box, holder or (always and not c[OPTIONAL])
+        if holder:
+            boxes.add(here)
         if c[TEXT] is not None:
             known = out.get(here, (c[TEXT], c[SOURCE], False))
             out[here] = (_merge_text(known[0], c[TEXT]), _merge_text(known[1], c[SOURCE]),
-                         known[2] or every or not within)
-        _constants(c, here, out, within, every)
+                         known[2] or every or within is None, within)
+        _text_paths(c, here, within, out, boxes, every)
 
 
 def _is_container(label: str) -> bool:
@@ -322,13 +330,6 @@ def _is_container(label: str) -> bool:
     return tag in ("article", "main") or bool(CONTENT & {w.lower() for c in names for w in NAME.findall(c)})
 
 
-def template_paths(wrapper: list) -> set[tuple[str, ...]]:
-    """The label paths whose text is one and the same on pages that differ."""
-    found: dict[tuple[str, ...], tuple] = {}
-    _constants(wrapper, (), found)
-    return {p for p, (text, source, always) in found.items() if text != SLOT and source == SLOT and always}
-
-
 def _region(blocks: list[list]) -> tuple[int, list[list]]:
     """(zone, the shown blocks of the article), zone 0 with all that are not mostly links if nothing names the article."""
     shown = [b for b in blocks if not b[2]]
@@ -339,83 +340,140 @@ def _region(blocks: list[list]) -> tuple[int, list[list]]:
     return 0, [b for b in shown if 2 * b[3] < len(b[0]) + 1]
 
 
-def main_text(blocks: list[list], constants: set[tuple[str, ...]]) -> str:
-    """The article's blocks joined by newlines; ``constants`` are the label paths of template texts."""
-    zone, inside = _region(blocks)
-    own = [b for b in inside if b[4] not in constants]
-    return "\n".join(b[0] for b in (inside if zone and 2 * len(own) < len(inside) else own))
+def main_text(blocks: list[list]) -> str:
+    """The article's blocks joined by newlines, as one page alone tells."""
+    return "\n".join(b[0] for b in _region(blocks)[1])
+
+
+@lru_cache(maxsize=1 << 14)
+def _path_key(path: tuple[str, ...]) -> str:
+    return _digest("\n".join(path), 8)
+
 
+def _shape(blocks: list[list]) -> str:
+    return "".join(sorted({_path_key(b[4]) for b in blocks})[:ALIKE])
 
-_PART = "host string, pages long, wrapper string"
 
+_PARSED = "url string, host string, shape string, zone int, blocks array<struct<text: string, path: string>>, tree string"
 
-def _merge_rows(parts: Iterator[tuple[str, int, list]], limit: int = 10_000) -> Iterator[pa.RecordBatch]:
-    held: dict[str, list] = {}
+
+def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in text_slices(batches, "html"):
+        shapes, zones, trees, texts, keys, ends = [], [], [], [], [], [0]
+        for html in batch.column(3).to_pylist():
+            blocks, tree = read_page(html)
+            zone, inside = _region(blocks)
+            shapes.append(_shape(blocks))
+            zones.append(zone)
+            trees.append(json.dumps(tree, separators=(",", ":")))
+            texts += [b[0] for b in inside]
+            keys += [_path_key(b[4]) for b in inside]
+            ends.append(len(texts))
+        pairs = pa.StructArray.from_arrays([pa.array(texts, pa.string()), pa.array(keys, pa.string())], ["text", "path"])
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns[:3], pa.array(shapes, pa.string()), pa.array(zones, pa.int32()),
+             pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs), pa.array(trees, pa.string())],
+            ["page_id", "url", "host", "shape", "zone", "blocks", "tree"])
+
+
+def _parsed(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
+    """Every page read once: its host, shape, the blocks of its article with their label paths, and its tree."""
+    host = F.lower(F.coalesce(F.regexp_extract(F.col(url_col), HOST, 1), F.lit("")))
+    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), host.alias("host"),
+                        F.coalesce(F.col(html_col), F.lit("")).alias("html"))
+    return stash(rows.mapInArrow(_parse, f"page_id {dict(pages.dtypes)[id_col]}, {_PARSED}"), "html-pages")
+
+
+_PART = "host string, shape string, pages long, wrapper string"
+
+
+def _merge_rows(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    """Rows of ``_PART`` with those of a host and shape aligned; at most ``limit`` wrappers are held at a time."""
+    held: dict[tuple[str, str], list] = {}
 
     def flush() -> pa.RecordBatch:
-        rows = [(h, n, json.dumps(w, separators=(",", ":"))) for h, (n, w) in held.items()]
+        rows = [(*key, n, json.dumps(w, separators=(",", ":"))) for key, (n, w) in held.items()]
         held.clear()
-        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64()),
-                                           pa.array([r[2] for r in rows], pa.string())], ["host", "pages", "wrapper"])
-    for host, pages, wrapper in parts:
-        if host in held:
-            held[host] = [held[host][0] + pages, merge(held[host][1], wrapper)]
-        else:
-            if len(held) >= limit:
-                yield flush()
-            held[host] = [pages, wrapper]
+        kinds = (pa.string(), pa.string(), pa.int64(), pa.string())
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
+                                          ["host", "shape", "pages", "wrapper"])
+    for batch in batches:
+        for host, shape, pages, wrapper in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            tree, known = json.loads(wrapper), held.get((host, shape))
+            if known:
+                held[host, shape] = [known[0] + pages, merge(known[1], tree)]
+            else:
+                if len(held) >= limit:
+                    yield flush()
+                held[host, shape] = [pages, tree]
     if held:
         yield flush()
 
 
-def _page_wrappers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    yield from _merge_rows(((h, 1, read_page(t)[1]) for b in batches
-                                for h, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)))
+def _wrappers(parsed: DataFrame, salts: int) -> DataFrame:
+    width = shuffle_width(parsed.sparkSession)
+    parts = (parsed.select("host", "shape", F.lit(1).cast("long").alias("pages"), F.col("tree").alias("wrapper"))
+             .mapInArrow(lambda batches: _merge_rows(batches, 1000), _PART))
+    for keys in (["host", "shape", "salt"], ["host", "shape"]):
+        parts = parts.withColumn("salt", F.pmod(F.xxhash64("wrapper", "pages"), F.lit(salts)))
+        # sorted by host and shape, so that one wrapper is held at a time
+        parts = (parts.repartition(width, *keys).sortWithinPartitions(*keys, "pages", "wrapper")
+                 .select("host", "shape", "pages", "wrapper").mapInArrow(lambda batches: _merge_rows(batches, 1), _PART))
+    return parts
 
 
-def _join_wrappers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Input sorted by host, so that one wrapper is held at a time."""
-    yield from _merge_rows(((h, n, json.loads(w)) for b in batches for h, n, w in zip(
-        *(b.column(i).to_pylist() for i in range(3)), strict=True)), limit=1)
+def wrappers(pages: DataFrame, salts: int = 32, id_col: str = "page_id", url_col: str = "url",
+             html_col: str = "html") -> DataFrame:
+    """(host, shape, pages, wrapper): one wrapper per host and shape as JSON; ``expression`` writes it as a regular expression."""
+    return _wrappers(_parsed(pages, id_col, url_col, html_col), salts)
 
 
-def _hosts(pages: DataFrame, url_col: str):
-    return F.lower(F.coalesce(F.regexp_extract(F.col(url_col), HOST, 1), F.lit("")))
+_PATH = "host string, shape string, path string, box string, text string, source string, always boolean"
 
 
-def wrappers(pages: DataFrame, salts: int = 32, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, pages, wrapper): one wrapper per host as JSON; ``expression`` writes it as a regular expression."""
-    width = shuffle_width(pages.sparkSession)
-    parts = (pages.select(_hosts(pages, url_col).alias("host"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
-             .mapInArrow(_page_wrappers, _PART))
-    for keys in (["host", "salt"], ["host"]):
-        parts = parts.withColumn("salt", F.pmod(F.xxhash64("wrapper", "pages"), F.lit(salts)))
-        parts = (parts.repartition(width, *keys).sortWithinPartitions(*keys, "pages", "wrapper")
-                 .select("host", "pages", "wrapper").mapInArrow(_join_wrappers, _PART))
-    return parts
+def _path_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The label paths with text of every wrapper, and its containers (rows without a path)."""
+    for batch in text_slices(batches, "wrapper"):
+        rows = []
+        for host, shape, wrapper in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            found: dict[tuple[str, ...], tuple] = {}
+            boxes: set[tuple[str, ...]] = set()
+            _text_paths(json.loads(wrapper), (), None, found, boxes)
+            rows += [(host, shape, _path_key(p), _path_key(box) if box else None, text, source, always)
+                     for p, (text, source, always, box) in found.items()]
+            rows += [(host, shape, None, _path_key(box), None, None, None) for box in boxes]
+        kinds = [pa.string()] * 6 + [pa.bool_()]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
+                                         ["host", "shape", "path", "box", "text", "source", "always"])
 
 
-def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known: dict[str, set[tuple[str, ...]]] = {}
-    for batch in text_slices(batches, "html"):
-        out = []
-        for html, pages, wrapper in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
-            key = hashlib.blake2b((wrapper or "").encode(), digest_size=16).hexdigest()
-            if key not in known:
-                if len(known) > 256:
-                    known.clear()
-                known[key] = template_paths(json.loads(wrapper)) if wrapper and pages > 1 else set()
-            out.append(main_text(read_page(html)[0], known[key]))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string())],
-                                         ["page_id", "url", "text"])
-
-
-def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+def template_constants(learned: DataFrame) -> DataFrame:
+    """(host, shape, constants): the label paths whose text is one and the same on pages of the host that differ.
+
+    Inside a container of content, every such container of the host must have it.
+    """
+    rows = stash(learned.select("host", "shape", "wrapper").mapInArrow(_path_rows, _PATH), "html-paths")
+    known = rows.where("path is not null")
+    texts = (known.groupBy("host", "path")
+             .agg(F.min("text").alias("text"), F.max("text").alias("other"), F.min("source").alias("source"),
+                  F.max("source").alias("source2"), F.min("always").alias("always"), F.min("box").alias("box"),
+                  F.count(F.lit(1)).alias("n"))
+             .where((F.col("text") == F.col("other")) & (F.col("text") != SLOT) & F.col("always")
+                    & ((F.col("source") == SLOT) | (F.col("source2") == SLOT) | (F.col("source") != F.col("source2")))))
+    boxes = rows.where("path is null").groupBy("host", "box").agg(F.count(F.lit(1)).alias("boxes"))
+    constants = (texts.join(boxes, ["host", "box"], "left").where("box is null or n = boxes").select("host", "path"))
+    return (known.select("host", "shape", "path").join(constants, ["host", "path"], "left_semi")
+            .groupBy("host", "shape").agg(F.collect_set("path").alias("constants")))
+
+
+def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
+                 salts: int = 32) -> DataFrame:
     """(page_id, url, text, n_chars) per row of ``pages``."""
-    learned = stash(wrappers(pages, url_col=url_col, html_col=html_col), "html-wrappers")
-    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"),
-                        F.coalesce(F.col(html_col), F.lit("")).alias("html"), _hosts(pages, url_col).alias("host"))
-    joined = rows.join(learned, "host", "left").select("page_id", "url", "html", "pages", "wrapper")
-    kind = dict(pages.dtypes)
-    return (joined.mapInArrow(_extract, f"page_id {kind[id_col]}, url string, text string")
+    parsed = _parsed(pages, id_col, url_col, html_col)
+    constants = stash(template_constants(stash(_wrappers(parsed, salts), "html-wrappers")), "html-constants")
+    own = F.filter("blocks", lambda b: ~F.array_contains("constants", b["path"]))
+    near_copies = (F.col("zone") > 0) & (2 * F.size(own) < F.size("blocks"))
+    shown = F.when(F.col("constants").isNull() | near_copies, F.col("blocks")).otherwise(own)
+    return (parsed.drop("tree").join(constants, ["host", "shape"], "left")
+            .select("page_id", "url", F.array_join(F.transform(shown, lambda b: b["text"]), "\n").alias("text"))
             .withColumn("n_chars", F.char_length("text").cast("long")))
