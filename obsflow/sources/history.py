@@ -21,6 +21,7 @@ from pyspark.sql.types import StructType
 from pyspark.errors import AnalysisException
 
 from obsflow.schemas import ANOMALY_SCHEMA, HISTORY_FIELDS, RECORD_FIELDS, RECORD_SCHEMA, WINDOW_AGG_SCHEMA
+from obsflow.sources.tables import local_table
 
 #: Hidden from readers of the table by its name.
 MANIFEST = "_manifest"
@@ -52,8 +53,8 @@ def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("batch_id").format(fmt).save(path))
     m = seen.get
-    _record(df.sparkSession.createDataFrame([(int(batch_id), m["n_rows"], m["t_min"], m["t_max"])],
-                                            "batch_id long, n_rows long, t_min timestamp, t_max timestamp"), path)
+    _record(local_table(df.sparkSession, [(int(batch_id), m["n_rows"], m["t_min"], m["t_max"])],
+                        "batch_id long, n_rows long, t_min timestamp, t_max timestamp"), path)
 
 
 def write_batches(df: DataFrame, path: str, batch_col: str = "batch_id") -> None:
@@ -139,7 +140,7 @@ def last_n(spark: SparkSession, path: str, n: int = 2000, anomalies: bool = Fals
 
 
 def _empty(spark: SparkSession, schema) -> DataFrame:
-    return spark.createDataFrame([], schema)
+    return local_table(spark, [], schema)
 
 
 def missing(exc: AnalysisException) -> bool:

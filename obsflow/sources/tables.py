@@ -8,8 +8,11 @@ filter above it is pushed to the Parquet reader where possible.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType, TimestampType
 
 from obsflow.functions.lookups import CITIES
 from obsflow.functions.text import iso_utc
@@ -22,6 +25,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def local_table(spark: SparkSession, rows: list[tuple], schema: StructType | str) -> DataFrame:
+    """Rows held by the driver as a table, sent as Arrow.
+
+    A list of tuples given to ``createDataFrame`` starts a Python worker on every
+    executor core to unpickle it; this starts none.
+    """
+    st = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    cols = list(zip(*rows, strict=True)) or [()] * len(st)
+    # naive times are local ones, as in createDataFrame
+    cols = [[v and v.astimezone() for v in c] if isinstance(f.dataType, TimestampType) else c
+            for c, f in zip(cols, st.fields, strict=True)]
+    arrow = to_arrow_schema(st)
+    return spark.createDataFrame(pa.table([pa.array(c, t) for c, t in zip(cols, arrow.types, strict=True)], schema=arrow), st)
+
+
 def _case(key, pairs, default):
     expr = None
     for k, v in pairs:

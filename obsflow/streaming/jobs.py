@@ -28,6 +28,7 @@ from obsflow.operators.quality import DEFAULT_RULES, clean_records, quality_repo
 from obsflow.operators.windows import WATERMARK, WINDOW, window_aggregates
 from obsflow.sources import history, model_store, state_store
 from obsflow.sources.messages import TOPIC, kafka_source, parse_messages
+from obsflow.sources.tables import local_table
 
 log = logging.getLogger(__name__)
 
@@ -191,8 +192,8 @@ class RecordSink:
         row = batch.agg(F.count(F.lit(1)).alias("rows_in"), F.count(F.when(t.isNull(), 1)).alias("null_time"),
                         F.count(F.when(w_end <= mark, 1)).alias("late_rows"), F.max(t).alias("newest")).first()
         until = max((x for x in (before, row["newest"]) if x is not None), default=None)
-        out = spark.createDataFrame(
-            [(row["rows_in"], row["null_time"], row["late_rows"], before, until)],
+        out = local_table(
+            spark, [(row["rows_in"], row["null_time"], row["late_rows"], before, until)],
             "rows_in long, null_time long, late_rows long, seen_before timestamp, seen_until timestamp")
         history.write_batch(out, self.input_path, batch_id)
         self._seen = (batch_id, before, until)
@@ -221,7 +222,7 @@ class RecordSink:
             if is_storage_fault(exc):
                 raise
             log.error("batch %s: %s failed: %s", batch_id, what, exc, exc_info=True)
-            history.write_batch(spark.createDataFrame([(what, type(exc).__name__, str(exc)[:2000])], ERROR_SCHEMA),
+            history.write_batch(local_table(spark, [(what, type(exc).__name__, str(exc)[:2000])], ERROR_SCHEMA),
                                 f"{self.errors_path}/{what.replace(' ', '_')}", batch_id)
             return None
 
