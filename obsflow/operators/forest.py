@@ -31,11 +31,13 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from obsflow.schemas import FOREST_NODE_SCHEMA
+from obsflow.sources.tables import local_table
 
 # ---- Fixed values: forest parameters -----------------------------------------
 N_TREES = 100
@@ -243,7 +245,7 @@ def fit_nodes(df: DataFrame, features: list[str], key_cols: list[str] | None = N
     n = df.count() if n_rows is None else n_rows
     psi = min(max_samples, n)
     if psi == 0:
-        return df.sparkSession.createDataFrame([], FOREST_NODE_SCHEMA), 0
+        return local_table(df.sparkSession, [], FOREST_NODE_SCHEMA), 0
     boost = 1.0
     for _ in range(6):
         pairs = tree_samples(rows, features, n, psi, n_trees=n_trees, seed=seed, rate_boost=boost)
@@ -259,7 +261,7 @@ def fit_nodes(df: DataFrame, features: list[str], key_cols: list[str] | None = N
 
 def literal_nodes(spark, trees: list[list[tuple]]) -> DataFrame:
     """Nodes DataFrame from literal rows (tree_id, node_id, feature, threshold, left, right, depth, n_rows)."""
-    return spark.createDataFrame([r for t in trees for r in t], FOREST_NODE_SCHEMA)
+    return local_table(spark, [r for t in trees for r in t], FOREST_NODE_SCHEMA)
 
 
 # ---------------------------------------------------------------------------
@@ -270,19 +272,22 @@ def score_column(spark, forest: Forest, cols: list[str]) -> F.Column:
 
     Only the feature values cross to Python (Arrow batches); every other column
     of the row stays in the JVM. The forest (bounded) travels as a broadcast.
+    Declared nondeterministic although it is not: a filter on the score is then
+    not pushed below it as a second evaluation, which would take a second Python
+    worker per task.
     """
     bc = forest.extra.get("broadcast")
     if bc is None:  # one broadcast per forest, reused by every micro-batch that scores with it
         bc = spark.sparkContext.broadcast(forest)
         forest.extra["broadcast"] = bc
 
-    @F.pandas_udf(DoubleType())
-    def isolation_score(*features: pd.Series) -> pd.Series:
-        X = np.column_stack([f.to_numpy(dtype=float, na_value=np.nan) for f in features]) \
+    @F.arrow_udf(DoubleType())
+    def isolation_score(*features: pa.Array) -> pa.Array:
+        X = np.column_stack([f.cast(pa.float64(), safe=False).to_numpy(zero_copy_only=False) for f in features]) \
             if len(features[0]) else np.zeros((0, len(features)))
-        return pd.Series(bc.value.score(X) if len(X) else np.zeros(0))
+        return pa.array(bc.value.score(X) if len(X) else np.zeros(0), from_pandas=True)  # NaN is null
 
-    return isolation_score(*[F.col(c) for c in cols])
+    return isolation_score.asNondeterministic()(*[F.col(c) for c in cols])
 
 
 def score(df: DataFrame, forest: Forest, feature_cols: list[str] | None = None,
