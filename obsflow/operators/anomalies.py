@@ -21,6 +21,7 @@ from obsflow.operators import features as feat
 from obsflow.operators import forest as iforest
 from obsflow.operators.scoring import CONTAMINATION, anomaly_rate, histogram_by  # noqa: F401
 from obsflow.session import work_dir
+from obsflow.sources.tables import local_table
 
 # ---- Fixed values --------------------------------------------------------------
 MIN_SAMPLES = 5
@@ -127,7 +128,7 @@ def score_all(df: DataFrame, *, model: Model | None = None, **fit_args) -> tuple
         return apply_model(df, model), model
     m, scored = fit_and_score(df, **fit_args)
     if m is None:
-        return df.sparkSession.createDataFrame([], result_schema(df)), None
+        return local_table(df.sparkSession, [], result_schema(df)), None
     return _labelled(scored, df.columns, m.threshold), m
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from obsflow.functions.numeric import exact_quantile
 from obsflow.functions.text import fixed_1dp
+from obsflow.sources.tables import local_table
 
 # ---- Fixed values --------------------------------------------------------------
 CONTAMINATION = 0.05
@@ -65,7 +66,7 @@ def histogram_by(df: DataFrame, col: str, by: str = "city", bins: int = HIST_BIN
     r = finite.agg(F.min(v).alias("lo"), F.max(v).alias("hi")).first()
     lo, hi = r["lo"], r["hi"]
     if lo is None:
-        return df.sparkSession.createDataFrame([], f"{by} string, bin int, bin_start double, n bigint")
+        return local_table(df.sparkSession, [], f"{by} string, bin int, bin_start double, n bigint")
     df = finite
     if hi == lo:
         b = F.lit(1)

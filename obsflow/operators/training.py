@@ -35,6 +35,7 @@ from obsflow.operators import features as feat
 from obsflow.operators import forest as iforest
 from obsflow.operators.anomalies import MIN_SAMPLES, Model, row_key, usable_features
 from obsflow.operators.scoring import CONTAMINATION
+from obsflow.sources.tables import local_table
 
 #: Rows whose scores set the threshold; below this many all rows of the history do.
 CALIBRATION = 10_000
@@ -146,7 +147,7 @@ def merged(state: TrainingState | None, batch: DataFrame, *, features: list[str]
     if state is not None and counted is not None:
         counted = counted.unionByName(state.values).groupBy("feature", "value").agg(F.sum("n").alias("n"))
     if counted is None:
-        counted = batch.sparkSession.createDataFrame([], "feature string, value double, n long")
+        counted = local_table(batch.sparkSession, [], "feature string, value double, n long")
     return TrainingState(samples, counted, n, feats)
 
 

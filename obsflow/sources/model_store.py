@@ -23,6 +23,7 @@ from obsflow.operators import forest as iforest
 from obsflow.operators.anomalies import Model
 from obsflow.schemas import FOREST_NODE_SCHEMA
 from obsflow.sources.history import missing
+from obsflow.sources.tables import local_table
 
 
 def _generation(spark: SparkSession, root: str) -> int | None:
@@ -46,17 +47,17 @@ def save_model(spark: SparkSession, model: Model, root: str, version: int, nodes
     """Write version ``version`` of the model, then commit it."""
     root = current(spark, root)
     if nodes_df is None:
-        nodes_df = spark.createDataFrame(model.forest.extra["nodes"], FOREST_NODE_SCHEMA)
+        nodes_df = local_table(spark, model.forest.extra["nodes"], FOREST_NODE_SCHEMA)
     w = lambda df, name: (df.withColumn("version", F.lit(int(version)))
                           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                           .partitionBy("version").parquet(f"{root}/{name}"))
     w(nodes_df, "nodes")
     stats = [(f, int(s["n"]), s["median"], s["mean"], s["std_pop"]) for f, s in model.stats.items()]
-    w(spark.createDataFrame(stats, "feature string, n bigint, median double, mean double, std_pop double")
+    w(local_table(spark, stats, "feature string, n bigint, median double, mean double, std_pop double")
       .withColumn("position", F.monotonically_increasing_id()), "stats")
     meta = [(model.threshold, int(model.forest.psi), int(model.n_train), ",".join(model.features))]
-    w(spark.createDataFrame(meta, "threshold double, psi int, n_train bigint, features string"), "meta")
-    spark.createDataFrame([(int(version),)], "version int") \
+    w(local_table(spark, meta, "threshold double, psi int, n_train bigint, features string"), "meta")
+    local_table(spark, [(int(version),)], "version int") \
         .withColumn("committed_at", F.current_timestamp()) \
         .write.mode("append").parquet(f"{root}/commits")
 
@@ -142,4 +143,4 @@ def prune_versions(spark: SparkSession, root: str, keep: int = 10) -> list[int]:
 
 
 def _commit_generation(spark: SparkSession, root: str, generation: int) -> None:
-    spark.createDataFrame([(generation,)], "generation long").write.mode("append").parquet(f"{root}/generations")
+    local_table(spark, [(generation,)], "generation long").write.mode("append").parquet(f"{root}/generations")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from obsflow.operators.training import TrainingState
 from obsflow.sources.history import missing
+from obsflow.sources.tables import local_table
 
 SLOTS = (0, 1)
 
@@ -52,7 +53,7 @@ def save_state(spark: SparkSession, state: TrainingState, root: str, upto: int)
     slot = 1 - base["slot"] if base else 0
     mark = F.lit(int(upto)).cast("long").alias("upto")
     for name, df in (("samples", state.samples), ("values", state.values),
-                     ("meta", spark.createDataFrame([(int(state.n_rows), ",".join(state.features))], "n_rows long, features string"))):
+                     ("meta", local_table(spark, [(int(state.n_rows), ",".join(state.features))], "n_rows long, features string"))):
         df.select("*", mark).write.mode("overwrite").parquet(f"{root}/slot{slot}/{name}")
     state.samples.unpersist()
     return load_state(spark, root, upto + 1)[0]
