@@ -35,26 +35,33 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 import struct
 from bisect import bisect_right
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
-from obsflow.llm.common import stash
+from obsflow.llm.common import stash, text_slices
 
 LENGTH, GRAIN, END_ID = 4096, 64, 2
-#: Bytes of a text that are split at a time; cached words of a worker.
-_BYTES, _CACHED = 1 << 20, 400_000
+#: Bytes that are split at a time; cached words (and matches) of a worker.
+_BYTES, _CACHED = 4 << 20, 400_000
 _DUE_BITS = 80
 #: Fixed value: the pattern of a tokenizer whose texts can be encoded word by word.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Words of ASCII signs and Latin letters; Latin-1 to lower case; the matches of the pattern in such words, and the blanks between.
+_PLAIN = "^[!-~À-ÖØ-öø-ÿ]*$"
+_LOWER = bytes(x + 32 if 0x41 <= x <= 0x5A or 0xC0 <= x <= 0xDE and x != 0xD7 else x for x in range(256))
+_MATCHES = re.compile(rb"'(?:[stmd]|re|ve|ll)|[a-z\xDF-\xFF]+|[0-9]|[!-/:-@\[-`{-~]+| ").findall
 
 
 class _Words(dict):
@@ -71,13 +78,25 @@ class _Words(dict):
         return got
 
 
+def _joined(words: pa.StringArray) -> bytes:
+    """The words with a blank after each."""
+    words = pa.concat_arrays([words.view(pa.binary()), pa.array([b""], pa.binary())])
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), b" ")[0].as_py()
+
+
+@cache
+def _packing(layout: str):
+    return struct.Struct(layout).pack
+
+
 class Encoder:
     """Token ids of a text as packed integers, by the tokenizer file at ``path``.
 
     Where the file's tokenizer drops blanks and takes runs of letters, single
-    digits and runs of other signs, a text is encoded word by word with a
-    bounded cache of frequent words; words of plain Latin letters then go
-    straight to the file's model. Any other tokenizer encodes whole texts.
+    digits and runs of other signs, the different words between blanks of many
+    texts are encoded once. Those of ASCII signs and Latin letters are cut into
+    these runs, which go straight to the file's model, with a bounded cache; the
+    others are likewise cached. Any other tokenizer encodes whole texts.
     """
 
     def __init__(self, path: str, end_id: int = END_ID):
@@ -85,15 +104,15 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        self.type = "<u2" if max(self.tokenizer.get_vocab_size() - 1, end_id) < 1 << 16 else "<u4"
+        self.type = "<u2" if max(self.tokenizer.get_vocab_size() - 1, end_id) < (1 << 16) - 1 else "<u4"
         self.end = self._packed([end_id])
         self.by_word = self._splits_words(spec)
         if self.by_word:
-            self.words, self.parts = _Words(self._word, 64), _Words(self._part, 64)
-            self.split = regex.compile(WORD_PATTERN).findall
-            self.plain = regex.compile("[!-~À-ÖØ-öø-ÿ]+").fullmatch
-            named = "|".join(regex.escape(t["content"]) for t in spec.get("added_tokens") or [])
-            self.special = regex.compile(named or r"(?!)").search
+            self.words, self.parts = _Words(self._ids, 64), _Words(self._part, 64)
+            self.tokenize = self.tokenizer.model.tokenize
+            self.between = int(np.iinfo(self.type).max)   # no id: stands after each word
+            self.parts[b" "] = self._packed([self.between])
+            self.named = [t["content"] for t in spec.get("added_tokens") or []]
             level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
             self.byte_level = {ord(c): level.pre_tokenize_str(c)[0][0] for c in map(chr, range(0xDF, 0x100))}
 
@@ -113,39 +132,66 @@ class Encoder:
                             for t in spec.get("added_tokens") or []))
 
     def _packed(self, ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}{'H' if self.type == '<u2' else 'I'}", *ids)
-
-    def _ids(self, text: str) -> bytes:
-        return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
-
-    def _part(self, part: str) -> bytes:
-        """Ids of a match of the pattern, of lower-case Latin letters or other ASCII signs."""
-        if not part.isascii():
-            part = part.translate(self.byte_level)
-        return self._packed([t.id for t in self.tokenizer.model.tokenize(part)])
-
-    def _word(self, raw: bytes) -> bytes:
-        word = raw.decode()
-        if not (word.isprintable() if word.isascii() else self.plain(word)) or self.special(word):
-            return self._ids(word)
-        word = word.lower()
-        if word.isalpha():
-            return self.parts[word]
-        if word[:-1].isalpha():  # letters and one other sign: two matches
-            return self.parts[word[:-1]] + self.parts[word[-1]]
-        return b"".join(map(self.parts.__getitem__, self.split(word)))
+        return _packing(f"<{len(ids)}{'H' if self.type == '<u2' else 'I'}")(*ids)
+
+    def _ids(self, data: bytes) -> bytes:
+        return self._packed(self.tokenizer.encode(data.decode(), add_special_tokens=False).ids)
+
+    def _part(self, part: bytes) -> bytes:
+        """Ids of a match, in Latin-1 and lower case."""
+        text = part.decode("latin-1")
+        return self._packed([t.id for t in self.tokenize(text if part.isascii() else text.translate(self.byte_level))])
+
+    def _of_words(self, words: pa.StringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, first, number): the ids of words, and where those of each word are."""
+        plain = pc.match_substring_regex(words, _PLAIN)
+        for n in self.named:
+            plain = pc.and_not(plain, pc.match_substring(words, n, ignore_case=True))
+        text, odd = (_joined(words.filter(m)) for m in (plain, pc.invert(plain)))
+        if not text.isascii():
+            text = text.decode().encode("latin-1")
+        ids = [*map(self.parts.__getitem__, _MATCHES(text.translate(_LOWER)))]
+        for w in odd.split():
+            ids += self.words[w], self.parts[b" "]
+        ids = np.frombuffer(b"".join(ids), dtype=self.type)
+        plain = plain.to_numpy(zero_copy_only=False)
+        first, n = np.empty(len(words), dtype=np.int64), np.empty(len(words), dtype=np.int64)
+        order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
+        ends = np.flatnonzero(ids == self.between)
+        first[order] = np.concatenate([[0], ends[:-1] + 1])[:len(words)]
+        n[order] = ends - first[order]
+        return ids, first, n
+
+    def _texts(self, texts: pa.BinaryArray) -> list[bytes]:
+        """Ids per text, those of every different word looked up once."""
+        words = pc.ascii_split_whitespace(texts.view(pa.string()))
+        coded = words.flatten().dictionary_encode()
+        ids, first, n = self._of_words(coded.dictionary)
+        which = coded.indices.to_numpy()
+        first, n = first[which], n[which]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        tokens = ids[np.repeat(first - ends[:-1], n) + np.arange(ends[-1])]
+        cut = ends[words.offsets.to_numpy() - words.offsets[0].as_py()].tolist()
+        return [tokens[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)]
+
+    def many(self, texts: pa.BinaryArray) -> list[bytes]:
+        """``__call__`` of every text (null is empty); of at most ``_BYTES`` in all, or one by one."""
+        texts = texts.fill_null(b"")
+        if self.by_word and (pc.sum(pc.binary_length(texts)).as_py() or 0) <= _BYTES:
+            return [ids + self.end for ids in self._texts(texts)]
+        return [self(text.as_py()) for text in texts]
 
     def __call__(self, data: bytes) -> bytes:
         """The ids of a UTF-8 text and the end token after them."""
         if not self.by_word:
-            return self._ids(data.decode()) + self.end
+            return self._ids(data) + self.end
         out, a = [], 0
         while a < len(data):
             b = len(data)
             if b - a > _BYTES:
                 at = data.find(b" ", a + _BYTES)
                 b = at if at >= 0 else b
-            out += map(self.words.__getitem__, data[a:b].split())
+            out += self._texts(pa.array([data[a:b]], pa.binary()))
             a = b
         return b"".join(out) + self.end
 
@@ -274,21 +320,15 @@ def _tokenizing(path: str, end_id: int):
         encode = _encoders.get((path, end_id)) or _encoders.setdefault((path, end_id), Encoder(path, end_id))
         width = np.dtype(encode.type).itemsize
         task, at = TaskContext.get().partitionId(), {}
-        for batch in batches:
-            ids, n, place, held, a = [], [], [], 0, 0
-            queues = batch.column(1).to_pylist()
-            for i, (q, text) in enumerate(zip(queues, batch.column(2), strict=True)):
-                ids.append(encode(text.as_py() or b""))
-                n.append(len(ids[-1]) // width)
+        for batch in text_slices(batches, "data", _BYTES):
+            ids, place = encode.many(batch.column(2)), []
+            n = [len(x) // width for x in ids]
+            for q, k in zip(batch.column(1).to_pylist(), n, strict=True):
                 place.append(at.get(q, 0))
-                at[q] = place[-1] + n[-1]
-                held += len(ids[-1])
-                if held > 4 << 20 or i == batch.num_rows - 1:
-                    part = batch.slice(a, i + 1 - a)
-                    yield pa.RecordBatch.from_arrays(
-                        [part.column(0), pa.array([task] * len(n), pa.int32()), part.column(1), pa.array(place, pa.int64()),
-                         pa.array(n, pa.int64()), pa.array(ids, pa.binary())], ["doc", "task", "queue", "place", "n", "ids"])
-                    ids, n, place, held, a = [], [], [], 0, i + 1
+                at[q] = place[-1] + k
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([task] * len(n), pa.int32()), batch.column(1), pa.array(place, pa.int64()),
+                 pa.array(n, pa.int64()), pa.array(ids, pa.binary())], ["doc", "task", "queue", "place", "n", "ids"])
     return run
 
 

@@ -5,6 +5,7 @@ import zlib
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -98,6 +99,23 @@ def test_ids_equal_the_tokenizer(own):
     assert np.frombuffer(e(long.encode()), e.type).tolist() == [*own.encode(long, add_special_tokens=False).ids, 2]
 
 
+def test_different_words_of_many_texts_are_tokenized_once(own, monkeypatch):
+    """Slices of texts give the ids of each text; a run of letters reaches the model once, in any case and beside any signs."""
+    texts = ["Alpha, alpha ALPHA!", None, "", "  ", "\tÉté été.\n", "alpha 中文 beta", "(beta)###", "<|endoftext|>Beta beta", "J\u030c j\u030c",
+             "it's don'treet", "alpha " * 50] * 3
+    e = Encoder(PATH)
+    asked, tokenize = [], e.tokenize
+    e.tokenize = lambda part: asked.append(part) or tokenize(part)
+    want = [[*x.ids, 2] for x in own.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    column = pa.array([None if t is None else t.encode() for t in texts], pa.binary())
+    assert [np.frombuffer(x, e.type).tolist() for x in e.many(column)] == want
+    assert [np.frombuffer(x, e.type).tolist() for x in e.many(column.slice(3, 9))] == want[3:12]
+    assert len(asked) == len(set(asked)) and {"alpha", "beta"} <= set(asked)
+    assert e.many(pa.array([], pa.binary())) == []
+    monkeypatch.setattr("obsflow.llm.packing._BYTES", 40)   # texts beyond this are cut at blanks
+    assert [np.frombuffer(x, e.type).tolist() for x in e.many(column)] == want
+
+
 def test_other_tokenizers_encode_whole_texts():
     path = public_tokenizers.path("byte_bpe_50k.json")
     e, own = Encoder(path, end_id=50256), Tokenizer.from_file(path)
