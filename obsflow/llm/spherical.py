@@ -54,8 +54,6 @@ class ProductCode:
         A pair of ranks (i, j) is beaten or met by (i + 1) * (j + 1) pairs, so the
         best ones have (i + 1) * (j + 1) <= caps.
         """
-        if unit.shape[1] < FEW:
-            return np.zeros((len(unit), 1), dtype=np.int32)
         caps = min(caps, self.codewords ** 2)
         x = unit @ self.rotation
         scores = [x[:, :self.half] @ self.books[0].T, x[:, self.half:] @ self.books[1].T]
@@ -68,6 +66,10 @@ class ProductCode:
         number = np.take_along_axis(one * self.codewords + two, best, 1)
         return np.sort(number, axis=1).astype(np.int32)
 
+    def filters(self, unit: np.ndarray, caps: int) -> np.ndarray:
+        """``decode``, or the one filter of all vectors below ``FEW`` dimensions."""
+        return self.decode(unit, caps) if unit.shape[1] >= FEW else np.zeros((len(unit), 1), dtype=np.int32)
+
 
 def _vectors(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(rows, matrix) per vector length of the rows that can link."""
@@ -125,7 +127,7 @@ def _decoder(codewords: int, caps: int):
                 for dim in np.unique(dims).tolist():
                     code = codes.setdefault(dim, ProductCode(dim, codewords))
                     rows = np.flatnonzero(dims == dim)
-                    for r, f in zip(rows, code.decode(_unit([raw[r] for r in rows], dim), caps).tolist(), strict=True):
+                    for r, f in zip(rows, code.filters(_unit([raw[r] for r in rows], dim), caps).tolist(), strict=True):
                         lists[r] = f
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(lists, pa.list_(pa.int32()))],
                                                  [*part.schema.names, "filters"])
