@@ -4,10 +4,13 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from obsflow.llm import suffix_dedup as module
+from obsflow.llm.common import stash, stash_by_key
 from obsflow.llm.suffix_dedup import difference_cover, suffix_dedup
 
 
@@ -99,5 +102,34 @@ def test_texts_are_shuffled_once(spark):
     assert exchanges == 1   # the spans
 
 
+def test_a_bucket_of_texts_is_held_in_small_parts(spark):
+    """A task that writes or reads a bucket holds a row group at once, not the whole bucket."""
+    r = random.Random(6)
+    df = spark.createDataFrame([(i, r.randbytes(20000).hex()) for i in range(400)], "row long, text string")
+    width = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        files = stash_by_key(df, "test-texts", "row").inputFiles()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", width)
+    found = [m.row_group(g) for f in files for m in [pq.ParquetFile(f.removeprefix("file:")).metadata]
+             for g in range(m.num_row_groups)]
+    assert sum(g.num_rows for g in found) == 400
+    assert max(g.total_byte_size for g in found) < 8 << 20
+
+
+def test_one_worker_cuts_and_hashes(spark, monkeypatch):
+    """Names with many contexts: a task hashes their strings in the Python worker that cuts them."""
+    from obsflow.plans.explain import plan_text
+    plans = {}
+
+    def noted(df, name):
+        plans[name] = plan_text(df, "simple")
+        return stash(df, name)
+    monkeypatch.setattr(module, "stash", noted)
+    check(spark, make(1), length=50, gram=20, group=2)
+    assert plans["repeat-strings"].count("MapInArrow") == 1
+
+
 def test_empty_table(spark):
     assert suffix_dedup(spark.createDataFrame([], "doc_id long, text string")).collect() == []
