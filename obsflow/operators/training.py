@@ -8,8 +8,10 @@ equals the state of both together:
   times of ``n_trees`` independent unit exponentials (the first is an
   exponential at rate ``n_trees``, one hash), dealt to the trees in an order
   hashed from the key. So one hash per row tells nearly all rows of a large batch
-  that they enter no tree, and only the rest draw all their times. Tree -1 holds
-  the rows whose scores set the threshold, the ``calibration`` smallest draws.
+  that they enter no tree, and only the rest draw all their times.
+* ``rows`` -- the features of every row. The threshold is a quantile of all their
+  scores, and a new forest gives each of them a new score. They stand as tree -1
+  of ``samples``; a caller may ask for the ``calibration`` smallest draws instead.
 * ``values`` -- how often each value of each feature occurred, for exact
   medians, means and deviations. It grows with the distinct values: sensor
   readings have a fixed resolution and a bounded range, so it stops growing.
@@ -23,7 +25,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -37,18 +39,26 @@ from obsflow.operators.anomalies import MIN_SAMPLES, Model, row_key, usable_feat
 from obsflow.operators.scoring import CONTAMINATION
 from obsflow.sources.tables import local_table
 
-#: Rows whose scores set the threshold; below this many all rows of the history do.
-CALIBRATION = 10_000
 SAMPLE_COLUMNS = ["tree_id", "draw", "h"]
 _UNIT = float(1 << 53)
 
 
 @dataclass
 class TrainingState:
-    samples: DataFrame      # tree_id int, draw double, h long, one double per feature (null: missing)
+    drawn: DataFrame        # tree_id int, draw double, h long, one double per feature (null: missing)
     values: DataFrame       # feature string, value double, n long
     n_rows: int
     features: list[str]
+    rows: DataFrame | None = None   # one double per feature (null: missing); None where a caller bounded tree -1
+    fresh: DataFrame | None = None  # those of ``rows`` that no part of the store holds yet
+    parts: dict[str, int] = field(default_factory=dict)  # the parts that hold the others, and how many rows each
+
+    @property
+    def samples(self) -> DataFrame:
+        """The rows of each tree and, as tree -1, those whose scores set the threshold."""
+        if self.rows is None:
+            return self.drawn
+        return self.drawn.unionByName(self.rows.withColumn("tree_id", F.lit(-1)), allowMissingColumns=True)
 
 
 def _first_draw(n: int, lane: int, seed: int) -> F.Column:
@@ -99,19 +109,24 @@ def _bound(want: int, n: int) -> float:
     return math.inf if n <= want or share >= 1 else -math.log1p(-share)
 
 
-def _smallest(samples: DataFrame, psi: int, calibration: int) -> DataFrame:
+def _smallest(samples: DataFrame, psi: int, calibration: int | None) -> DataFrame:
     w = Window.partitionBy("tree_id").orderBy("draw", "h")
     limit = F.when(F.col("tree_id") < 0, F.lit(calibration)).otherwise(F.lit(psi))
-    most = max(psi, calibration)
+    most = max(psi, calibration or 0)
     return (samples.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= most)  # a group limit for Spark
             .where(F.col("__rn") <= limit).drop("__rn"))
 
 
 def merged(state: TrainingState | None, batch: DataFrame, *, features: list[str] = feat.FEATURES,
            key_cols: list[str] | None = None, n_trees: int = iforest.N_TREES, max_samples: int = iforest.MAX_SAMPLES,
-           calibration: int = CALIBRATION, seed: int = iforest.SEED, salt: int | None = None) -> TrainingState:
-    """The state of the rows of ``state`` and of ``batch``; plans only, apart from counts. Reads the two, nothing else."""
+           calibration: int | None = None, seed: int = iforest.SEED, salt: int | None = None) -> TrainingState:
+    """The state of the rows of ``state`` and of ``batch``; plans only, apart from counts. Reads the two, nothing else.
+
+    All rows set the threshold, unless a caller bounds them to ``calibration``, in every merge alike.
+    """
     feats = state.features if state is not None else feat.available(batch, features)
+    if state is not None and feats and (state.rows is None) != (calibration is not None):
+        raise ValueError("a state with a bound on the rows of its threshold and one without cannot be merged")
     keys = row_key(batch) if key_cols is None else key_cols
     clean = batch.select(*keys, *[finite_or_null(f).alias(f) for f in feats])
     rows = iforest.keyed_rows(clean, feats, keys).withColumnRenamed("__h", "h")
@@ -125,15 +140,16 @@ def merged(state: TrainingState | None, batch: DataFrame, *, features: list[str]
 
     def drawn(bound: float, cal_bound: float) -> DataFrame:
         first, cal = _first_draw(n_trees, 0, seed), _first_draw(1, -2, seed)
-        trees = rows.select("h", first.alias("first"), *feats).where(F.col("first") < bound) \
+        both = rows.select("h", first.alias("first"), *feats).where(F.col("first") < bound) \
             .mapInArrow(_dealer(n_trees, bound, seed), schema)
-        extra = rows.select(F.lit(-1).alias("tree_id"), cal.alias("draw"), "h", *feats).where(F.col("draw") < cal_bound)
-        both = trees.unionByName(extra)
-        return both if state is None else both.unionByName(state.samples.select(*both.columns))
+        if calibration is not None:
+            both = both.unionByName(rows.select(F.lit(-1).alias("tree_id"), cal.alias("draw"), "h", *feats)
+                                    .where(F.col("draw") < cal_bound))
+        return both if state is None else both.unionByName(state.drawn.select(*both.columns))
 
     grow = 1
     while True:
-        bound, cal_bound = (_bound(k * grow, n) if n else math.inf for k in (max_samples, calibration))
+        bound, cal_bound = (_bound(k * grow, n) if n and k is not None else math.inf for k in (max_samples, calibration))
         samples = _smallest(drawn(bound, cal_bound), max_samples, calibration).persist()
         # complete if every tree is full of draws below its bound (or nothing was held back)
         worst = samples.groupBy("tree_id").agg(F.count(F.lit(1)).alias("n"), F.max("draw").alias("d")).collect()
@@ -148,7 +164,13 @@ def merged(state: TrainingState | None, batch: DataFrame, *, features: list[str]
         counted = counted.unionByName(state.values).groupBy("feature", "value").agg(F.sum("n").alias("n"))
     if counted is None:
         counted = local_table(batch.sparkSession, [], "feature string, value double, n long")
-    return TrainingState(samples, counted, n, feats)
+    if calibration is not None or not feats:
+        return TrainingState(samples, counted, n, feats)
+    every = fresh = clean.select(*feats)
+    if state is not None:
+        every = state.rows.unionByName(every)
+        fresh = fresh if state.fresh is None else state.fresh.unionByName(fresh)
+    return TrainingState(samples, counted, n, feats, every, fresh, {} if state is None else state.parts)
 
 
 def _medians(values: DataFrame, feats: list[str]) -> dict[str, float | None]:
@@ -182,7 +204,10 @@ def state_stats(state: TrainingState) -> dict[str, dict]:
 
 def fit_state(state: TrainingState, *, n_trees: int = iforest.N_TREES, max_samples: int = iforest.MAX_SAMPLES,
               seed: int = iforest.SEED, contamination: float = CONTAMINATION, version: int = 0) -> Model | None:
-    """Scaler, forest and threshold from the state alone; None below five rows or without a usable feature."""
+    """Scaler, forest and threshold from the state alone; None below five rows or without a usable feature.
+
+    The threshold is the exact quantile of the scores of all rows, each scored once.
+    """
     if state.n_rows < MIN_SAMPLES or not state.features:
         return None
     stats = state_stats(state)
@@ -196,6 +221,7 @@ def fit_state(state: TrainingState, *, n_trees: int = iforest.N_TREES, max_sampl
     nodes = trees.groupBy("tree_id").applyInPandas(iforest._builder(zcols, psi, seed), iforest.FOREST_NODE_SCHEMA).collect()
     forest = iforest.Forest.from_nodes(nodes, zcols, psi)  # trees * (2 psi - 1) rows at most
     forest.extra["nodes"] = sorted(tuple(r) for r in nodes)
-    scored = iforest.score(z.where("tree_id < 0").select(*zcols), forest)
-    return Model(feats, {f: stats[f] for f in feats}, forest, exact_quantile(scored, "anomaly_score_raw", contamination),
-                 state.n_rows, version)
+    scored = iforest.score(z.where("tree_id < 0").select(*zcols), forest).select("anomaly_score_raw").persist()
+    threshold = exact_quantile(scored, "anomaly_score_raw", contamination)
+    scored.unpersist()
+    return Model(feats, {f: stats[f] for f in feats}, forest, threshold, state.n_rows, version)

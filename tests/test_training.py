@@ -123,6 +123,101 @@ def test_a_retrain_reads_the_state_and_its_batch_only(spark):
     assert a.n_train == got.n_train + history.read_history(spark, sink.records_path).where("batch_id = 6").count()
 
 
+def observed(spark, first, last):
+    """Observations numbered ``first`` to ``last`` - 1, every 40th without clouds, spread by a hash of the number."""
+    u = lambda k, lo, hi: F.lit(lo) + F.pmod(F.xxhash64("id", F.lit(k)), F.lit(10_007)) / 10_007.0 * (hi - lo)
+    return spark.range(first, last, 1, 3).select(
+        F.lit("Oslo").alias("city"), F.timestamp_seconds(F.col("id") + 1_700_000_000).alias("event_time"),
+        u(1, -20.0, 40.0).alias("temperature"), u(2, 0.0, 100.0).alias("humidity"), u(3, 900.0, 1060.0).alias("pressure"),
+        u(4, 0.0, 30.0).alias("wind_speed"), F.when(F.col("id") % 40 != 0, u(5, 0.0, 100.0)).alias("clouds"),
+        F.lit(10_000).alias("visibility"), F.col("id").alias("offset"))
+
+
+def scores_of_all(df, model):
+    """The scores of all rows, by a walk of the model's trees on the driver."""
+    z = feat.standardize(df, model.stats, prefix="__z_", features=model.features)
+    return model.forest.score(z.select(*[f"__z_{f}" for f in model.features]).toPandas().to_numpy(dtype=float))
+
+
+def test_the_threshold_comes_from_the_scores_of_all_rows(spark):
+    df = observed(spark, 0, 13_000)
+    state = training.merged(None, df, **ARGS)
+    assert state.samples.where("tree_id < 0").count() == 13_000
+    m = training.fit_state(state, **ARGS)
+    scores = scores_of_all(df, m)
+    assert m.threshold == pytest.approx(np.quantile(scores, 0.05), rel=1e-12)
+    state.samples.unpersist()
+
+
+def test_a_retrained_threshold_comes_from_the_whole_history(spark):
+    sink = jobs.RecordSink(work_dir(spark, "test-whole"), retrain_every=2, fit_args=ARGS)
+    for b, (first, last) in enumerate([(0, 7_000), (7_000, 8_000), (8_000, 14_000)]):
+        sink(observed(spark, first, last), b)
+    m = model_store.load_model(spark, sink.model_path, 2)
+    scores = scores_of_all(history.read_history(spark, sink.records_path), m)
+    assert m.n_train == len(scores) == 14_000
+    assert m.threshold == pytest.approx(np.quantile(scores, 0.05), rel=1e-12)
+
+
+def part_names(spark, root):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/rows")
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return {f.getPath().getName() for f in fs.listStatus(folder)}
+
+
+def test_stored_states_hold_each_row_once(spark, monkeypatch):
+    monkeypatch.setattr(state_store, "PART_ROWS", 400)
+    root = work_dir(spark, "test-parts")
+    sizes = [100, 100, 0, 50, 500, 30, 30, 10, 70]
+    ends = np.cumsum(sizes).tolist()
+
+    def save(b, state):
+        state = training.merged(state, observed(spark, ends[b] - sizes[b], ends[b]), **ARGS)
+        return state_store.save_state(spark, state, root, b)
+
+    def temperatures(state):
+        return sorted(r["temperature"] for r in state.rows.collect())
+    want = [sorted(r["temperature"] for r in observed(spark, 0, n).collect()) for n in ends]
+    parts = []
+    for b in range(len(sizes)):
+        state = save(b, state_store.load_state(spark, root, before=b)[0])
+        parts.append(list(state.parts.values()))
+        assert temperatures(state) == want[b]
+    assert parts == [[100], [200], [200], [200, 50], [750], [750, 30], [750, 60], [750, 60, 10], [750, 140]]
+    before, upto = state_store.load_state(spark, root, before=8)     # the state before is whole, too; nothing else is left
+    assert upto == 7 and temperatures(before) == want[7]
+    assert part_names(spark, root) == set(before.parts) | set(state.parts)
+    assert temperatures(save(8, before)) == want[8]                  # a replay
+    left = observed(spark, 0, 7).select(*feat.FEATURES)
+    left.write.parquet(f"{root}/rows/left")                          # a run that stopped half way leaves a part unnamed
+    whole = training.merged(None, observed(spark, 0, ends[6]), **ARGS)
+    assert temperatures(state_store.save_state(spark, whole, root, 6)) == want[6]    # built again from the history
+    assert "left" not in part_names(spark, root)
+
+
+def test_a_state_stored_without_its_rows_is_built_again(spark):
+    sink = jobs.RecordSink(work_dir(spark, "test-old"), retrain_every=100, fit_args=ARGS)
+    sink(observed(spark, 0, 600), 0)
+    sink(observed(spark, 600, 900), 1)
+    for slot in state_store.SLOTS:
+        path = f"{sink.state_path}/slot{slot}/meta"
+        old = spark.read.parquet(path).drop("parts").collect()
+        spark.createDataFrame([tuple(old[0])], "n_rows long, features string, upto long").write.mode("overwrite").parquet(path)
+    assert state_store.load_state(spark, sink.state_path, before=2) == (None, None)
+    sink(observed(spark, 900, 1_000), 2)
+    state, upto = state_store.load_state(spark, sink.state_path, before=3)
+    assert (state.n_rows, state.rows.count(), upto) == (1_000, 1_000, 2)
+
+
+def test_bounded_and_whole_states_do_not_mix(spark):
+    df = observed(spark, 0, 300)
+    root = work_dir(spark, "test-bounded")
+    state = state_store.save_state(spark, training.merged(None, df, calibration=200, **ARGS), root, 0)
+    assert state.rows is None and state.samples.where("tree_id < 0").count() == 200
+    with pytest.raises(ValueError, match="bound"):
+        training.merged(state, df, **ARGS)
+
+
 def test_a_model_that_fails_on_the_executors_keeps_the_batch(spark, monkeypatch):
     base = work_dir(spark, "test-broken")
     sink = jobs.RecordSink(base, retrain_every=100, fit_args=ARGS)
